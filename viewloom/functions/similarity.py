@@ -34,7 +34,7 @@ def similarity(left: Column, right: Column) -> Column:
     shared = F.size(F.array_intersect(_letters(x), _letters(y)))
     either = F.size(F.array_union(_letters(x), _letters(y)))
     shorter, longer = F.least(F.length(x), F.length(y)), F.greatest(F.length(x), F.length(y))
-    general = F.lit(WEIGHT_LETTERS) * shared / either + F.lit(WEIGHT_LENGTH) * shorter / longer
+    general = shared / either * WEIGHT_LETTERS + (1 - (longer - shorter) / longer) * WEIGHT_LENGTH
     missing = F.coalesce(left, F.lit("")) == ""
     missing = missing | (F.coalesce(right, F.lit("")) == "")
     return (

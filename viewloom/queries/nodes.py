@@ -281,12 +281,22 @@ def _(t: Tables):
 
 @query(
     "A11_source_flag",
-    """select c_nationkey as flow, case count(distinct c_mktsegment) when 1 then min(c_mktsegment) when 2 then 'HANA/BW' else 'None' end
-       as source_flag from customer where c_acctbal < 0 group by 1""",
+    """select flow, case when n = 1 then only_one when n = 2 then 'HANA/BW' else 'None' end as source_flag
+       from (select flow, count(distinct coalesce(system, '?')) as n, min(system) as only_one
+             from (select c_nationkey as flow,
+                          case c_nationkey % 4 when 0 then 'HANA' when 1 then case when c_custkey % 2 = 0 then 'HANA' else 'BW' end
+                          when 2 then case when c_custkey % 2 = 0 then 'BW' end else c_mktsegment end as system
+                   from customer) group by flow)""",
 )
 def _(t: Tables):
-    rows = t.customer.filter(F.col("c_acctbal") < 0).withColumnRenamed("c_nationkey", "flow")
-    return rel.source_flag(rows, "flow", "c_mktsegment")
+    kind, even = F.col("c_nationkey") % 4, F.col("c_custkey") % 2 == 0
+    system = (
+        F.when(kind == 0, "HANA")
+        .when(kind == 1, F.when(even, "HANA").otherwise("BW"))
+        .when(kind == 2, F.when(even, "BW"))
+        .otherwise(F.col("c_mktsegment"))
+    )
+    return rel.source_flag(t.customer.select(F.col("c_nationkey").alias("flow"), system.alias("system")), "flow", "system")
 
 
 @query(
