@@ -194,6 +194,6 @@ def at_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest:
 
 def latest_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], values: Sequence[str]) -> DataFrame:
     """One row per key holding ``values`` of its last row; the values themselves break ties."""
-    row = F.struct(*[F.col(c) for c in [*order, *values]])
+    row = F.struct(*[F.col(c) for c in dict.fromkeys([*order, *values])])
     best = df.groupBy(*keys).agg(F.max(row).alias("__row"))
     return best.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in values])

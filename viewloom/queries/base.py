@@ -183,7 +183,7 @@ select cast(c_nationkey + 100 * (c_custkey % 4) as varchar(20)) as RELNR,
        '2000-03-15 10:00:00' as RUN_TIMESTAMP, '20000315' as RUN_DATE
 from {customer}"""
 STAND_INS["depot_amounts"] = """
-select cast(explode(array(1998, 1999, 2000)) as varchar(20)) as JAAR, cast(s_suppkey as varchar(20)) as RELNR_DEPOT,
+select explode(array('1998', '1999', '2000')) as JAAR, cast(s_suppkey as varchar(20)) as RELNR_DEPOT,
        cast(cast(s_acctbal as decimal(17,2)) * 1000 as decimal(17,2)) as SALDO_VJ
 from {supplier}"""
 STAND_INS["depot_relations"] = """

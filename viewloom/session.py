@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int = 8, app: str = "viewloom", **conf: str) -> SparkSession:
@@ -42,3 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="viewloom-checkpoint-")
     context.setCheckpointDir(configured)
     return configured
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as Parquet below the checkpoint folder and read it back.
+
+    Used where a frame feeds several branches or an iteration: the plan is cut, a lost executor reads
+    files instead of recomputing, and unlike a checkpoint the readers prune columns and the planner knows
+    the size. The files live as long as the checkpoint folder keeps them.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/viewloom/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
