@@ -14,13 +14,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from viewloom.functions import scalar as fn
 from viewloom.operators.scans import (
     Ordering,
     at_extreme,
-    island_fill,
     last_known,
     latest_values,
     next_value,
@@ -317,10 +316,12 @@ def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
     link = {c: f"link_{c}" for c in SORT}
     last = last.select(*keys, "kind", "event", *[F.col(c).alias(n) for c, n in link.items()])
 
-    matched = years.join(last, keys, "left")
-    flagged = matched.withColumn("flag", F.when(F.col("link_mutated_on").isNotNull(), 1))
-    order = Ordering(("policy", "snapshot", "coverage"), ("report_year", "flag"))
-    return island_fill(flagged, order, "flag", ["kind", "event", *link.values()]).drop("flag")
+    # a coverage and snapshot has one row per year, so this window cannot grow with the log
+    so_far = Window.partitionBy(*COVERAGE, "snapshot").orderBy("report_year")
+    latest = F.last(F.when(F.col("link_mutated_on").isNotNull(), F.struct("kind", "event", *link.values())), True)
+    filled = years.join(last, keys, "left").withColumn("__latest", latest.over(so_far))
+    carried = filled.select(*COVERAGE, "snapshot", "report_year", "__latest.*")
+    return carried.filter(F.col("kind").isNotNull())
 
 
 def valid_years(states: DataFrame, first_deaths: DataFrame) -> DataFrame:
@@ -545,8 +546,8 @@ def mortality_snapshot(log: DataFrame, addresses: DataFrame, income: DataFrame,
     transactions = materialize(attach_previous(mutations, states), "transactions")
     persons = materialize(latest_person(person_feed(transactions)), "persons")
     deaths = find_deaths(states, persons, p)
-    info = personal_info(transactions, persons, deaths)
+    info = materialize(personal_info(transactions, persons, deaths), "info")
     relevant = materialize(relevant_transactions(transactions, deaths), "relevant")
-    shown = valid_years(yearly_states(relevant, p), deaths.first)
+    shown = materialize(valid_years(yearly_states(relevant, p), deaths.first), "years")
     history = addresses_of(persons, addresses, income)
     return report(shown, relevant, deaths, info, fill_salaries(relevant), history, p)
