@@ -27,7 +27,6 @@ from viewloom.operators.scans import (
     running,
     running_count,
 )
-from viewloom.operators.relational import tagged_union
 from viewloom.operators.temporal import cut_after_event, latest_before, valid_at, without_event, year_spine
 from viewloom.session import materialize
 
@@ -159,7 +158,7 @@ _STATE = [
 
 def coverage_states(mutations: DataFrame) -> DataFrame:
     """Mutations on coverage level, each pointing to its successor; corrections form their own chain."""
-    states = mutations.select(*_STATE).distinct()
+    states = materialize(mutations.select(*_STATE).distinct(), "coverage-states")
     # the mutation id decides between mutations of the same moment
     chain = Ordering(("policy", "coverage", "correction"), (*SORT, "mutation_id"))
     return next_value(states, chain, "mutation_id", "next_mutation")
@@ -282,9 +281,9 @@ def relevant_transactions(transactions: DataFrame, deaths: Deaths) -> DataFrame:
 
     kept = transactions.filter(F.col("correction") == "")
     kept = kept.unionByName(reporting("B001", "death_1", deaths.first))
-    kept = kept.unionByName(reporting("B002", "death_2", deaths.second)).distinct()
+    kept = kept.unionByName(reporting("B002", "death_2", deaths.second))
     closing = kept.filter(F.col("event").isin("B001", "B002") & (F.col("kind") == END))
-    return cut_after_event(kept, closing, ["policy", "coverage"], "processed_on")
+    return cut_after_event(kept.distinct(), closing, ["policy", "coverage"], "processed_on")
 
 
 def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
@@ -304,13 +303,18 @@ def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
         backwards,
         {"settled_year": (F.min, "mutation_year"), "settled_begin": (F.min, "begin_year")},
     )
-    counting = tagged_union(
-        {
-            EOY: settled.filter("mutation_year = settled_year").withColumn("report_year", F.col("mutation_year")),
-            BOY: settled.filter("begin_year = settled_begin").withColumn("report_year", F.col("begin_year")),
-        },
-        "snapshot",
+    # a mutation may count for the year it falls in (EoY) and for the year it opens (BoY)
+    counts = F.array(
+        F.when(
+            F.col("mutation_year") == F.col("settled_year"),
+            F.struct(F.lit(EOY).alias("snapshot"), F.col("mutation_year").alias("report_year")),
+        ),
+        F.when(
+            F.col("begin_year") == F.col("settled_begin"),
+            F.struct(F.lit(BOY).alias("snapshot"), F.col("begin_year").alias("report_year")),
+        ),
     )
+    counting = settled.select(*columns, F.inline(F.array_compact(counts)))
     keys = ["policy", "coverage", "snapshot", "report_year"]
     last = latest_values(counting, keys, (*SORT, "mutation_id"), ["kind", "event", *SORT])
     link = {c: f"link_{c}" for c in SORT}
@@ -541,7 +545,8 @@ def report(
 
 def mortality_snapshot(log: DataFrame, addresses: DataFrame, income: DataFrame, p: SnapshotParams) -> DataFrame:
     """The whole report. Frames that feed several branches are written once."""
-    mutations = materialize(with_new_ids(base_mutations(log, p)), "mutations")
+    base = materialize(base_mutations(log, p), "base")
+    mutations = materialize(with_new_ids(base), "mutations")
     states = materialize(coverage_states(mutations), "states")
     transactions = materialize(attach_previous(mutations, states), "transactions")
     persons = materialize(latest_person(person_feed(transactions)), "persons")

@@ -201,5 +201,59 @@ STAND_INS["depot_journal"] = """
 select cast(l_suppkey as varchar(20)) as RELNR,
        replace(cast(cast((l_extendedprice - 25000) as decimal(17,2)) as varchar(30)), '.', ',') as BOEK,
        cast(year(l_shipdate) as varchar(4)) as BOEKJR,
-       cast(650 + l_linenumber as varchar(3)) as BOEKCD, '2000' as REF_YEAR, '1999' as REF_YEAR_MINUS_1
+       cast(648 + l_linenumber as varchar(3)) as BOEKCD, '2000' as REF_YEAR, '1999' as REF_YEAR_MINUS_1
 from {lineitem}"""
+
+# Column metadata of two systems: parts play columns, brands play views and tables.
+_NAME = "upper(replace(p_name, ' ', '_')) || '_' || cast(p_partkey as varchar(20))"
+_BRAND = "replace(upper(p_brand), '#', '_')"
+STAND_INS["source_meta"] = f"""
+select '_SYS_BIC' as SCHEMA_NAME, 'pkg.sub/CV_' || {_BRAND} as VIEW_NAME, {_NAME} as COLUMN_NAME, p_size % 3 as DATA_TYPE_ID,
+       case p_size % 3 when 0 then 'NVARCHAR' when 1 then 'DECIMAL' else 'DATE' end as DATA_TYPE_NAME
+from {{part}} where p_partkey % 5 <> 4"""
+STAND_INS["target_meta"] = f"""
+select 'TABLE' as object_type, 'lpdevdev' as catalog_name, 'gold' as schema_name, 'TAB_' || {_BRAND} as object_name,
+       case p_partkey % 4 when 2 then 'Z_' || {_NAME} when 3 then replace({_NAME}, '_', '') else {_NAME} end as column_name,
+       case p_size % 3 when 0 then 'STRING' when 1 then 'DECIMAL(10,2)' else 'TIMESTAMP' end as data_type
+from {{part}}"""
+STAND_INS["objects"] = f"""
+select distinct 'lp' || chr(123) || 'ENV' || chr(125) || '.gold.tab_' || lower({_BRAND}) as SLO_Object,
+       'CV_' || {_BRAND} as Decoupling_View, 'pkg.sub' as source_package, 'T_' || {_BRAND} as Table_ID
+from {{part}}"""
+STAND_INS["name_pairs"] = f"""
+select upper(split_part(p_name, ' ', 2)) || '_' || replace(upper(p_brand), '#', '') as sap_name,
+       upper(replace(p_name, ' ', '_')) || '_' || replace(upper(p_brand), '#', '') || '_' || cast(p_size as varchar(20)) as dbx_name
+from {{part}}"""
+# A mapping sheet: part types play sheets, brands play views.
+STAND_INS["mapping_sheet"] = """
+select p_type as sheet, p_partkey as row_no, case when p_partkey % 17 = 0 then null else p_brand || ' ' end as used_by,
+       case when p_partkey % 3 = 0 then 'CV_' || p_brand end as base_cv,
+       'F_' || replace(p_name, ' ', '_') as sap_field,
+       case when p_partkey % 7 > 0 then replace(p_name, ' ', '_') || '_' || cast(p_size % 3 as varchar(20)) end as dbx_field,
+       case when p_partkey % 4 = 0 then 'tab_' || p_brand end as dbx_table,
+       case when p_size > 45 then 'check' end as comments
+from {part}"""
+
+# Lineage: rows play columns of their table, foreign keys play edges.
+def _edges(table, key, parent, parent_key, rows):
+    return (
+        f"select 'nntst.{table}' as target_table_name, '{table[0]}' || {key} as target_column_name, "
+        f"'nntst.{parent}' as source_table_name, '{parent[0]}' || {parent_key} as source_column_name, "
+        f"'copy' as transformation from {{{rows}}}"
+    )
+
+
+def _text(column):
+    return f"cast({column} as varchar(20))"
+
+
+STAND_INS["edges"] = " union ".join(
+    [
+        _edges("lineitem", f"{_text('l_orderkey')} || '-' || {_text('l_linenumber')}", "orders", _text("l_orderkey"), "lineitem"),
+        _edges("lineitem", f"{_text('l_orderkey')} || '-' || {_text('l_linenumber')}", "supplier", _text("l_suppkey"), "lineitem"),
+        _edges("orders", _text("o_orderkey"), "customer", _text("o_custkey"), "orders"),
+        _edges("customer", _text("c_custkey"), "nation", _text("c_nationkey"), "customer"),
+        _edges("supplier", _text("s_suppkey"), "nation", _text("s_nationkey"), "supplier"),
+        _edges("nation", _text("n_nationkey"), "region", _text("n_regionkey"), "nation"),
+    ]
+)
