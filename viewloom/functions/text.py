@@ -62,6 +62,13 @@ def needs_review(c: Column) -> Column:
     return F.rlike(F.lower(c), F.lit("if|case|join|rank|union"))
 
 
+# Character entities, the ampersand last.
+_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": "\u00a0", "&amp;": "&"}
+
+
 def plain_text(c: Column) -> Column:
-    """Text of an HTML cell: tags dropped, outer white space trimmed."""
-    return F.regexp_replace(F.regexp_replace(c, "(?s)<[^>]*>", ""), r"^\s+|\s+$", "")
+    """Text of an HTML cell: tags dropped, entities resolved, outer white space trimmed."""
+    c = F.regexp_replace(c, "(?s)<[^>]*>", "")
+    for entity, character in _ENTITIES.items():
+        c = F.replace(c, F.lit(entity), F.lit(character))
+    return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")

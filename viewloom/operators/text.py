@@ -44,7 +44,7 @@ def apply_mapping(
     def replaced(text_so_far: Column, entry: Column) -> Column:
         if not whole_words:
             return F.replace(text_so_far, entry["key"], entry["value"])
-        word = F.concat(F.lit(r"(?i)\b\Q"), entry["key"], F.lit(r"\E\b"))
+        word = F.concat(F.lit(r"(?iuU)\b\Q"), entry["key"], F.lit(r"\E\b"))
         literal = F.regexp_replace(entry["value"], r"([\\$])", r"\\$1")
         # the cheap test spares the regular expression for keys that do not occur at all
         occurs = F.contains(F.lower(text_so_far), F.lower(entry["key"]))
@@ -53,7 +53,8 @@ def apply_mapping(
     for number in range(math.ceil(count / slice_size)):
         inside = (F.col("__no") > number * slice_size) & (F.col("__no") <= (number + 1) * slice_size)
         entries = placed.filter(inside).agg(F.array_sort(F.collect_list(F.struct("__no", "key", "value"))))
-        scripts = scripts.withColumn(text, F.aggregate(entries.scalar(), F.col(text), replaced))
+        with_entries = scripts.withColumn("__entries", entries.scalar())
+        scripts = with_entries.withColumn(text, F.aggregate("__entries", F.col(text), replaced)).drop("__entries")
     return scripts
 
 

@@ -170,7 +170,7 @@ cells as (select sheet, v, field, value, min(row_no) as f from ({_CELLS}) where
 placed as (select *, row_number() over (partition by sheet, v, field order by f) as position from cells),
 records as (select sheet, v, position, {", ".join(f"max(value) filter (field = '{f}') as {f}" for f in md.MAPPING_FIELDS)}
             from placed group by 1, 2, 3)
-select 'calculation_view_' || r.sheet || '_' || view_no as view, position, coalesce(r.used_by, '') as used_by,
+select 'calculation_view_' || r.sheet || '_' || view_no as view, r.position, coalesce(r.used_by, '') as used_by,
        coalesce(r.base_cv, d.base_cv, '') as base_cv, coalesce(r.sap_field, '') as sap_field, coalesce(r.dbx_field, '') as dbx_field,
        coalesce(r.dbx_table, d.dbx_table, '') as dbx_table, coalesce(r.comments, '') as comments
 from records r join views on r.sheet = views.sheet and r.v = views.v
@@ -312,7 +312,7 @@ def _(t: Tables):
     "select 'path' as part, count(*) as n from (" + _WIDE + ") union all "
     "select 'pair', count(*) from (" + _REACH + " select distinct tt, tc, st, sc from r) union all "
     "select 'root', count(*) from (" + _REACH + " select distinct tt, tc, st, sc from r where (st, sc) not in (select (tt, tc) from e)) union all "
-    "select 'line', 13",
+    "select 'line', 12",
 )
 def _(t: Tables):
     found = reconcile.full_lineage(t.edges, 4)

@@ -1 +1,69 @@
-"""To be filled."""
+"""Sources and sinks that can run on the test tables (ids S); the others are covered by unit tests."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from viewloom.queries.base import Tables, query
+from viewloom.session import ensure_checkpoint_dir
+from viewloom.sources import readers, writers
+
+
+def _scratch(t: Tables, name: str) -> str:
+    return f"{ensure_checkpoint_dir(t.spark)}/viewloom/{name}-{uuid.uuid4().hex}"
+
+
+@query("S02_read_csv", "select p_partkey, p_name, p_size, p_retailprice from part")
+def _(t: Tables):
+    path = _scratch(t, "csv")
+    t.part.select("p_partkey", "p_name", "p_size", "p_retailprice").write.csv(path, header=True)
+    return readers.read_mapping_csv(t.spark, path)
+
+
+@query("S03_table_scan", "select o_orderstatus, count(*) as n from orders group by 1")
+def _(t: Tables):
+    readers.register_views({"viewloom_scan_orders": t.orders})
+    return t.spark.table("viewloom_scan_orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("S08_temp_view", "select c_mktsegment, max(c_acctbal) as top from customer group by 1")
+def _(t: Tables):
+    readers.register_views({"viewloom_customers": t.customer})
+    return t.spark.sql("select c_mktsegment, max(c_acctbal) as top from viewloom_customers group by c_mktsegment")
+
+
+@query(
+    "S10_run_parameters",
+    """select 7 as "RUN_ID", 'LEGO' as "DOMAIN", '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' as "PARAMS_JSON",
+       'test' as "COMMENT" from customer""",
+)
+def _(t: Tables):
+    return writers.snapshot_params(t.customer.select("c_custkey", "c_mktsegment"), 7, "LEGO", "test").drop("INSERTED_AT")
+
+
+@query("S11_file_inventory")
+def _(t: Tables):
+    return readers.file_inventory(t.spark, t.sf_dir).drop("path")
+
+
+@query(
+    "S12_xml_attribute",
+    "select p_partkey, case when p_size > 25 then 'Load of ' || p_name else 'Descriptions tag not found' end as description from part",
+)
+def _(t: Tables):
+    tag = F.concat(F.lit('<x:descriptions defaultDescription="Load of '), "p_name", F.lit('"/><descriptions defaultDescription="no"/>'))
+    body = F.when(F.col("p_size") > 25, tag).otherwise("<other/>")
+    xml = F.concat(F.lit('<a xmlns:x="urn:x"><b>'), body, F.lit("</b></a>"))
+    return t.part.select("p_partkey", readers.xml_attribute(xml, "descriptions", "defaultDescription").alias("description"))
+
+
+@query("S13_dated_output", "select page_id, length(html) as n, date '2024-05-02' as run_date from pages")
+def _(t: Tables):
+    path = _scratch(t, "dated")
+    rows = t.pages.select("page_id", F.length("html").alias("n"))
+    writers.write_dated(rows.limit(0), path, "2024-05-01")
+    writers.write_dated(rows.withColumn("n", F.lit(0)), path, "2024-05-02")
+    writers.write_dated(rows, path, "2024-05-02")  # a second run of the day replaces the first
+    return t.spark.read.parquet(path)

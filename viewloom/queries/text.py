@@ -1 +1,302 @@
-"""To be filled."""
+"""Text and document jobs (ids T)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from viewloom.functions import text as tx
+from viewloom.operators import relational as rel, text as ops
+from viewloom.operators.metadata import build_lookup
+from viewloom.queries.base import Tables, query
+
+_TRIM = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
+
+
+@query(
+    "T01_strip_fences",
+    "select conv_id, turn, replace(replace('```sql' || chr(10) || text || '`x`' || chr(10) || '```', '```sql', ''), '`', '') as cleaned "
+    "from conversations",
+)
+def _(t: Tables):
+    fenced = F.concat(F.lit("```sql\n"), "text", F.lit("`x`\n```"))
+    return t.conversations.select("conv_id", "turn", tx.strip_fences(fenced).alias("cleaned"))
+
+
+@query(
+    "T02_split_statements",
+    f"""select doc_id, unnest(range(1, len(l) + 1)) as stmt_no, unnest(l) as stmt from (
+        select doc_id, list_filter([{_TRIM.format('x')} for x in string_split(replace(text, '.', ' ; '), ';')], lambda s: s <> '') as l
+        from documents) where len(l) > 0""",
+)
+def _(t: Tables):
+    scripts = t.documents.select("doc_id", F.replace("text", F.lit("."), F.lit(" ; ")).alias("text"))
+    return ops.split_statements(scripts, "doc_id", "text")
+
+
+@query(
+    "T03_split_blocks",
+    f"""select doc_id, unnest(range(1, len(l) + 1)) as stmt_no, unnest(l) as stmt from (
+        select doc_id, [case when ends_with(s, ';') then s else s || ';' end for s in
+          list_filter([{_TRIM.format('x')} for x in regexp_split_to_array({_TRIM.format("replace(text, '. ', ';' || chr(10) || chr(10))")}, ';\\s*\\n\\s*\\n')],
+                      lambda s: s <> '')] as l
+        from documents) where len(l) > 0""",
+)
+def _(t: Tables):
+    scripts = t.documents.select("doc_id", F.replace("text", F.lit(". "), F.lit(";\n\n")).alias("text"))
+    return ops.split_statements(scripts, "doc_id", "text", blocks=True)
+
+
+_SCRIPT = "'SELECT ' || p_name || ', T.' || upper(replace(p_name, ' ', ' , ')) || ' FROM ' || p_type || '_' || p_brand"
+
+
+@query(
+    "T04_apply_mapping",
+    f"""with recursive words as (select upper(split_part(p_name, ' ', 1)) as key, min(p_partkey) as ordinal,
+                  arg_max(split_part(p_name, ' ', 2) || '_' || split_part(p_name, ' ', 1), p_partkey) as value from part group by 1),
+       w as (select key, value, row_number() over (order by ordinal, key) as no from words),
+       tabs as (select p_type as key, lower(p_type) as value, row_number() over (order by min(p_partkey), p_type) as no from part group by p_type),
+       r as (select p_partkey, 1 as no, {_SCRIPT} as text from part
+             union all select p_partkey, r.no + 1, regexp_replace(text, '(?i)\\b' || key || '\\b', value, 'g') from r join w on r.no = w.no),
+       q as (select p_partkey, 1 as no, text from r where no = (select count(*) + 1 from w)
+             union all select p_partkey, q.no + 1, replace(text, key, value) from q join tabs on q.no = tabs.no)
+       select p_partkey, text from q where no = (select count(*) + 1 from tabs)""",
+)
+def _(t: Tables):
+    words = t.part.select(
+        F.split_part("p_name", F.lit(" "), F.lit(1)).alias("sap"),
+        F.concat_ws("_", F.split_part("p_name", F.lit(" "), F.lit(2)), F.split_part("p_name", F.lit(" "), F.lit(1))).alias("dbx"),
+        "p_partkey",
+        "p_type",
+        F.lower("p_type").alias("lower_type"),
+    )
+    fields = build_lookup(words, "sap", "dbx", "p_partkey")
+    tables = build_lookup(words, "p_type", "lower_type", "p_partkey", fold=False)
+    scripts = t.sql(f"select p_partkey, {_SCRIPT} as text from {{part}}")
+    # small slices, so that the test crosses their borders
+    renamed = ops.apply_mapping(scripts, "text", fields, slice_size=5)
+    return ops.apply_mapping(renamed, "text", tables, whole_words=False)
+
+
+_DDL = """'CREATE TABLE t' || cast(p_partkey as varchar(20)) || chr(10) || '(' || chr(10) || '    ' || replace(p_name, ' ', '_') || ' STRING,'
+  || chr(10) || '  size_' || cast(p_size as varchar(20)) || ' DECIMAL(5, 0),' || chr(10) || '    ' || upper(replace(p_name, ' ', '_'))
+  || '   DATE' || chr(10) || ')'"""
+
+
+@query(
+    "T05_annotate_ddl",
+    """with known as (select replace(p_name, ' ', '') as k, arg_max(p_type, p_partkey) as v from part where p_size > 49 group by 1),
+       f as (select p_partkey, p_size, replace(p_name, ' ', '_') as f1, v, rpad(replace(p_name, ' ', '_'), greatest(18, length(p_name))::int, ' ') as pad
+             from part left join known on replace(p_name, ' ', '') = k)
+       select p_partkey, 'CREATE TABLE t' || p_partkey || chr(10) || '(' || chr(10)
+         || case when v is null then '    ' || f1 || ' STRING,' else '    ' || pad || ' STRING COMMENT(''' || v || '''),' end || chr(10)
+         || '  size_' || p_size || ' DECIMAL(5, 0),' || chr(10)
+         || case when v is null then '    ' || upper(f1) || '   DATE' else '    ' || upper(pad) || ' DATE COMMENT(''' || v || ''')' end
+         || chr(10) || ')' as text,
+         case when v is null then 0 else 2 end as comments_added, 4 as fields_processed from f""",
+)
+def _(t: Tables):
+    ddl = t.sql(f"select p_partkey, {_DDL} as text from {{part}}")
+    known = t.part.filter(F.col("p_size") > 49).select(
+        F.replace("p_name", F.lit(" "), F.lit("")).alias("key"), F.col("p_type").alias("value"), F.col("p_partkey").alias("ordinal")
+    )
+    return ops.annotate_ddl(ddl, "p_partkey", "text", known)
+
+
+@query(
+    "T06_clean_html",
+    "select page_id, regexp_replace(regexp_replace(html, '(?is)<head>.*?</head>', '', 'g'), '(?is)<img.+?>', '', 'g') as html from pages",
+)
+def _(t: Tables):
+    return t.pages.select("page_id", tx.clean_html(F.col("html")).alias("html"))
+
+
+# One exported document per supplier: outer table, grid with a header, a two-cell row, and two sections.
+_GRID = """'<table class="SAPBEXTableGrid"><tr><td>Object Type</td><td>Name</td><td>Technical Name</td></tr>'
+  || '<tr><td>Data Source</td><td>sys/pkg::CV_' || s_name || '</td><td> T' || cast(s_suppkey as varchar(20)) || '   SYS HANA&amp;Co </td></tr>'
+  || '<tr><td> </td><td><b>second</b></td><td>D' || cast(s_suppkey as varchar(20)) || '</td></tr><tr><td>two</td><td>cells</td></tr>'
+  || '<tr><td>Transformation</td><td>load</td><td>TR' || cast(s_suppkey as varchar(20)) || '</td></tr>'
+  || '<tr><td></td><td>load 2</td><td>TX' || cast(s_suppkey as varchar(20)) || '</td></tr></table>'"""
+_HTML = f"""'<html><body>{tx.OUTER_TABLE}<tr><td>' || s_name || '</td></tr></table>' || {_GRID}
+  || '{tx.SECTION_TABLE}<tr><td><a name="TRFNTR' || cast(s_suppkey as varchar(20)) || '">x</a><table><tr><td>inner</td></tr></table></td></tr></table><p>'
+  || '{tx.SECTION_TABLE}<tr><td><a name="TRFNOTHER"></a></td></tr></table></body></html>'"""
+
+
+def _pages(t: Tables):
+    return t.sql(f"select s_suppkey, {_HTML} as html from {{supplier}}")
+
+
+@query(
+    "T07_first_table",
+    f"select s_suppkey, '{tx.OUTER_TABLE}<tr><td>' || s_name || '</td></tr></table>' as first_table from supplier",
+)
+def _(t: Tables):
+    return _pages(t).select("s_suppkey", tx.first_table(F.col("html")).alias("first_table"))
+
+
+_ROWS = """select s_suppkey, 1 as row_no, 'Data Source' as object_type, 'sys/pkg::CV_' || s_name as name, 'T' || s_suppkey || '   SYS HANA&Co' as technical_name from supplier
+  union all select s_suppkey, 2, 'Data Source', 'second', 'D' || s_suppkey from supplier
+  union all select s_suppkey, 3, 'Transformation', 'load', 'TR' || s_suppkey from supplier
+  union all select s_suppkey, 4, 'Transformation', 'load 2', 'TX' || s_suppkey from supplier"""
+
+
+@query("T08_table_rows", _ROWS)
+def _(t: Tables):
+    return ops.table_rows(_pages(t), "s_suppkey", "html")
+
+
+@query(
+    "T09_split_source",
+    f"""select s_suppkey, row_no, object_type, name, case when row_no = 1 then 'T' || s_suppkey else technical_name end as technical_name,
+        case when row_no = 1 then 'SYS HANA&Co' else '' end as source_system, case when row_no = 1 then 'CV_' || split_part(name, 'CV_', 2) else '' end as hana_view
+        from ({_ROWS})""",
+)
+def _(t: Tables):
+    return ops.split_source(ops.table_rows(_pages(t), "s_suppkey", "html"))
+
+
+@query("T10_transformation_names", f"select s_suppkey, technical_name as name from ({_ROWS}) where row_no in (3, 4)")
+def _(t: Tables):
+    return ops.transformation_names(ops.table_rows(_pages(t), "s_suppkey", "html"), "s_suppkey")
+
+
+@query(
+    "T11_anchored_sections",
+    f"""select s_suppkey, 'TR' || s_suppkey as name, '{tx.SECTION_TABLE}<tr><td><a name="TRFNTR' || s_suppkey
+        || '">x</a><table><tr><td>inner</td></tr></table></td></tr></table>' as section from supplier""",
+)
+def _(t: Tables):
+    pages = _pages(t)
+    names = ops.transformation_names(ops.table_rows(pages, "s_suppkey", "html"), "s_suppkey")
+    return ops.anchored_sections(pages, "s_suppkey", "html", names)
+
+
+_BLOCK = """'Routine ' || p_brand || ' code Required Objects Object Type Name Technical Name Routine Technical Name: ' || p_name
+  || ' Description (Short): ' || p_type || case when p_size > 10 then ' Description (Long): long ' || p_name || ' Object Version: 1' else '' end
+  || ' Source: S' || cast(p_partkey as varchar(20)) || ' Target: TARGET_' || lpad(cast(p_partkey as varchar(20)), 20, '0')"""
+
+
+@query(
+    "T12_labelled_fields",
+    """select p_partkey, p_name as technical_name, case when p_size > 10 then p_type end as short_description,
+       case when p_size > 10 then 'long ' || p_name end as long_description, 'S' || p_partkey as source, p_brand || ' code' as routine,
+       'TARGET_' || left(lpad(cast(p_partkey as varchar), 20, '0'), 13) as target from part""",
+)
+def _(t: Tables):
+    return ops.labelled_fields(t.sql(f"select p_partkey, {_BLOCK} as block from {{part}}"), "p_partkey", "block")
+
+
+# Orders of a customer play the rows of a rule table; the kind of row goes by the key.
+_RULES = """select o_custkey as doc, o_orderkey as row_no, kind,
+  case when kind in (3, 4) then note when kind = 5 then null else 'old' end as "Logic",
+  case when kind = 0 then 'Unit Info ' || note when kind = 1 then null when kind in (3, 4) then note else 'F' || note end as "Field_name",
+  case when kind in (3, 4) then note else 'd' end as "Description", case when kind in (3, 4) then note else 'CHAR' end as "Data_Type",
+  case when kind in (3, 4) then note else '8' end as "Length",
+  case when kind in (3, 4) then note when kind = 6 then null else 'Routine' end as "Rule_Type",
+  case when kind in (3, 4) then note else 't' end as "Target", case when kind = 1 then null when kind in (3, 4) then note else 'I' end as "InfoObject",
+  case when kind in (3, 4) then note end as "Description1", case when kind in (3, 4) then note end as "Data_Type1",
+  case when kind in (3, 4) then note end as "Length1"
+  from (select o_custkey, o_orderkey, cast(o_orderkey % 8 as int) as kind,
+               case when o_orderkey % 8 = 4 then 'Constant ' else 'Note ' end || cast(o_orderkey as varchar(20)) as note from {orders}) o"""
+
+
+@query(
+    "T13_tidy_rules",
+    f"""with k as (select *, row_number() over (partition by doc order by row_no desc) as e from ({_RULES}) where kind not in (0, 1)),
+        n as (select *, case when kind in (3, 4) and e > 2 then "Logic" end as note from k),
+        l as (select *, lead(note) over w as n1, lead(note, 2) over w as n2, lead(note, 3) over w as n3, lead(kind) over w = 6 as hole
+              from n window w as (partition by doc order by row_no))
+        select doc, row_no, "Field_name", case when kind = 6 then "Logic" when n1 is not null then n1 || case when n2 like '%Constant%' then chr(10) || n2 else '' end
+          when hole and n2 is not null then n2 || case when n3 like '%Constant%' then chr(10) || n3 else '' end else "Logic" end as "Logic"
+        from l where note is null and e > 2""",
+)
+def _(t: Tables):
+    rules = t.sql(_RULES.replace('"', "`")).drop("kind")
+    return ops.tidy_rules(rules, "doc").select("doc", "row_no", "Field_name", "Logic")
+
+
+_STATEMENT = """case when p_size % 2 = 0 then 'IT_A = select a.' || replace(p_name, ' ', '_') || ', b.width as w from tab_' || p_type || ' as a join dim_'
+    || replace(p_brand, '#', '_') || ' b on a.key_' || cast(p_size as varchar(20)) || ' = b.key where a.flag = 1'
+  else 'IT_B = SELECT ' || replace(p_name, ' ', '_') || ' as x, max(top_' || cast(p_size as varchar(20)) || ') as y from tab_' || p_type || ' where 1 = 1 -- b.none' || chr(10)
+    || 'union all select Width from dim_' || replace(p_brand, '#', '_') end"""
+
+
+@query(
+    "T14_column_usage",
+    """with u as (select 'tab_' || lower(p_type) as tab, lower(replace(p_name, ' ', '_')) as col from part
+         union select 'tab_' || lower(p_type), case when p_size % 2 = 0 then 'key_' else 'top_' end || p_size from part
+         union select 'tab_' || lower(p_type), 'flag' from part where p_size % 2 = 0
+         union select 'dim_' || lower(replace(p_brand, '#', '_')), 'width' from part
+         union select 'dim_' || lower(replace(p_brand, '#', '_')), 'key' from part where p_size % 2 = 0)
+       select tab as table_name, string_agg(col, ',' order by col) as columns from u group by 1""",
+)
+def _(t: Tables):
+    used = ops.column_usage(t.sql(f"select p_partkey, {_STATEMENT} as stmt from {{part}}"), "stmt")
+    return used.select("table_name", F.array_join("columns", ",").alias("columns"))
+
+
+@query(
+    "T15_pack_by_budget",
+    """with recursive lines as (select doc_id, unnest(range(1, len(l) + 1)) as no, unnest(l) as line
+                                from (select doc_id, string_split(text, chr(10)) as l from documents)),
+       s as (select doc_id, no, len(list_filter(regexp_split_to_array(line, '\\s+'), lambda w: w <> '')) as size from lines),
+       r as (select doc_id, no, size, 1 as grp, size as used from s where no = 1
+             union all select s.doc_id, s.no, s.size, case when 10 + used + s.size > 60 then grp + 1 else grp end,
+                              case when 10 + used + s.size > 60 then s.size else used + s.size end
+             from r join s on r.doc_id = s.doc_id and s.no = r.no + 1)
+       select doc_id, no as piece_no, grp as group_no, size from r""",
+)
+def _(t: Tables):
+    sized = t.documents.select("doc_id", ops.word_sizes(F.col("text")).alias("sizes"))
+    return ops.pack_by_budget(sized, "doc_id", "sizes", base=F.lit(10), budget=60)
+
+
+_XML = """case when p_size % 2 = 0 then '<Calculation:scenario><calculationViews><calculationView xsi:type="Calculation:ProjectionView" id="P_' || p_brand
+    || '"><input node="#' || p_type || '"><mapping xsi:type="Calculation:AttributeMapping" target="A" source="' || p_name
+    || '"/><mapping xsi:type="x" source="B" target="C"/></input></calculationView><calculationView id="J" joinType="leftOuter" xsi:type="Calculation:JoinView">'
+    || '<input node="#a"><mapping target="K" source="K1"/></input><input node="#b"/></calculationView></calculationViews></Calculation:scenario>'
+  else '<View:ColumnView><viewNode xsi:type="View:Aggregation" name="BASE"><input><viewNode xsi:type="View:Projection">#/0/X</viewNode>'
+    || '<mapping xsi:type="Type:ElementMapping" targetName="' || p_type || '" sourceName="S"/></input></viewNode>'
+    || '<viewNode xsi:type="View:JoinNode" name="JN"><join leftInput="l" joinType="inner"></join></viewNode></View:ColumnView>' end"""
+
+
+@query(
+    "T16_view_inventory",
+    """select p_partkey, 1 as node_no, 'P_' || p_brand as node, 'Projection' as kind, null as join_type, 1 as n_inputs, 'A=' || p_name || ';C=B' as mappings
+       from part where p_size % 2 = 0
+       union all select p_partkey, 2, 'J', 'Join', 'leftOuter', 2, 'K=K1' from part where p_size % 2 = 0
+       union all select p_partkey, 1, 'BASE', 'Aggregation', null, 1, p_type || '=S' from part where p_size % 2 = 1
+       union all select p_partkey, 2, 'JN', 'Join', 'inner', 0, '' from part where p_size % 2 = 1""",
+)
+def _(t: Tables):
+    nodes = ops.view_nodes(t.sql(f"select p_partkey, {_XML} as xml from {{part}}"), "p_partkey", "xml")
+    mappings = ops.view_mappings(nodes, "p_partkey")
+    entry = F.struct("mapping_no", F.concat("target", F.lit("="), "source").alias("m"))
+    # a node has as many mappings as its text holds
+    joined = mappings.groupBy("p_partkey", "node_no").agg(F.array_sort(F.collect_list(entry)).alias("ms"))
+    listed = nodes.drop("node_xml").join(joined, ["p_partkey", "node_no"], "left")
+    text = F.coalesce(F.array_join(F.transform("ms", lambda m: m["m"]), ";"), F.lit(""))
+    return listed.select("p_partkey", "node_no", "node", "kind", "join_type", "n_inputs", text.alias("mappings"))
+
+
+@query(
+    "T17_combine_group",
+    """select lang as group_id, count(*) as n_members,
+       string_agg('CV_' || lpad(cast(doc_id as varchar), 9, '0') || ' starts here' || chr(10) || chr(10) || text, chr(10) order by doc_id) as combined
+       from (select *, cast(doc_id % 97 as varchar) || lang as grp from documents) group by grp, lang""",
+)
+def _(t: Tables):
+    docs = t.documents.select(
+        F.concat((F.col("doc_id") % 97).cast("string"), "lang").alias("grp"), "lang",
+        F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("name"), "text",
+    )
+    combined = rel.combine_group(docs, "grp", "name", "text")
+    lang = F.regexp_replace("grp", "^[0-9]+", "")
+    return combined.select(lang.alias("group_id"), F.col("n_members").cast("long").alias("n_members"), "combined")
+
+
+@query(
+    "T18_classify_statement",
+    "select doc_id, case when regexp_matches(lower(text), 'if|case|join|rank|union') then 'REVIEW' else 'ONLY_SELECT' end as tag from documents",
+)
+def _(t: Tables):
+    return ops.classify_statements(t.documents, "text").select("doc_id", "tag")
