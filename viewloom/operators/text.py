@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from viewloom.functions import scalar as fn, text as tx
 from viewloom.operators.metadata import describe_fields
@@ -243,35 +243,63 @@ RULE_COLUMNS = (
 )
 
 
-def tidy_rules(df: DataFrame, doc: str, row_no: str = "row_no") -> DataFrame:
-    """Rule rows of a transformation with the logic written under them.
+def rule_cells(df: DataFrame, doc: str, html: str, out: str = "cells") -> DataFrame:
+    """Rows of a rule table as arrays of cells; blank cells are NULL, a cell over the whole row fills it."""
+    width = len(RULE_COLUMNS)
+    rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
+    cells = F.transform(
+        rows,
+        lambda row: F.transform(
+            F.regexp_extract_all(row, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1),
+            lambda cell: F.nullif(tx.plain_text(cell), F.lit("")),
+        ),
+    )
+    spread = F.transform(cells, lambda c: F.when(F.size(c) == 1, F.array_repeat(F.get(c, F.lit(0)), width)).otherwise(c))
+    return df.select(doc, F.filter(spread, lambda c: F.size(c) == width).alias(out))
+
+
+def tidy_rules(df: DataFrame, doc: str, cells: str = "cells") -> DataFrame:
+    """Rules of a transformation with the logic written under them.
 
     Unit rows and rows without any field are dropped. A row with one text in all columns is a note: it
     becomes the Logic of the rule above, also past one row without rule type, and a second note about a
     constant is appended. The last two rows describe the transformation and are not rules.
     """
-    kept = df.filter(F.coalesce(F.left("Field_name", F.lit(9)), F.lit("")) != "Unit Info")
-    kept = kept.filter(F.col("Field_name").isNotNull() | F.col("InfoObject").isNotNull())
-    # rows of one document, which came from one row: the window is bounded by the document
-    down, up = Window.partitionBy(doc).orderBy(row_no), Window.partitionBy(doc).orderBy(F.desc(row_no))
-    same = F.lit(True)
-    for other in RULE_COLUMNS[1:]:
-        same = same & F.col(RULE_COLUMNS[0]).eqNullSafe(F.col(other))
-    counted = kept.withColumn("__from_end", F.row_number().over(up))
-    noted = counted.withColumn("__note", F.when(same & (F.col("__from_end") > 2), F.col("Logic")))
-    ahead = {f"__n{i}": F.lead("__note", i).over(down) for i in (1, 2, 3)}
-    seen = noted.withColumns({**ahead, "__typeless": F.lead(F.col("Rule_Type").isNull(), 1).over(down)})
-
-    def note(first: str, second: str) -> Column:
-        constant = F.contains(F.col(second), F.lit("Constant"))
-        return F.concat(F.col(first), F.when(constant, F.concat(F.lit("\n"), F.col(second))).otherwise(""))
-
-    logic = F.when(F.col("__n1").isNotNull(), note("__n1", "__n2")).when(
-        F.col("__typeless") & F.col("__n2").isNotNull(), note("__n2", "__n3")
+    at = {name: F.lit(i) for i, name in enumerate(RULE_COLUMNS)}
+
+    def wanted(row: Column) -> Column:
+        field, info = F.get(row, at["Field_name"]), F.get(row, at["InfoObject"])
+        unit = F.coalesce(F.startswith(field, F.lit("Unit Info")), F.lit(False))
+        return ~unit & (field.isNotNull() | info.isNotNull())
+
+    kept = df.select(doc, F.filter(cells, wanted).alias("kept"))
+    body = F.slice("kept", 1, F.greatest(F.size("kept") - 2, F.lit(0)))
+    # per row: its cells, the note it is, and whether it has a rule type
+    parsed = F.transform(
+        body,
+        lambda row: F.struct(
+            row.alias("row"),
+            F.when(F.size(F.array_distinct(row)) == 1, F.get(row, F.lit(0))).alias("note"),
+            F.get(row, at["Rule_Type"]).isNotNull().alias("typed"),
+        ),
     )
-    logic = F.when(F.col("Rule_Type").isNotNull(), logic)
-    rules = seen.filter(F.col("__note").isNull() & (F.col("__from_end") > 2))
-    return rules.withColumn("Logic", F.coalesce(logic, "Logic")).select(*df.columns)
+    rows = kept.select(doc, parsed.alias("rows"))
+
+    def note(i: Column, steps: int) -> Column:
+        first, second = F.get("rows", i + steps)["note"], F.get("rows", i + steps + 1)["note"]
+        constant = F.when(F.contains(second, F.lit("Constant")), F.concat(F.lit("\n"), second))
+        return F.concat(first, F.coalesce(constant, F.lit("")))
+
+    def with_logic(entry: Column, i: Column) -> Column:
+        past_typeless = F.when(~F.get("rows", i + 1)["typed"], note(i, 2))
+        found = F.when(entry["typed"], F.coalesce(note(i, 1), past_typeless))
+        return F.struct(entry["note"].alias("note"), entry["row"].alias("row"), found.alias("logic"))
+
+    rules = F.filter(F.transform("rows", with_logic), lambda entry: entry["note"].isNull())
+    exploded = rows.select(doc, F.posexplode(rules).alias("rule_no", "entry"))
+    logic = F.coalesce("entry.logic", F.get("entry.row", at["Logic"])).alias("Logic")
+    others = [F.get("entry.row", at[name]).alias(name) for name in RULE_COLUMNS[1:]]
+    return exploded.select(doc, (F.col("rule_no") + 1).alias("rule_no"), logic, *others)
 
 
 # --- view definitions -------------------------------------------------------------------------

@@ -327,9 +327,9 @@ def _(t: Tables):
 @query(
     "Q05_registry_refresh",
     """with old as (select 'DF' || (p_partkey % 48) as flow, p_partkey || '.calculationview' as file, 'old ' || p_name as sap, p_brand as grp
-                    from part where p_partkey % 3 <> 0),
+                    from part where p_type <> 'PROMO'),
        new as (select 'DF' || (p_partkey % 48) as flow, p_partkey || '.calculationview' as file,
-               case when p_size % 4 > 0 then 'Load of CV_' || replace(p_name, ' ', '_') else p_name end as sap from part where p_partkey % 3 <> 1)
+               case when p_size % 4 > 0 then 'Load of CV_' || replace(p_name, ' ', '_') else p_name end as sap from part where p_type <> 'SMALL')
        select coalesce(n.flow, o.flow) as DataFlow, coalesce(n.file, o.file) as SAPFileName, coalesce(n.sap, o.sap) as SAPTableName,
               case when n.file is null then 'old' else nullif(split_part(n.sap, 'CV_', 2), '') end as DataBricksTableName,
               case when o.file is not null then 'schema' end as SchemaName, case when n.file is null then 'Other' else 'HANA' end as SourceSystem,
@@ -340,13 +340,13 @@ def _(t: Tables):
     key = F.col("p_partkey")
     flow = F.concat(F.lit("DF"), (key % 48).cast("string")).alias("DataFlow")
     file = F.concat(key.cast("string"), F.lit(".calculationview"))
-    registry = t.part.filter(key % 3 != 0).select(
+    registry = t.part.filter(F.col("p_type") != "PROMO").select(
         flow, file.alias("SAPFileName"), F.concat(F.lit("old "), "p_name").alias("SAPTableName"),
         F.lit("old").alias("DataBricksTableName"), F.lit("schema").alias("SchemaName"), F.lit("Other").alias("SourceSystem"),
         F.col("p_brand").alias("group_id"),
     )
     view = F.concat(F.lit("Load of CV_"), F.replace("p_name", F.lit(" "), F.lit("_")))
-    inventory = t.part.filter(key % 3 != 1).select(
+    inventory = t.part.filter(F.col("p_type") != "SMALL").select(
         flow, file.alias("FileName"), F.when(F.col("p_size") % 4 > 0, view).otherwise(F.col("p_name")).alias("Description"),
         F.lit("HANA").alias("SourceSystem"),
     )

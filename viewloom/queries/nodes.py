@@ -390,16 +390,16 @@ def _(t: Tables):
 
 
 def _registry(t: Tables):
-    """Old entries hold two thirds of the customers, new ones two thirds; they overlap in one third."""
+    """Old and new entries, told by market segment: some customers are in one of them, most in both."""
     key = F.col("c_custkey")
-    old = t.customer.filter(key % 3 != 0).select(
+    old = t.customer.filter(F.col("c_mktsegment") != "BUILDING").select(
         F.concat(F.lit("DF"), (key % 48).cast("string")).alias("flow"),
         F.col("c_name").alias("file"),
         F.concat(F.lit("OLD"), F.col("c_mktsegment")).alias("segment"),
         F.lit("schema").alias("schema_name"),
         F.col("c_nationkey").alias("group_id"),
     )
-    new = t.customer.filter(key % 3 != 1).select(
+    new = t.customer.filter(F.col("c_mktsegment") != "MACHINERY").select(
         F.concat(F.lit("DF"), (key % 48).cast("string")).alias("flow"),
         F.col("c_name").alias("file"),
         F.when(key % 5 > 0, F.col("c_mktsegment")).alias("segment"),
@@ -407,8 +407,8 @@ def _registry(t: Tables):
     return old, new
 
 
-_OLD = "(select 'DF' || (c_custkey % 48) as flow, c_name as file, 'OLD' || c_mktsegment as segment, 'schema' as schema_name, c_nationkey as group_id from customer where c_custkey % 3 <> 0)"
-_NEW = "(select 'DF' || (c_custkey % 48) as flow, c_name as file, case when c_custkey % 5 > 0 then c_mktsegment end as segment from customer where c_custkey % 3 <> 1)"
+_OLD = "(select 'DF' || (c_custkey % 48) as flow, c_name as file, 'OLD' || c_mktsegment as segment, 'schema' as schema_name, c_nationkey as group_id from customer where c_mktsegment <> 'BUILDING')"
+_NEW = "(select 'DF' || (c_custkey % 48) as flow, c_name as file, case when c_custkey % 5 > 0 then c_mktsegment end as segment from customer where c_mktsegment <> 'MACHINERY')"
 
 
 @query(
@@ -424,16 +424,16 @@ def _(t: Tables):
 
 @query(
     "M02_upsert_all",
-    f"""select o.* from {_OLD} o where o.segment <> 'OLDBUILDING'
-        union all select 'DF' || (c_custkey % 48), c_name, 'NEW', null, 99 from customer where c_mktsegment = 'BUILDING'""",
+    f"""select o.* from {_OLD} o where o.segment <> 'OLDHOUSEHOLD'
+        union all select 'DF' || (c_custkey % 48), c_name, 'NEW', case when c_mktsegment = 'HOUSEHOLD' then 'moved' end, 99 from customer where c_mktsegment in ('BUILDING', 'HOUSEHOLD')""",
 )
 def _(t: Tables):
     old, _unused = _registry(t)
-    staged = t.customer.filter(F.col("c_mktsegment") == "BUILDING").select(
+    staged = t.customer.filter(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")).select(
         F.concat(F.lit("DF"), (F.col("c_custkey") % 48).cast("string")).alias("flow"),
         F.col("c_name").alias("file"),
         F.lit("NEW").alias("segment"),
-        F.lit(None).cast("string").alias("schema_name"),
+        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "moved").alias("schema_name"),
         F.lit(99).alias("group_id"),
     )
     return upsert(old, staged, ["flow", "file"])

@@ -185,33 +185,43 @@ def _(t: Tables):
     return ops.labelled_fields(t.sql(f"select p_partkey, {_BLOCK} as block from {{part}}"), "p_partkey", "block")
 
 
-# Orders of a customer play the rows of a rule table; the kind of row goes by the key.
-_RULES = """select o_custkey as doc, o_orderkey as row_no, kind,
-  case when kind in (3, 4) then note when kind = 5 then null else 'old' end as "Logic",
-  case when kind = 0 then 'Unit Info ' || note when kind = 1 then null when kind in (3, 4) then note else 'F' || note end as "Field_name",
-  case when kind in (3, 4) then note else 'd' end as "Description", case when kind in (3, 4) then note else 'CHAR' end as "Data_Type",
-  case when kind in (3, 4) then note else '8' end as "Length",
-  case when kind in (3, 4) then note when kind = 6 then null else 'Routine' end as "Rule_Type",
-  case when kind in (3, 4) then note else 't' end as "Target", case when kind = 1 then null when kind in (3, 4) then note else 'I' end as "InfoObject",
-  case when kind in (3, 4) then note end as "Description1", case when kind in (3, 4) then note end as "Data_Type1",
-  case when kind in (3, 4) then note end as "Length1"
-  from (select o_custkey, o_orderkey, cast(o_orderkey % 8 as int) as kind,
-               case when o_orderkey % 8 = 4 then 'Constant ' else 'Note ' end || cast(o_orderkey as varchar(20)) as note from {orders}) o"""
+# One rule table of ten rows per part; what a row is goes by the part and its place.
+_KIND = "cast((p_partkey * 5 + {j} * 3 + floor(p_partkey / 8)) as bigint) % 8"
+_NOTE = "(case when ({k}) = 4 then 'Constant ' else 'Note ' end || cast(p_partkey as varchar(20)) || '.{j}')"
+_FIELD = "case when ({k}) = 0 then 'Unit Info x' when ({k}) = 1 then '' else 'F{j}' end"
+
+
+def _rule_row(j: int) -> str:
+    kind = _KIND.format(j=j)
+    cells = ["'old{0}'".format(j), _FIELD.format(k=kind, j=j), "'d'", "'CHAR'", "'8'",
+             f"case when ({kind}) = 6 then '' else 'Routine' end", "'t'", f"case when ({kind}) = 1 then '' else 'I' end",
+             "''", "''", "''"]
+    row = " || '</td><td>' || ".join(cells)
+    return (
+        f"case when ({kind}) in (3, 4) then '<tr><td colspan=\"11\">' || {_NOTE.format(k=kind, j=j)} || '</td></tr>' "
+        f"else '<tr><td>' || {row} || '</td></tr>' end"
+    )
+
+
+_RULE_HTML = " || ".join(_rule_row(j) for j in range(1, 11))
 
 
 @query(
     "T13_tidy_rules",
-    f"""with k as (select *, row_number() over (partition by doc order by row_no desc) as e from ({_RULES}) where kind not in (0, 1)),
-        n as (select *, case when kind in (3, 4) and e > 2 then "Logic" end as note from k),
+    f"""with r as (select p_partkey, j, {_KIND.format(j='j')} as kind from (select *, unnest(range(1, 11)) as j from part)),
+        k as (select *, row_number() over (partition by p_partkey order by j desc) as e from r where kind not in (0, 1)),
+        n as (select *, case when kind in (3, 4) then {_NOTE.format(k='kind', j="' || j || '")} end as note from k where e > 2),
         l as (select *, lead(note) over w as n1, lead(note, 2) over w as n2, lead(note, 3) over w as n3, lead(kind) over w = 6 as hole
-              from n window w as (partition by doc order by row_no))
-        select doc, row_no, "Field_name", case when kind = 6 then "Logic" when n1 is not null then n1 || case when n2 like '%Constant%' then chr(10) || n2 else '' end
-          when hole and n2 is not null then n2 || case when n3 like '%Constant%' then chr(10) || n3 else '' end else "Logic" end as "Logic"
-        from l where note is null and e > 2""",
+              from n window w as (partition by p_partkey order by j))
+        select p_partkey, row_number() over (partition by p_partkey order by j) as rule_no, 'F' || j as "Field_name",
+          coalesce(case when kind = 6 then null when n1 is not null then n1 || case when n2 like '%Constant%' then chr(10) || n2 else '' end
+            when hole then n2 || case when n3 like '%Constant%' then chr(10) || n3 else '' end end, 'old' || j) as "Logic"
+        from l where note is null""",
 )
 def _(t: Tables):
-    rules = t.sql(_RULES.replace('"', "`")).drop("kind")
-    return ops.tidy_rules(rules, "doc").select("doc", "row_no", "Field_name", "Logic")
+    docs = t.sql(f"select p_partkey, {_RULE_HTML} as html from {{part}}")
+    rules = ops.tidy_rules(ops.rule_cells(docs, "p_partkey", "html"), "p_partkey")
+    return rules.select("p_partkey", "rule_no", "Field_name", "Logic")
 
 
 _STATEMENT = """case when p_size % 2 = 0 then 'IT_A = select a.' || replace(p_name, ' ', '_') || ', b.width as w from tab_' || p_type || ' as a join dim_'
