@@ -33,11 +33,11 @@ def test_inventory_and_registry(spark, files):
         ("DF2", "c.txt", "Other", readers.NO_DESCRIPTION),
     ]
     registry = spark.createDataFrame(
-        [("DF2", "c.txt", "old", "old", "nntst", "HANA", "g1")],
+        [("DF2", "c.txt", "old", "old", "gold", "HANA", "g1")],
         "DataFlow string, SAPFileName string, SAPTableName string, DataBricksTableName string, SchemaName string, SourceSystem string, group_id string",
     )
     found = rows(registry_refresh(registry, inventory), "SAPFileName", "DataBricksTableName", "SchemaName", "group_id")
-    assert found == [("a.calculationview", "A", None, None), ("b.HTML", None, None, None), ("c.txt", None, "nntst", "g1")]
+    assert found == [("a.calculationview", "A", None, None), ("b.HTML", None, None, None), ("c.txt", None, "gold", "g1")]
 
 
 def test_csv_types(spark, tmp_path):
@@ -76,7 +76,7 @@ def test_catalog_harvest_skips_equal_views(spark):
 def test_tables(spark):
     writers.ensure_table(spark, "run_params", writers.RUN_PARAMETERS_DDL, writers.RUN_PARAMETERS_COMMENT)
     params = spark.createDataFrame([("k", 1)], "name string, value int")
-    writers.snapshot_params(params, 3, "LEGO").write.mode("append").insertInto("run_params")
+    writers.snapshot_params(params, 3, "demo").write.mode("append").insertInto("run_params")
     row = spark.table("run_params").first()
     assert (row.RUN_ID, row.PARAMS_JSON, row.COMMENT) == (3, '{"name":"k","value":1}', None) and row.INSERTED_AT is not None
     writers.ensure_table(spark, "run_params", writers.RUN_PARAMETERS_DDL, replace=True)

@@ -100,7 +100,9 @@ def group_members(df: DataFrame, group: str, member: str, part_size: int = 1000)
         F.pmod(F.xxhash64("p.member"), F.greatest("s.parts", F.lit(1))).alias("part_no"),
         F.col("p.member").alias("member"),
     )
-    return placed.groupBy(group, "part_no").agg(F.array_sort(F.collect_list("member")).alias("members"))
+    # without this the partitioning of the join, by group alone, would serve the aggregation too
+    spread = placed.repartition(group, "part_no")
+    return spread.groupBy(group, "part_no").agg(F.array_sort(F.collect_list("member")).alias("members"))
 
 
 def labelled_groups(df: DataFrame, group: str, label: str = "withoutgroupid") -> DataFrame:

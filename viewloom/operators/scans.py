@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_SLOT, _KEY, _CHUNK = "__slot", "__key", "__chunk"
+_SLOT, _CHUNK = "__slot", "__chunk"
 
 
 @dataclass(frozen=True)
@@ -42,19 +42,19 @@ class Ordering:
     def chunk_column(self) -> Column:
         return F.col(self.order[0]) if self.chunk is None else self.chunk
 
+    def slot(self, chunk: Column) -> Column:
+        # One struct column to join on: unlike plain equality it also joins NULL keys to themselves.
+        return F.struct(F.struct(*[F.col(k) for k in self.keys]).alias("key"), chunk.alias("chunk"))
+
     def slotted(self, df: DataFrame) -> DataFrame:
-        # One struct column as grouping key: unlike plain equality it also joins NULL keys to themselves.
-        return df.withColumn(
-            _SLOT,
-            F.struct(F.struct(*[F.col(k) for k in self.keys]).alias("key"), self.chunk_column().alias("chunk")),
-        )
+        return df.withColumn(_SLOT, self.slot(self.chunk_column()))
 
     def inside(self):
         return Window.partitionBy(_SLOT).orderBy(*self.sorting())
 
     def between(self):
-        chunk = F.col(f"{_SLOT}.chunk")
-        return Window.partitionBy(F.col(f"{_SLOT}.key")).orderBy(chunk.desc() if self.descending else chunk.asc())
+        chunk = F.col(_CHUNK)
+        return Window.partitionBy(*self.keys).orderBy(chunk.desc() if self.descending else chunk.asc())
 
     def head(self, value: Column) -> Column:
         """Aggregate: ``value`` of the first row of a chunk."""
@@ -69,8 +69,10 @@ class Ordering:
 
 def _with_carry(slotted: DataFrame, o: Ordering, partials: dict[str, Column], carries: dict[str, Column]) -> DataFrame:
     """Join each row to the carry of its chunk. ``carries`` are already windowed over the chunk rows."""
-    chunks = slotted.groupBy(_SLOT).agg(*[agg.alias(name) for name, agg in partials.items()])
-    carried = chunks.select(_SLOT, *[c.alias(name) for name, c in carries.items()])
+    chunks = slotted.groupBy(*o.keys, F.col(f"{_SLOT}.chunk").alias(_CHUNK)).agg(
+        *[agg.alias(name) for name, agg in partials.items()]
+    )
+    carried = chunks.select(o.slot(F.col(_CHUNK)).alias(_SLOT), *[c.alias(name) for name, c in carries.items()])
     return slotted.join(carried, _SLOT, "left")
 
 

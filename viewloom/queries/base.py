@@ -235,8 +235,8 @@ from {part}"""
 # Lineage: rows play columns of their table, foreign keys play edges.
 def _edges(table, key, parent, parent_key, rows):
     return (
-        f"select 'nntst.{table}' as target_table_name, '{table[0]}' || {key} as target_column_name, "
-        f"'nntst.{parent}' as source_table_name, '{parent[0]}' || {parent_key} as source_column_name, "
+        f"select 'stage.{table}' as target_table_name, '{table[0]}' || {key} as target_column_name, "
+        f"'stage.{parent}' as source_table_name, '{parent[0]}' || {parent_key} as source_column_name, "
         f"'copy' as transformation from {{{rows}}}"
     )
 

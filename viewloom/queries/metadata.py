@@ -230,9 +230,9 @@ def _(t: Tables):
 # --- L ----------------------------------------------------------------------------------------
 
 
-@query("L01_edges_of_column", "select * from {edges} e where target_table_name = 'nntst.nation' and target_column_name = 'n7'")
+@query("L01_edges_of_column", "select * from {edges} e where target_table_name = 'stage.nation' and target_column_name = 'n7'")
 def _(t: Tables):
-    return lineage.edges_of(t.edges, "nntst.nation", "n7")
+    return lineage.edges_of(t.edges, "stage.nation", "n7")
 
 
 _REACH = """with recursive e as (select distinct target_table_name as tt, target_column_name as tc, source_table_name as st, source_column_name as sc

@@ -36,11 +36,11 @@ def _(t: Tables):
 
 @query(
     "S10_run_parameters",
-    """select 7 as "RUN_ID", 'LEGO' as "DOMAIN", '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' as "PARAMS_JSON",
+    """select 7 as "RUN_ID", 'demo' as "DOMAIN", '{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}' as "PARAMS_JSON",
        'test' as "COMMENT" from customer""",
 )
 def _(t: Tables):
-    return writers.snapshot_params(t.customer.select("c_custkey", "c_mktsegment"), 7, "LEGO", "test").drop("INSERTED_AT")
+    return writers.snapshot_params(t.customer.select("c_custkey", "c_mktsegment"), 7, "demo", "test").drop("INSERTED_AT")
 
 
 @query("S11_file_inventory")

@@ -16,6 +16,8 @@ def local_session(cores: int = 8, app: str = "viewloom", **conf: str) -> SparkSe
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # joins whose shuffled partitions turn out small hash them instead of sorting both sides
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
