@@ -67,7 +67,8 @@ def sap_timestamp(c) -> Column:
     whole = F.left(text, F.lit(14))
     fraction = F.rpad(F.substring(text, 15, 6), 6, "0")
     # to_timestamp does not parse a fraction glued to the seconds, so a dot is put between
-    return F.try_to_timestamp(F.concat(whole, F.lit("."), fraction), F.lit("yyyyMMddHHmmss.SSSSSS"))
+    moment = F.try_to_timestamp(F.concat(whole, F.lit("."), fraction), F.lit("yyyyMMddHHmmss.SSSSSS"))
+    return moment.cast("timestamp_ntz")
 
 
 def days_between(first, second) -> Column:
@@ -165,5 +166,5 @@ def typed(c, declared: str) -> Column:
     if declared == "DATE":
         return sap_date(c)
     if declared == "TIMESTAMP":
-        return F.try_to_timestamp(_col(c), F.lit(TIMESTAMP_FORMAT))
+        return F.try_to_timestamp(_col(c), F.lit(TIMESTAMP_FORMAT)).cast("timestamp_ntz")
     return _col(c)

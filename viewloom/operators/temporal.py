@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from viewloom.operators.scans import Ordering, at_extreme, running
+from viewloom.session import materialize
 
 
 def year_spine(df: DataFrame, start: str, to_year: int, out: str) -> DataFrame:
@@ -58,7 +59,8 @@ def latest_before(
 ) -> DataFrame:
     """The last rows per key that precede an event; ties are kept."""
     before = covered_by_event(df, events, keys, order[0], value, event_order, event_value)
-    return at_extreme(before, keys, order)
+    # read twice, for the extreme and for the rows at it
+    return at_extreme(materialize(before, "before"), keys, order)
 
 
 def last_event(events: DataFrame, keys: Sequence[str], order: str, out: str = "__until") -> DataFrame:

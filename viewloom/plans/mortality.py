@@ -136,7 +136,7 @@ def segment_reuse(mutations: DataFrame) -> DataFrame:
     order = Ordering(("policy",), SORT)
     stepped = previous_values(moments, order, {"__state": F.col("state"), "__birth": F.col("birth")})
     opens = (F.col("__state") == END) & (F.col("state") != END) & (F.col("birth") != F.col("__birth"))
-    flagged = stepped.withColumn("__opens", F.when(opens, 1))
+    flagged = materialize(stepped.select("policy", *SORT, F.when(opens, 1).alias("__opens")), "segments")
     counted = running_count(flagged, order, "__opens", "segment")
     reused = counted.filter(F.col("segment") > 0)
     return reused.select("policy", *SORT, F.concat("policy", F.lit("_"), F.col("segment").cast("string")).alias("reused_id"))
