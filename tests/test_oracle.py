@@ -33,7 +33,7 @@ def test_every_oracle_has_a_query():
 
 
 # Covered by tests/test_sources.py: they need files, a catalog or a driver, not the test tables.
-UNIT_TESTED = {"S01", "S04", "S05", "S06", "S07", "S09"}
+UNIT_TESTED = {"S04", "S05", "S06", "S07", "S09"}
 
 
 def test_inventory_is_covered():

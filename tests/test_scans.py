@@ -98,7 +98,9 @@ def test_extremes(log):
 
 
 def test_hot_key_is_not_one_group(log):
-    """The window of a scan is keyed by chunk, so the hot key is spread over its days."""
+    """Rows are windowed by key and chunk; only the one row per chunk is windowed by key."""
     text = scans.next_value(log, Ordering(("key",), UNIQUE), "id", "x")._jdf.queryExecution().toString()
     physical = text[text.index("== Physical Plan") :]
-    assert "hashpartitioning(__slot" in physical and "hashpartitioning(key" not in physical
+    windows = [line for line in physical.splitlines() if "+- Window [" in line]
+    assert len(windows) == 2
+    assert "windowspecdefinition(__slot" in windows[0] and "__edge" in windows[1]

@@ -21,6 +21,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from viewloom.session import materialize
+
 _SLOT, _CHUNK = "__slot", "__chunk"
 
 
@@ -173,7 +175,8 @@ def island_fill(df: DataFrame, o: Ordering, flag: str, values: Sequence[str]) ->
     Islands are numbered by the running count of ``flag``; rows before the first flagged row have no
     opener and drop out. If several flagged rows tie, each of them opens the island, so a row repeats.
     """
-    numbered_rows = running_count(df, o, flag, "__island")
+    # read twice: as rows and as openers
+    numbered_rows = materialize(running_count(df, o, flag, "__island"), "islands")
     match = [*o.keys, "__island"]
     openers = numbered_rows.filter(F.col(flag) == 1).select(*match, *values)
     kept = [c for c in df.columns if c not in values]

@@ -14,6 +14,7 @@ from viewloom.functions import scalar as fn, text as tx
 from viewloom.operators.metadata import describe_fields
 from viewloom.operators.relational import group_members
 from viewloom.operators.scans import Ordering, numbered
+from viewloom.session import materialize
 
 # --- scripts ----------------------------------------------------------------------------------
 
@@ -39,7 +40,8 @@ def apply_mapping(
         Ordering(("__all",), ("ordinal", "key"), chunk=F.floor(F.col("ordinal") / 100_000)),
         "__no",
     )
-    count = mapping.count()
+    placed = materialize(placed, "mapping")  # each slice reads its own part
+    count = placed.count()
 
     def replaced(text_so_far: Column, entry: Column) -> Column:
         if not whole_words:
@@ -55,6 +57,8 @@ def apply_mapping(
         entries = placed.filter(inside).agg(F.array_sort(F.collect_list(F.struct("__no", "key", "value"))))
         with_entries = scripts.withColumn("__entries", entries.scalar())
         scripts = with_entries.withColumn(text, F.aggregate("__entries", F.col(text), replaced)).drop("__entries")
+        if number % 20 == 19:
+            scripts = materialize(scripts, "scripts")  # keeps the plan short for very long mappings
     return scripts
 
 

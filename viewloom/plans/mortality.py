@@ -78,6 +78,7 @@ OLD_AGE, PARTNER = ("007",), ("008", "015")
 DEATH_1, DEATH_2 = ("E001", "B001"), ("E002", "B002")
 EOY, BOY, DEATH_SNAPSHOT = "EoY Snapshot", "BoY Snapshot", "Death Snapshot"
 FIRST_REPORT_YEAR = 2000
+ADMINISTRATION = "LEGO"
 
 SORT = ("processed_on", "change_no", "mutated_on")
 COVERAGE = ("policy", "claim_type", "insured_group", "coverage")
@@ -439,7 +440,7 @@ def _report_columns() -> dict[str, Column]:
     age_2 = fn.age("a.report_year", "d.birth_2")
 
     return {
-        "VTA": F.lit("LEGO"),
+        "VTA": F.lit(ADMINISTRATION),
         "ZEVENTID": c("a.event"),
         "POLIS_ID": c("a.policy"),
         "CONTRACT_ID": F.lit(""),

@@ -15,6 +15,16 @@ def _scratch(t: Tables, name: str) -> str:
     return f"{ensure_checkpoint_dir(t.spark)}/viewloom/{name}-{uuid.uuid4().hex}"
 
 
+@query("S01_read_documents", "select page_id, html as text from pages")
+def _(t: Tables):
+    path = _scratch(t, "docs")
+    t.pages.select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(path)
+    docs = readers.read_docs(t.spark, path)
+    page = F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long")
+    # the text writer ends every row with a line feed
+    return docs.select(page.alias("page_id"), F.regexp_replace("text", r"\n\z", "").alias("text"))
+
+
 @query("S02_read_csv", "select p_partkey, p_name, p_size, p_retailprice from part")
 def _(t: Tables):
     path = _scratch(t, "csv")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 
 # Target column -> source column. Targets keep the order of the mapping.
 ColumnMap = Mapping[str, str]
@@ -15,7 +15,7 @@ ColumnMap = Mapping[str, str]
 class UnionInput:
     """One input of a union node. Targets missing from ``mapping`` become NULL."""
 
-    df: object
+    df: DataFrame
     mapping: ColumnMap
 
 
@@ -23,7 +23,7 @@ class UnionInput:
 class JoinInput:
     """One input of a join node: which of its columns the node shows, and under which name."""
 
-    df: object
+    df: DataFrame
     mapping: ColumnMap
     keys: tuple[str, ...]
 
@@ -32,6 +32,6 @@ class JoinInput:
 class NodeOptions:
     """What every node may add: a filter on its input, calculated columns and aggregated elements."""
 
-    where: Column | None = None
+    where: Column | str | None = None
     calc: Mapping[str, Column] = field(default_factory=dict)
     aggs: Mapping[str, str] = field(default_factory=dict)
