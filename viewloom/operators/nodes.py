@@ -89,14 +89,20 @@ def rank_node(
     descending: bool = True,
     mode: str = "eq",
     chunk: Column | None = None,
+    out: str | None = None,
 ) -> DataFrame:
-    """Rows whose rank equals (``eq``) or does not pass (``le``) the threshold; ties are kept."""
+    """Rows whose rank equals (``eq``) or does not pass (``le``) the threshold; ties are kept.
+
+    ``out`` also shows the rank, as a column of that name.
+    """
     if threshold == 1:
-        return at_extreme(df, partition, order, latest=descending)
+        first = at_extreme(df, partition, order, latest=descending)
+        return first.withColumn(out, F.lit(1).cast("long")) if out else first
     scan = Ordering(tuple(partition), tuple(order), descending, chunk)
     rank = F.col("__rank")
     kept = rank == threshold if mode == "eq" else rank <= threshold
-    return ranked(df, scan, "__rank").filter(kept).drop("__rank")
+    found = ranked(df, scan, "__rank").filter(kept)
+    return found.withColumnRenamed("__rank", out) if out else found.drop("__rank")
 
 
 def union(inputs: Sequence[UnionInput], columns: Sequence[str]) -> DataFrame:

@@ -287,7 +287,8 @@ def _(t: Tables):
     "L06_dot_lines",
     """with p as (select distinct substring(target_table_name, 7) as a, substring(source_table_name, 7) as b from {edges} e)
        select 1 as section, ' "' || n || '" [shape="ellipse" style="filled" fillcolor="#1f77b4"]' as line from (select a as n from p union select b from p)
-       union all select 2, ' "' || a || '" -> "' || b || '" [fillcolor="#a6cee3" color="#1f78b4"]' from p""",
+       union all select 2, ' "' || a || '" -> "' || b || '" [fillcolor="#a6cee3" color="#1f78b4"]' from p
+       union all select 0, 'strict digraph {' union all select 3, ' }'""",
 )
 def _(t: Tables):
     return lineage.dot_lines(lineage.table_edges(t.edges))
@@ -312,7 +313,7 @@ def _(t: Tables):
     "select 'path' as part, count(*) as n from (" + _WIDE + ") union all "
     "select 'pair', count(*) from (" + _REACH + " select distinct tt, tc, st, sc from r) union all "
     "select 'root', count(*) from (" + _REACH + " select distinct tt, tc, st, sc from r where (st, sc) not in (select (tt, tc) from e)) union all "
-    "select 'line', 12",
+    "select 'line', 14",
 )
 def _(t: Tables):
     found = reconcile.full_lineage(t.edges, 4)

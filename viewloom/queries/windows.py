@@ -50,16 +50,16 @@ def _(t: Tables):
 
 @query(
     "W04_rank_node",
-    """select mutation_id, policy, 'second' as pick from (select *, rank() over (partition by policy order by processed_on desc) as r
+    """select mutation_id, policy, 'second' as pick, r from (select *, rank() over (partition by policy order by processed_on desc) as r
        from {log} l) where r = 2 union all
-       select mutation_id, policy, 'top3' from (select *, rank() over (partition by policy order by processed_on) as r
+       select mutation_id, policy, 'top3', r from (select *, rank() over (partition by policy order by processed_on) as r
        from {log} l2) where r <= 3""",
 )
 def _(t: Tables):
-    second = nodes.rank_node(t.log, ["policy"], ["processed_on"], 2)
-    top3 = nodes.rank_node(t.log, ["policy"], ["processed_on"], 3, descending=False, mode="le")
-    return second.select("mutation_id", "policy", F.lit("second").alias("pick")).union(
-        top3.select("mutation_id", "policy", F.lit("top3"))
+    second = nodes.rank_node(t.log, ["policy"], ["processed_on"], 2, out="r")
+    top3 = nodes.rank_node(t.log, ["policy"], ["processed_on"], 3, descending=False, mode="le", out="r")
+    return second.select("mutation_id", "policy", F.lit("second").alias("pick"), "r").union(
+        top3.select("mutation_id", "policy", F.lit("top3"), "r")
     )
 
 
