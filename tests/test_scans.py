@@ -22,7 +22,7 @@ def log(spark):
 
 
 UNIQUE, TIED = ("day", "seq", "id"), ("day", "seq")
-CHUNKS = [lambda: None, lambda: F.floor(F.col("day") / 10), lambda: F.lit(0)]
+CHUNKS = [lambda: None, lambda: F.floor(F.col("day") / 10), lambda: F.lit(0), lambda: F.struct("day", F.floor(F.col("seq") / 2))]
 
 
 def plain(order, descending=False):

@@ -10,8 +10,11 @@ so every function here works in two levels:
 
 The rows are shuffled once, by ``(key, chunk)``; that same partitioning serves the window and the join
 with the carries. Level two holds at most one row per chunk of a key, so give a coarse ``chunk`` when the
-leading sort column is nearly unique. Rows that tie in the sort order share their leading column and so
-always stay in one chunk, which keeps ``rank`` and default-frame windows exact.
+leading sort column is nearly unique, and a finer one, a struct of the leading column and a range of the
+next, when one value of it holds very many rows. A chunk must be a function of the sort columns: rows that
+tie then stay together, which keeps ``rank`` and default-frame windows exact.
+
+The input is read twice; write an expensive one first (``session.materialize``).
 """
 
 from __future__ import annotations

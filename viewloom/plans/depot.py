@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from viewloom.functions import scalar as fn
 from viewloom.operators.nodes import aggregate, project, rank_node, value_filter
 from viewloom.operators.relational import conditional_key_join, latest_load
-from viewloom.specs import NodeOptions
 
 # Codes of the source tables.
 FINANCED = ("3", "7", "8")

@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from viewloom.functions import scalar as fn
 from viewloom.operators.scans import (
     Ordering,
-    at_extreme,
     last_known,
     latest_values,
     next_value,
@@ -108,6 +107,15 @@ class SnapshotParams:
 # --- the log ----------------------------------------------------------------------------------
 
 
+def log_order(*keys: str, last: Sequence[str] = ("mutation_id",), descending: bool = False) -> Ordering:
+    """The order of the log within ``keys``; ``last`` decides between mutations of the same moment.
+
+    A chunk is a processing date, and for dates with very many changes (an initial load) a range of them.
+    """
+    chunk = F.struct(F.col("processed_on"), F.floor(F.col("change_no") / 100_000))
+    return Ordering(keys, (*SORT, *last), descending, chunk)
+
+
 def base_mutations(log: DataFrame, p: SnapshotParams) -> DataFrame:
     """Mutations up to the parameters, with the year they first count on 1 January and the correction flag."""
     plain = log.toDF(*[c.removeprefix("_BIC_") for c in log.columns])
@@ -134,7 +142,7 @@ def segment_reuse(mutations: DataFrame) -> DataFrame:
     """
     normal = mutations.filter(F.col("correction") == "")
     moments = normal.groupBy("policy", *SORT).agg(F.max("kind").alias("state"), F.max("birth_1").alias("birth"))
-    order = Ordering(("policy",), SORT)
+    order = log_order("policy", last=())
     stepped = previous_values(moments, order, {"__state": F.col("state"), "__birth": F.col("birth")})
     opens = (F.col("__state") == END) & (F.col("state") != END) & (F.col("birth") != F.col("__birth"))
     flagged = materialize(stepped.select("policy", *SORT, F.when(opens, 1).alias("__opens")), "segments")
@@ -160,9 +168,7 @@ _STATE = [
 def coverage_states(mutations: DataFrame) -> DataFrame:
     """Mutations on coverage level, each pointing to its successor; corrections form their own chain."""
     states = materialize(mutations.select(*_STATE).distinct(), "coverage-states")
-    # the mutation id decides between mutations of the same moment
-    chain = Ordering(("policy", "coverage", "correction"), (*SORT, "mutation_id"))
-    return next_value(states, chain, "mutation_id", "next_mutation")
+    return next_value(states, log_order("policy", "coverage", "correction"), "mutation_id", "next_mutation")
 
 
 def attach_previous(mutations: DataFrame, states: DataFrame) -> DataFrame:
@@ -298,7 +304,7 @@ def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
     years = years.select("*", F.explode(F.array(F.lit(EOY), F.lit(BOY))).alias("snapshot"))
 
     columns = ["policy", "coverage", *SORT, "mutation_id", "kind", "event", "mutation_year", "begin_year"]
-    backwards = Ordering(("policy", "coverage"), (*SORT, "mutation_id"), descending=True)
+    backwards = log_order("policy", "coverage", descending=True)
     settled = running(
         relevant.select(*columns),
         backwards,
@@ -359,9 +365,8 @@ def fill_salaries(relevant: DataFrame) -> DataFrame:
     Our definition: a salary is missing when it is NULL or zero; the three fields are taken together.
     """
     rows = relevant.select("mutation_id", "policy", *SORT, "salary", "salary_date", "salary_base").distinct()
-    order = Ordering(("policy",), (*SORT, "mutation_id"))
     triple = {c: F.col(c) for c in ("salary", "salary_date", "salary_base")}
-    return last_known(rows, order, triple, known=F.col("salary").isNotNull() & (F.col("salary") != 0))
+    return last_known(rows, log_order("policy"), triple, known=F.col("salary").isNotNull() & (F.col("salary") != 0))
 
 
 def addresses_of(persons: DataFrame, addresses: DataFrame, income: DataFrame) -> DataFrame:

@@ -407,8 +407,10 @@ def _registry(t: Tables):
     return old, new
 
 
-_OLD = "(select 'DF' || (c_custkey % 48) as flow, c_name as file, 'OLD' || c_mktsegment as segment, 'schema' as schema_name, c_nationkey as group_id from customer where c_mktsegment <> 'BUILDING')"
-_NEW = "(select 'DF' || (c_custkey % 48) as flow, c_name as file, case when c_custkey % 5 > 0 then c_mktsegment end as segment from customer where c_mktsegment <> 'MACHINERY')"
+_OLD = """(select 'DF' || (c_custkey % 48) as flow, c_name as file, 'OLD' || c_mktsegment as segment, 'schema' as schema_name,
+  c_nationkey as group_id from customer where c_mktsegment <> 'BUILDING')"""
+_NEW = """(select 'DF' || (c_custkey % 48) as flow, c_name as file, case when c_custkey % 5 > 0 then c_mktsegment end as segment
+  from customer where c_mktsegment <> 'MACHINERY')"""
 
 
 @query(
