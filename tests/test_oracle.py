@@ -9,7 +9,9 @@ import __spark_entry__ as entry
 from tools import compare
 
 SF_DIR = entry.SMOKE_DIR
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# the corpus operators have tests of their own
+QUERIES = {name: build for name, build in entry.queries().items() if not re.match(r"op\d+_|pipeline$", name)}
+ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from viewloom.queries.base import Tables, query
-from viewloom.session import ensure_checkpoint_dir
+from viewloom.session import scratch_path
 from viewloom.sources import readers, writers
 
 
 def _scratch(t: Tables, name: str) -> str:
-    return f"{ensure_checkpoint_dir(t.spark)}/viewloom/{name}-{uuid.uuid4().hex}"
+    return scratch_path(t.spark, name)
 
 
 @query("S01_read_documents", "select page_id, html as text from pages")

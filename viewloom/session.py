@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths of the materialized frames, in the order of writing.
+_WRITTEN: list[str] = []
+
 
 def local_session(cores: int = 8, app: str = "viewloom", **conf: str) -> SparkSession:
     """A local session for tests and the bench. A cluster brings its own session and sizing."""
@@ -29,10 +31,11 @@ def local_session(cores: int = 8, app: str = "viewloom", **conf: str) -> SparkSe
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The folder ``DataFrame.checkpoint`` writes to.
+    """The shared folder for checkpoints and materialized frames.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``; it is used as it stands. Only a local
-    master without that setting gets a temporary folder, because there the driver is the only machine.
+    A cluster names it in ``spark.checkpoint.dir``; it is used as it stands. Without that setting a folder
+    below the warehouse is taken, which every node of a cluster reaches; a warehouse on one machine's disk
+    is accepted only with a local master.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -40,9 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running iterative operators")
-        configured = tempfile.mkdtemp(prefix="viewloom-checkpoint-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not context.master.startswith("local") and (warehouse.startswith("file:") or "://" not in warehouse):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder before running operators that write")
+        configured = f"{warehouse}/_viewloom_scratch"
     context.setCheckpointDir(configured)
     return configured
 
@@ -52,8 +56,33 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
     Used where a frame feeds several branches or an iteration: the plan is cut, a lost executor reads
     files instead of recomputing, and unlike a checkpoint the readers prune columns and the planner knows
-    the size. The files live as long as the checkpoint folder keeps them.
+    the size. ``release`` deletes the files once the actions that read them are over.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/viewloom/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted by ``release`` like the materialized frames."""
+    path = f"{ensure_checkpoint_dir(spark)}/viewloom/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def written() -> int:
+    """A mark for ``release``: frames materialized after it belong to the caller."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, mark: int = 0, keep: int = 0) -> None:
+    """Delete what ``materialize`` wrote since ``mark``, but for the last ``keep`` frames.
+
+    Call it after the action: frames that are not computed yet would lose their input.
+    """
+    end = len(_WRITTEN) - keep
+    for path in _WRITTEN[mark:end]:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    del _WRITTEN[mark:end]
