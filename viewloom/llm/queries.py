@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm import chat, html, langid, mixing, packing, simhash, topk
+from viewloom.llm import chat, html, langid, mixing, nbsvm, packing, perplexity, simhash, topk
 from viewloom.llm.common import held_out, table
 
 
@@ -20,6 +20,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
 
 
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the perplexity verdict on every document."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return perplexity.judge(documents, perplexity.fit(documents)).drop("lang")
+
+
 #: A conversation whose texts hold control strings of common templates.
 SPIKED = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -36,6 +42,13 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document; the model is fitted on labels that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = nbsvm.fit(documents, table(spark, sf_dir, "labels"), ~held_out())
+    return nbsvm.score(documents.withColumn("held_out", held_out()), model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
@@ -62,7 +75,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op4_chat_format, op5_top_k, op7_main_text, op8_language, op9_mixing, op10_simhash)}
+    return {f.__name__: f for f in (op1_packing, op2_perplexity, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
