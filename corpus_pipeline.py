@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewloom.llm import langid, mixing, packing, simhash
+from viewloom.llm import langid, mixing, packing, secrets, simhash
 from viewloom.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")

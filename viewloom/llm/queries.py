@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm import chat, html, langid, mixing, nbsvm, packing, perplexity, simhash, topk
+from viewloom.llm import chat, html, langid, mixing, nbsvm, packing, perplexity, secrets, simhash, topk
 from viewloom.llm.common import held_out, table
 
 
@@ -26,6 +26,12 @@ def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.judge(documents, perplexity.fit(documents)).drop("lang")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in every document, with the verdict of the forest."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.scan(documents, secrets.fit(documents))
+
+
 #: A conversation whose texts hold control strings of common templates.
 SPIKED = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -75,7 +81,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_perplexity, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash)}
+    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
