@@ -272,9 +272,12 @@ def _assemble(probability: dict, weight: dict) -> Model:
             logs = np.zeros(len(grams))
             if order < ORDER:
                 keys, w = weights[order + 1]
-                at = np.minimum(np.searchsorted(keys, grams), max(0, len(keys) - 1))
-                known = keys[at] == grams if len(keys) else np.zeros(len(grams), bool)
-                logs[known] = np.log(np.maximum(w[at[known]], 1e-12))
+                at = np.searchsorted(grams, keys)
+                known = grams[np.minimum(at, len(grams) - 1)] == keys
+                logs[at[known]] = np.log(np.maximum(w[known], 1e-12))
+                # marks before the first character are contexts only
+                starts = keys[~known]
+                parts.append((_mix(starts, order, salt), np.full(len(starts), floor[language], np.float32), np.log(np.maximum(w[~known], 1e-12)).astype(np.float32)))
             parts.append((_mix(grams, order, salt), np.log(np.maximum(p, 1e-12)).astype(np.float32), logs.astype(np.float32)))
     hashes, log_p, log_w = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32))
     order = np.argsort(hashes)
