@@ -107,7 +107,8 @@ def fit(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "tex
     rows = docs.where(labelled & F.col(f"`{lang}`").isNotNull()).select(
         F.col(f"`{lang}`").alias("lang"), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(1 << 30)).alias("draw"), F.col(f"`{text}`").alias("text")
     )
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # one row per language, of known size: joining it does not deal the texts out by language
+    counts = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
     share = F.when(F.col("n") <= per_language, F.lit(float(1 << 30))).otherwise(F.lit(float(1 << 30)) * per_language / F.col("n"))
     drawn = rows.join(counts.select(F.col("lang").alias("l"), share.alias("below")), F.col("lang") == F.col("l")).select("lang", "draw", "text", (F.col("draw") < F.col("below")).alias("taken"))
 
