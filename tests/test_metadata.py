@@ -63,11 +63,21 @@ def test_reconciliation_is_three_valued(spark):
     ]
 
 
-def test_large_group_comes_in_parts_and_stays_whole(spark):
-    df = spark.range(5000).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("m"))
-    parts = rel.group_members(df.union(df), "g", "m", part_size=500).collect()
-    assert len(parts) == 10 and max(len(p["members"]) for p in parts) < 700
-    assert sorted(m for p in parts for m in p["members"]) == sorted(str(i) for i in range(5000))
+def test_a_group_is_its_parts_in_order(spark):
+    df = spark.range(2500).select(F.lit("g").alias("g"), F.lpad(F.col("id").cast("string"), 5, "0").alias("m"))
+    small = spark.createDataFrame([("s", "b"), ("s", "a"), ("s", None), ("n", None)], "g string, m string")
+    parts = rel.group_members(df.union(df).union(small), "g", "m", part_size=400).orderBy("g", "part_no").collect()
+    whole = [p for p in parts if p["g"] == "g"]
+    assert [p["part_no"] for p in whole] == list(range(7)) and {len(p["members"]) for p in whole[:-1]} == {400}
+    assert [m for p in whole for m in p["members"]] == [f"{i:05d}" for i in range(2500)]
+    assert [(p["g"], p["part_no"], p["members"]) for p in parts if p["g"] != "g"] == [("n", 0, []), ("s", 0, ["a", "b"])]
+
+
+def test_combined_text_is_its_parts_in_order(spark):
+    df = spark.range(230).select(F.lit("g").alias("g"), F.lpad(F.col("id").cast("string"), 5, "0").alias("n"), F.lit("t").alias("t"))
+    parts = rel.combine_group(df, "g", "n", "t").orderBy("part_no").collect()
+    assert [p["n_members"] for p in parts] == [100, 100, 30]
+    assert "\n".join(p["combined"] for p in parts) == "\n".join(f"CV_{i:05d} starts here\n\nt" for i in range(230))
 
 
 def test_members_of_missing_group(spark):

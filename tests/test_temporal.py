@@ -26,7 +26,7 @@ def test_latest_before_against_all_pairs(spark):
 def test_validity_is_half_open(spark):
     people = spark.createDataFrame([("x", 1997), ("x", 1998), ("x", 1999), ("y", 1998)], "bsn string, year int")
     history = spark.createDataFrame([("x", 1990, 1998, "old"), ("x", 1998, 9999, "new")], "bsn string, f int, t int, v string")
-    got = temporal.valid_at(people, history, ["bsn"], "year", "f", "t", (1997, 1999), ["v"])
+    got = temporal.valid_at(people, history, ["bsn"], "year", "f", "t", ["v"])
     assert rows(got) == [("x", 1997, "old"), ("x", 1998, "new"), ("x", 1999, "new"), ("y", 1998, None)]
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from viewloom.functions import scalar as fn
@@ -61,7 +62,7 @@ def source_columns(columns: DataFrame, objects: DataFrame) -> DataFrame:
 
 def target_columns(columns: DataFrame, objects: DataFrame) -> DataFrame:
     """Target columns of the tables in scope."""
-    # semi join: a table that several objects name keeps each of its columns once per object in an inner join
+    # a table that several objects name has its columns once per object, as the report lists them
     scope = objects.filter(F.col("TableName").isNotNull()).select(F.upper("TableName").alias("object_name"))
     return columns.join(scope, "object_name", "inner")
 
@@ -195,18 +196,16 @@ def describe_fields(fields: DataFrame, field: str, descriptions: DataFrame, ordi
 
 
 def table_health(spark: SparkSession, names: Sequence[str], environment: str = "") -> DataFrame:
-    """Per table: ``has data``, ``empty`` or ``error`` when it cannot be read. Looks at one row each."""
-    checks = []
+    """Per table: ``has data``, ``empty`` or ``error`` when it is missing or cannot be read.
+
+    One row of each table is read while the audit runs, so that a table without permission or with lost files is reported and the others go on.
+    """
+    found = []
     for name in names:
         full = name.replace("{ENV}", environment)
-        label = spark.range(1).select(F.lit(environment).alias("environment"), F.lit(full).alias("table_name"))
-        if spark.catalog.tableExists(full):
-            some = spark.table(full).limit(1).agg(F.count(F.lit(1)).alias("n"))
-            status = F.when(some.scalar() > 0, "has data").otherwise("empty")
-        else:
-            status = F.lit("error")
-        checks.append(label.withColumn("status", status))
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+        try:
+            status = "has data" if spark.table(full).take(1) else "empty"
+        except PySparkException:
+            status = "error"
+        found.append((environment, full, status))
+    return spark.createDataFrame(found, "environment string, table_name string, status string")

@@ -1,8 +1,8 @@
 """Matching column names that contain each other.
 
 A nested loop over all pairs of names would be quadratic. Containment is turned into equality instead:
-a name is contained in another one exactly if it equals one of its substrings. The substrings of an
-identifier are few, each keeps only the first name that has it (combined before the shuffle), and a hash
+a name is contained in another one exactly if it equals one of its substrings. Only windows of lengths that occur
+on the other side are cut (an empty name only if there is one), each keeps only the first name that has it (combined before the shuffle), and a hash
 join does the rest. No pair that does not match is ever built, and the result is exact.
 """
 
@@ -21,14 +21,21 @@ def _folded(c: Column, rule: str) -> Column:
     return c
 
 
-def _substrings(c: Column) -> Column:
-    """All distinct substrings, the empty one included."""
-    starts = F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1)))
-    per_start = F.transform(
-        starts,
-        lambda i: F.transform(F.sequence(F.lit(0), F.length(c) - i + 1), lambda n: F.substring(c, i, n)),
+def _lengths(keys: DataFrame) -> Column:
+    """The lengths that occur, as one array: no more entries than the longest name has characters."""
+    return keys.agg(F.array_sort(F.collect_set(F.length("key")))).scalar()
+
+
+def _windows(c: Column, lengths: Column) -> Column:
+    """The distinct substrings of the given lengths."""
+    fitting = F.filter(F.coalesce(lengths, F.array().cast("array<int>")), lambda n: n <= F.length(c))
+    per_length = F.transform(
+        fitting,
+        lambda n: F.when(n == 0, F.array(F.lit(""))).otherwise(
+            F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(c, i, n))
+        ),
     )
-    return F.array_distinct(F.flatten(per_start))
+    return F.array_distinct(F.flatten(per_length))
 
 
 def match_names(names: DataFrame, candidates: DataFrame, rule: str = "contains") -> DataFrame:
@@ -44,12 +51,14 @@ def match_names(names: DataFrame, candidates: DataFrame, rule: str = "contains")
     offered = candidates.toDF("cand").filter("cand is not null").distinct()
     offered = offered.withColumn("key", _folded(F.col("cand"), rule))
 
-    inside = offered.select(F.explode(_substrings(F.col("key"))).alias("key"), "cand")
+    inside = offered.withColumn("lengths", _lengths(wanted))
+    inside = inside.select(F.explode(_windows(F.col("key"), F.col("lengths"))).alias("key"), "cand")
     inside = inside.groupBy("key").agg(F.min("cand").alias("cand"))
     hits = wanted.join(inside, "key", "inner").select("name", "cand")
     if rule != "contains":
         whole = offered.groupBy("key").agg(F.min("cand").alias("cand"))
-        parts = wanted.select("name", F.explode(_substrings(F.col("key"))).alias("key"))
+        parts = wanted.withColumn("lengths", _lengths(offered))
+        parts = parts.select("name", F.explode(_windows(F.col("key"), F.col("lengths"))).alias("key"))
         hits = hits.unionByName(parts.join(whole, "key", "inner").select("name", "cand"))
     best = hits.groupBy("name").agg(F.min("cand").alias("matched"))
     return wanted.select("name").join(best, "name", "left")

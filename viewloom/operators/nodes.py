@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from viewloom.operators.scans import Ordering, at_extreme, ranked
 from viewloom.specs import ColumnMap, JoinInput, NodeOptions, UnionInput
@@ -68,6 +68,8 @@ def join(left: JoinInput, right: JoinInput, kind: str, options: NodeOptions = No
     how = JOIN_KINDS[kind.lower()]
     a, b = left.df.alias("l"), right.df.alias("r")
     condition = None
+    if not left.keys:
+        raise ValueError("a join node needs keys")
     for lk, rk in zip(left.keys, right.keys, strict=True):
         equal = F.col(f"l.{lk}") == F.col(f"r.{rk}")
         condition = equal if condition is None else condition & equal
@@ -106,10 +108,14 @@ def rank_node(
 
 
 def union(inputs: Sequence[UnionInput], columns: Sequence[str]) -> DataFrame:
-    """Union node: UNION ALL of the inputs brought to ``columns``; unmapped targets are NULL."""
+    """Union node: UNION ALL of the inputs brought to ``columns``; unmapped targets are NULL.
+
+    A NULL has the type of the first input that maps the column, or is a string where none does.
+    """
+    types = {c: next((i.df.select(i.mapping[c]).schema[0].dataType for i in inputs if c in i.mapping), T.StringType()) for c in columns}
     result = None
     for item in inputs:
         m = item.mapping
-        rows = item.df.select(*[(F.col(m[c]) if c in m else F.lit(None)).alias(c) for c in columns])
+        rows = item.df.select(*[(F.col(m[c]) if c in m else F.lit(None).cast(types[c])).alias(c) for c in columns])
         result = rows if result is None else result.unionByName(rows)
     return result

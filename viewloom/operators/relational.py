@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from viewloom.operators.scans import Ordering, running_count
+from viewloom.session import materialize
 
 # --- rows and columns -------------------------------------------------------------------------
 
@@ -85,37 +87,42 @@ def tagged_union(frames: Mapping[str, DataFrame], column: str) -> DataFrame:
 # --- collecting aggregations ------------------------------------------------------------------
 
 
-def group_members(df: DataFrame, group: str, member: str, part_size: int = 1000) -> DataFrame:
-    """Distinct members per group as sorted arrays of bounded size.
+#: Members of one row of a grouped list.
+PART_SIZE = 100
 
-    A group of up to ``part_size`` members is one array. A larger one is cut by a hash of the member
-    into parts of about that size, so that no group has to fit in one row; all members are kept.
+
+def group_members(df: DataFrame, group: str, member: str, part_size: int = PART_SIZE) -> DataFrame:
+    """Distinct members per group in sorted order, as rows (group, part_no, members) of ``part_size`` members each.
+
+    Part n (from 0) holds the members at positions n * part_size + 1 and following, whatever the size of the group, so the
+    parts put together in order are the sorted group. NULL members are left out (a group without any other has one empty part).
+    Positions come from a range partitioning by group and member, so a hot group is spread over many tasks.
     """
     pairs = df.select(F.col(group).alias("group"), F.col(member).alias("member")).distinct()
-    sizes = pairs.groupBy("group").agg(F.ceil(F.count("member") / part_size).cast("long").alias("parts"))
-    # the null-safe match keeps a NULL group
-    sized = pairs.alias("p").join(sizes.alias("s"), F.col("p.group").eqNullSafe(F.col("s.group")), "inner")
-    placed = sized.select(
-        F.col("p.group").alias(group),
-        F.pmod(F.xxhash64("p.member"), F.greatest("s.parts", F.lit(1))).alias("part_no"),
-        F.col("p.member").alias("member"),
-    )
-    # without this the partitioning of the join, by group alone, would serve the aggregation too
-    spread = placed.repartition(group, "part_no")
-    return spread.groupBy(group, "part_no").agg(F.array_sort(F.collect_list("member")).alias("members"))
+    spread = pairs.repartitionByRange("group", "member").withColumn("__range", F.spark_partition_id())
+    order = Ordering(("group",), ("member",), chunk=F.col("__range"))
+    placed = running_count(materialize(spread, "members"), order, "member", "__no")
+    part = F.floor((F.greatest("__no", F.lit(1)) - 1) / part_size).cast("long")
+    parts = placed.select(F.col("group").alias(group), part.alias("part_no"), "member").repartition(group, "part_no")
+    return parts.groupBy(group, "part_no").agg(F.array_sort(F.collect_list("member")).alias("members"))
+
+
+# Name of the group of rows without one, marker line of a member, flag of two systems.
+NO_GROUP, MARKER, BOTH_SYSTEMS = "withoutgroupid", ("CV_", " starts here\n\n"), "HANA/BW"
 
 
-def labelled_groups(df: DataFrame, group: str, label: str = "withoutgroupid") -> DataFrame:
+def labelled_groups(df: DataFrame, group: str, label: str = NO_GROUP) -> DataFrame:
     """Rows without a group go to one named group."""
     return df.withColumn(group, F.coalesce(F.col(group).cast("string"), F.lit(label)))
 
 
-def combine_group(df: DataFrame, group: str, name: str, text: str, part_size: int = 1000) -> DataFrame:
+def combine_group(df: DataFrame, group: str, name: str, text: str, part_size: int = PART_SIZE) -> DataFrame:
     """Members of a group joined to one text in name order, each behind a marker line.
 
-    As with :func:`group_members`, a large group comes in several parts.
+    As with :func:`group_members` the rows are parts of ``part_size`` members; in order they are the whole text.
     """
-    body = F.concat(F.lit("CV_"), F.col(name), F.lit(" starts here\n\n"), F.col(text))
+    before, after = MARKER
+    body = F.concat(F.lit(before), F.col(name), F.lit(after), F.col(text))
     rows = df.select(F.col(group), F.struct(F.col(name).alias("n"), body.alias("b")).alias("entry"))
     parts = group_members(rows, group, "entry", part_size)
     joined = F.array_join(F.transform("members", lambda m: m["b"]), "\n")
@@ -128,7 +135,7 @@ def source_flag(df: DataFrame, flow: str, system: str) -> DataFrame:
         (F.count_distinct(system) + F.max(F.when(F.col(system).isNull(), 1).otherwise(0))).alias("n"),
         F.min(system).alias("only"),
     )
-    flag = F.when(F.col("n") == 1, F.col("only")).when(F.col("n") == 2, "HANA/BW").otherwise("None")
+    flag = F.when(F.col("n") == 1, F.col("only")).when(F.col("n") == 2, BOTH_SYSTEMS).otherwise("None")
     return counted.select(flow, flag.alias("source_flag"))
 
 

@@ -11,7 +11,8 @@ so every function here works in two levels:
 The rows are shuffled once, by ``(key, chunk)``; that same partitioning serves the window and the join
 with the carries. Level two holds at most one row per chunk of a key, so give a coarse ``chunk`` when the
 leading sort column is nearly unique, and a finer one, a struct of the leading column and a range of the
-next, when one value of it holds very many rows. A chunk must be a function of the sort columns: rows that
+next, when one value of it holds very many rows. Where the only sort column is the chunk, all its rows tie and the carry alone gives
+``rank``, running counts and default-frame windows: there is no window over the rows at all. A chunk must be a function of the sort columns: rows that
 tie then stay together, which keeps ``rank`` and default-frame windows exact.
 
 The input is read twice; write an expensive one first (``session.materialize``).
@@ -24,8 +25,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from viewloom.session import materialize
-
 _SLOT, _CHUNK = "__slot", "__chunk"
 
 
@@ -47,6 +46,10 @@ class Ordering:
     def chunk_column(self) -> Column:
         return F.col(self.order[0]) if self.chunk is None else self.chunk
 
+    def tied(self) -> bool:
+        """The chunk is the whole order: all rows of a chunk tie, and what the chunks before it hand over decides."""
+        return self.chunk is None and len(self.order) == 1
+
     def slot(self, chunk: Column) -> Column:
         # One struct column to join on: unlike plain equality it also joins NULL keys to themselves.
         return F.struct(F.struct(*[F.col(k) for k in self.keys]).alias("key"), chunk.alias("chunk"))
@@ -85,6 +88,11 @@ def _before(o: Ordering):
     return o.between().rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _through(o: Ordering):
+    """Up to and including the chunk itself."""
+    return o.between().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
 def next_value(df: DataFrame, o: Ordering, value: str, out: str) -> DataFrame:
     """``lead(value)`` over the ordering (the successor pointer of a log)."""
     return _neighbour(df, o, {out: F.col(value)}, forward=True)
@@ -108,6 +116,10 @@ def _neighbour(df: DataFrame, o: Ordering, outs: dict[str, Column], forward: boo
 
 def ranked(df: DataFrame, o: Ordering, out: str = "rank") -> DataFrame:
     """``rank()``: ties share a number."""
+    if o.tied():
+        carried = _with_carry(o.slotted(df), o, {"__n": F.count(F.lit(1))}, {"__ahead": F.sum("__n").over(_before(o))})
+        number = F.coalesce(F.col("__ahead"), F.lit(0)) + 1
+        return carried.withColumn(out, number.cast("long")).select(*df.columns, out)
     return _numbered(df, o, out, F.rank())
 
 
@@ -134,6 +146,10 @@ def running(
 
     ``rows=False`` uses the default frame, where rows that tie share the result.
     """
+    if o.tied() and not rows:
+        partials = {f"__p_{n}": fn(F.col(c)) for n, (fn, c) in outs.items()}
+        carried = _with_carry(o.slotted(df), o, partials, {n: fn(F.col(f"__p_{n}")).over(_through(o)) for n, (fn, _) in outs.items()})
+        return carried.select(*df.columns, *outs)
     frame = o.inside()
     if rows:
         frame = frame.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -148,6 +164,9 @@ def running(
 
 def running_count(df: DataFrame, o: Ordering, flag: str, out: str) -> DataFrame:
     """Running ``count(flag)`` over the default frame: ties share the count. This numbers islands."""
+    if o.tied():
+        carried = _with_carry(o.slotted(df), o, {"__n": F.count(flag)}, {out: F.sum("__n").over(_through(o))})
+        return carried.withColumn(out, F.col(out).cast("long")).select(*df.columns, out)
     carried = _with_carry(
         o.slotted(df), o, {"__n": F.count(flag)}, {"__ahead": F.sum("__n").over(_before(o))}
     )
@@ -175,15 +194,24 @@ def last_known(df: DataFrame, o: Ordering, values: dict[str, Column], known: Col
 def island_fill(df: DataFrame, o: Ordering, flag: str, values: Sequence[str]) -> DataFrame:
     """Give every row the ``values`` of the flagged row that opened its island.
 
-    Islands are numbered by the running count of ``flag``; rows before the first flagged row have no
+    An island begins where ``flag`` is 1 and reaches to the next flagged position; rows before the first have no
     opener and drop out. If several flagged rows tie, each of them opens the island, so a row repeats.
+    The openers of a position, usually one, travel as an array through the scan: nothing is joined by island.
     """
-    # read twice: as rows and as openers
-    numbered_rows = materialize(running_count(df, o, flag, "__island"), "islands")
-    match = [*o.keys, "__island"]
-    openers = numbered_rows.filter(F.col(flag) == 1).select(*match, *values)
+    opener = F.when(F.col(flag) == 1, F.struct(*[F.col(v) for v in values]))
+    if o.tied():
+        gathered = F.collect_list(opener)
+        partials = {"__edge": F.when(F.size(gathered) > 0, gathered)}
+        last = F.last("__edge", ignorenulls=True).over(_through(o))
+        opened = _with_carry(o.slotted(df), o, partials, {"__open": last})
+    else:
+        spot = F.struct(*[F.col(k) for k in o.keys], *[F.col(c) for c in o.order])
+        spots = df.filter(F.col(flag) == 1).groupBy(spot.alias("__spot")).agg(F.collect_list(opener).alias("__own"))
+        rows = df.withColumn("__spot", spot).join(spots, "__spot", "left")
+        opened = last_known(rows, o, {"__open": F.col("__own")}, known=F.col("__own").isNotNull())
     kept = [c for c in df.columns if c not in values]
-    return numbered_rows.drop(*values).join(openers, match, "inner").select(*kept, *values)
+    exploded = opened.select(*kept, F.explode("__open").alias("__opener"))
+    return exploded.select(*kept, *[F.col(f"__opener.{v}").alias(v) for v in values])
 
 
 def at_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], latest: bool = True) -> DataFrame:

@@ -56,9 +56,10 @@ def latest_before(
     value: str,
     event_order: str,
     event_value: str,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """The last rows per key that precede an event; ties are kept."""
-    before = covered_by_event(df, events, keys, order[0], value, event_order, event_value)
+    before = covered_by_event(df, events, keys, order[0], value, event_order, event_value, chunk)
     # read twice, for the extreme and for the rows at it
     return at_extreme(materialize(before, "before"), keys, order)
 
@@ -85,10 +86,10 @@ def cut_after_event(df: DataFrame, events: DataFrame, keys: Sequence[str], order
     return bounded.filter(until.isNull() | (F.col(order) <= until)).select(*df.columns)
 
 
-def yearly(history: DataFrame, valid_from: str, valid_to: str, first: int, last: int, out: str) -> DataFrame:
+def yearly(history: DataFrame, valid_from: str, valid_to: str, first: Column, last: Column, out: str) -> DataFrame:
     """Half-open validity intervals as one row per year inside ``first..last``."""
-    low = F.greatest(F.col(valid_from), F.lit(first))
-    high = F.least(F.col(valid_to) - 1, F.lit(last))
+    low = F.greatest(F.col(valid_from), first)
+    high = F.least(F.col(valid_to) - 1, last)
     rows = history.filter(low <= high)
     return rows.withColumn(out, F.explode(F.sequence(low, high))).drop(valid_from, valid_to)
 
@@ -100,14 +101,17 @@ def valid_at(
     year: str,
     valid_from: str,
     valid_to: str,
-    years: tuple[int, int],
     columns: Sequence[str],
 ) -> DataFrame:
     """Left join to the history rows with ``valid_from <= year < valid_to``.
 
     The intervals become years, so the join is an equality on key and year: a frequent key (blank
-    identifiers, say) spreads over the years instead of filtering all its pairs. ``years`` are the first
+    identifiers, say) spreads over the years instead of filtering all its pairs. Open ends are cut at the first
     and last year that occur in ``df``.
     """
-    steps = yearly(history.select(*keys, valid_from, valid_to, *columns), valid_from, valid_to, *years, out=year)
+    first, last = (df.agg(pick(F.col(year).cast("int"))).scalar() for pick in (F.min, F.max))
+    # without a year in df nothing matches: an interval of no years
+    steps = yearly(
+        history.select(*keys, valid_from, valid_to, *columns), valid_from, valid_to, F.coalesce(first, F.lit(1)), F.coalesce(last, F.lit(0)), out=year
+    )
     return df.join(steps, [*keys, year], "left").select(*df.columns, *columns)

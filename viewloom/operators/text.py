@@ -145,29 +145,49 @@ def classify_statements(df: DataFrame, statement: str) -> DataFrame:
 # --- exported documentation -------------------------------------------------------------------
 
 
+def _closed_table(rest: Column) -> Column:
+    """The text behind an opened table up to the end tag that closes it; tables inside stay whole."""
+    pieces = F.split(rest, "(?i)</table>")
+    # depth after each piece: tables opened so far less tables closed
+    opened = F.transform(pieces, lambda p: F.size(F.split(p, "(?i)<table")) - 2)
+    depths = F.transform(pieces, lambda _, i: F.aggregate(F.slice(opened, F.lit(1), i + 1), F.lit(1), lambda a, b: a + b))
+    closing = F.coalesce(F.array_position(F.transform(depths, lambda d: d <= 0), F.lit(True)), F.lit(0)).cast("int")
+    last = F.when(closing > 0, closing).otherwise(F.size(pieces))
+    return F.array_join(F.slice(pieces, F.lit(1), last), "</table>")
+
+
 def table_rows(df: DataFrame, doc: str, html: str) -> DataFrame:
-    """Three-cell rows of the grid table behind its header; a blank object type repeats the one above."""
-    grid = F.regexp_extract(html, rf'(?is)<table[^>]*class="{tx.GRID_CLASS}"[^>]*>(.*?)</table>', 1)
-    rows = F.regexp_extract_all(grid, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
+    """Three-cell rows of the grid table behind its header; a blank object type repeats the one above.
+
+    The grid is the first table with the grid class among its classes, up to the end tag that closes it. Tables inside a cell are part of its text.
+    """
+    opening = rf"""(?is)<table[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{tx.GRID_CLASS}(?:\s[^"']*)?["'][^>]*>"""
+    inside = _closed_table(F.get(F.split(html, opening, 2), F.lit(1)))
+    # tables inside cells give way to their text, so that their rows are not rows of the grid
+    grid = F.regexp_replace(inside, r"(?is)<table[^>]*>((?:(?!</table>).)*)</table>", "\u0001$1\u0002")
+    grid = F.transform(F.split(grid, "\u0001"), lambda p, i: F.when(i == 0, p).otherwise(_flat_before(p)))
+    rows = F.regexp_extract_all(F.array_join(grid, ""), F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
     body = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
     cells = F.transform(
         body,
         lambda row: F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1), tx.plain_text),
     )
-    complete = F.filter(cells, lambda c: F.size(c) == 3)
-    row_type = "struct<object_type:string,name:string,technical_name:string>"
-    start = F.struct(F.lit("").alias("above"), F.array().cast(f"array<{row_type}>").alias("rows"))
+    complete = df.select(F.col(doc), F.filter(cells, lambda c: F.size(c) == 3).alias("rows"))
+    # the place of the latest row with an object type, for every row
+    kinds = F.transform("rows", lambda c, i: F.when(F.get(c, F.lit(0)) != "", i + 1).otherwise(0))
+    exploded = complete.withColumn("kinds", kinds).select(doc, "rows", F.posexplode("rows").alias("row_no", "c"), "kinds")
+    above = F.array_max(F.slice("kinds", F.lit(1), F.col("row_no") + 1))
+    kind = F.when(above > 0, F.get(F.get("rows", above - 1), F.lit(0))).otherwise(F.lit(""))
+    return exploded.select(
+        doc, (F.col("row_no") + 1).alias("row_no"), kind.alias("object_type"),
+        F.get("c", F.lit(1)).alias("name"), F.get("c", F.lit(2)).alias("technical_name"),
+    )
 
-    def add(state: Column, c: Column) -> Column:
-        kind = F.when(F.get(c, F.lit(0)) != "", F.get(c, F.lit(0))).otherwise(state["above"])
-        row = F.struct(
-            kind.alias("object_type"), F.get(c, F.lit(1)).alias("name"), F.get(c, F.lit(2)).alias("technical_name")
-        )
-        return F.struct(kind.alias("above"), F.array_append(state["rows"], row).alias("rows"))
 
-    filled = F.aggregate(complete, start, add, lambda state: state["rows"])
-    exploded = df.select(F.col(doc), F.posexplode(filled).alias("row_no", "r"))
-    return exploded.select(doc, (F.col("row_no") + 1).alias("row_no"), "r.*")
+def _flat_before(piece: Column) -> Column:
+    """Markup of an inner table, up to its end mark, as blanks."""
+    ends = F.split(piece, "\u0002", 2)
+    return F.concat(F.regexp_replace(F.get(ends, F.lit(0)), r"(?s)(?:\s*<[^>]*>\s*)+", " "), F.coalesce(F.get(ends, F.lit(1)), F.lit("")))
 
 
 def split_source(rows: DataFrame) -> DataFrame:
@@ -222,13 +242,16 @@ _LABELS = {
     "source": ("Source: ", " Target: "),
     "routine": ("Routine ", " Required Objects Object Type Name Technical Name Routine"),
 }
-_TARGET_LABEL, _TARGET_LENGTH = "Target: ", 20
+_TARGET_LABEL, TARGET_LENGTH = "Target: ", 20
+
 
+def labelled_fields(df: DataFrame, doc: str, text: str, target_length: int = TARGET_LENGTH) -> DataFrame:
+    """Values between the labels of a description block; NULL where a label is missing.
 
-def labelled_fields(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """Values between the labels of a description block; NULL where a label is missing."""
+    Nothing ends the target, the last field: its first ``target_length`` characters are taken.
+    """
     values = [tx.between(F.col(text), a, b).alias(name) for name, (a, b) in _LABELS.items()]
-    return df.select(doc, *values, tx.after(F.col(text), _TARGET_LABEL, _TARGET_LENGTH).alias("target"))
+    return df.select(doc, *values, tx.after(F.col(text), _TARGET_LABEL, target_length).alias("target"))
 
 
 # Columns of a rule table in order.
@@ -248,18 +271,31 @@ RULE_COLUMNS = (
 
 
 def rule_cells(df: DataFrame, doc: str, html: str, out: str = "cells") -> DataFrame:
-    """Rows of a rule table as arrays of cells; blank cells are NULL, a cell over the whole row fills it."""
+    """Rows of a rule table as arrays of cells, at least as wide as the rule columns; blank cells are NULL.
+
+    A cell that spans columns stands in each of them, a cell alone in its row in all. Narrower rows, such as those of the two-column form
+    (Logic, Field_name), are filled up with NULL; wider ones stay as they are.
+    """
     width = len(RULE_COLUMNS)
     rows = F.regexp_extract_all(html, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
-    cells = F.transform(
-        rows,
-        lambda row: F.transform(
-            F.regexp_extract_all(row, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1),
-            lambda cell: F.nullif(tx.plain_text(cell), F.lit("")),
-        ),
-    )
-    spread = F.transform(cells, lambda c: F.when(F.size(c) == 1, F.array_repeat(F.get(c, F.lit(0)), width)).otherwise(c))
-    return df.select(doc, F.filter(spread, lambda c: F.size(c) == width).alias(out))
+
+    def expanded(row: Column) -> Column:
+        tags, texts = (F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]([^>]*)>(.*?)</t[dh]>"), k) for k in (1, 2))
+        cells = F.arrays_zip(tags.alias("tag"), texts.alias("text"))
+
+        def span(cell: Column) -> Column:
+            asked = F.regexp_extract(cell["tag"], r"(?i)\bcolspan\s*=\s*[\"']?([0-9]{1,3})\b", 1)
+            times = F.greatest(F.coalesce(F.nullif(asked, F.lit("")).cast("int"), F.lit(1)), F.lit(1))
+            return F.array_repeat(F.nullif(tx.plain_text(cell["text"]), F.lit("")), times)
+
+        return F.flatten(F.transform(cells, span))
+
+    def filled(c: Column) -> Column:
+        padding = F.array_repeat(F.lit(None).cast("string"), F.greatest(F.lit(width) - F.size(c), F.lit(0)))
+        return F.when(F.size(c) == 1, F.array_repeat(F.get(c, F.lit(0)), width)).otherwise(F.concat(c, padding))
+
+    spread = F.filter(F.transform(rows, expanded), lambda c: F.size(c) > 0)
+    return df.select(doc, F.transform(spread, filled).alias(out))
 
 
 def tidy_rules(df: DataFrame, doc: str, cells: str = "cells") -> DataFrame:
@@ -316,63 +352,100 @@ def pack_by_budget(df: DataFrame, doc: str, sizes: str, base: Column, budget: in
     starts when the next piece would pass the budget; a single piece may be larger than it.
     """
     start = F.struct(
-        F.lit(1).alias("group"), F.lit(0).cast("long").alias("used"), F.lit(True).alias("empty"),
-        F.array().cast("array<int>").alias("groups"),
+        F.lit(0).alias("at"), F.lit(0).cast("long").alias("used"), F.array().cast("array<int>").alias("breaks")
     )
 
     def place(state: Column, size: Column) -> Column:
-        full = ~state["empty"] & (base + state["used"] + size > budget)
-        group = state["group"] + full.cast("int")
+        full = (state["at"] > 0) & (base + state["used"] + size > budget)
         used = F.when(full, F.lit(0)).otherwise(state["used"]) + size
-        return F.struct(
-            group.alias("group"), used.cast("long").alias("used"), F.lit(False).alias("empty"),
-            F.array_append(state["groups"], group).alias("groups"),
-        )
-
-    groups = F.aggregate(sizes, start, place, lambda state: state["groups"])
+        # only a new group touches the array, so it is not copied at every piece
+        breaks = F.when(full, F.array_append(state["breaks"], state["at"])).otherwise(state["breaks"])
+        return F.struct((state["at"] + 1).alias("at"), used.cast("long").alias("used"), breaks.alias("breaks"))
+
+    breaks = F.aggregate(sizes, start, place, lambda state: state["breaks"])
+    edges = F.concat(F.array(F.lit(0)), breaks, F.array(F.size(sizes)))
+    lengths = F.transform(F.slice(edges, F.lit(2), F.size(edges) - 1), lambda end, i: end - F.get(edges, i))
+    groups = F.flatten(F.transform(lengths, lambda n, i: F.array_repeat(i + 1, n)))
     zipped = F.arrays_zip(groups.alias("group_no"), F.col(sizes).alias("size"))
     placed = df.select(F.col(doc), F.posexplode(zipped).alias("piece_no", "z"))
     return placed.select(doc, (F.col("piece_no") + 1).alias("piece_no"), "z.group_no", "z.size")
 
 
-# Fixed value: opening tag of a node in both dialects of view definitions.
-_NODE_TAG = r'(?s)(?=<calculationView\s|<viewNode\s[^>]*\bname=)'
+# Names of the elements and attributes read, in both dialects of view definitions (namespace prefixes are ignored).
+_VIEW_XML = """
+calculationViews struct<calculationView: array<struct<
+    _id: string, _type: string, _joinType: string, filter: string,
+    input: array<struct<_node: string, mapping: array<struct<_target: string, _source: string>>>>,
+    joinAttribute: array<struct<_name: string>>,
+    calculatedViewAttributes: struct<calculatedViewAttribute: array<struct<_id: string, formula: string>>>>>>,
+viewNode array<struct<
+    _name: string, _type: string, filterExpression: struct<formula: string>,
+    input: array<struct<viewNode: struct<_VALUE: string>, entity: struct<_VALUE: string>, mapping: array<struct<_targetName: string, _sourceName: string>>>>,
+    join: array<struct<_joinType: string, leftElementName: array<string>, rightElementName: array<string>>>,
+    elementFilter: array<struct<_elementName: string, valueFilter: struct<_value: string, operands: array<struct<_value: string>>>>>,
+    element: array<struct<_name: string, calculationDefinition: struct<formula: string>>>>>"""
 
 
-def _attribute(c: Column, *names: str) -> Column:
-    found = [F.nullif(F.regexp_extract(c, rf'\s(?:{name})="([^"]*)"', 1), F.lit("")) for name in names]
-    return F.coalesce(*found)
+def _item(item: str, name: Column, value: Column) -> Column:
+    return F.struct(F.lit(item).alias("item"), name.cast("string").alias("name"), value.cast("string").alias("value"))
 
 
-def view_nodes(df: DataFrame, doc: str, xml: str) -> DataFrame:
-    """Nodes of view definitions: number, name, kind, join type and the text of the node."""
-    pieces = F.split(xml, _NODE_TAG)
-    nodes = df.select(F.col(doc), F.posexplode(F.slice(pieces, F.lit(2), F.size(pieces))).alias("node_no", "node_xml"))
-    tag = F.regexp_extract("node_xml", r"(?s)^<[^>]*>", 0)
-    kind = F.regexp_extract(tag, r'xsi:type="(?:\w+:)?(\w+?)(?:View|Node)?"', 1)
-    join_type = F.coalesce(
-        _attribute(tag, "joinType"), F.nullif(F.regexp_extract("node_xml", r'<join\s[^>]*joinType="([^"]*)"', 1), F.lit(""))
-    )
-    return nodes.select(
-        doc,
-        (F.col("node_no") + 1).alias("node_no"),
-        _attribute(tag, "id", "name").alias("node"),
-        kind.alias("kind"),
-        join_type.alias("join_type"),
-        F.regexp_count("node_xml", F.lit(r"<input\b")).alias("n_inputs"),
-        "node_xml",
-    )
+def _items(c: Column, make) -> Column:
+    """One item per entry of an array that may be missing."""
+    return F.coalesce(F.transform(c, make), F.array().cast("array<struct<item:string,name:string,value:string>>"))
 
 
-def view_mappings(nodes: DataFrame, doc: str) -> DataFrame:
-    """Column mappings of the nodes, one row each."""
-    tags = F.regexp_extract_all("node_xml", F.lit(r"(?s)(<mapping\s[^>]*>)"), 1)
-    exploded = nodes.select(doc, "node_no", "node", F.posexplode(tags).alias("mapping_no", "tag"))
-    return exploded.select(
-        doc, "node_no", "node", (F.col("mapping_no") + 1).alias("mapping_no"),
-        _attribute(F.col("tag"), "target", "targetName").alias("target"),
-        _attribute(F.col("tag"), "source", "sourceName").alias("source"),
+def _nested(c: Column, inner: str, make) -> Column:
+    return F.coalesce(F.flatten(F.transform(c, lambda x: _items(x[inner], make))), F.array().cast("array<struct<item:string,name:string,value:string>>"))
+
+
+def view_items(df: DataFrame, doc: str, xml: str) -> DataFrame:
+    """Contents of view definitions in both dialects: (doc, node_no, node, kind, item_no, item, name, value).
+
+    Items of a node, in this order: its ``join`` (name: type), each ``input`` (name), each ``mapping`` (name: target, value: source),
+    each ``join key`` (name; value: the right side where it is named), each ``filter`` (name: element; value: expression, value or list) and each
+    ``calculation`` (name, value: formula). A node without items has one row with a NULL item. The documents are parsed as XML, so comments, quotes and
+    entities are what they are there; what is no such document has no rows.
+    """
+    parsed = df.select(F.col(doc), F.from_xml(F.col(xml), _VIEW_XML, {"ignoreNamespace": "true"}).alias("v"))
+    none = F.lit(None).cast("string")
+
+    def scenario(n: Column) -> Column:
+        joins = F.when(n["_joinType"].isNotNull(), F.array(_item("join", n["_joinType"], none)))
+        filters = F.when(n["filter"].isNotNull(), F.array(_item("filter", none, n["filter"])))
+        items = [
+            _items(joins, lambda x: x),
+            _items(n["input"], lambda i: _item("input", F.regexp_replace(i["_node"], "^#", ""), none)),
+            _nested(n["input"], "mapping", lambda m: _item("mapping", m["_target"], m["_source"])),
+            _items(n["joinAttribute"], lambda a: _item("join key", a["_name"], none)),
+            _items(filters, lambda x: x),
+            _items(n["calculatedViewAttributes"]["calculatedViewAttribute"], lambda a: _item("calculation", a["_id"], a["formula"])),
+        ]
+        return F.struct(n["_id"].alias("node"), n["_type"].alias("type"), F.concat(*items).alias("items"))
+
+    def column_view(n: Column) -> Column:
+        filters = F.when(n["filterExpression"].isNotNull(), F.array(_item("filter", none, n["filterExpression"]["formula"])))
+        keys = F.transform(n["join"], lambda j: F.transform(F.arrays_zip(j["leftElementName"].alias("l"), j["rightElementName"].alias("r")), lambda z: _item("join key", z["l"], z["r"])))
+        values = lambda f: F.coalesce(f["valueFilter"]["_value"], F.array_join(F.transform(f["valueFilter"]["operands"], lambda o: o["_value"]), ","))
+        computed = F.filter(n["element"], lambda e: e["calculationDefinition"].isNotNull())
+        items = [
+            _items(n["join"], lambda j: _item("join", j["_joinType"], none)),
+            _items(n["input"], lambda i: _item("input", F.regexp_replace(F.coalesce(i["viewNode"]["_VALUE"], i["entity"]["_VALUE"]), "^#", ""), none)),
+            _nested(n["input"], "mapping", lambda m: _item("mapping", m["_targetName"], m["_sourceName"])),
+            _items(F.flatten(F.filter(keys, lambda k: k.isNotNull())), lambda x: x),
+            _items(filters, lambda x: x),
+            _items(n["elementFilter"], lambda f: _item("filter", f["_elementName"], values(f))),
+            _items(computed, lambda e: _item("calculation", e["_name"], e["calculationDefinition"]["formula"])),
+        ]
+        return F.struct(n["_name"].alias("node"), n["_type"].alias("type"), F.concat(*items).alias("items"))
+
+    nodes = F.coalesce(F.transform("v.calculationViews.calculationView", scenario), F.transform("v.viewNode", column_view))
+    exploded = parsed.select(doc, F.posexplode(nodes).alias("node_no", "n"))
+    rows = exploded.select(
+        doc, (F.col("node_no") + 1).alias("node_no"), F.col("n.node").alias("node"),
+        F.regexp_extract("n.type", r"(?:\w+:)?(\w+?)(?:View|Node)?$", 1).alias("kind"), F.posexplode_outer("n.items").alias("item_no", "i"),
     )
+    return rows.select(doc, "node_no", "node", "kind", (F.col("item_no") + 1).alias("item_no"), "i.*")
 
 
 def word_sizes(c: Column, separator: str = r"\n") -> Column:

@@ -40,8 +40,21 @@ def upsert(
 
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Replace a table with a frame that may read it: write beside it, then swap the names."""
-    staged = f"{name}__staged"
+    """Replace a table with a frame that may read it: write beside it, then swap the names.
+
+    The old table keeps its rows under a backup name until the new one stands; if the swap fails it gets its name back.
+    """
+    staged, backup = f"{name}__staged", f"{name}__backup"
     df.write.mode("overwrite").saveAsTable(staged)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    existed = spark.catalog.tableExists(name)
+    if existed:
+        spark.sql(f"DROP TABLE IF EXISTS {backup}")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
+    try:
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {name}")
+    except Exception:
+        if existed:
+            spark.sql(f"ALTER TABLE {backup} RENAME TO {name}")
+        raise
+    if existed:
+        spark.sql(f"DROP TABLE {backup}")

@@ -19,10 +19,11 @@ FINANCED = ("3", "7", "8")
 INDEXED = ("3", "4")
 NO_BOOKING = ("651", "652", "653", "654", "655", "656", "657")
 
+# Columns of the base table.
 BASE_COLUMNS = (
-    "RELNR VOLGNR VZ_CD_PA GRPNR ACT_FIN_TYPE ACT_TOESL_CAT INACT_FIN_TYPE INACT_TOESL_CAT RUN_ID RUN_TYPE "
-    "REFERENCE_DATE RUN_TIMESTAMP RUN_DATE"
-).split()
+    "RELNR", "VOLGNR", "VZ_CD_PA", "GRPNR", "ACT_FIN_TYPE", "ACT_TOESL_CAT", "INACT_FIN_TYPE", "INACT_TOESL_CAT",
+    "RUN_ID", "RUN_TYPE", "REFERENCE_DATE", "RUN_TIMESTAMP", "RUN_DATE",
+)
 GROUP = ("RELNR", "category")
 
 

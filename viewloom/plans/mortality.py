@@ -249,12 +249,13 @@ def find_deaths(states: DataFrame, persons: DataFrame, p: SnapshotParams) -> Dea
     corrections = states.filter(F.col("correction") == "X")
     by_1 = corrections.filter(F.col("event") == "B001")
     by_2 = corrections.filter(F.col("event") == "B002")
+    if not p.include_corrections:
+        # no rows: the report asks for these states only where a correction reports the death
+        none = states.limit(0)
+        before_1, before_2 = (state_before_death(none, none, coverages, name) for coverages, name in ((OLD_AGE, "death_1"), (PARTNER, "death_2")))
+        return Deaths(normal_1, normal_1.limit(0), before_1, before_2)
     before_1 = state_before_death(states, by_1, OLD_AGE, "death_1")
     before_2 = state_before_death(states, by_2, PARTNER, "death_2")
-    if not p.include_corrections:
-        # same columns, no rows: the report asks for these states only where a correction reports the death
-        no_deaths = normal_1.limit(0)
-        return Deaths(normal_1, no_deaths, before_1.limit(0), before_2.limit(0))
     first = correction_deaths(by_1, "death_1", normal_1)
     ended_2 = by_2.filter(F.col("kind") == END)
     second = correction_deaths(ended_2, "death_2", normal_deaths(persons, "Second", "E002"))
@@ -519,7 +520,6 @@ def report(
     p: SnapshotParams,
 ) -> DataFrame:
     """Join each reported year to its mutation, persons, salary and addresses."""
-    years = (FIRST_REPORT_YEAR, p.year_until)
     # persons with the addresses of each report year and snapshot: small next to the mutations
     spots = states.select("policy", "report_year", "snapshot").distinct().join(info, "policy", "left")
     persons = spots
@@ -527,7 +527,7 @@ def report(
         side = history.toDF(*[f"bsn_{no}" if n == "bsn" else n for n in history.columns])
         renamed = side.withColumnsRenamed({n: f"{n}_{no}" for n in ("postcode", "abroad", "income_class")})
         persons = valid_at(
-            persons, renamed, [f"bsn_{no}", "snapshot"], "report_year", "ADDR_VALID_FROM", "ADDR_VALID_TO", years,
+            persons, renamed, [f"bsn_{no}", "snapshot"], "report_year", "ADDR_VALID_FROM", "ADDR_VALID_TO",
             [f"postcode_{no}", f"abroad_{no}", f"income_class_{no}"],
         )
     a, b, s, d = states.alias("a"), relevant.alias("b"), salaries.alias("s"), persons.alias("d")

@@ -169,7 +169,7 @@ STAND_INS["income"] = (
 
 # Depot duration.
 STAND_INS["depot_base"] = """
-select cast(c_nationkey + 100 * (c_custkey % 4) as varchar(20)) as RELNR,
+select cast(cast(floor(c_custkey / 60) as bigint) as varchar(20)) as RELNR,
        cast(c_custkey as varchar(20)) as VOLGNR,
        cast(c_custkey % 3 as varchar(20)) as VZ_CD_PA,
        cast(c_custkey % 5 as varchar(20)) as GRPNR,
@@ -182,10 +182,10 @@ select cast(c_nationkey + 100 * (c_custkey % 4) as varchar(20)) as RELNR,
 from {customer}"""
 STAND_INS["depot_amounts"] = """
 select explode(array('1998', '1999', '2000')) as JAAR, cast(s_suppkey as varchar(20)) as RELNR_DEPOT,
-       cast(cast(s_acctbal as decimal(17,2)) * 1000 as decimal(17,2)) as SALDO_VJ
+       cast(cast(s_acctbal as decimal(17,2)) * case when s_suppkey % 8 = 3 then 1000000 else 1000 end as decimal(17,2)) as SALDO_VJ
 from {supplier}"""
 STAND_INS["depot_relations"] = """
-select cast(s_nationkey + 100 * (s_suppkey % 4) as varchar(20)) as RELNR,
+select cast(cast(floor(s_suppkey / 4) as bigint) as varchar(20)) as RELNR,
        case s_suppkey % 3 when 0 then 'A' when 1 then 'I' else 'AI' end as TOESL_CAT_DLN,
        cast(s_suppkey as varchar(20)) as RELNR_DEPOT,
        case when s_suppkey % 2 = 0 then '' else cast(s_suppkey % 5 as varchar(20)) end as GRPNR,
@@ -210,12 +210,12 @@ select '_SYS_BIC' as SCHEMA_NAME, 'pkg.sub/CV_' || {_BRAND} as VIEW_NAME, {_NAME
        case p_size % 3 when 0 then 'NVARCHAR' when 1 then 'DECIMAL' else 'DATE' end as DATA_TYPE_NAME
 from {{part}}"""
 STAND_INS["target_meta"] = f"""
-select 'TABLE' as object_type, 'lpdevdev' as catalog_name, 'gold' as schema_name, 'TAB_' || {_BRAND} as object_name,
+select 'TABLE' as object_type, 'lakedev' as catalog_name, 'gold' as schema_name, 'TAB_' || {_BRAND} as object_name,
        case p_partkey % 4 when 2 then 'Z_' || {_NAME} when 3 then replace({_NAME}, '_', '') else {_NAME} end as column_name,
        case p_size % 3 when 0 then 'STRING' when 1 then 'DECIMAL(10,2)' else 'TIMESTAMP' end as data_type
 from {{part}}"""
 STAND_INS["objects"] = f"""
-select distinct 'lp' || chr(123) || 'ENV' || chr(125) || '.gold.tab_' || lower({_BRAND}) as SLO_Object,
+select distinct 'lake' || chr(123) || 'ENV' || chr(125) || '.gold.tab_' || lower({_BRAND}) as SLO_Object,
        'CV_' || {_BRAND} as Decoupling_View, 'pkg.sub' as source_package, 'T_' || {_BRAND} as Table_ID
 from {{part}}"""
 STAND_INS["name_pairs"] = f"""

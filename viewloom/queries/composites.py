@@ -180,7 +180,7 @@ booked as (select d.RELNR, cat, sum(cast(replace(BOEK, ',', '.') as decimal(17,2
 policies as (select distinct RELNR, VOLGNR, VZ_CD_PA, ACT_FIN_TYPE, ACT_TOESL_CAT, INACT_FIN_TYPE, INACT_TOESL_CAT, cat_link, RELNR_DEPOT, cat, SALDO_VJ as own
              from depots),
 calc as (select p.RELNR, VOLGNR, VZ_CD_PA, saldo_vj, p.cat,
-                case when boek <> 0 then cast(round(saldo_vj / boek, 0) as bigint) else 0 end as years
+                case when boek <> 0 then cast(round(saldo_vj / boek, 0) as bigint) else 0 end as all_years, case when abs(all_years) < 1000 then all_years end as years
          from policies p join saldo s on p.RELNR = s.RELNR and p.cat = s.cat join booked b on p.RELNR = b.RELNR and p.cat = b.cat)
 select RELNR, VOLGNR, VZ_CD_PA, cast(saldo_vj as double) as SALDO_VJ,
        case when cat in ('A', 'AI') and years > 0 then '' when cat in ('A', 'AI') then cast(-years as varchar) else '0' end as MAX_DUUR_INDEXATIE_ACT,

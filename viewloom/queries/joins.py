@@ -151,17 +151,18 @@ def _(t: Tables):
 
 @query(
     "J13_valid_at",
-    """with p as (select ZMUTID, ZBSN1 as BSN, 'EoY Snapshot' as SNAPSHOT_TYPE, ZMUTJAAR as report_year from {mutations} m)
+    """with p as (select ZMUTID, ZBSN1 as BSN, 'EoY Snapshot' as SNAPSHOT_TYPE, ZMUTJAAR + case when MWYZVLGNR % 13 = 0 then 25 else 0 end as report_year from {mutations} m)
        select ZMUTID, p.BSN, p.report_year, POSTCODE, BUITENLAND from p left join {addresses} a
        on p.BSN = a.BSN and p.SNAPSHOT_TYPE = a.SNAPSHOT_TYPE and report_year >= ADDR_VALID_FROM and report_year < ADDR_VALID_TO""",
 )
 def _(t: Tables):
     people = t.mutations.select(
-        "ZMUTID", F.col("ZBSN1").alias("BSN"), F.lit("EoY Snapshot").alias("SNAPSHOT_TYPE"), F.col("ZMUTJAAR").alias("report_year")
+        "ZMUTID", F.col("ZBSN1").alias("BSN"), F.lit("EoY Snapshot").alias("SNAPSHOT_TYPE"), 
+        (F.col("ZMUTJAAR") + F.when(F.col("MWYZVLGNR") % 13 == 0, 25).otherwise(0)).alias("report_year"),
     )
     found = temporal.valid_at(
         people, t.addresses, ["BSN", "SNAPSHOT_TYPE"], "report_year", "ADDR_VALID_FROM", "ADDR_VALID_TO",
-        (1990, 2010), ["POSTCODE", "BUITENLAND"],
+        ["POSTCODE", "BUITENLAND"],
     )
     return found.drop("SNAPSHOT_TYPE")
 

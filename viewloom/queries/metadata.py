@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
 
-from viewloom.functions.similarity import similarity
+from pyspark.sql import DataFrame, functions as F
+
+from viewloom.functions.similarity import NOISE, similarity
 from viewloom.operators import lineage, metadata as md, names
 from viewloom.plans import reconcile
 from viewloom.queries.base import Tables, query
+from viewloom.queries.sources import named_files
+from viewloom.sources import readers
 
 # --- D ----------------------------------------------------------------------------------------
 
@@ -128,7 +132,7 @@ _PAIRS = """select p_partkey as k, 'Z' || replace(p_name, ' ', '_') || '_cd' as
 
 
 def _noise(x: str) -> str:
-    for noise in ("_p", "_r", "_cd", "_dat", "_code"):
+    for noise in NOISE:
         x = f"replace({x}, '{noise}', '')"
     return x
 
@@ -251,7 +255,7 @@ def _(t: Tables):
 
 _EDGE = ("target_table_name", "target_column_name", "source_table_name", "source_column_name", "transformation")
 _WIDE = (
-    "with e as (select * from {edges} e0) select "
+    "with e as materialized (select * from {edges} e0) select "
     + ", ".join(f"e{i}.{c} as {c}{'' if i == 1 else i}" for i in range(1, 5) for c in _EDGE)
     + " from e e1"
     + "".join(
@@ -283,13 +287,13 @@ def _(t: Tables):
     return lineage.graph_nodes(rows)
 
 
-@query(
-    "L06_dot_lines",
-    """with p as (select distinct substring(target_table_name, 7) as a, substring(source_table_name, 7) as b from {edges} e)
+_DOT = """with p as (select distinct substring(target_table_name, 7) as a, substring(source_table_name, 7) as b from {edges} e)
        select 1 as section, ' "' || n || '" [shape="ellipse" style="filled" fillcolor="#1f77b4"]' as line from (select a as n from p union select b from p)
        union all select 2, ' "' || a || '" -> "' || b || '" [fillcolor="#a6cee3" color="#1f78b4"]' from p
-       union all select 0, 'strict digraph {' union all select 3, ' }'""",
-)
+       union all select 0, 'strict digraph {' union all select 3, ' }'"""
+
+
+@query("L06_dot_lines", _DOT)
 def _(t: Tables):
     return lineage.dot_lines(lineage.table_edges(t.edges))
 
@@ -308,29 +312,32 @@ def _(t: Tables):
     return reconcile.type_reconciliation(t.source_meta, t.target_meta, t.objects)
 
 
+_WIDE_NAMES = [f"{c}{'' if i == 1 else i}" for i in range(1, 5) for c in _EDGE]
+
+
 @query(
     "Q04_full_lineage",
-    "select 'path' as part, count(*) as n from (" + _WIDE + ") union all "
-    "select 'pair', count(*) from (" + _REACH + " select distinct tt, tc, st, sc from r) union all "
-    "select 'root', count(*) from (" + _REACH + " select distinct tt, tc, st, sc from r where (st, sc) not in (select (tt, tc) from e)) union all "
-    "select 'line', 14",
+    "select 'path' as part, concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in _WIDE_NAMES) + ") as line from (" + _WIDE + ") union all "
+    "select 'pair', concat_ws('|', tt, tc, st, sc, depth) from (" + _REACH + " select tt, tc, st, sc, min(depth) as depth from r group by all) union all "
+    "select 'root', concat_ws('|', tt, tc, st, sc) from (" + _REACH + " select distinct tt, tc, st, sc from r where (st, sc) not in (select (tt, tc) from e)) union all "
+    "select 'graph', concat_ws('|', section, line) from (" + _DOT + ")",
 )
 def _(t: Tables):
     found = reconcile.full_lineage(t.edges, 4)
-    parts = {"path": found.wide, "pair": found.closure, "root": found.roots, "line": found.dot}
-    counts = [df.agg(F.lit(name).alias("part"), F.count(F.lit(1)).alias("n")) for name, df in parts.items()]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionByName(count)
-    return result
+    parts = {"path": found.wide, "pair": found.closure, "root": found.roots, "graph": found.dot}
+    lines = [
+        df.select(F.lit(name).alias("part"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("line"))
+        for name, df in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
 
 
 @query(
     "Q05_registry_refresh",
-    """with old as (select 'DF' || (p_partkey % 48) as flow, p_partkey || '.calculationview' as file, 'old ' || p_name as sap, p_brand as grp
-                    from part where p_type <> 'PROMO'),
-       new as (select 'DF' || (p_partkey % 48) as flow, p_partkey || '.calculationview' as file,
-               case when p_size % 4 > 0 then 'Load of CV_' || replace(p_name, ' ', '_') else p_name end as sap from part where p_type <> 'SMALL')
+    """with keyed as (select *, 'DF' || (p_partkey % 48) as flow, p_type || '.calculationview' as file from part),
+       old as (select flow, file, 'old ' || min(p_name) as sap, min(p_brand) as grp from keyed where p_type <> 'PROMO' group by 1, 2),
+       new as (select flow, file, case when min(p_size) % 4 > 0 then 'Load of CV_' || replace(min(p_name), ' ', '_') else min(p_name) end as sap
+               from keyed where p_type <> 'SMALL' group by 1, 2)
        select coalesce(n.flow, o.flow) as DataFlow, coalesce(n.file, o.file) as SAPFileName, coalesce(n.sap, o.sap) as SAPTableName,
               case when n.file is null then 'old' else nullif(split_part(n.sap, 'CV_', 2), '') end as DataBricksTableName,
               case when o.file is not null then 'schema' end as SchemaName, case when n.file is null then 'Other' else 'HANA' end as SourceSystem,
@@ -338,17 +345,16 @@ def _(t: Tables):
        from old o full join new n on o.flow = n.flow and o.file = n.file""",
 )
 def _(t: Tables):
-    key = F.col("p_partkey")
-    flow = F.concat(F.lit("DF"), (key % 48).cast("string")).alias("DataFlow")
-    file = F.concat(key.cast("string"), F.lit(".calculationview"))
-    registry = t.part.filter(F.col("p_type") != "PROMO").select(
-        flow, file.alias("SAPFileName"), F.concat(F.lit("old "), "p_name").alias("SAPTableName"),
-        F.lit("old").alias("DataBricksTableName"), F.lit("schema").alias("SchemaName"), F.lit("Other").alias("SourceSystem"),
-        F.col("p_brand").alias("group_id"),
-    )
-    view = F.concat(F.lit("Load of CV_"), F.replace("p_name", F.lit(" "), F.lit("_")))
-    inventory = t.part.filter(F.col("p_type") != "SMALL").select(
-        flow, file.alias("FileName"), F.when(F.col("p_size") % 4 > 0, view).otherwise(F.col("p_name")).alias("Description"),
-        F.lit("HANA").alias("SourceSystem"),
-    )
-    return reconcile.registry_refresh(registry, inventory)
+    flow = F.concat(F.lit("DF"), (F.col("p_partkey") % 48).cast("string"))
+    keyed = t.part.withColumns({"flow": flow, "file": F.concat("p_type", F.lit(".calculationview"))})
+    registry = keyed.filter("p_type <> 'PROMO'").groupBy("flow", "file").agg(F.min("p_name").alias("name"), F.min("p_brand").alias("group_id"))
+    registry = registry.select(
+        F.col("flow").alias("DataFlow"), F.col("file").alias("SAPFileName"), F.concat(F.lit("old "), "name").alias("SAPTableName"),
+        F.lit("old").alias("DataBricksTableName"), F.lit("schema").alias("SchemaName"), F.lit("Other").alias("SourceSystem"), "group_id",
+    )
+    found = keyed.filter("p_type <> 'SMALL'").groupBy("flow", "file").agg(F.min("p_name").alias("name"), F.min("p_size").alias("size"))
+    view = F.concat(F.lit("Load of CV_"), F.replace("name", F.lit(" "), F.lit("_")))
+    description = F.when(F.col("size") % 4 > 0, view).otherwise(F.col("name"))
+    xml = F.concat(F.lit('<v xmlns:d="urn:d"><d:descriptions defaultDescription="'), description, F.lit('"/></v>'))
+    root = named_files(t, found.select("flow", "file", xml.alias("value")), "registry")
+    return reconcile.registry_refresh(registry, readers.inventory_with_descriptions(t.spark, root))

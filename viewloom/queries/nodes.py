@@ -267,16 +267,16 @@ def _(t: Tables):
 
 @query(
     "A10_group_members",
-    """select g as group_id, array_to_string(list_sort(list(distinct c_name)), ',') as members, count(distinct c_name) as n
-       from (select c_name, coalesce(case when c_custkey % 4 > 0 then 'N' || cast(c_custkey % 600 as varchar) end,
-             'withoutgroupid') as g from customer) group by 1""",
+    f"""select g as group_id, (no - 1) // {rel.PART_SIZE} as part_no, string_agg(c_name, ',' order by c_name) as members, count(*) as n
+       from (select g, c_name, row_number() over (partition by g order by c_name) as no
+             from (select distinct c_name, coalesce(case when c_custkey % 4 > 0 then 'N' || cast(c_custkey % 600 as varchar) end,
+             'withoutgroupid') as g from customer)) group by 1, 2""",
 )
 def _(t: Tables):
     group = F.when(F.col("c_custkey") % 4 > 0, F.concat(F.lit("N"), (F.col("c_custkey") % 600).cast("string")))
     rows = rel.labelled_groups(t.customer.select("c_name", group.alias("group_id")), "group_id")
-    # one row per group for the comparison with SQL; the operator's default bounds the size of a row
-    parts = rel.group_members(rows, "group_id", "c_name", part_size=1_000_000)
-    return parts.select("group_id", F.array_join("members", ",").alias("members"), F.size("members").cast("long").alias("n"))
+    parts = rel.group_members(rows, "group_id", "c_name")
+    return parts.select("group_id", "part_no", F.array_join("members", ",").alias("members"), F.size("members").cast("long").alias("n"))
 
 
 @query(
@@ -301,11 +301,13 @@ def _(t: Tables):
 
 @query(
     "A12_column_sets",
-    "select o_custkey, array_to_string(list_sort(list(distinct o_orderpriority)), '|') as priorities from orders group by 1",
+    f"""select o_custkey, (no - 1) // {rel.PART_SIZE} as part_no, string_agg(o_orderpriority, '|' order by o_orderpriority) as priorities
+       from (select *, row_number() over (partition by o_custkey order by o_orderpriority) as no from (select distinct o_custkey, o_orderpriority from orders))
+       group by 1, 2""",
 )
 def _(t: Tables):
     sets = rel.group_members(t.orders, "o_custkey", "o_orderpriority")
-    return sets.select("o_custkey", F.array_join("members", "|").alias("priorities"))
+    return sets.select("o_custkey", "part_no", F.array_join("members", "|").alias("priorities"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from viewloom.queries.base import Tables, query
-from viewloom.session import scratch_path
+from viewloom.session import materialize, scratch_path
 from viewloom.sources import readers, writers
 
 
@@ -13,14 +13,16 @@ def _scratch(t: Tables, name: str) -> str:
     return scratch_path(t.spark, name)
 
 
-@query("S01_read_documents", "select page_id, html as text from pages")
+@query(
+    "S01_read_documents",
+    """select 'DF' || (page_id % 16) as flow, string_agg(lpad(page_id::varchar, 9, '0') || html, chr(10) order by page_id) || chr(10) as text from pages group by 1""",
+)
 def _(t: Tables):
-    path = _scratch(t, "docs")
-    t.pages.select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(path)
+    flow = F.concat(F.lit("DF"), (F.col("page_id") % 16).cast("string")).alias("flow")
+    rows = t.pages.select(flow, F.lit("pages.html").alias("file"), F.concat(F.lpad(F.col("page_id").cast("string"), 9, "0"), "html").alias("value"))
+    path = named_files(t, rows, "docs")
     docs = readers.read_docs(t.spark, path)
-    page = F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long")
-    # the text writer ends every row with a line feed
-    return docs.select(page.alias("page_id"), F.regexp_replace("text", r"\n\z", "").alias("text"))
+    return docs.select(F.regexp_extract("path", "(DF[0-9]+)/", 1).alias("flow"), "text")
 
 
 @query("S02_read_csv", "select p_partkey, p_name, p_size, p_retailprice from part")
@@ -51,9 +53,87 @@ def _(t: Tables):
     return writers.snapshot_params(t.customer.select("c_custkey", "c_mktsegment"), 7, "demo", "test").drop("INSERTED_AT")
 
 
-@query("S11_file_inventory")
+_FILES = """select 'DF' || (page_id % 16) as flow, 'pages' || case page_id % 3 when 0 then '.calculationview' when 1 then '.html' else '.txt' end as file from pages"""
+
+
+def named_files(t: Tables, rows, name: str) -> str:
+    """Write rows (flow, file, value) as text files below a folder per flow; Spark names its files, so they are renamed."""
+    path = _scratch(t, name)
+    rows.repartition("flow", "file").sortWithinPartitions("flow", "file", "value").write.partitionBy("flow", "file").text(path)
+    hadoop = t.spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    files = root.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(hadoop.Path(root, "flow=*/file=*/part-*")):
+        part = found.getPath()
+        flow, file = part.getParent().getParent().getName().removeprefix("flow="), part.getParent().getName().removeprefix("file=")
+        files.mkdirs(hadoop.Path(root, flow))
+        files.rename(part, hadoop.Path(root, f"{flow}/{file}"))
+    for left in files.globStatus(hadoop.Path(root, "flow=*")):
+        files.delete(left.getPath(), True)
+    return path
+
+
+@query(
+    "S11_file_inventory",
+    f"""select flow as DataFlow, file as FileName, case when file like '%view' then 'HANA' when file like '%html' then 'BW' else 'Other' end as SourceSystem
+       from (select distinct * from ({_FILES}))""",
+)
+def _(t: Tables):
+    flow = F.concat(F.lit("DF"), (F.col("page_id") % 16).cast("string")).alias("flow")
+    kind = F.when(F.col("page_id") % 3 == 0, ".calculationview").when(F.col("page_id") % 3 == 1, ".html").otherwise(".txt")
+    rows = t.pages.select(flow, F.concat(F.lit("pages"), kind).alias("file"), F.col("html").alias("value"))
+    return readers.file_inventory(t.spark, named_files(t, rows, "files")).drop("path")
+
+
+@query("S05_overwrite_table", "select p_partkey, p_name, p_size from part")
+def _(t: Tables):
+    name = "viewloom_s05_part"
+    writers.save(t.part.select("p_partkey", "p_name"), name)
+    writers.save(t.part.select("p_partkey", "p_name", "p_size"), name)  # the second run replaces rows and columns
+    return _taken(t, name)
+
+
+def _taken(t: Tables, name: str):
+    """The rows of a table, which is dropped."""
+    rows = materialize(t.spark.table(name), name)
+    t.spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
+@query(
+    "S06_local_parameters",
+    """select c_custkey, label from customer join (values ('BUILDING', 'b'), ('MACHINERY', 'm')) p(segment, label) on c_mktsegment = segment""",
+)
+def _(t: Tables):
+    parameters = readers.frame_from_rows(t.spark, [("BUILDING", "b"), ("MACHINERY", "m")], ["c_mktsegment", "label"])
+    return t.customer.join(parameters, "c_mktsegment").select("c_custkey", "label")
+
+
+@query(
+    "S07_catalog_columns",
+    """select 'TABLE' as object_type, 'VIEWLOOM_S07_' || upper(table_name) as object_name, upper(column_name) as column_name,
+       case data_type when 'VARCHAR' then 'STRING' when 'INTEGER' then 'INT' when 'TIMESTAMP' then 'TIMESTAMP_NTZ' else data_type end as data_type
+       from information_schema.columns where table_name in ('nation', 'orders')""",
+)
+def _(t: Tables):
+    for table in ("nation", "orders"):
+        writers.save(getattr(t, table), f"viewloom_s07_{table}")
+    found = readers.catalog_columns(t.spark, [t.spark.catalog.currentDatabase()]).filter("object_name like 'VIEWLOOM_S07%'")
+    for table in ("nation", "orders"):
+        t.spark.sql(f"DROP TABLE viewloom_s07_{table}")
+    return found.select("object_type", "object_name", "column_name", "data_type")
+
+
+@query(
+    "S09_create_table",
+    """select target_table_name as "TARGET_TABLE_NAME", target_column_name as "TARGET_COLUMN_NAME", source_table_name as "SOURCE_TABLE_NAME",
+       source_column_name as "SOURCE_COLUMN_NAME", transformation as "TRANSFORMATION" from {edges} e""",
+)
 def _(t: Tables):
-    return readers.file_inventory(t.spark, t.sf_dir).drop("path")
+    name = "viewloom_s09_lineage"
+    writers.ensure_table(t.spark, name, writers.LINEAGE_DDL, "Column lineage", replace=True)
+    t.edges.write.insertInto(name)
+    return _taken(t, name)
 
 
 @query(

@@ -77,16 +77,16 @@ def _(t: Tables):
     return ops.apply_mapping(renamed, "text", tables, whole_words=False)
 
 
-_DDL = """'CREATE TABLE t' || cast(p_partkey as varchar(20)) || chr(10) || '(' || chr(10) || '    ' || replace(p_name, ' ', '_') || ' STRING,'
-  || chr(10) || '  size_' || cast(p_size as varchar(20)) || ' DECIMAL(5, 0),' || chr(10) || '    ' || upper(replace(p_name, ' ', '_'))
+_DDL = """'CREATE TABLE t' || cast(p_partkey as varchar(20)) || chr(10) || '(' || chr(10) || '    ' || case when p_partkey % 3 = 0 then 'x_' else '' end || replace(p_name, ' ', '_') || ' STRING,'
+  || chr(10) || '  size_' || cast(p_size as varchar(20)) || ' DECIMAL(5, 0),' || chr(10) || '    ' || upper(case when p_partkey % 3 = 0 then 'x_' else '' end || replace(p_name, ' ', '_'))
   || '   DATE' || chr(10) || ')'"""
 
 
 @query(
     "T05_annotate_ddl",
-    """with known as (select replace(p_name, ' ', '') as k, arg_max(p_type, p_partkey) as v from part where p_size > 49 group by 1),
-       f as (select p_partkey, p_size, replace(p_name, ' ', '_') as f1, v, rpad(replace(p_name, ' ', '_'), greatest(18, length(p_name))::int, ' ') as pad
-             from part left join known on replace(p_name, ' ', '') = k)
+    """with known as (select replace(p_name, ' ', '') as k, arg_max(p_type, p_partkey) as v from part group by 1),
+       n as (select p_partkey, p_size, case when p_partkey % 3 = 0 then 'x_' else '' end || replace(p_name, ' ', '_') as f1 from part),
+       f as (select p_partkey, p_size, f1, v, rpad(f1, greatest(18, length(f1))::int, ' ') as pad from n left join known on replace(f1, '_', '') = k)
        select p_partkey, 'CREATE TABLE t' || p_partkey || chr(10) || '(' || chr(10)
          || case when v is null then '    ' || f1 || ' STRING,' else '    ' || pad || ' STRING COMMENT(''' || v || '''),' end || chr(10)
          || '  size_' || p_size || ' DECIMAL(5, 0),' || chr(10)
@@ -96,7 +96,7 @@ _DDL = """'CREATE TABLE t' || cast(p_partkey as varchar(20)) || chr(10) || '(' |
 )
 def _(t: Tables):
     ddl = t.sql(f"select p_partkey, {_DDL} as text from {{part}}")
-    known = t.part.filter(F.col("p_size") > 49).select(
+    known = t.part.select(
         F.replace("p_name", F.lit(" "), F.lit("")).alias("key"), F.col("p_type").alias("value"), F.col("p_partkey").alias("ordinal")
     )
     return ops.annotate_ddl(ddl, "p_partkey", "text", known)
@@ -111,9 +111,9 @@ def _(t: Tables):
 
 
 # One exported document per supplier: outer table, grid with a header, a two-cell row, and two sections.
-_GRID = """'<table class="SAPBEXTableGrid"><tr><td>Object Type</td><td>Name</td><td>Technical Name</td></tr>'
+_GRID = """'<table border="0" class="wide SAPBEXTableGrid"><tr><td>Object Type</td><td>Name</td><td>Technical Name</td></tr>'
   || '<tr><td>Data Source</td><td>sys/pkg::CV_' || s_name || '</td><td> T' || cast(s_suppkey as varchar(20)) || '   SYS HANA&amp;Co </td></tr>'
-  || '<tr><td> </td><td><b>second</b></td><td>D' || cast(s_suppkey as varchar(20)) || '</td></tr><tr><td>two</td><td>cells</td></tr>'
+  || '<tr><td> </td><td><b>second</b><table><tr><td>in</td><td>a</td><td>cell</td></tr></table></td><td>D' || cast(s_suppkey as varchar(20)) || '</td></tr><tr><td>two</td><td>cells</td></tr>'
   || '<tr><td>Transformation</td><td>load</td><td>TR' || cast(s_suppkey as varchar(20)) || '</td></tr>'
   || '<tr><td></td><td>load 2</td><td>TX' || cast(s_suppkey as varchar(20)) || '</td></tr></table>'"""
 _HTML = f"""'<html><body>{tx.OUTER_TABLE}<tr><td>' || s_name || '</td></tr></table>' || {_GRID}
@@ -134,7 +134,7 @@ def _(t: Tables):
 
 
 _ROWS = """select s_suppkey, 1 as row_no, 'Data Source' as object_type, 'sys/pkg::CV_' || s_name as name, 'T' || s_suppkey || '   SYS HANA&Co' as technical_name from supplier
-  union all select s_suppkey, 2, 'Data Source', 'second', 'D' || s_suppkey from supplier
+  union all select s_suppkey, 2, 'Data Source', 'second in a cell', 'D' || s_suppkey from supplier
   union all select s_suppkey, 3, 'Transformation', 'load', 'TR' || s_suppkey from supplier
   union all select s_suppkey, 4, 'Transformation', 'load 2', 'TX' || s_suppkey from supplier"""
 
@@ -192,14 +192,17 @@ _FIELD = "case when ({k}) = 0 then 'Unit Info x' when ({k}) = 1 then '' else 'F{
 
 
 def _rule_row(j: int) -> str:
+    """A note over all columns, a row of two cells, or a full row, whose third cell may span two columns."""
     kind = _KIND.format(j=j)
-    cells = ["'old{0}'".format(j), _FIELD.format(k=kind, j=j), "'d'", "'CHAR'", "'8'",
-             f"case when ({kind}) = 6 then '' else 'Routine' end", "'t'", f"case when ({kind}) = 1 then '' else 'I' end",
+    described = f"case when ({kind}) = 2 then '<td colspan=\"2\">d</td>' else '<td>d</td><td>CHAR</td>' end"
+    cells = ["'8'", f"case when ({kind}) = 6 then '' else 'Routine' end", "'t'", f"case when ({kind}) = 1 then '' else 'I' end",
              "''", "''", "''"]
     row = " || '</td><td>' || ".join(cells)
+    field = _FIELD.format(k=kind, j=j)
     return (
         f"case when ({kind}) in (3, 4) then '<tr><td colspan=\"11\">' || {_NOTE.format(k=kind, j=j)} || '</td></tr>' "
-        f"else '<tr><td>' || {row} || '</td></tr>' end"
+        f"when ({kind}) = 5 then '<tr><td>old{j}</td><td>F{j}</td></tr>' "
+        f"else '<tr><td>old{j}</td><td>' || {field} || '</td>' || {described} || '<td>' || {row} || '</td></tr>' end"
     )
 
 
@@ -211,17 +214,20 @@ _RULE_HTML = " || ".join(_rule_row(j) for j in range(1, 11))
     f"""with r as (select p_partkey, j, {_KIND.format(j='j')} as kind from (select *, unnest(range(1, 11)) as j from part)),
         k as (select *, row_number() over (partition by p_partkey order by j desc) as e from r where kind not in (0, 1)),
         n as (select *, case when kind in (3, 4) then {_NOTE.format(k='kind', j="' || j || '")} end as note from k where e > 2),
-        l as (select *, lead(note) over w as n1, lead(note, 2) over w as n2, lead(note, 3) over w as n3, lead(kind) over w = 6 as hole
+        l as (select *, lead(note) over w as n1, lead(note, 2) over w as n2, lead(note, 3) over w as n3, lead(kind) over w in (5, 6) as hole
               from n window w as (partition by p_partkey order by j))
         select p_partkey, row_number() over (partition by p_partkey order by j) as rule_no, 'F' || j as "Field_name",
-          coalesce(case when kind = 6 then null when n1 is not null then n1 || case when n2 like '%Constant%' then chr(10) || n2 else '' end
-            when hole then n2 || case when n3 like '%Constant%' then chr(10) || n3 else '' end end, 'old' || j) as "Logic"
+          coalesce(case when kind in (5, 6) then null when n1 is not null then n1 || case when n2 like '%Constant%' then chr(10) || n2 else '' end
+            when hole then n2 || case when n3 like '%Constant%' then chr(10) || n3 else '' end end, 'old' || j) as "Logic",
+          case when kind <> 5 then 'd' end as "Description", case when kind = 2 then 'd' when kind <> 5 then 'CHAR' end as "Data_Type",
+          case when kind <> 5 then '8' end as "Length", case when kind not in (5, 6) then 'Routine' end as "Rule_Type", case when kind <> 5 then 't' end as "Target",
+          case when kind <> 5 then 'I' end as "InfoObject", null as "Description1", null as "Data_Type1", null as "Length1"
         from l where note is null""",
 )
 def _(t: Tables):
     docs = t.sql(f"select p_partkey, {_RULE_HTML} as html from {{part}}")
     rules = ops.tidy_rules(ops.rule_cells(docs, "p_partkey", "html"), "p_partkey")
-    return rules.select("p_partkey", "rule_no", "Field_name", "Logic")
+    return rules
 
 
 _STATEMENT = """case when p_size % 2 = 0 then 'IT_A = select a.' || replace(p_name, ' ', '_') || ', b.width as w from tab_' || p_type || ' as a join dim_'
@@ -232,16 +238,17 @@ _STATEMENT = """case when p_size % 2 = 0 then 'IT_A = select a.' || replace(p_na
 
 @query(
     "T14_column_usage",
-    """with u as (select 'tab_' || lower(p_type) as tab, lower(replace(p_name, ' ', '_')) as col from part
+    f"""with u as (select 'tab_' || lower(p_type) as tab, lower(replace(p_name, ' ', '_')) as col from part
          union select 'tab_' || lower(p_type), case when p_size % 2 = 0 then 'key_' else 'top_' end || p_size from part
          union select 'tab_' || lower(p_type), 'flag' from part where p_size % 2 = 0
          union select 'dim_' || lower(replace(p_brand, '#', '_')), 'width' from part
          union select 'dim_' || lower(replace(p_brand, '#', '_')), 'key' from part where p_size % 2 = 0)
-       select tab as table_name, string_agg(col, ',' order by col) as columns from u group by 1""",
+       select tab as table_name, (no - 1) // {rel.PART_SIZE} as part_no, string_agg(col, ',' order by col) as columns
+       from (select *, row_number() over (partition by tab order by col) as no from u) group by 1, 2""",
 )
 def _(t: Tables):
     used = ops.column_usage(t.sql(f"select p_partkey, {_STATEMENT} as stmt from {{part}}"), "stmt")
-    return used.select("table_name", F.array_join("columns", ",").alias("columns"))
+    return used.select("table_name", "part_no", F.array_join("columns", ",").alias("columns"))
 
 
 @query(
@@ -260,48 +267,59 @@ def _(t: Tables):
     return ops.pack_by_budget(sized, "doc_id", "sizes", base=F.lit(10), budget=60)
 
 
-_XML = """case when p_size % 2 = 0 then '<Calculation:scenario><calculationViews><calculationView xsi:type="Calculation:ProjectionView" id="P_' || p_brand
-    || '"><input node="#' || p_type || '"><mapping xsi:type="Calculation:AttributeMapping" target="A" source="' || p_name
-    || '"/><mapping xsi:type="x" source="B" target="C"/></input></calculationView><calculationView id="J" joinType="leftOuter" xsi:type="Calculation:JoinView">'
-    || '<input node="#a"><mapping target="K" source="K1"/></input><input node="#b"/></calculationView></calculationViews></Calculation:scenario>'
-  else '<View:ColumnView><viewNode xsi:type="View:Aggregation" name="BASE"><input><viewNode xsi:type="View:Projection">#/0/X</viewNode>'
-    || '<mapping xsi:type="Type:ElementMapping" targetName="' || p_type || '" sourceName="S"/></input></viewNode>'
-    || '<viewNode xsi:type="View:JoinNode" name="JN"><join leftInput="l" joinType="inner"></join></viewNode></View:ColumnView>' end"""
+_XML = """case when p_size % 2 = 0 then '<Calculation:scenario xmlns:xsi="i" xmlns:Calculation="c"><calculationViews><!-- <calculationView id="no"/> -->'
+    || '<calculationView xsi:type=' || chr(39) || 'Calculation:ProjectionView' || chr(39) || ' id="P&amp;' || p_brand || '"><calculatedViewAttributes><calculatedViewAttribute id="c1">'
+    || '<formula>a &lt; ' || cast(p_size as varchar(20)) || '</formula></calculatedViewAttribute></calculatedViewAttributes><input node="#' || p_type
+    || '"><mapping xsi:type="Calculation:AttributeMapping" target="A" source="' || p_name || '"/><mapping xsi:type="x" source="B" target="C"/></input>'
+    || '<filter>x = 1</filter></calculationView><calculationView id="J" joinType="leftOuter" xsi:type="Calculation:JoinView"><input node="#a">'
+    || '<mapping target="K" source="K1"/></input><input node="#b"/><joinAttribute name="K"/></calculationView></calculationViews></Calculation:scenario>'
+  else '<View:ColumnView xmlns:xsi="i" xmlns:View="v"><viewNode xsi:type="View:Aggregation" name="BASE"><element name="z"><calculationDefinition><formula>1</formula>'
+    || '</calculationDefinition></element><element name="y"/><input><viewNode xsi:type="View:Projection">#/0/X</viewNode><mapping targetName="' || p_type || '" sourceName="S"/></input>'
+    || '<elementFilter elementName="q"><valueFilter value="7"/></elementFilter><elementFilter elementName="r"><valueFilter><operands value="1"/><operands value="2"/></valueFilter></elementFilter>'
+    || '</viewNode><viewNode xsi:type="View:JoinNode" name="JN"><join leftInput="l" joinType="inner"><leftElementName>' || p_brand || '</leftElementName><rightElementName>b</rightElementName></join></viewNode>'
+    || '<viewNode xsi:type="View:Union" name="U"/></View:ColumnView>' end"""
 
 
 @query(
     "T16_view_inventory",
-    """select p_partkey, 1 as node_no, 'P_' || p_brand as node, 'Projection' as kind, null as join_type, 1 as n_inputs, 'A=' || p_name || ';C=B' as mappings
-       from part where p_size % 2 = 0
-       union all select p_partkey, 2, 'J', 'Join', 'leftOuter', 2, 'K=K1' from part where p_size % 2 = 0
-       union all select p_partkey, 1, 'BASE', 'Aggregation', null, 1, p_type || '=S' from part where p_size % 2 = 1
-       union all select p_partkey, 2, 'JN', 'Join', 'inner', 0, '' from part where p_size % 2 = 1""",
+    """with even as (select * from part where p_size % 2 = 0), odd as (select * from part where p_size % 2 = 1)
+       select p_partkey, 1 as node_no, 'P&' || p_brand as node, 'Projection' as kind, 1 as item_no, 'input' as item, p_type as name, null as value from even
+       union all select p_partkey, 1, 'P&' || p_brand, 'Projection', 2, 'mapping', 'A', p_name from even
+       union all select p_partkey, 1, 'P&' || p_brand, 'Projection', 3, 'mapping', 'C', 'B' from even
+       union all select p_partkey, 1, 'P&' || p_brand, 'Projection', 4, 'filter', null, 'x = 1' from even
+       union all select p_partkey, 1, 'P&' || p_brand, 'Projection', 5, 'calculation', 'c1', 'a < ' || p_size from even
+       union all select p_partkey, 2, 'J', 'Join', 1, 'join', 'leftOuter', null from even
+       union all select p_partkey, 2, 'J', 'Join', 2, 'input', 'a', null from even
+       union all select p_partkey, 2, 'J', 'Join', 3, 'input', 'b', null from even
+       union all select p_partkey, 2, 'J', 'Join', 4, 'mapping', 'K', 'K1' from even
+       union all select p_partkey, 2, 'J', 'Join', 5, 'join key', 'K', null from even
+       union all select p_partkey, 1, 'BASE', 'Aggregation', 1, 'input', '/0/X', null from odd
+       union all select p_partkey, 1, 'BASE', 'Aggregation', 2, 'mapping', p_type, 'S' from odd
+       union all select p_partkey, 1, 'BASE', 'Aggregation', 3, 'filter', 'q', '7' from odd
+       union all select p_partkey, 1, 'BASE', 'Aggregation', 4, 'filter', 'r', '1,2' from odd
+       union all select p_partkey, 1, 'BASE', 'Aggregation', 5, 'calculation', 'z', '1' from odd
+       union all select p_partkey, 2, 'JN', 'Join', 1, 'join', 'inner', null from odd
+       union all select p_partkey, 2, 'JN', 'Join', 2, 'join key', p_brand, 'b' from odd
+       union all select p_partkey, 3, 'U', 'Union', null, null, null, null from odd""",
 )
 def _(t: Tables):
-    nodes = ops.view_nodes(t.sql(f"select p_partkey, {_XML} as xml from {{part}}"), "p_partkey", "xml")
-    mappings = ops.view_mappings(nodes, "p_partkey")
-    entry = F.struct("mapping_no", F.concat("target", F.lit("="), "source").alias("m"))
-    # a node has as many mappings as its text holds
-    joined = mappings.groupBy("p_partkey", "node_no").agg(F.array_sort(F.collect_list(entry)).alias("ms"))
-    listed = nodes.drop("node_xml").join(joined, ["p_partkey", "node_no"], "left")
-    text = F.coalesce(F.array_join(F.transform("ms", lambda m: m["m"]), ";"), F.lit(""))
-    return listed.select("p_partkey", "node_no", "node", "kind", "join_type", "n_inputs", text.alias("mappings"))
+    return ops.view_items(t.sql(f"select p_partkey, {_XML} as xml from {{part}}"), "p_partkey", "xml")
 
 
 @query(
     "T17_combine_group",
-    """select lang as group_id, count(*) as n_members,
-       string_agg('CV_' || lpad(cast(doc_id as varchar), 9, '0') || ' starts here' || chr(10) || chr(10) || text, chr(10) order by doc_id) as combined
-       from (select *, cast(doc_id % 97 as varchar) || lang as grp from documents) group by grp, lang""",
+    f"""select grp as group_id, (no - 1) // {rel.PART_SIZE} as part_no, count(*) as n_members,
+       string_agg('CV_DOC_' || lpad(cast(doc_id as varchar), 9, '0') || ' starts here' || chr(10) || chr(10) || text, chr(10) order by doc_id) as combined
+       from (select *, row_number() over (partition by grp order by doc_id) as no
+             from (select *, case when doc_id % 3 = 0 then 'hot' else cast(doc_id % 97 as varchar) || lang end as grp from documents)) group by 1, 2""",
 )
 def _(t: Tables):
     docs = t.documents.select(
-        F.concat((F.col("doc_id") % 97).cast("string"), "lang").alias("grp"), "lang",
-        F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("name"), "text",
+        F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.concat((F.col("doc_id") % 97).cast("string"), "lang")).alias("grp"),
+        ops.combined_name(F.concat(F.lit("X_DOC_"), F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".txt"))).alias("name"), "text",
     )
     combined = rel.combine_group(docs, "grp", "name", "text")
-    lang = F.regexp_replace("grp", "^[0-9]+", "")
-    return combined.select(lang.alias("group_id"), F.col("n_members").cast("long").alias("n_members"), "combined")
+    return combined.select(F.col("grp").alias("group_id"), "part_no", F.col("n_members").cast("long").alias("n_members"), "combined")
 
 
 @query(

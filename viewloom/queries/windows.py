@@ -12,13 +12,18 @@ from viewloom.queries.base import Tables, query
 SORT = ("processed_on", "seq")
 
 
+def _dated():
+    """A chunk is a date, and for dates with very many changes a range of them."""
+    return F.struct(F.col("processed_on"), F.floor(F.col("seq") / 100_000))
+
+
 @query(
     "W01_next_pointer",
     """select mutation_id, policy, coverage, correction,
        lead(mutation_id) over (partition by policy, coverage, correction order by processed_on, seq) as next_id from {log} l""",
 )
 def _(t: Tables):
-    found = scans.next_value(t.log, Ordering(("policy", "coverage", "correction"), SORT), "mutation_id", "next_id")
+    found = scans.next_value(t.log, Ordering(("policy", "coverage", "correction"), SORT, chunk=_dated()), "mutation_id", "next_id")
     return found.select("mutation_id", "policy", "coverage", "correction", "next_id")
 
 
@@ -30,7 +35,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     log = t.log
-    chained = scans.next_value(log, Ordering(("policy", "coverage", "correction"), SORT), "mutation_id", "nxt")
+    chained = scans.next_value(log, Ordering(("policy", "coverage", "correction"), SORT, chunk=_dated()), "mutation_id", "nxt")
     before = chained.select(
         F.col("nxt").alias("mutation_id"), "coverage", F.col("kind").alias("kind_before"),
         F.col("amount").cast("double").alias("amount_before"),
@@ -154,7 +159,7 @@ def _(t: Tables):
 def _(t: Tables):
     known = F.col("salary").isNotNull()
     found = scans.last_known(
-        t.log, Ordering(("policy",), SORT), {"salary": F.col("salary"), "salary_date": F.col("processed_on")}, known
+        t.log, Ordering(("policy",), SORT, chunk=_dated()), {"salary": F.col("salary"), "salary_date": F.col("processed_on")}, known
     )
     return found.select("mutation_id", F.col("salary").cast("double").alias("salary"), "salary_date")
 
