@@ -101,11 +101,11 @@ def fit(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "tex
     """Fit on the rows where ``labelled`` holds and ``lang`` is not null.
 
     Document frequencies are counted over all these rows. The centroids of a language are clustered in one task from at
-    most about ``per_language`` rows with letters, chosen by a hash of the key. The driver gets the document frequencies
+    most about ``per_language`` different rows with letters, chosen by a hash of key and text. The driver gets the document frequencies
     and a few centroids per language. Without a labelled row the model has no language.
     """
     rows = docs.where(labelled & F.col(f"`{lang}`").isNotNull()).select(
-        F.col(f"`{lang}`").alias("lang"), F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(1 << 30)).alias("draw"), F.col(f"`{text}`").alias("text")
+        F.col(f"`{lang}`").alias("lang"), F.pmod(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")), F.lit(1 << 30)).alias("draw"), F.col(f"`{text}`").alias("text")
     )
     # one row per language, of known size: joining it does not deal the texts out by language
     counts = materialize(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
@@ -150,7 +150,9 @@ def fit(docs: DataFrame, labelled: Column, key: str = "doc_id", text: str = "tex
         least = MARGIN * float(np.quantile(best, QUANTILE)) if len(best) else 0.0
         return pd.DataFrame({"lang": group["lang"].iloc[0], "least": least, "centroid": [c.astype(np.float32).tobytes() for c in centroids]})
 
-    fitted = seen.where("counts is not null").select("lang", "draw", "counts").groupBy("lang").applyInPandas(cluster, "lang string, least double, centroid binary")
+    # repeated rows draw alike: one of them is enough, and the bound holds
+    sample = seen.where("counts is not null").select("lang", "draw", "counts").groupBy("lang", "draw").agg(F.min("counts").alias("counts"))
+    fitted = sample.groupBy("lang").applyInPandas(cluster, "lang string, least double, centroid binary")
     found = sorted(fitted.collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))
     centroids = np.array([np.frombuffer(r["centroid"], np.float32) for r in found], np.float32).reshape(-1, WIDTH)
     return Model(idf, tuple(r["lang"] for r in found), centroids, np.array([r["least"] for r in found]))

@@ -97,7 +97,9 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, key: str = "doc_id",
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], names=["k", "y", "bits"])
 
     key_type = rows.schema["k"].dataType.simpleString()
-    got = sorted(rows.mapInArrow(run, f"k {key_type}, y int, bits binary").collect(), key=lambda r: (r["k"], r["y"], bytes(r["bits"])))
+    # one row per label, whatever number of documents has its key
+    found = rows.mapInArrow(run, f"k {key_type}, y int, bits binary").groupBy("k", "y").agg(F.min("bits").alias("bits"))
+    got = sorted(found.collect(), key=lambda r: (r["k"], r["y"], bytes(r["bits"])))
     y = np.array([1.0 if r["y"] else -1.0 for r in got])
     if not len(y) or abs(y.sum()) == len(y):
         return Model(np.zeros(WIDTH), np.zeros(WIDTH), float(y[0]) if len(y) else 0.0)

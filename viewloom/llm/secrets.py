@@ -175,14 +175,16 @@ def labelled_findings(docs: DataFrame, key: str = "doc_id", text: str = "text",
     A document gives its words as surroundings. Findings labelled 1 are random values (hexadecimal, base64, prefixed keys) where a secret is assigned;
     findings labelled 0 are the same values as checksums, revisions and parts of paths, identifiers, and words of the document run together, in any place.
     """
-    rows = docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("text")).where("text is not null")
-    chosen = rows.select("k", "text", F.xxhash64("k", "text").alias("draw")).orderBy("draw", "k").limit(bound)
+    rows = docs.where(F.col(f"`{text}`").isNotNull()).select(F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("draw"))
+    # the draws are chosen without their texts; repeated rows draw alike and count once
+    draws = rows.select("draw").distinct().orderBy("draw").limit(bound)
+    chosen = rows.join(F.broadcast(draws), "draw").groupBy("draw").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for body, draw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = re.findall(r"[^\W\d_]+", body[:4096]) or ["text"]
+                words = re.findall(r"[^\W\d_]+", body) or ["text"]
                 for label, frames in ((1, POSITIVE), (0, NEGATIVE)):
                     for n, frame in enumerate(frames):
                         digest = hashlib.sha256(f"{draw}:{label}:{n}".encode()).digest()
