@@ -145,7 +145,7 @@ def segment_reuse(mutations: DataFrame) -> DataFrame:
     order = log_order("policy", last=())
     stepped = previous_values(moments, order, {"__state": F.col("state"), "__birth": F.col("birth")})
     opens = (F.col("__state") == END) & (F.col("state") != END) & (F.col("birth") != F.col("__birth"))
-    flagged = materialize(stepped.select("policy", *SORT, F.when(opens, 1).alias("__opens")), "segments")
+    flagged = stepped.select("policy", *SORT, F.when(opens, 1).alias("__opens"))
     counted = running_count(flagged, order, "__opens", "segment")
     reused = counted.filter(F.col("segment") > 0)
     return reused.select("policy", *SORT, F.concat("policy", F.lit("_"), F.col("segment").cast("string")).alias("reused_id"))
@@ -167,7 +167,7 @@ _STATE = [
 
 def coverage_states(mutations: DataFrame) -> DataFrame:
     """Mutations on coverage level, each pointing to its successor; corrections form their own chain."""
-    states = materialize(mutations.select(*_STATE).distinct(), "coverage-states")
+    states = mutations.select(*_STATE).distinct()
     return next_value(states, log_order("policy", "coverage", "correction"), "mutation_id", "next_mutation")
 
 
@@ -557,7 +557,7 @@ def mortality_snapshot(log: DataFrame, addresses: DataFrame, income: DataFrame,
     transactions = materialize(attach_previous(mutations, states), "transactions")
     persons = materialize(latest_person(person_feed(transactions)), "persons")
     deaths = find_deaths(states, persons, p)
-    info = materialize(personal_info(transactions, persons, deaths), "info")
+    info = personal_info(transactions, persons, deaths)
     relevant = materialize(relevant_transactions(transactions, deaths), "relevant")
     shown = materialize(valid_years(yearly_states(relevant, p), deaths.first), "years")
     history = addresses_of(persons, addresses, income)
