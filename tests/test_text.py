@@ -1,3 +1,5 @@
+import random
+
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -30,6 +32,18 @@ def test_mapping_order_words_and_case(spark):
     assert ops.apply_mapping(scripts, "text", mapping.limit(0)).first()[0] == scripts.first()[0]
 
 
+def test_mapping_by_words_is_mapping_one_by_one(spark):
+    rng = random.Random(7)
+    parts = ["a", "B", "ab", "_x", "/", ".", " ", "é", "T1", "-"]
+    make = lambda n: "".join(rng.choice(parts) for _ in range(n))
+    scripts = spark.createDataFrame([(i, make(rng.randint(0, 25))) for i in range(120)] + [(200, None)], "id int, text string")
+    for keys in (["a", "B", "ab", "T1", "é", "a.b"], ["a", "/a", "B", "-", "ab/", "T1"]):
+        mapping = spark.createDataFrame([(k, make(rng.randint(1, 3)), i) for i, k in enumerate(keys)], "key string, value string, ordinal int")
+        placed = mapping.select(F.col("ordinal").alias("__no") + 1, "key", "value").toDF("__no", "key", "value")
+        want = ops._apply_slices(scripts, "text", placed, True, 100)
+        assert rows(ops.apply_mapping(scripts, "text", mapping)) == rows(want)
+
+
 def test_word_borders_know_accents(spark):
     scripts = spark.createDataFrame([("le leè élé É",)], "text string")
     mapping = spark.createDataFrame([("LE", "x", 1), ("é", "y", 2)], "key string, value string, ordinal int")

@@ -7,6 +7,7 @@ wherever possible and needs no shuffle. Lines or cells are exploded only to join
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,28 +32,77 @@ def apply_mapping(
 ) -> DataFrame:
     """Replace the ``key`` of every mapping row by its ``value``, in order of ``ordinal``.
 
-    Later replacements see the results of earlier ones. Whole words are found regardless of case, plain
-    keys exactly. The mapping reaches the scripts as scalar subqueries of at most ``slice_size`` entries;
-    a longer mapping is applied slice after slice, which keeps the order.
+    Later replacements see the results of earlier ones. Whole words are found regardless of case, plain keys exactly.
+
+    Whole words: a key can only apply where its first word is a word of the script, or of a value that an earlier entry may have put there. Such
+    pairs are found by equality of words, and each script is worked on with its own few entries. Keys that begin or end with something other
+    than a word character may join their value to a neighbouring word; scripts they may apply to, and plain keys, are tested against all entries, which reach
+    them as scalar subqueries of at most ``slice_size`` entries, slice after slice.
     """
     placed = numbered(
         mapping.select(F.lit(1).alias("__all"), "ordinal", "key", "value"),
         Ordering(("__all",), ("ordinal", "key"), chunk=F.floor(F.col("ordinal") / 100_000)),
         "__no",
     )
-    placed = materialize(placed, "mapping")  # each slice reads its own part
-    count = placed.count()
-
-    def replaced(text_so_far: Column, entry: Column) -> Column:
-        if not whole_words:
-            return F.replace(text_so_far, entry["key"], entry["value"])
-        word = F.concat(F.lit(r"(?iuU)\b\Q"), entry["key"], F.lit(r"\E\b"))
-        literal = F.regexp_replace(entry["value"], r"([\\$])", r"\\$1")
-        # the cheap test spares the regular expression for keys that do not occur at all
-        occurs = F.contains(F.lower(text_so_far), F.lower(entry["key"]))
-        return F.when(occurs, F.regexp_replace(text_so_far, word, literal)).otherwise(text_so_far)
-
-    for number in range(math.ceil(count / slice_size)):
+    placed = materialize(placed.drop("__all"), "mapping")
+    if not whole_words:
+        return _apply_slices(scripts, text, placed, False, slice_size)
+    reach = materialize(_word_reach(placed), "reach")
+    numbered_scripts = materialize(scripts.withColumn("__script", F.monotonically_increasing_id()), "scripts")
+    # the empty word stands for keys without any: they may apply everywhere
+    words = numbered_scripts.select("__script", F.explode(F.concat(_words(F.col(text)), F.array(F.lit("")))).alias("__word"))
+    due = words.join(reach, "__word").groupBy("__script").agg(F.max("open").alias("__open"), F.collect_set("__no").alias("nos"))
+    due = materialize(due, "due")
+    pairs = due.filter(~F.col("__open")).select("__script", F.explode("nos").alias("__no"))
+    entries = pairs.join(placed.select("__no", "key", "value"), "__no").groupBy("__script")
+    entries = entries.agg(F.array_sort(F.collect_list(F.struct("__no", "key", "value"))).alias("__entries"))
+    unready = due.filter("__open").select("__script", "__open")
+    joined = numbered_scripts.join(entries, "__script", "left").join(unready, "__script", "left")
+    folded = F.aggregate(F.coalesce("__entries", F.array().cast(entries.schema["__entries"].dataType)), F.col(text), _replace_word)
+    plain = joined.filter("__open is null").withColumn(text, folded).select(*scripts.columns)
+    whole = joined.filter("__open").select(*scripts.columns)
+    return plain.unionByName(_apply_slices(whole, text, placed, True, slice_size)) if not unready.isEmpty() else plain
+
+
+def _words(c: Column) -> Column:
+    """The distinct words of a text, folded as a search without case folds them."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(?U)(\w+)"), 1), lambda w: F.lower(F.upper(w))))
+
+
+def _word_reach(placed: DataFrame) -> DataFrame:
+    """(word, number of an entry, open): what may apply once the word stands in a script, through values too."""
+    first = F.get(_words(F.col("key")), F.lit(0))
+    edged = F.rlike("key", F.lit(r"(?U)^\W|\W$"))
+    entries = placed.select("__no", first.alias("__word"), edged.alias("open"), _words(F.col("value")).alias("brought"))
+    entries = materialize(entries.withColumn("__word", F.coalesce("__word", F.lit(""))), "entries")
+    heads = entries.select("__word", "__no", "open")
+    found = [heads]
+    frontier = heads
+    while True:
+        brought = frontier.select(F.col("__word").alias("start"), "__no").join(entries.select("__no", F.explode("brought").alias("__word")), "__no")
+        further = brought.select("start", "__word").distinct().join(heads, "__word").select(F.col("start").alias("__word"), "__no", "open").distinct()
+        known = reduce(DataFrame.unionByName, found)
+        frontier = materialize(further.join(known, ["__word", "__no"], "left_anti"), "reach")
+        if frontier.isEmpty():
+            return reduce(DataFrame.unionByName, found)
+        found.append(frontier)
+
+
+def _replace_word(text_so_far: Column, entry: Column) -> Column:
+    word = F.concat(F.lit(r"(?iuU)\b\Q"), entry["key"], F.lit(r"\E\b"))
+    literal = F.regexp_replace(entry["value"], r"([\\$])", r"\\$1")
+    # the cheap test spares the regular expression for keys that do not occur at all
+    occurs = F.contains(F.lower(text_so_far), F.lower(entry["key"]))
+    return F.when(occurs, F.regexp_replace(text_so_far, word, literal)).otherwise(text_so_far)
+
+
+def _replace_plain(text_so_far: Column, entry: Column) -> Column:
+    return F.replace(text_so_far, entry["key"], entry["value"])
+
+
+def _apply_slices(scripts: DataFrame, text: str, placed: DataFrame, whole_words: bool, slice_size: int) -> DataFrame:
+    replaced = _replace_word if whole_words else _replace_plain
+    for number in range(math.ceil(placed.count() / slice_size)):
         inside = (F.col("__no") > number * slice_size) & (F.col("__no") <= (number + 1) * slice_size)
         entries = placed.filter(inside).agg(F.array_sort(F.collect_list(F.struct("__no", "key", "value"))))
         with_entries = scripts.withColumn("__entries", entries.scalar())
