@@ -104,3 +104,29 @@ def test_hot_key_is_not_one_group(log):
     windows = [line for line in physical.splitlines() if "+- Window [" in line]
     assert len(windows) == 2
     assert "windowspecdefinition(__slot" in windows[0] and "__edge" in windows[1]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_ties_are_decided_by_the_carry_alone(log, descending):
+    o, window = Ordering(("key",), ("day",), descending), plain(("day",), descending)
+    flagged = log.withColumn("flag", F.when(F.col("value") % 7 == 0, 1))
+    ranks = scans.ranked(log, o, "x")
+    counts = scans.running_count(flagged, o, "flag", "x")
+    highest = scans.running(log, o, {"x": (F.max, "value")}, rows=False)
+    assert rows(ranks, "id", "x") == rows(log.select("id", F.rank().over(window)))
+    assert rows(counts, "id", "x") == rows(flagged.select("id", F.count("flag").over(window)))
+    assert rows(highest, "id", "x") == rows(log.select("id", F.max("value").over(window)))
+    # one window, and it stands over the aggregated chunks: a single hot (key, day) is never a window partition of rows
+    for df in (ranks, counts, highest):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Window [") == 1 and plan.index("Window [") < plan.index("Aggregate [")
+
+
+@pytest.mark.parametrize("order, chunk", [(("day",), None), (("day", "seq"), "day")])
+def test_island_fill_agrees_with_a_join_by_island(log, order, chunk):
+    flagged = log.withColumn("flag", F.when(F.col("value") % 50 == 0, 1)).filter("key is not null")
+    got = scans.island_fill(flagged, Ordering(("key",), order, chunk=None if chunk is None else F.col(chunk)), "flag", ["value"])
+    island = flagged.withColumn("n", F.count("flag").over(plain(order)))
+    openers = island.filter("flag = 1").select(F.col("key").alias("k"), F.col("n").alias("m"), F.col("value").alias("v"))
+    want = island.join(openers, (F.col("key") == F.col("k")) & (F.col("n") == F.col("m"))).select("id", "v")
+    assert rows(got, "id", "value") == rows(want)
