@@ -229,7 +229,9 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", share: float =
     probability: dict[int, object] = {}
     weight: dict[int, object] = {}
     for order in range(ORDER, 0, -1):
-        priced = grams.join(_discounts(grams), F.col("lang") == F.col("l")).withColumn("d", _discount(F.col("adjusted")))
+        # one row per language, of known size: joining it does not deal the n-grams out by language
+        discounts = materialize(_discounts(grams), f"discounts{order}")
+        priced = grams.join(discounts, F.col("lang") == F.col("l")).withColumn("d", _discount(F.col("adjusted")))
         context = F.shiftright("gram", BITS)
         sums = priced.groupBy("lang", context.alias("context")).agg(F.sum("adjusted").alias("c"), F.sum("d").alias("mass"), F.sum("raw").alias("raw_c"))
         sums = materialize(sums, f"contexts{order}")
@@ -312,7 +314,7 @@ def judge(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang")
     scored = materialize(scored.withColumn("base_failed", failed), "judged")
     clean = ~F.col("base_failed") & (F.col("n_symbols") <= SYMBOL_SHARE * F.col("n_words")) & F.col("log_perplexity").isNotNull()
     bands = scored.where(clean).groupBy(F.col(f"`{lang}`").alias("__lang")).agg(F.percentile_approx("log_perplexity", list(QUANTILES), 10000).alias("q"))
-    bands = bands.select("__lang", (F.col("q")[0] - WIDENED).alias("lower"), (F.col("q")[1] + WIDENED).alias("upper"))
+    bands = materialize(bands, "quantiles").select("__lang", (F.col("q")[0] - WIDENED).alias("lower"), (F.col("q")[1] + WIDENED).alias("upper"))
     judged = scored.join(bands, F.col(f"`{lang}`").eqNullSafe(F.col("__lang")), "left").drop("__lang")
     inside = F.col("lower").isNull() | F.col("log_perplexity").isNull() | F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     return judged.withColumn("kept", ~F.col("base_failed") & inside)
