@@ -2,7 +2,8 @@
 
 Every policy coverage is reported once per year from its first mutation on, as it stood at the end of the
 year (EoY) and on its first day (BoY). The log is keyed by policy and sorted by processing date, change
-number and mutation date. All steps are lazy frames; the caller runs one action on the report.
+number and mutation date. Frames that several branches read are written once while the report is planned
+(``session.materialize``); the report itself is lazy, and the caller runs the last action.
 
 Scale: a policy may hold a large share of the log. Ordered steps use the two-level scans of
 ``viewloom.operators.scans``; "latest" steps are aggregations; conditions on other rows of a policy are
