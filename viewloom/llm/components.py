@@ -13,8 +13,8 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
 
     Each round hangs the larger neighbours of a node on its least neighbour, then the smaller ones, until the
     links no longer change: then they are stars. A round is two aggregations with partial minima and two
-    equality joins, so a hub with many links is never gathered; the rounds grow with the logarithm of the
-    longest path. Null ends and links of a node to itself are ignored, repeated links count once. Every round is written to
+    equality joins, so a hub with many links is never gathered: the minima are written first, so that Spark can
+    split the links of a hub when it joins them. The rounds grow with the logarithm of the longest path. Null ends and links of a node to itself are ignored, repeated links count once. Every round is written to
     the checkpoint folder, and the round before it is deleted.
     """
     clean = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u <> v")
@@ -22,7 +22,7 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     links = materialize(clean.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
     state = _state(links)
     while True:
-        links = materialize(_small_star(_large_star(links)), "links")
+        links = materialize(_small_star(materialize(_large_star(links), "links")), "links")
         now = _state(links)
         release(links.sparkSession, mark, keep=1)
         if now == state:
@@ -38,11 +38,11 @@ def _state(links: DataFrame) -> tuple:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v"), F.col("u"))).toDF("u", "v")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     hung = links.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.union(least.select("u", F.col("m").alias("v"))).distinct()
