@@ -100,6 +100,23 @@ def test_a_hot_anchor_is_split_into_tiles(spark, monkeypatch):
     check_links(spark, sorted({near(rng, centre, rng.randint(0, 3)) for _ in range(300)} | {rng.getrandbits(64) for _ in range(50)}))
 
 
+def test_pairs_at_home_at_a_hot_anchor_meet(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "UNSPLIT", 20)
+    rng = random.Random(8)
+    home, values = rng.getrandbits(15), set()
+    # an anchor word of the first block: pairs at distance 4 with both at home there, 2 bits apart in each of the other blocks, no centre
+    syndrome = int(simhash._syndromes(np.array([home], np.uint64))[0])
+    home ^= 1 << syndrome - 1 if syndrome else 0
+    for _ in range(150):
+        a = rng.getrandbits(43) << 21 | home
+        b = a
+        for first, width in simhash.BLOCKS[1:]:
+            for bit in rng.sample(range(width), 2):
+                b ^= 1 << first + bit
+        values |= {a, b}
+    check_links(spark, sorted(values))
+
+
 def documents():
     base = " ".join(f"word{i}" for i in range(300))
     rows = [(5, base), (3, base), (9, base + " tail"), (9, base + " tail"), (7, None), (8, ""), (2, "other words here now and then"), (None, base), (None, "alone in the world"), (11, "x")]

@@ -113,7 +113,10 @@ def _frame(batches: Iterator[pa.RecordBatch], grids: dict[int, int]) -> Iterator
             if len(hot):
                 at = np.minimum(np.searchsorted(hot, anchors), len(hot) - 1)
                 side = np.where(hot[at] == anchors, np.array([grids[int(h)] for h in hot])[at], 1)
-                # a hot anchor is a grid: home copies take a line of it, the others a column
+                # a hot anchor is a grid: home copies take a line of it, and all copies, those at home too, a column
+                twin = np.flatnonzero(homes & (side > 1))
+                rows, anchors, side = (np.concatenate((x, x[twin])) for x in (rows, anchors, side))
+                homes = np.concatenate((homes, np.zeros(len(twin), bool)))
                 again = np.repeat(np.arange(len(rows)), side)
                 turn = np.arange(len(again)) - np.repeat(np.cumsum(side) - side, side)
                 rows, anchors, homes, side = rows[again], anchors[again], homes[again], side[again]
