@@ -99,6 +99,16 @@ def test_bands_reject_what_is_unlike_the_corpus(spark):
         assert (got[i].n_words, got[i].word_chars, got[i].n_symbols, got[i].n_dup_lines, got[i].n_repeat_words) == slow_base(t)
 
 
+def test_rare_grams_of_a_small_language_stay(spark):
+    rng = random.Random(7)
+    small = "zwölf boxkämpfer jagen viktor quer über den großen sylter deich"
+    frame = spark.createDataFrame([(1, sentences(rng, 600_000), "en", "", 0), (2, small, "de", "", 0)], SCHEMA)
+    model = perplexity.fit(frame)
+    kept = {int(x) for x in model.hashes}
+    assert {int(x) for g in perplexity._grams(small) for x in perplexity._mix(g, perplexity.ORDER, perplexity._salt("de"))} <= kept
+    assert model.score(small, "de") < model.score("unlike all that was counted", "de")
+
+
 def test_slices_have_every_gram(monkeypatch):
     body = sentences(random.Random(6), 2000)
     whole = np.sort(np.concatenate(list(perplexity._grams(body))))

@@ -19,8 +19,6 @@ from viewloom.session import materialize
 #: The model looks at characters, this many at a time; a character takes so many bits of a packed n-gram.
 ORDER, BITS = 4, 12
 FIRST, LAST = 0xFFF, 0xFFE
-#: An n-gram enters the model if it makes at least this share of all n-grams counted: at most 1 / SHARE of each order do.
-SHARE = 1e-6
 #: The model is counted on documents of at least so many words with at most this share of symbols per word.
 FEWEST_WORDS, SYMBOL_SHARE = 10, 0.05
 #: The bands reach from the lower to the upper quantile of log-perplexity of those documents, and this much further.
@@ -215,12 +213,12 @@ def _discounts(grams: DataFrame) -> DataFrame:
     return guarded.select("l", *[d.alias(f"d{k}") for k, d in enumerate(fine, 1)])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", share: float = SHARE) -> Model:
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang", share: float = 0.0) -> Model:
     """Counts all reference documents in Spark and builds the model.
 
     The counts of the highest order are exact; a lower order counts the different characters in front (how often, at the start of a
-    text). Discounts, context sums and context weights come from all counts. Only n-grams with at least ``share`` of all counts come to the driver: their
-    number is bounded, and the mass of the others goes to the lower orders.
+    text). Discounts, context sums and context weights come from all counts. Every n-gram counted enters the model, which grows with the corpus and is put
+    together on the driver. A caller who sets ``share`` leaves out those with less than this share of all counts; their mass goes to the lower orders.
     """
     top = materialize(count(docs, text, lang), "grams")
     total = top.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -236,8 +234,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", share: float =
         sums = priced.groupBy("lang", context.alias("context")).agg(F.sum("adjusted").alias("c"), F.sum("d").alias("mass"), F.sum("raw").alias("raw_c"))
         sums = materialize(sums, f"contexts{order}")
         kept = priced.where(F.col("raw") >= least).withColumn("context", context).join(sums, ["lang", "context"])
-        probability[order] = kept.select("lang", "gram", ((F.col("adjusted") - F.col("d")) / F.col("c")).alias("p")).toPandas()
-        weight[order] = sums.where(F.col("raw_c") >= least).select("lang", "context", (F.col("mass") / F.col("c")).alias("w")).toPandas()
+        probability[order] = kept.select("lang", "gram", ((F.col("adjusted") - F.col("d")) / F.col("c")).alias("p")).toArrow().to_pandas()
+        weight[order] = sums.where(F.col("raw_c") >= least).select("lang", "context", (F.col("mass") / F.col("c")).alias("w")).toArrow().to_pandas()
         if order > 1:
             suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
             start = F.shiftright(F.col("s"), BITS * (order - 2)) == FIRST
