@@ -99,6 +99,17 @@ def test_bands_reject_what_is_unlike_the_corpus(spark):
         assert (got[i].n_words, got[i].word_chars, got[i].n_symbols, got[i].n_dup_lines, got[i].n_repeat_words) == slow_base(t)
 
 
+def test_gibberish_does_not_stretch_the_band(spark):
+    rng = random.Random(9)
+    rows = [(i, sentences(rng, rng.randint(20, 120)), "en") for i in range(300)]
+    rows += [(1000 + i, " ".join("".join(rng.choices("bcdfgjkqvxz", k=6)) for _ in range(60)), "en") for i in range(12)]
+    copies = [(2000 + i, rows[-1][1], "en") for i in range(9)]
+    frame = spark.createDataFrame([(*x, "", 0) for x in rows + copies], SCHEMA)
+    got = {x.doc_id: x for x in perplexity.judge(frame, perplexity.fit_folds(frame)).collect()}
+    assert all(got[i].kept for i in range(300))
+    assert not any(x.kept or x.base_failed for i, x in got.items() if i >= 1000)
+
+
 def test_rare_grams_of_a_small_language_stay(spark):
     rng = random.Random(7)
     small = "zwölf boxkämpfer jagen viktor quer über den großen sylter deich"

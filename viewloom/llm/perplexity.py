@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,10 @@ ORDER, BITS = 4, 12
 FIRST, LAST = 0xFFF, 0xFFE
 #: The model is counted on documents of at least so many words with at most this share of symbols per word.
 FEWEST_WORDS, SYMBOL_SHARE = 10, 0.05
-#: The bands reach from the lower to the upper quantile of log-perplexity of those documents, and this much further.
-QUANTILES, WIDENED = (0.001, 0.999), 0.15
+#: A band reaches this many quartile distances, and at least so far, to both sides of the median log-perplexity of those documents.
+REACH, NARROWEST = 3.0, 0.15
+#: Joins the fold and the language in a model that is counted in two folds.
+FOLD = "\x00"
 #: Distinct n-grams that a task holds before it sends its counts.
 HELD = 1 << 21
 
@@ -156,6 +158,7 @@ class Model:
     index: np.ndarray
     shift: int
     floor: dict[str, float]
+    folded: bool = False
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of the hashes, -1 where missing."""
@@ -245,6 +248,18 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", share: float =
     return _assemble(probability, weight)
 
 
+def _fold(text: str, lang: str, other: bool) -> Column:
+    """The language of a document in its own or in the other fold; copies of a text are in the same fold."""
+    own = F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(2))
+    return F.concat((1 - own if other else own).cast("string"), F.lit(FOLD), F.coalesce(F.col(f"`{lang}`"), F.lit("")))
+
+
+def fit_folds(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """A model counted in two folds by a hash of the text, so that a document is scored by counts without it and its copies."""
+    rows = docs.select(F.col(f"`{text}`").alias("text"), _fold(text, lang, False).alias("lang"))
+    return replace(fit(rows), folded=True)
+
+
 def _assemble(probability: dict, weight: dict) -> Model:
     languages = sorted(set(probability[1]["lang"]))
     floor, parts = {}, []
@@ -293,9 +308,9 @@ def _assemble(probability: dict, weight: dict) -> Model:
 def judge(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` without its text, with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, log_perplexity, lower, upper and kept.
 
-    Base rules: fewer than 10 words, or more than a fifth of them in repeated five-word windows. The band of a language reaches from the lowest to the highest
-    thousandth of log-perplexity among its documents that the model was counted on and that pass the base rules, and 0.15 further on both sides; a
-    document outside it is not kept. A language without such a document has no band and rejects nothing. Null text counts as empty, a null language is
+    Base rules: fewer than 10 words, or more than a fifth of them in repeated five-word windows. The band of a language reaches three quartile
+    distances (at least 0.15) to both sides of the median log-perplexity of its documents that may be counted and that pass the base rules; a document outside it is
+    not kept. A model of ``fit_folds`` scores each document by the fold without it; a language with documents in one fold only has no score. A language without a scored document has no band and rejects nothing. Null text counts as empty, a null language is
     one of its own, rows with null or repeated keys are judged like others, columns with the names of new ones are replaced.
     """
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -307,12 +322,16 @@ def judge(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang")
 
     made = {*names, "log_perplexity", "base_failed", "lower", "upper", "kept"}
     rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made])
-    scored = with_columns(rows, [text, lang], fields, compute).drop(text)
+    if model.folded:
+        rows = rows.withColumn("__fold", _fold(text, lang, True))
+    scored = with_columns(rows, [text, "__fold" if model.folded else lang], fields, compute).drop(text, "__fold")
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = materialize(scored.withColumn("base_failed", failed), "judged")
     clean = ~F.col("base_failed") & (F.col("n_symbols") <= SYMBOL_SHARE * F.col("n_words")) & F.col("log_perplexity").isNotNull()
-    bands = scored.where(clean).groupBy(F.col(f"`{lang}`").alias("__lang")).agg(F.percentile_approx("log_perplexity", list(QUANTILES), 10000).alias("q"))
-    bands = materialize(bands, "quantiles").select("__lang", (F.col("q")[0] - WIDENED).alias("lower"), (F.col("q")[1] + WIDENED).alias("upper"))
+    quartiles = F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000)
+    bands = materialize(scored.where(clean).groupBy(F.col(f"`{lang}`").alias("__lang")).agg(quartiles.alias("q")), "quartiles")
+    reach = F.greatest(REACH * (F.col("q")[2] - F.col("q")[0]), F.lit(NARROWEST))
+    bands = bands.select("__lang", (F.col("q")[1] - reach).alias("lower"), (F.col("q")[1] + reach).alias("upper"))
     judged = scored.join(bands, F.col(f"`{lang}`").eqNullSafe(F.col("__lang")), "left").drop("__lang")
     inside = F.col("lower").isNull() | F.col("log_perplexity").isNull() | F.col("log_perplexity").between(F.col("lower"), F.col("upper"))
     return judged.withColumn("kept", ~F.col("base_failed") & inside)

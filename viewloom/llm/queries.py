@@ -23,7 +23,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the perplexity verdict on every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return perplexity.judge(documents, perplexity.fit(documents)).drop("lang")
+    return perplexity.judge(documents, perplexity.fit_folds(documents)).drop("lang")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
