@@ -35,6 +35,18 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (SHELL.format(f"<main></main><article></article><div><p>{LONG}</p></div>"), LONG),
+        (SHELL.format(f"<article><p>Teaser</p></article><div><p>{LONG}</p><p>{LONG}</p></div>"), f"{LONG}\n{LONG}"),
+        (SHELL.format(f"<main><p>{LONG}</p><ul>{'<li><a href=x>a long link text in a list of links</a></li>' * 9}</ul></main>"), LONG),
+    ],
+)
+def test_windows_decide_with_main_elements_too(html, text):
+    assert main_text(html).removeprefix("Teaser\n") == text
+
+
 def test_very_long_page():
     body = "".join(f"<p>{LONG} {i}</p>" for i in range(20_000))
     assert main_text(SHELL.format(f"<article>{body}</article>")).count("\n") == 19_999

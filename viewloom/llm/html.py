@@ -141,18 +141,20 @@ def main_text(html: str | None) -> str:
     """The main text of one page: its blocks in page order, one per line, white space inside a block as one space.
 
     Comments, scripts and other raw elements are cut, menus, headers, footers, forms and elements whose class, id or role names something beside the text
-    become runs of empty lines, and what is left stands block by block in lines. Where the page has main elements only their lines have a length, and
-    any text in them is a surge; elsewhere lines of links have no length. The lengths are summed over windows of three lines: text begins where a window surges to 86 characters
+    become runs of empty lines, and what is left stands block by block in lines. Lines of links have no length. Where main elements hold most of the text
+    only their lines count, without the empty ones, and a line of links between two lines of text stays. The lengths are summed over windows of three lines: text begins where a window surges to 86 characters
     (or half the fullest window, if that is less) and ends where the windows dive to nothing; it reaches back over the lines before the surge
     up to the last dive. Null, empty and text-free pages give an empty text.
     """
     if not html:
         return ""
     lines = _strip(html)
-    lengths, level = np.array(lines.lengths, np.int64), SURGE
+    texts, lengths, level = lines.texts, np.array(lines.lengths, np.int64), SURGE
     inside = np.array(lines.main)
-    if inside.any():
-        lengths, level = np.array([len(t) for t in lines.texts], np.int64) * inside, 1
+    limited = 2 * lengths[inside].sum() > lengths.sum()
+    if limited:
+        at = np.flatnonzero(inside & np.array([bool(t) for t in texts]))
+        texts, lengths = [texts[k] for k in at], lengths[at]
     if not lengths.any():
         return ""
     sums = np.convolve(lengths, np.ones(WINDOW, np.int64))[WINDOW - 1 :]  # of a line and the lines after it
@@ -162,7 +164,8 @@ def main_text(html: str | None) -> str:
     for start, end in zip(dives, dives[1:]):  # the lines between two dives
         part = slice(start, max(start, end - 1))
         if sums[part].size and sums[part].max() >= level:
-            kept += [t for t, n in zip(lines.texts[part], lengths[part]) if t and n]
+            full = part.start + np.flatnonzero(lengths[part])
+            kept += texts[full[0] : full[-1] + 1] if limited else [texts[k] for k in full]
     return "\n".join(kept)
 
 
