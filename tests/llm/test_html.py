@@ -47,6 +47,17 @@ def test_windows_decide_with_main_elements_too(html, text):
     assert main_text(html).removeprefix("Teaser\n") == text
 
 
+@pytest.mark.parametrize("name", ["content-with-sidebar", "page-no-sidebar", "post comments-open", "long-form", "side-by-side", "search-result-article"])
+def test_a_name_does_not_cost_the_article(name):
+    text = "\n".join([LONG] * 6)
+    body = "".join(f"<p>{LONG}</p>" for _ in range(6))
+    assert main_text(SHELL.format(f'<div class="{name}"><article>{body}</article></div>')) == text
+    assert main_text(SHELL.format(f'<article id="{name}">{body}</article>')) == text
+    assert main_text(SHELL.format(f'<div class="{name}">{body}</div>')) == text
+    assert main_text("".join(f'<div class="{name}"><p>{LONG}</p></div>' for _ in range(3))) == "\n".join([LONG] * 3)
+    assert main_text(SHELL.format(f'<article>{body}</article><div class="comments">{body}{body}</div>')) == text
+
+
 def test_very_long_page():
     body = "".join(f"<p>{LONG} {i}</p>" for i in range(20_000))
     assert main_text(SHELL.format(f"<article>{body}</article>")).count("\n") == 19_999

@@ -49,14 +49,11 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|\Z)|aria-hidden\s*=\s*["']?true
 
 def _beside(attrs: str) -> bool:
     """Class, id or role names something beside the text; what only has or lacks such a thing ("with-sidebar") is not meant."""
-    if not attrs:
-        return False
-    if _HIDDEN.search(attrs):
-        return True
     for m in _NAMED.finditer(attrs):
         for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", m[1] or m[2] or m[3] or "").lower().split():
             words = re.findall(r"[a-z]+", name)
-            if words and words[0] not in WRAPPING and any(w in ASIDE_WORDS for w in words):
+            first = next((k for k, w in enumerate(words) if w in ASIDE_WORDS), None)
+            if first is not None and not WRAPPING.intersection(words[:first]):
                 return True
     return False
 
@@ -70,22 +67,41 @@ class _Lines:
         self.main: list[bool] = []
         self.parts: list[str] = []
         self.linked = 0
+        self.named: list[int] = []  # open elements whose name tells that they are beside the text
+        self.around: list[tuple[int, ...]] = []
+        self.sets_off: list[int | None] = []
 
-    def flush(self, main: bool) -> None:
+    def flush(self, main: bool, sets_off: int | None = None) -> None:
         text = " ".join(unescape("".join(self.parts)).split()) if self.parts else ""
         self.parts = []
         outside = len(text) - self.linked
         self.texts.append(text)
         self.lengths.append(len(text) if outside >= (1 - LINKED) * len(text) else 0)
         self.main.append(main)
+        self.around.append(tuple(self.named))
+        self.sets_off.append(sets_off)
         self.linked = 0
 
+    def decide(self) -> None:
+        """Drops the lines of named elements, but not of one with a surge and most of the page's text where other main elements do not hold a tenth of it, nor of all if nothing else has text."""
+        amounts: dict[int, int] = {}
+        whole, core = sum(self.lengths), 0
+        for n, around, main in zip(self.lengths, self.around, self.main):
+            core += n if main and not around else 0
+            for k in around:
+                amounts[k] = amounts.get(k, 0) + n
+        kept = {k for k, n in amounts.items() if n >= SURGE and 2 * n > whole and 10 * core < whole}
+        if not any(n for n, around in zip(self.lengths, self.around) if kept.issuperset(around)):
+            kept = set(amounts)
+        at = [i for i, around in enumerate(self.around) if kept.issuperset(around) and self.sets_off[i] not in kept]
+        self.texts, self.lengths, self.main = ([x[i] for i in at] for x in (self.texts, self.lengths, self.main))
+
 
 def _strip(html: str) -> _Lines:
     """Markup taken off: one line per block, and WINDOW empty lines in place of an element that holds no main text."""
     lines = _Lines()
-    open_tags: list[tuple[str, bool, bool]] = []  # name, beside the text, main
-    beside = main = links = 0
+    open_tags: list[tuple[str, bool, bool, bool]] = []  # name, beside the text, main, named as beside the text
+    beside = main = links = seen = 0
     at = 0
 
     def add(text: str) -> None:
@@ -95,10 +111,10 @@ def _strip(html: str) -> _Lines:
         if links:
             lines.linked += len(" ".join(unescape(text).split()))
 
-    def gap() -> None:
+    def gap(sets_off: int | None = None) -> None:
         lines.flush(main > 0)
         for _ in range(WINDOW):
-            lines.flush(main > 0)
+            lines.flush(main > 0, sets_off)
 
     for m in _TOKEN.finditer(html):
         add(html[at : m.start()])
@@ -112,36 +128,50 @@ def _strip(html: str) -> _Lines:
         if tag in VOID_TAGS:
             continue
         if not m["end"]:
-            aside = tag in ASIDE_TAGS or tag not in ("html", "body", "main") and _beside(m["attrs"])
+            free = tag in ("html", "body", "main")
+            aside = tag in ASIDE_TAGS or not free and bool(m["attrs"]) and bool(_HIDDEN.search(m["attrs"]))
             if tag == "body" and beside:  # an unclosed head
                 open_tags, beside, main, links = [], 0, 0, 0
+                lines.named.clear()
             if aside and not beside:
                 gap()
             beside += aside
+            named = not beside and not free and _beside(m["attrs"])
+            if named:
+                seen += 1
+                gap(seen)
+                lines.named.append(seen)
             holds = tag in MAIN_TAGS and not beside
-            open_tags.append((tag, aside, holds))
+            open_tags.append((tag, aside, holds, named))
             main += holds
             links += tag == "a"
-        elif any(name == tag for name, _, _ in open_tags[-64:]) or any(name == tag for name, _, _ in open_tags):
+        elif any(t[0] == tag for t in open_tags[-64:]) or any(t[0] == tag for t in open_tags):
             while open_tags:
-                name, aside, is_main = open_tags.pop()
+                name, aside, is_main, named = open_tags.pop()
+                if named:
+                    lines.flush(main > 0)
+                    ended = lines.named.pop()
                 links -= name == "a"
                 main -= is_main
                 beside -= aside
                 if aside and not beside:
                     gap()
+                if named:
+                    gap(ended)
                 if name == tag:
                     break
     add(html[at:])
     lines.flush(main > 0)
+    if seen:
+        lines.decide()
     return lines
 
 
 def main_text(html: str | None) -> str:
     """The main text of one page: its blocks in page order, one per line, white space inside a block as one space.
 
-    Comments, scripts and other raw elements are cut, menus, headers, footers, forms and elements whose class, id or role names something beside the text
-    become runs of empty lines, and what is left stands block by block in lines. Lines of links have no length. Where main elements hold most of the text
+    Comments, scripts and other raw elements are cut, menus, headers, footers, forms, hidden elements and elements whose class, id or role names something beside the text
+    (unless they hold most of it, or all) become runs of empty lines, and what is left stands block by block in lines. Lines of links have no length. Where main elements hold most of the text
     only their lines count, without the empty ones, and a line of links between two lines of text stays. The lengths are summed over windows of three lines: text begins where a window surges to 86 characters
     (or half the fullest window, if that is less) and ends where the windows dive to nothing; it reaches back over the lines before the surge
     up to the last dive. Null, empty and text-free pages give an empty text.
