@@ -68,6 +68,14 @@ def test_candidates():
     assert [text[i:j] for i, j in secrets.candidates(text)] == ["Ab3Ab3Ab3Ab3Ab3Ab3"]
 
 
+def test_short_values_behind_an_assignment(model):
+    for text, value in [("password: 'Tr0ub4dor&3' x", "Tr0ub4dor&3"), ("passwd: hunter2secret", "hunter2secret"), ('api_key = "k3Jd82LqPz0w"', "k3Jd82LqPz0w")]:
+        found = model.find(text)
+        assert [text[i:j] for i, j, _ in found] == [value] and found[0][2] >= secrets.ENOUGH, (text, found)
+    for text in ["the note: morning garden", "count: 123456", "password: mountain", "time: 10:20:30"]:
+        assert all(p < secrets.ENOUGH for _, _, p in model.find(text)), text
+
+
 def test_empty_tables_and_one_label(spark):
     empty = spark.createDataFrame([], SCHEMA)
     model = secrets.fit(empty)

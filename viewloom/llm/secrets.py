@@ -23,6 +23,13 @@ SHORTEST = 16
 _RUN = re.compile(rf"[A-Za-z0-9+/=_\-.~]{{{SHORTEST},}}")
 _MIXED = re.compile(r"[0-9]|[a-z][A-Z]|[A-Z]{2}[a-z]")
 _ASSIGNED = re.compile(r"[A-Za-z_.\-]+=+(?=[^=])")
+#: Behind an assignment or a secret word any value without spaces of this length is a candidate.
+BRIEFEST = 6
+_GIVEN = re.compile(
+    r"(?<![\w.\-])(?:[A-Za-z_][\w.\-]*[\"'`]?\s{0,3}(?P<sign>[:=]>?|:=)\s{0,3}"
+    r"|(?i:token|secret|password|passwd|passphrase|pwd|api[_\-]?key|key|bearer|credentials?)\s{1,3})"
+    rf"(?:(?P<quote>[\"'`])(?P<quoted>[^\s\"'`]{{{BRIEFEST},}})(?P=quote)|(?P<bare>[^\s\"'`<>]{{{BRIEFEST},}}))"
+)
 #: Characters looked at on each side of a candidate, and what replaces a secret.
 CONTEXT, MASK = 48, "[SECRET]"
 #: Words next to secrets, and next to identifiers that are none.
@@ -45,8 +52,50 @@ FEATURES = 20
 def candidates(text: str | None) -> list[tuple[int, int]]:
     """(start, end) of the runs in a whole text that may be a secret; none for null and empty texts.
 
-    Names and quotes in front of an assignment are not part of the run, nor are dots and dashes at its ends.
+    Names and quotes in front of an assignment are not part of the run, nor are dots and dashes at its ends. A shorter value, or one of other
+    characters, is a candidate behind an assignment or a secret word; it takes the place of runs that are only part of it.
     """
+    found = _runs(text)
+    given = list(_values(text or ""))
+    if not given:
+        return found
+    merged, k = [], 0
+    for i, j, whole in given:
+        while k < len(found) and found[k][1] <= i:
+            merged.append(found[k])
+            k += 1
+        last = k
+        while last < len(found) and found[last][0] < j:
+            last += 1
+        inside = found[k:last]
+        if not inside or whole and i <= inside[0][0] and inside[-1][1] <= j:
+            merged.append((i, j))
+        else:
+            merged += inside
+        k = last
+    return merged + found[k:]
+
+
+def _values(text: str) -> Iterator[tuple[int, int, bool]]:
+    """(start, end, whether it is taken whole) of values behind an assignment or a secret word."""
+    at = 0
+    while m := _GIVEN.search(text, at):
+        kind = "quoted" if m["quoted"] else "bare"
+        i, j = m.span(kind)
+        at = m.end()
+        if kind == "bare":
+            if text.startswith("//", i):
+                continue
+            later = re.search(r"[=:](?=[^=])", m["bare"])
+            if m["sign"] is None and later:  # the value is an assignment itself
+                at = i
+                continue
+            j = i + len(m["bare"].rstrip(".,;:!?)]}"))
+        if j - i >= BRIEFEST:
+            yield i, j, kind == "quoted" or m["sign"] == ":"
+
+
+def _runs(text: str | None) -> list[tuple[int, int]]:
     found = []
     for m in _RUN.finditer(text or ""):
         run, at = m[0], m.start()
@@ -149,6 +198,32 @@ NEGATIVE = (
 )
 
 
+#: Contexts of short values, and of short values that are none.
+BRIEF_POSITIVE = ("password: {v}", "password: '{v}'", "passwd: {v}", 'pwd = "{v}"', "api_key={v}", 'token: "{v}"', "secret {v} {w}", "passwd={v}")
+BRIEF_NEGATIVE = ("{w}: {v}", '{w} = "{v}"', "count: {v}", "id={v}", "key {v} {w}", "commit: {v}", "time: {v}")
+
+
+def _brief(kind: int, digest: bytes, words: list[str]) -> str:
+    import base64
+
+    hexed = hashlib.sha512(digest).hexdigest()
+    number = str(int(hexed, 16))
+    word = min(words, key=lambda w: (abs(len(w) - 6), w))[:10]
+    if kind == 0:
+        return base64.b64encode(hashlib.sha384(digest).digest(), b"xY").decode()[: 8 + digest[1] % 8]
+    if kind == 1:
+        leet = word.capitalize().translate(str.maketrans("aeio", "4310"))
+        return f"{leet}{'!@#$%&*'[digest[2] % 7]}{number[: 1 + digest[3] % 4]}".rjust(BRIEFEST + 2, "T")
+    if kind == 2:
+        return f"{word.lower()}{number[: 1 + digest[3] % 4]}{words[1][:8].lower()}".ljust(BRIEFEST + 2, "7")
+    if kind == 3:
+        return number[: BRIEFEST + digest[3] % 6]
+    if kind == 4:
+        return f"{number[:2]}:{number[2:4]}:{number[4:6]}"
+    joined = word if len(word) >= BRIEFEST else f"{word}-{words[1]}"
+    return joined.ljust(BRIEFEST, "e")
+
+
 def _value(kind: int, digest: bytes, words: list[str]) -> str:
     import base64
 
@@ -202,6 +277,14 @@ def labelled_findings(docs: DataFrame, key: str = "doc_id", text: str = "text",
                     left = " ".join(some) + " " + frame.replace("{w}", some[0])
                     at = left.index("{v}")
                     out.append((left.replace("{v}", value) + " " + some[1], at, at + len(value), 0))
+                for label, frames, chosen_kinds in ((1, BRIEF_POSITIVE, (0, 1, 2)), (0, BRIEF_POSITIVE, (5, 5, 4)), (0, BRIEF_NEGATIVE, (3, 4, 5))):
+                    for n, frame in enumerate(frames):
+                        digest = hashlib.sha256(f"{draw}:brief:{label}:{n}:{frame}".encode()).digest()
+                        some = [words[b % len(words)] for b in digest[8:14]]
+                        value = _brief(chosen_kinds[digest[7] % 3], digest, some)
+                        left = " ".join(some) + " " + frame.replace("{w}", some[0])
+                        at = left.index("{v}")
+                        out.append((left.replace("{v}", value) + " " + some[1], at, at + len(value), label))
             if out:
                 kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["text", "start", "end", "label"])
