@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm import chat, html, langid, mixing, nbsvm, packing, perplexity, secrets, simhash, topk
+from viewloom.llm import alignment, chat, html, langid, mixing, nbsvm, packing, perplexity, secrets, simhash, topk
 from viewloom.llm.common import held_out, table
 
 
@@ -80,8 +80,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the tokens of two vocabularies line up in every document."""
+    import public_tokenizers as public
+
+    files = alignment.Files(public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json"), public.PATTERN, public.path("piece_bpe_32k.model"))
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), files).drop("text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash)}
+    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash, op12_alignment)}
 
 
 def oracle_sql() -> dict[str, str]:
