@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm import alignment, chat, html, langid, mixing, nbsvm, packing, perplexity, secrets, simhash, topk
+from viewloom.llm import alignment, chat, html, langid, mixing, nbsvm, packing, perplexity, secrets, simhash, topk, whitening
 from viewloom.llm.common import held_out, table
 
 
@@ -88,8 +88,13 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), files).drop("text")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the sixteen leading components of the distinct vectors' covariance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash, op12_alignment)}
+    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash, op12_alignment, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
