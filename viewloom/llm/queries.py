@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm import alignment, chat, html, langid, mixing, nbsvm, packing, perplexity, secrets, simhash, topk, whitening
+from viewloom.llm import alignment, chat, html, langid, minhash, mixing, nbsvm, packing, perplexity, secrets, simhash, topk, whitening
 from viewloom.llm.common import held_out, table
 
 
@@ -80,6 +80,11 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document by confirmed similarity of shingle sets."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the tokens of two vocabularies line up in every document."""
     import public_tokenizers as public
@@ -94,7 +99,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash, op12_alignment, op13_whitening)}
+    return {f.__name__: f for f in (op1_packing, op2_perplexity, op3_secrets, op4_chat_format, op5_top_k, op6_quality, op7_main_text, op8_language, op9_mixing, op10_simhash, op11_minhash, op12_alignment, op13_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
