@@ -72,7 +72,8 @@ def test_brute_force(spark, seed):
 def test_large_groups_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 8)
     monkeypatch.setattr(minhash, "SMALL", 3)
-    monkeypatch.setattr(minhash, "TURNS", ((0, 2), (2, 5), (5, 1 << 60)))
+    monkeypatch.setattr(minhash, "TURNS", (1, 2, 1 << 60))
+    monkeypatch.setattr(minhash, "COLUMNS", 16)
     texts = corpus(3, groups=6, size=120)
     assert fast(spark, texts) == sorted(slow(texts), key=str)
 
@@ -102,8 +103,9 @@ def test_signature_estimates_similarity():
     assert (minhash.signature(both) == np.minimum(minhash.signature(both[:500]), minhash.signature(both[500:]))).all()
 
 
-def test_blocks_stream_visitors(monkeypatch):
-    """Every pair of a block that agrees is proposed once over all turns, visitors included, however the rows are batched."""
+@pytest.mark.parametrize("with_shingles", [False, True])
+def test_blocks_stream_visitors(monkeypatch, with_shingles):
+    """Every pair of a block that agrees is proposed once, visitors included, however the rows are batched."""
     import pyarrow as pa
 
     monkeypatch.setattr(minhash, "BLOCK", 4)
@@ -112,12 +114,25 @@ def test_blocks_stream_visitors(monkeypatch):
     sketch = np.tile(rng.integers(0, 255, 64), (n, 1)).astype(np.uint8)
     sketch[::3, :10] = 255
     side = np.sort(rng.integers(0, 3, n))
-    names = ["value", "block", "side", "class", "label", "n", "sketch"]
+    sets = [np.arange(50) + 1000 * (i % 4) for i in range(n)]
+    names = ["value", "block", "side", "class", "label", "n", "sketch", "shingles"]
     columns = [np.zeros(n, np.int64), np.zeros(n, np.int64), side, np.arange(n), np.arange(n) % 7, np.full(n, 50)]
-    whole = pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array([s.tobytes() for s in sketch])], names=names)
-    want = {(i, j) for i in range(n) for j in range(n) if side[i] > 0 and side[j] < 2 and i != j and i % 7 != j % 7}
-    found = []
-    for low, high in ((0, 3), (3, 1 << 60)):
-        for batch in minhash._proposals(low, high)(whole.slice(k, 7) for k in range(0, n, 7)):
-            found += [p for p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if p[0] is not None]
+    columns = [*map(pa.array, columns), pa.array([s.tobytes() for s in sketch]), pa.array([s.astype("<u4").tobytes() for s in sets])]
+    width = 8 if with_shingles else 7
+    whole = pa.RecordBatch.from_arrays(columns[:width], names=names[:width])
+    want = {(i, j) for i in range(n) for j in range(n) if side[i] > 0 and side[j] < 2 and i != j and i % 7 != j % 7 and not (with_shingles and (i - j) % 4)}
+    found, more = [], False
+    for batch in minhash._proposals(1 << 60, 80)(whole.slice(k, 7) for k in range(0, n, 7)):
+        found += zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
     assert len(found) == len(set(found)) and set(found) == want
+    limited = [p for b in minhash._proposals(2, 80)(iter([whole])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+    assert (None, None) in limited and set(limited) - {(None, None)} < want
+
+
+def test_index_counts_intersections():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 300, rng.integers(0, 90))).astype("<u4") for _ in range(70)]
+    packed = np.empty(70, object)
+    packed[:] = [s.tobytes() for s in sets]
+    got = minhash._Index(packed).common(packed[:40])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets[:40]]

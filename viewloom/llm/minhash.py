@@ -19,12 +19,14 @@ COORDINATES, AGREE = 64, 35
 PREFIX = COORDINATES - AGREE + 1
 #: Shingles hashed at a time.
 CHUNK = 1 << 14
-#: Texts at home in one block of a posting list, rows up to which a list is compared as a whole, and cells of one comparison.
-BLOCK, SMALL, CELLS = 1024, 8, 1 << 18
-#: A text proposes its best partners of a block in turns of these ranks.
-TURNS = ((0, 8), (8, 128), (128, 1 << 60))
+#: Texts and shingles at home in one block of a posting list, texts up to which a list is compared as a whole, and cells of one comparison.
+BLOCK, BLOCK_SHINGLES, SMALL, CELLS = 1024, 1 << 19, 8, 1 << 18
 #: Partners per text confirmed before posting lists are searched across their blocks.
 FIRST = 2
+#: Partners that a text then proposes in a block, turn by turn, best first.
+TURNS = (8, 128, 1 << 60)
+#: Columns of one dense product of shingle counts, and the share of a block's texts from which a shingle has a dense column.
+COLUMNS, DENSE = 1024, 1 / 32
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 1 << 63, COORDINATES, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -118,17 +120,21 @@ def _agreeing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class _Rows:
-    """Columns of sorted rows (value, block, side, class, label, n, sketch)."""
+    """Columns of sorted rows (value, block, side, class, label, n, sketch and, for long lists, shingles)."""
 
     def __init__(self, columns: list[np.ndarray]):
         self.columns = columns
-        self.value, self.block, self.side, self.key, self.label, self.n, self.sketch = columns
+        self.value, self.block, self.side, self.key, self.label, self.n, self.sketch, *self.rest = columns
 
     @staticmethod
     def of(batch: pa.RecordBatch) -> _Rows:
         plain = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
         sketch = np.frombuffer(b"".join(batch.column(6).to_pylist()), np.uint8).reshape(-1, COORDINATES)
-        return _Rows([*plain, sketch])
+        rest = []
+        if batch.num_columns > 7:
+            rest = [np.empty(batch.num_rows, object)]
+            rest[0][:] = batch.column(7).to_pylist()
+        return _Rows([*plain, sketch, *rest])
 
     def pick(self, at) -> _Rows:
         return _Rows([c[at] for c in self.columns])
@@ -140,36 +146,86 @@ class _Rows:
         return len(self.value)
 
 
-def _fits(a_n: np.ndarray, b_n: np.ndarray) -> np.ndarray:
-    return 100 * np.minimum(a_n, b_n) >= 80 * np.maximum(a_n, b_n)
+def _fits(a_n: np.ndarray, b_n: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * np.minimum(a_n, b_n) >= percent * np.maximum(a_n, b_n)
 
 
-def _proposals(low: int, high: int):
+class _Index:
+    """The shingles (32 bits each) of the texts at home in a block, by shingle: intersection sizes of visitors with all of them at once.
+
+    Frequent shingles are dense columns, worked off by matrix products; the others are lists of texts. Shingles that share their 32 bits make
+    a count too high, never too low.
+    """
+
+    def __init__(self, sets: np.ndarray):
+        parts = [np.frombuffer(x, "<u4") for x in sets]
+        flat = np.concatenate([*parts, np.zeros(0, np.uint32)])
+        owner = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        order = np.argsort(flat, kind="stable")
+        self.texts, self.owner = len(parts), owner[order]
+        self.value, self.start, self.count = np.unique(flat[order], return_index=True, return_counts=True)
+        self.column = np.full(len(self.value), -1)
+        often = np.flatnonzero(self.count > max(SMALL, DENSE * len(parts)))
+        self.column[often] = np.arange(len(often))
+        self.dense = np.repeat(self.column, self.count)
+
+    def common(self, sets: np.ndarray) -> np.ndarray:
+        parts = [np.frombuffer(x, "<u4") for x in sets]
+        flat = np.concatenate(parts)
+        guest = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+        at = np.minimum(np.searchsorted(self.value, flat), len(self.value) - 1)
+        hit = self.value[at] == flat
+        at, guest = at[hit], guest[hit]
+        column = self.column[at]
+        rare = column < 0
+        count = self.count[at[rare]]
+        entry = np.repeat(self.start[at[rare]], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        cell = np.repeat(guest[rare], count) * self.texts + self.owner[entry]
+        total = np.bincount(cell, minlength=len(parts) * self.texts).reshape(len(parts), self.texts).astype(np.float32)
+        for first in range(0, int(self.column.max(initial=-1)) + 1, COLUMNS):
+            homes, guests = np.zeros((self.texts, COLUMNS), np.float32), np.zeros((len(parts), COLUMNS), np.float32)
+            mine, theirs = (self.dense >= first) & (self.dense < first + COLUMNS), (column >= first) & (column < first + COLUMNS)
+            np.add.at(homes, (self.owner[mine], self.dense[mine] - first), 1)
+            np.add.at(guests, (guest[theirs], column[theirs] - first), 1)
+            total += guests @ homes.T
+        return total.astype(np.int64)
+
+
+_MORE = pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32())], names=["a", "b", "agree"])
+
+
+def _found(a: np.ndarray, b: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(agree.astype(np.int32))], names=["a", "b", "agree"])
+
+
+def _proposals(limit: int, percent: int):
     """Pairs of one block of a posting list that agree in enough coordinates and have different labels.
 
     Rows come sorted: those at home in the block (side 0, or 1 if they look for partners as well), then visitors from other blocks (side 2). A
-    looking row proposes the homes that rank from ``low`` up to ``high`` among all homes it agrees with; the rank does not depend on labels, so
-    that turns of ranks meet every pair once. A row of nulls says that there are higher ranks.
+    looking row proposes the ``limit`` homes that it agrees with best; a row of nulls says that some row had more. Where rows carry their
+    shingles, only pairs that are similar enough by them are proposed.
     """
 
     def look(homes: _Rows, guests: _Rows) -> Iterator[pa.RecordBatch]:
+        index = None
         step = max(1, CELLS // max(1, len(homes)))
-        for k in range(0, len(guests), step):
+        for k in range(0, len(guests) if len(homes) else 0, step):
             some = guests.pick(slice(k, k + step))
             agree = _agreeing(some.sketch, homes.sketch)
-            agree[~_fits(some.n[:, None], homes.n) | (some.key[:, None] == homes.key)] = 0
-            order = np.argsort(-agree.astype(np.int16), axis=1, kind="stable")
-            sorted_agree = np.take_along_axis(agree, order, 1)
-            good = (sorted_agree >= AGREE) & (some.label[:, None] != homes.label[order])
-            yield from out(some.key, homes.key, order, sorted_agree, good[:, low:high], low)
-            if good[:, high:].any():
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32())], names=["a", "b", "agree"])
-
-    def out(a, b, order, agree, good, first) -> Iterator[pa.RecordBatch]:
-        i, j = np.nonzero(good)
-        if len(i):
-            at = order[i, j + first]
-            yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[at]), pa.array(agree[i, j + first].astype(np.int32))], names=["a", "b", "agree"])
+            agree[(agree < AGREE) | ~_fits(some.n[:, None], homes.n, percent) | (some.label[:, None] == homes.label)] = 0
+            near = np.flatnonzero(agree.any(axis=1))
+            some, agree = some.pick(near), agree[near]
+            if len(some) and some.rest:
+                index = index or _Index(homes.rest[0])
+                common = index.common(some.rest[0])
+                agree[100 * common < percent * (some.n[:, None] + homes.n - common)] = 0
+            order = np.argsort(-agree.astype(np.int16), axis=1, kind="stable")[:, :limit]
+            best = np.take_along_axis(agree, order, 1)
+            i, j = np.nonzero(best)
+            if len(i):
+                yield _found(some.key[i], homes.key[order[i, j]], best[i, j])
+            if ((agree > 0).sum(axis=1) > limit).any():
+                yield _MORE
 
     def few(rows: _Rows, run: np.ndarray) -> Iterator[pa.RecordBatch]:
         """All pairs of short lists, by their distance in the sorted rows."""
@@ -179,42 +235,43 @@ def _proposals(low: int, high: int):
                 break
             a, b = rows.pick(at), rows.pick(at + lag)
             agree = (a.sketch == b.sketch).sum(axis=1)
-            good = (agree >= AGREE) & (a.label != b.label) & _fits(a.n, b.n) & (np.maximum(a.side, b.side) > 0)
-            x, y, agree = a.key[good], b.key[good], agree[good].astype(np.int32)
+            good = (agree >= AGREE) & (a.label != b.label) & _fits(a.n, b.n, percent) & (np.maximum(a.side, b.side) > 0)
+            x, y, agree = a.key[good], b.key[good], agree[good]
             if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in ((x, y), (y, x), (agree, agree))], names=["a", "b", "agree"])
+                yield _found(np.concatenate((x, y)), np.concatenate((y, x)), np.concatenate((agree, agree)))
+
+    def whole(rows: _Rows, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(rows):
+            return
+        sizes = np.diff([0, *edge, len(rows)])
+        number = np.repeat(np.arange(len(sizes)), sizes)
+        # lists that come with shingles or with visitors are long ones
+        long = (sizes > SMALL) | bool(rows.rest)
+        long[number[rows.side == 2]] = True
+        inner = ~long[number]
+        yield from few(rows.pick(inner), number[inner])
+        starts = np.cumsum(sizes) - sizes
+        for k in np.flatnonzero(long):
+            one = rows.pick(slice(int(starts[k]), int(starts[k] + sizes[k])))
+            yield from look(one.pick(one.side < 2), one.pick(one.side > 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: _Rows | None = None
+        held: _Rows | None = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = _Rows.of(batch).after(open_)
+            rows = _Rows.of(batch).after(held)
             edge = np.flatnonzero((np.diff(rows.value) != 0) | (np.diff(rows.block) != 0)) + 1
             last = int(edge[-1]) if len(edge) else 0
             yield from whole(rows.pick(slice(0, last)), edge[:-1])
-            open_ = rows.pick(slice(last, None))
-            if len(open_) > 4 * BLOCK and (open_.side == 2).any():
+            held = rows.pick(slice(last, None))
+            if len(held) > 2 * BLOCK and (held.side == 2).any():
                 # all homes of this block have been read: its visitors need not be kept
-                homes = open_.pick(open_.side < 2)
-                yield from look(homes, open_.pick(open_.side == 2))
-                open_ = homes
-        if open_ is not None:
-            yield from whole(open_, np.zeros(0, np.int64))
-
-    def whole(rows: _Rows, edge: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not len(rows):
-            return
-        sizes = np.diff([0, *edge, len(rows)])
-        number = np.repeat(np.arange(len(sizes)), sizes)
-        short = sizes[number] <= SMALL
-        # rows of one list that visit it from elsewhere meet its homes only, so such a list is not short
-        if low == 0:
-            inner = short & ~np.isin(number, number[rows.side == 2])
-            yield from few(rows.pick(inner), number[inner])
-        for k in np.flatnonzero((sizes > SMALL) | np.isin(np.arange(len(sizes)), number[rows.side == 2])):
-            one = rows.pick(slice(int(sizes[:k].sum()), int(sizes[: k + 1].sum())))
-            yield from look(one.pick(one.side < 2), one.pick(one.side > 0))
+                homes = held.pick(held.side < 2)
+                yield from look(homes, held.pick(held.side == 2))
+                held = homes
+        if held is not None:
+            yield from whole(held, np.zeros(0, np.int64))
 
     return run
 
@@ -222,64 +279,67 @@ def _proposals(low: int, high: int):
 PAIR = "a long, b long, agree int"
 
 
-def _members(posts: DataFrame, classes: DataFrame) -> DataFrame:
-    return posts.join(classes.select("class", "n", "sketch"), "class")
-
-
-def _propose(members: DataFrame, low: int, high: int) -> DataFrame:
-    rows = members.select("value", "block", "side", "class", "label", "n", "sketch")
-    return rows.repartition("value", "block").sortWithinPartitions("value", "block", "side", "class").mapInArrow(_proposals(low, high), PAIR)
-
-
-def _blocks() -> Column:
-    return F.ceil(F.col("size") / BLOCK)
+def _propose(members: DataFrame, limit: int, percent: int) -> DataFrame:
+    rows = members.select("value", "block", "side", "class", "label", "n", "sketch", *[c for c in members.columns if c == "shingles"])
+    dealt = rows.repartition("value", "block").sortWithinPartitions("value", "block", "side", "class")
+    return dealt.mapInArrow(_proposals(limit, percent), PAIR)
 
 
-def _home() -> Column:
-    return F.pmod(F.xxhash64("class", "value"), _blocks())
+def _home(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("class", "value"), blocks)
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _first_pairs(posts: DataFrame, classes: DataFrame) -> DataFrame:
+def _first_pairs(posts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Each class with the best partners of its own blocks: most classes of a group become one here, at a cost in proportion to the rows."""
-    members = _members(posts, classes).select("*", _home().alias("block"), F.lit(1).alias("side"), F.col("class").alias("label"))
+    members = posts.join(classes.select("class", "n", "sketch"), "class")
+    members = members.select("*", _home(F.ceil(F.col("size") / BLOCK)).alias("block"), F.lit(1).alias("side"), F.col("class").alias("label"))
     best = F.slice(F.sort_array(F.collect_set(F.struct("agree", "b")), asc=False), 1, FIRST)
-    found = _propose(members, 0, FIRST).where("a is not null").groupBy("a").agg(best.alias("best"))
+    found = _propose(members, FIRST, percent).where("a is not null").groupBy("a").agg(best.alias("best"))
     return _ordered(found.select("a", F.explode("best").alias("one")).select("a", "one.b"))
 
 
-def _mixed(posts: DataFrame, labels: DataFrame) -> DataFrame:
+def _mixed(posts: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
     """Posting lists that hold several labels, as home and visiting rows: rows of the list's commonest label stay in their block and need not
     meet each other; every other row visits all blocks."""
-    labelled = materialize(posts.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")), "labelled")
-    counted = labelled.groupBy("value", "label").agg(F.count(F.lit(1)).alias("count"))
-    lists = counted.groupBy("value").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", F.struct("count", "label")).alias("common"))
-    rows = labelled.join(lists.where("labels > 1").select("value", "common"), "value").withColumn("home", _home())
+    named = posts.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class"))
+    labelled = materialize(named.join(classes.select("class", "n"), "class"), "labelled")
+    counted = labelled.groupBy("value", "label").agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("shingles"))
+    lists = counted.groupBy("value").agg(
+        F.count(F.lit(1)).alias("labels"), F.sum("count").alias("texts"), F.sum("shingles").alias("shingles"), F.max_by("label", F.struct("count", "label")).alias("common")
+    )
+    # a short list is one block; a long one is cut by texts and by shingles
+    blocks = F.when(F.col("texts") <= SMALL, 1).otherwise(F.greatest(F.ceil(F.col("texts") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)))
+    lists = lists.where("labels > 1").select("value", "common", "texts", blocks.cast("long").alias("blocks"))
+    rows = labelled.join(lists, "value").withColumn("home", _home(F.col("blocks")))
     minor = F.col("label") != F.col("common")
-    blocks = F.when(minor, F.sequence(F.lit(0).cast("long"), _blocks() - 1)).otherwise(F.array("home"))
+    visited = F.when(minor, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("home"))
     side = F.when(~minor, 0).when(F.col("block") == F.col("home"), 1).otherwise(2)
-    return rows.withColumn("block", F.explode(blocks)).select("class", "value", "block", side.alias("side"))
+    return rows.withColumn("block", F.explode(visited)).select("class", "value", "block", "texts", side.alias("side"))
 
 
 def _sets(docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """(class, set) for the given classes, from one of the texts of each."""
+    """(class, set, shingles) for the given classes, from one of the texts of each: 64 bits a shingle, and 32 for the search in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None
         for batch in batches:
-            keys, sets = [], []
+            keys, sets, halves = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if key != before:  # copies of a text follow each other
                     keys.append(key)
-                    sets.append(shingles(text, size).astype("<u8").tobytes())
+                    whole = shingles(text, size)
+                    sets.append(whole.astype("<u8").tobytes())
+                    halves.append((whole & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
                 before = key
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["class", "set"])
+            columns = [pa.array(keys, pa.int64()), pa.array(sets, pa.binary()), pa.array(halves, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["class", "set", "shingles"])
 
     wanted = docs.join(classes.select("class", "text_id"), "text_id").select("class", "text").sortWithinPartitions("class")
-    return wanted.mapInArrow(run, "class long, set binary")
+    return wanted.mapInArrow(run, "class long, set binary, shingles binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -306,19 +366,23 @@ def links(docs: DataFrame, classes: DataFrame, size: int = 4, percent: int = 80)
     ``docs`` has (text_id, text), ``classes`` one row per distinct set: (class, text_id, n, signature, sketch). Classes are posted under each of their
     coordinate values that can still matter, the rarest first; lists are cut into blocks. First every class is compared inside its own
     blocks and its best partners are confirmed on whole sets. Where a list then still holds several components, the rows outside its
-    commonest one meet all its blocks, and every pair of different components that agrees in enough coordinates is
-    confirmed, best partners first. Pairs inside a component are never made: they would add nothing.
+    commonest one meet all its blocks. In a short list every pair of different components that agrees in enough coordinates is confirmed; in a long
+    one the tasks themselves compare the shingles, and only pairs that pass are, best partners first: dissimilar
+    pairs of a large group are never rows. Pairs inside a component are never made: they would add nothing.
     """
     posts = materialize(_posts(classes), "posts")
     live = classes.join(posts.select("class").distinct(), "class", "left_semi")
     sets = materialize(_sets(docs, live, size), "sets")
-    tested = materialize(_first_pairs(posts, classes), "tested")
+    tested = materialize(_first_pairs(posts, classes, percent), "tested")
     found = materialize(_confirmed(tested, sets, percent), "confirmed")
     labels = _labels(found)
-    rows = materialize(_mixed(posts, labels), "mixed")
-    for low, high in TURNS:
+    rows = materialize(_mixed(posts, classes, labels), "mixed")
+    for turn, limit in enumerate(TURNS):
         members = rows.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")).join(classes.select("class", "n", "sketch"), "class")
-        proposed = materialize(_propose(members, low, high), "proposed")
+        proposed = _propose(members.where(F.col("texts") > SMALL).join(sets.select("class", "shingles"), "class"), limit, percent)
+        if not turn:
+            proposed = proposed.union(_propose(members.where(F.col("texts") <= SMALL), limit, percent))
+        proposed = materialize(proposed, "proposed")
         fresh = materialize(_ordered(proposed.where("a is not null")).join(tested, ["a", "b"], "left_anti"), "fresh")
         tested = tested.union(fresh)
         found = found.union(materialize(_confirmed(fresh, sets, percent), "confirmed"))
