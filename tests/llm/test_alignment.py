@@ -82,6 +82,22 @@ def test_long_texts_and_small_passes(spark):
     assert aligned(spark, texts) == slow(texts)
 
 
+def test_words_are_encoded_as_in_the_whole_text(monkeypatch):
+    import random
+
+    monkeypatch.setattr(alignment, "WORDS", 50)
+    coder = alignment.Coder(FILES)
+    assert coder.apart
+    rng = random.Random(11)
+    signs = ["a", "The", "ing", " ", "  ", " ", "\n", "\t", ".", "é", "日本", "🙂", "1", "(", "x" * 50, "\u00a0", "\u3000", "-"]
+    for _ in range(400):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 40)))
+        whole = coder.b.encode(text)
+        right = b"".join(coder.b_bytes[i] for i in whole) == (" " + text).encode()
+        found = coder._b_ids(text)
+        assert (found is not None) == right and (not right or found.tolist() == whole)
+
+
 def test_cut_links(monkeypatch):
     texts = [t for t in TEXTS if t]
     whole = alignment.Aligned(texts, FILES)

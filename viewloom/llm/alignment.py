@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -27,6 +28,11 @@ HELD = 1 << 20
 TABLE, PART = 1 << 23, 1 << 12
 #: Bits of a B id in a pair's key.
 SHIFT = 15
+#: Words whose B ids a worker remembers, and characters of the longest.
+WORDS, WORD_LENGTH = 1 << 18, 40
+#: Spaces and what follows them up to the next space.
+_WORD = re.compile(" *[^ ]+| +")
+_NONE = np.uint32(0xFFFFFFFF)
 
 
 @dataclass(frozen=True)
@@ -54,6 +60,32 @@ class Coder:
         # decimal ids, followed by what comes after them in the group notation: more of the group's side, or its end
         self.notes = [b"%d%s" % (i, end) for found, ends in ((self.a_bytes, (b",", b"|")), (self.b_bytes, (b",", b";"))) for end in ends for i in range(len(found))]
 
+        # no piece goes on behind a space, so words with the spaces before them are encoded one by one, each once
+        self.apart = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.known: dict[str, bytes] = {}
+
+    def _b_ids(self, text: str) -> np.ndarray | None:
+        """B ids of a space and the text; None where their bytes differ from it."""
+        words = _WORD.findall(" " + text) if self.apart else [" " + text]
+        found = list(map(self.known.get, words))
+        if None in found:
+            found = [self._word(word) if ids is None else ids for word, ids in zip(words, found)]
+        ids = np.frombuffer(b"".join(found), np.uint32)
+        return None if (ids == _NONE).any() else ids
+
+    def _word(self, word: str) -> bytes:
+        if not self.apart or word.strip(" "):
+            ids = self.b.encode(word[1:])  # the tokenizer puts the first space back
+        else:
+            ids = self.b.encode("x" + word)[len(self.b.encode("x")) :]
+        right = b"".join(map(self.b_bytes.__getitem__, ids)) == word.encode()
+        packed = (np.array(ids, np.uint32) if right else np.array([_NONE])).tobytes()
+        if len(word) <= WORD_LENGTH:
+            if len(self.known) >= WORDS:
+                self.known.clear()
+            self.known[word] = packed
+        return packed
+
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
@@ -71,13 +103,13 @@ class Coder:
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of every text in both vocabularies; none for a null or empty text, or where either side's bytes are not the space and the text."""
         found: tuple[list, list] = ([], [])
-        for text, b in zip(texts, self.b.encode([t or "" for t in texts], num_threads=1)):
-            a = self._a_ids(" " + text) if text else np.zeros(0, np.uint32)
-            whole = b" " + text.encode() if text else b""
-            if not text or b"".join(map(self.b_bytes.__getitem__, b)) != whole or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != whole:
-                a, b = np.zeros(0, np.uint32), []
+        for text in texts:
+            b = self._b_ids(text) if text else None
+            a = self._a_ids(" " + text) if b is not None else None
+            if a is None or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != (" " + text).encode():
+                a = b = np.zeros(0, np.uint32)
             found[0].append(a)
-            found[1].append(np.array(b, np.int64))
+            found[1].append(b)
         return found
 
 
@@ -94,7 +126,7 @@ class Aligned:
         self.coder = coder(files)
         a, b = self.coder.encode(texts)
         self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        self.a, self.b = (np.concatenate([*side, np.zeros(0, np.int64)]).astype(np.int64) for side in (a, b))
+        self.a, self.b = (np.concatenate([*side, np.zeros(0, np.uint32)]).astype(np.int64) for side in (a, b))
         end_a, end_b = np.cumsum(self.coder.a_length[self.a]), np.cumsum(self.coder.b_length[self.b])
         ends = np.zeros((int(end_a[-1]) if len(end_a) else 0) + 1, np.int8)
         ends[end_a] += 1
