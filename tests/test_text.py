@@ -1,10 +1,11 @@
 import random
 
 from conftest import rows
+import pytest
 from pyspark.sql import functions as F
 
 from viewloom.functions import scalar as fn, text as tx
-from viewloom.operators import text as ops
+from viewloom.operators import text as ops, usage
 
 
 def one(spark, column):
@@ -63,10 +64,39 @@ def test_column_usage(spark):
         ("IT_A = select a.x, B.y from z2_t as a\n left join z9_u b on a.id = b.id -- a.gone\n;",),
         ("select left(p) as q, r from z2_t where 1 = 1 union select distinct s from z3_v",),
     ]
-    used = ops.column_usage(spark.createDataFrame(statements, "s string"), "s")
+    used = usage.column_usage(spark.createDataFrame(statements, "s string"), "s")
     assert rows(used, "table_name", "columns") == [("z2_t", ["id", "p", "r", "x"]), ("z3_v", ["s"]), ("z9_u", ["id", "y"])]
 
 
+@pytest.mark.parametrize(
+    "statement, want",
+    [
+        ("select round(a2, 2) from t2", {"t2": ["a2"]}),
+        ("select x.a3 from (select a3, b3 from t3) x", {"t3": ["a3", "b3"]}),
+        ("select t4.a from t4, t5 where t5.k = 1", {"t4": ["a"], "t5": ["k"]}),
+        ("select a from t", {"t": ["a"]}),
+        ("select 'it''s x.y', \"Odd\" from s.t as q where q.\"B\" = 1", {"s.t": ["b", "odd"]}),
+        ("select a.x, b.x from t a join u b using (k, l)", {"t": ["k", "l", "x"], "u": ["k", "l", "x"]}),
+        ("with c(a) as (select p from t), d as (select a from c) select d.a, e.z from d join e on e.i = d.a", {"t": ["p"], "e": ["i", "z"]}),
+        ("select case when a = 'x' then b else c end as d, cast(e as int) f from t", {"t": ["a", "b", "c", "e"]}),
+        ("select a.p from t a where a.q = (select max(b.r) from u b where b.s = a.t)", {"t": ["p", "q", "t"], "u": ["r", "s"]}),
+        ("select a.p from t a union select a.q from u a minus (select r from v)", {"t": ["p"], "u": ["q"], "v": ["r"]}),
+        ("insert into x select p, /bic/q from /bic/azr union all select a/b/c from z", {"/bic/azr": ["/bic/q", "p"], "z": ["a", "b", "c"]}),
+        ("select f(g(a, h(b)), count(*)) from t group by z having sum(y) > 1", {"t": ["a", "b"]}),
+        ("select v.* , w.a from (t v left join u w on v.k = w.k)", {"t": ["k"], "u": ["a", "k"]}),
+        ("select a, b from t, unnest(t.c) q", {"t": ["c"]}),
+        ("select p from (select p from (select p from deep) x) y", {"deep": ["p"]}),
+        ("", {}),
+        (None, {}),
+        ("select 1", {}),
+        ("drop table t; )) ((", {}),
+    ],
+)
+def test_column_usage_scopes(spark, statement, want):
+    used = usage.column_usage(spark.createDataFrame([(statement,), (statement,)], "s string"), "s")
+    assert {r.table_name: r.columns for r in used.collect()} == want
+
+
 def test_rule_table(spark):
     row = lambda *cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
     rule = lambda name, kind="Routine": row("", name, "d", "C", "1", kind, "t", "I", "", "", "")

@@ -145,48 +145,6 @@ def annotate_ddl(df: DataFrame, doc: str, text: str, descriptions: DataFrame) ->
     )
 
 
-def column_usage(df: DataFrame, statement: str) -> DataFrame:
-    """Columns used per source table over all select statements, as sorted arrays of bounded size.
-
-    Unions are taken apart. With joins, qualified names are resolved through the table aliases of their
-    branch; without, the select list belongs to the one table read.
-    """
-    body = F.regexp_replace(F.lower(statement), r"--[^\n]*", "")
-    branches = df.select(F.explode(F.split(body, r"\bunion(?:\s+all)?\b")).alias("q"))
-    source = r"\b(?:from|join)\s+([\w./]+)(?:\s+(?:as\s+)?(?!on\b|join\b|where\b|inner\b|left\b|group\b)(\w+))?"
-    tables = F.regexp_extract_all("q", F.lit(source), 1)
-    aliases = F.regexp_extract_all("q", F.lit(source), 2)
-    pairs = F.transform(
-        F.arrays_zip(tables.alias("t"), aliases.alias("a")),
-        lambda s: F.struct(s["t"].alias("t"), F.when(s["a"] == "", s["t"]).otherwise(s["a"]).alias("a")),
-    )
-    parsed = branches.select("q", pairs.alias("sources"), F.rlike("q", F.lit(r"\bjoin\b")).alias("joined"))
-
-    qualified = parsed.filter("joined").select(
-        "sources",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.regexp_extract_all("q", F.lit(r"\b(\w+\.\w+)\b"), 1),
-                    lambda r: F.struct(F.get(F.split(r, r"\."), F.lit(0)).alias("a"), F.get(F.split(r, r"\."), F.lit(1)).alias("c")),
-                )
-            )
-        ).alias("ref"),
-    )
-    owner = F.get(F.filter("sources", lambda s: s["a"] == F.col("ref.a")), F.lit(0))["t"]
-    by_alias = qualified.select(owner.alias("table_name"), F.col("ref.c").alias("column_name"))
-
-    items = F.split(F.regexp_extract("q", r"(?s)\bselect\s+(?:distinct\s+)?(.*?)\bfrom\b", 1), ",")
-    plain = parsed.filter(~F.col("joined")).select(
-        F.get("sources", F.lit(0))["t"].alias("table_name"), F.explode(items).alias("item")
-    )
-    # the column of "fn(x) as y" is x
-    bare = F.regexp_replace(F.regexp_replace(F.trim("item"), r"(?s)\s+as\s.*$", ""), r"(?s)^.*\(|\).*$", "")
-    by_list = plain.select("table_name", F.regexp_extract(F.trim(bare), r"(\w+)\s*$", 1).alias("column_name"))
-    used = by_alias.unionByName(by_list).filter("table_name is not null and column_name <> ''")
-    return group_members(used, "table_name", "column_name").withColumnRenamed("members", "columns")
-
-
 def classify_statements(df: DataFrame, statement: str) -> DataFrame:
     tag = F.when(tx.needs_review(F.col(statement)), "REVIEW").otherwise("ONLY_SELECT")
     return df.withColumn("tag", tag)

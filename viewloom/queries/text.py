@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from viewloom.functions import text as tx
-from viewloom.operators import relational as rel, text as ops
+from viewloom.operators import relational as rel, text as ops, usage
 from viewloom.operators.metadata import build_lookup
 from viewloom.queries.base import Tables, query
 
@@ -247,7 +247,30 @@ _STATEMENT = """case when p_size % 2 = 0 then 'IT_A = select a.' || replace(p_na
        from (select *, row_number() over (partition by tab order by col) as no from u) group by 1, 2""",
 )
 def _(t: Tables):
-    used = ops.column_usage(t.sql(f"select p_partkey, {_STATEMENT} as stmt from {{part}}"), "stmt")
+    used = usage.column_usage(t.sql(f"select p_partkey, {_STATEMENT} as stmt from {{part}}"), "stmt")
+    return used.select("table_name", "part_no", F.array_join("columns", ",").alias("columns"))
+
+
+# One column of its own per part, so that each construct shows whether it was read: calls, comma joins, subselects, CTEs, correlation, unions inside.
+_NESTED = """case p_size % 5
+  when 0 then 'create view v as ( select round(c' || p_partkey || ', 2) as r, coalesce(d.e, 1.5) f from t' || p_size || ' d )'
+  when 1 then 'select x.c' || p_partkey || ' from (select c' || p_partkey || ', b3 as c9 from t' || p_size || ' where k = ''from u'') x, u' || p_size || ' where u' || p_size || '.k = x.c9'
+  when 2 then 'with w as (select c' || p_partkey || ' from t' || p_size || ' union select b2 from u' || p_size || ' /* a.b */) select w.c1, v.g from w join (t' || p_size || ' v join u' || p_size || ' on v.h = u' || p_size || '.i) on w.c1 = v.j'
+  when 3 then 'select a.c' || p_partkey || ' from t' || p_size || ' a where exists (select 1 from u' || p_size || ' b where b.k = a.m and a.n in (1, 2)) -- a.o'
+  else 'select c' || p_partkey || ', n from (select c' || p_partkey || ', sum(n) over (partition by q order by r desc) n from t' || p_size || ' union all select s, extract(year from z) from u' || p_size || ') y where y.n > 0' end"""
+
+
+@query(
+    "T14_nested_usage",
+    f"""with p as (select p_partkey as k, p_size as s, p_size % 5 as m from part),
+       u as (select 't' || s as tab, 'c' || k as col from p
+         union select 't' || s, unnest(case m when 0 then ['e'] when 1 then ['b3'] when 2 then ['g', 'h', 'j'] when 3 then ['m', 'n'] else ['n', 'q', 'r'] end) from p
+         union select 'u' || s, unnest(case m when 1 then ['k'] when 2 then ['b2', 'i'] when 3 then ['k'] when 4 then ['s', 'z'] else [] end) from p)
+       select tab as table_name, (no - 1) // {rel.PART_SIZE} as part_no, string_agg(col, ',' order by col) as columns
+       from (select *, row_number() over (partition by tab order by col) as no from u) group by 1, 2""",
+)
+def _(t: Tables):
+    used = usage.column_usage(t.sql(f"select p_partkey, {_NESTED} as stmt from {{part}}"), "stmt")
     return used.select("table_name", "part_no", F.array_join("columns", ",").alias("columns"))
 
 
