@@ -40,6 +40,32 @@ def test_inventory_and_registry(spark, files):
     assert found == [("a.calculationview", "A", None, None), ("b.HTML", None, None, None), ("c.txt", None, "gold", "g1")]
 
 
+GOOD = ['<a><descriptions defaultDescription="x"/></a>', '\ufeff<?xml version="1.0" encoding="UTF-8"?>\n<a><d:descriptions xmlns:d="u" defaultDescription="x"/></a>\n']
+BARE = ["<a/>", "<a><![CDATA[ <x> ]]></a>", "<!-- c --><x>two\nlines</x><!-- d -->", "<descriptions/>"]
+BAD = ["<a><b></a>", "<a>", "plain", '<a x="1" x="2"/>', "<a>&nope;</a>", '<a><descriptions defaultDescription="x"/>', "<a b=c/>", "junk <a/>", '<a x="<"/>', "<a/></a>", "<a/><b>"]
+JUNK = ["<a/>trail", "<a/><b/>"]
+EMPTY = ["", "  \n", None, "\ufeff"]
+
+
+def test_bad_xml_is_a_value(spark):
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(GOOD + BARE + BAD + JUNK + EMPTY)], "i int, xml string").repartition(3)
+    found = docs.select("i", readers.xml_attribute(F.col("xml"), "descriptions", "defaultDescription").alias("d"), readers.xml_error(F.col("xml")).alias("e"))
+    found = found.orderBy("i").collect()
+    want = ["x"] * len(GOOD) + [readers.NO_DESCRIPTION] * len(BARE)
+    want += [readers.NOT_READ + e for e, group in (("not well-formed", BAD), ("junk after document element", JUNK), ("no element found", EMPTY)) for _ in group]
+    assert [r.d for r in found] == want
+    assert [r.e is None for r in found] == [i < len(GOOD) + len(BARE) for i in range(len(want))]
+
+
+def test_bad_files_in_inventory(spark, files):
+    (files / "DF2/bad.calculationview").write_text('<x><descriptions defaultDescription="cut')
+    (files / "DF2/empty.html").write_text("")
+    inventory = readers.inventory_with_descriptions(spark, str(files))
+    found = {r.FileName: r.Description for r in inventory.collect()}
+    assert found["bad.calculationview"] == readers.NOT_READ + "not well-formed"
+    assert found["empty.html"] == readers.NOT_READ + "no element found" and found["a.calculationview"] == "Load CV_A"
+
+
 def test_csv_types(spark, tmp_path):
     (tmp_path / "m.csv").write_text("name,n\na,1\nb,2\n")
     assert readers.read_mapping_csv(spark, str(tmp_path / "m.csv")).dtypes == [("name", "string"), ("n", "int")]

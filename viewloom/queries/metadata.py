@@ -336,7 +336,7 @@ def _(t: Tables):
     "Q05_registry_refresh",
     """with keyed as (select *, 'DF' || (p_partkey % 48) as flow, p_type || '.calculationview' as file from part),
        old as (select flow, file, 'old ' || min(p_name) as sap, min(p_brand) as grp from keyed where p_type <> 'PROMO' group by 1, 2),
-       new as (select flow, file, case when min(p_size) % 4 > 0 then 'Load of CV_' || replace(min(p_name), ' ', '_') else min(p_name) end as sap
+       new as (select flow, file, case min(p_size) % 4 when 0 then min(p_name) when 1 then 'Error processing file: not well-formed' else 'Load of CV_' || replace(min(p_name), ' ', '_') end as sap
                from keyed where p_type <> 'SMALL' group by 1, 2)
        select coalesce(n.flow, o.flow) as DataFlow, coalesce(n.file, o.file) as SAPFileName, coalesce(n.sap, o.sap) as SAPTableName,
               case when n.file is null then 'old' else nullif(split_part(n.sap, 'CV_', 2), '') end as DataBricksTableName,
@@ -355,6 +355,6 @@ def _(t: Tables):
     found = keyed.filter("p_type <> 'SMALL'").groupBy("flow", "file").agg(F.min("p_name").alias("name"), F.min("p_size").alias("size"))
     view = F.concat(F.lit("Load of CV_"), F.replace("name", F.lit(" "), F.lit("_")))
     description = F.when(F.col("size") % 4 > 0, view).otherwise(F.col("name"))
-    xml = F.concat(F.lit('<v xmlns:d="urn:d"><d:descriptions defaultDescription="'), description, F.lit('"/></v>'))
+    xml = F.concat(F.lit('<v xmlns:d="urn:d"><d:descriptions defaultDescription="'), description, F.when(F.col("size") % 4 == 1, '"/>').otherwise('"/></v>'))
     root = named_files(t, found.select("flow", "file", xml.alias("value")), "registry")
     return reconcile.registry_refresh(registry, readers.inventory_with_descriptions(t.spark, root))

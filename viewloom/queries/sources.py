@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from viewloom.queries.base import Tables, query
 from viewloom.session import materialize, scratch_path
@@ -13,16 +13,28 @@ def _scratch(t: Tables, name: str) -> str:
     return scratch_path(t.spark, name)
 
 
+# Pages of one file: files stay small, and their number grows with the table.
+_BLOCK = 200
+
+
+def _block() -> Column:
+    return F.floor(F.col("page_id") / _BLOCK)
+
+
+def _flow() -> Column:
+    return F.concat(F.lit("DF"), (_block() % 48).cast("string"))
+
+
 @query(
     "S01_read_documents",
-    """select 'DF' || (page_id % 16) as flow, string_agg(lpad(page_id::varchar, 9, '0') || html, chr(10) order by page_id) || chr(10) as text from pages group by 1""",
+    f"""select 'DF' || (page_id // {_BLOCK} % 48) as flow, page_id // {_BLOCK} as block,
+       string_agg(lpad(page_id::varchar, 9, '0') || html, chr(10) order by page_id) || chr(10) as text from pages group by 1, 2""",
 )
 def _(t: Tables):
-    flow = F.concat(F.lit("DF"), (F.col("page_id") % 16).cast("string")).alias("flow")
-    rows = t.pages.select(flow, F.lit("pages.html").alias("file"), F.concat(F.lpad(F.col("page_id").cast("string"), 9, "0"), "html").alias("value"))
-    path = named_files(t, rows, "docs")
-    docs = readers.read_docs(t.spark, path)
-    return docs.select(F.regexp_extract("path", "(DF[0-9]+)/", 1).alias("flow"), "text")
+    value = F.concat(F.lpad(F.col("page_id").cast("string"), 9, "0"), "html")
+    rows = t.pages.select(_flow().alias("flow"), F.concat(F.lit("pages_"), _block().cast("string"), F.lit(".html")).alias("file"), value.alias("value"))
+    docs = readers.read_docs(t.spark, named_files(t, rows, "docs"))
+    return docs.select(F.regexp_extract("path", "(DF[0-9]+)/", 1).alias("flow"), F.regexp_extract("path", "pages_([0-9]+)", 1).cast("long").alias("block"), "text")
 
 
 @query("S02_read_csv", "select p_partkey, p_name, p_size, p_retailprice from part")
@@ -53,7 +65,8 @@ def _(t: Tables):
     return writers.snapshot_params(t.customer.select("c_custkey", "c_mktsegment"), 7, "demo", "test").drop("INSERTED_AT")
 
 
-_FILES = """select 'DF' || (page_id % 16) as flow, 'pages' || case page_id % 3 when 0 then '.calculationview' when 1 then '.html' else '.txt' end as file from pages"""
+_FILES = f"""select 'DF' || (page_id // {_BLOCK} % 48) as flow,
+    'pages_' || (page_id // {_BLOCK}) || case page_id // {_BLOCK} % 3 when 0 then '.calculationview' when 1 then '.html' else '.txt' end as file from pages"""
 
 
 def named_files(t: Tables, rows, name: str) -> str:
@@ -79,9 +92,9 @@ def named_files(t: Tables, rows, name: str) -> str:
        from (select distinct * from ({_FILES}))""",
 )
 def _(t: Tables):
-    flow = F.concat(F.lit("DF"), (F.col("page_id") % 16).cast("string")).alias("flow")
-    kind = F.when(F.col("page_id") % 3 == 0, ".calculationview").when(F.col("page_id") % 3 == 1, ".html").otherwise(".txt")
-    rows = t.pages.select(flow, F.concat(F.lit("pages"), kind).alias("file"), F.col("html").alias("value"))
+    kind = F.when(_block() % 3 == 0, ".calculationview").when(_block() % 3 == 1, ".html").otherwise(".txt")
+    name = F.concat(F.lit("pages_"), _block().cast("string"), kind)
+    rows = t.pages.select(_flow().alias("flow"), name.alias("file"), F.col("html").alias("value"))
     return readers.file_inventory(t.spark, named_files(t, rows, "files")).drop("path")
 
 
@@ -138,13 +151,19 @@ def _(t: Tables):
 
 @query(
     "S12_xml_attribute",
-    "select p_partkey, case when p_size > 25 then 'Load of ' || p_name else 'Descriptions tag not found' end as description from part",
+    """select p_partkey, case p_size % 10 when 1 then 'Error processing file: not well-formed' when 2 then 'Error processing file: no element found'
+         when 3 then 'Error processing file: junk after document element' when 4 then 'Error processing file: not well-formed'
+         else case when p_size > 25 then 'Load of ' || p_name else 'Descriptions tag not found' end end as description from part""",
 )
 def _(t: Tables):
     tag = F.concat(F.lit('<x:descriptions defaultDescription="Load of '), "p_name", F.lit('"/><descriptions defaultDescription="no"/>'))
     body = F.when(F.col("p_size") > 25, tag).otherwise("<other/>")
-    xml = F.concat(F.lit('<a xmlns:x="urn:x"><b>'), body, F.lit("</b></a>"))
-    return t.part.select("p_partkey", readers.xml_attribute(xml, "descriptions", "defaultDescription").alias("description"))
+    xml = F.concat(F.lit('<?xml version="1.0"?><a xmlns:x="urn:x"><b>'), body, F.lit("</b></a>\n"))
+    bad = F.col("p_size") % 10
+    broken = F.when(bad == 1, F.expr("left({0}, length({0}) - 3)".format("xml"))).when(bad == 2, F.lit(" ")).when(bad == 3, F.concat("xml", F.lit("<more/>")))
+    broken = broken.when(bad == 4, F.replace("xml", F.lit("</b>"), F.lit("</c>"))).otherwise(F.col("xml"))
+    docs = t.part.withColumn("xml", xml).withColumn("xml", broken)
+    return docs.select("p_partkey", readers.xml_attribute(F.col("xml"), "descriptions", "defaultDescription").alias("description"))
 
 
 @query("S13_dated_output", "select page_id, length(html) as n, date '2024-05-02' as run_date from pages")

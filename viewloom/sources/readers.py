@@ -24,8 +24,9 @@ SOURCE_COLUMN_SCHEMA = T.StructType(
     ]
 )
 
-# Fixed value: text of a file that has no description.
+# Text of a file that has no description, and how the text of a file that cannot be read begins.
 NO_DESCRIPTION = "Descriptions tag not found"
+NOT_READ, EMPTY = "Error processing file: ", "no element found"
 
 
 def read_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -113,20 +114,54 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
     return named.select(flow.alias("DataFlow"), "FileName", source_system(F.col("FileName")).alias("SourceSystem"), "path")
 
 
+def xml_error(xml: Column) -> Column:
+    """What is wrong with an XML document; NULL for a well-formed one.
+
+    Documents are parsed in permissive mode, so a bad one is a value of its row and fails no task. A document type declaration is
+    not read: its entities count as errors. A byte order mark is skipped.
+    """
+    return _checked(xml)[0]
+
+
+def _checked(xml: Column) -> tuple[Column, Column]:
+    """(error, document inside an element of ours), the latter safe to query where there is no error."""
+
+    def corrupt(c: Column) -> Column:
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}
+        return F.from_xml(c, "corrupt string", options)["corrupt"].isNotNull()
+
+    text = F.regexp_replace(xml, "^\ufeff", "")
+    # the parser stops behind the first element; inside an element whose name no document foresees, what follows is seen as well
+    name = F.concat(F.lit("all"), F.hex(F.xxhash64(text)))
+    body = F.regexp_replace(text, r"^<\?xml\b[^>]*\?>", "")
+    wrapped = F.concat(F.lit("<"), name, F.lit(">"), body, F.lit("</"), name, F.lit(">"))
+    single = F.xpath_boolean(wrapped, F.lit("count(/*/*) = 1 and not(/*/text()[normalize-space() != ''])"))
+    error = (
+        F.when(xml.isNull() | F.rlike(text, F.lit(r"^\s*$")), EMPTY)
+        .when(corrupt(text) | corrupt(wrapped), "not well-formed")
+        .when(~single, "junk after document element")
+    )
+    return error, wrapped
+
+
 def xml_attribute(xml: Column, element: str, attribute: str, default: str = NO_DESCRIPTION) -> Column:
-    """An attribute of the first such element, whatever its namespace prefix; ``default`` without element."""
+    """An attribute of the first such element, whatever its namespace prefix; ``default`` without element, an error text for a bad document."""
     path = f"//*[local-name()='{element}'][1]/@{attribute}"
-    return F.coalesce(F.get(F.xpath(xml, F.lit(path)), F.lit(0)), F.lit(default))
+    error, wrapped = _checked(xml)
+    found = F.get(F.xpath(wrapped, F.lit(path)), F.lit(0))
+    return F.when(error.isNotNull(), F.concat(F.lit(NOT_READ), error)).otherwise(F.coalesce(found, F.lit(default)))
 
 
 def inventory_with_descriptions(spark: SparkSession, root: str) -> DataFrame:
-    """File inventory with the default description found in each file."""
+    """File inventory with the default description found in each file, or what is wrong with the file."""
     docs = read_docs(spark, root)
     described = docs.select("path", xml_attribute(F.col("text"), "descriptions", "defaultDescription").alias("Description"))
     files = file_inventory(spark, root)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
     keyed = described.withColumn("key", plain("path")).drop("path")
-    return files.withColumn("key", plain("path")).join(keyed, "key", "inner").drop("key", "path")
+    found = files.withColumn("key", plain("path")).join(keyed, "key", "left").drop("key", "path")
+    # an empty file has no text to read
+    return found.withColumn("Description", F.coalesce("Description", F.lit(NOT_READ + EMPTY)))
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:
