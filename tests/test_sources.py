@@ -59,7 +59,7 @@ def test_bad_xml_is_a_value(spark):
 
 def test_bad_files_in_inventory(spark, files):
     (files / "DF2/bad.calculationview").write_text('<x><descriptions defaultDescription="cut')
-    (files / "DF2/empty.html").write_text("")
+    (files / "DF2/empty.html").write_text("\n")
     inventory = readers.inventory_with_descriptions(spark, str(files))
     found = {r.FileName: r.Description for r in inventory.collect()}
     assert found["bad.calculationview"] == readers.NOT_READ + "not well-formed"

@@ -26,7 +26,7 @@ SOURCE_COLUMN_SCHEMA = T.StructType(
 
 # Text of a file that has no description, and how the text of a file that cannot be read begins.
 NO_DESCRIPTION = "Descriptions tag not found"
-NOT_READ, EMPTY = "Error processing file: ", "no element found"
+NOT_READ = "Error processing file: "
 
 
 def read_docs(spark: SparkSession, path: str) -> DataFrame:
@@ -137,7 +137,7 @@ def _checked(xml: Column) -> tuple[Column, Column]:
     wrapped = F.concat(F.lit("<"), name, F.lit(">"), body, F.lit("</"), name, F.lit(">"))
     single = F.xpath_boolean(wrapped, F.lit("count(/*/*) = 1 and not(/*/text()[normalize-space() != ''])"))
     error = (
-        F.when(xml.isNull() | F.rlike(text, F.lit(r"^\s*$")), EMPTY)
+        F.when(xml.isNull() | F.rlike(text, F.lit(r"^\s*$")), "no element found")
         .when(corrupt(text) | corrupt(wrapped), "not well-formed")
         .when(~single, "junk after document element")
     )
@@ -153,15 +153,13 @@ def xml_attribute(xml: Column, element: str, attribute: str, default: str = NO_D
 
 
 def inventory_with_descriptions(spark: SparkSession, root: str) -> DataFrame:
-    """File inventory with the default description found in each file, or what is wrong with the file."""
+    """File inventory with the default description found in each file, or what is wrong with the file. Spark's readers do not list files of no bytes."""
     docs = read_docs(spark, root)
     described = docs.select("path", xml_attribute(F.col("text"), "descriptions", "defaultDescription").alias("Description"))
     files = file_inventory(spark, root)
     plain = lambda c: F.regexp_replace(c, "^file:/+", "/")
     keyed = described.withColumn("key", plain("path")).drop("path")
-    found = files.withColumn("key", plain("path")).join(keyed, "key", "left").drop("key", "path")
-    # an empty file has no text to read
-    return found.withColumn("Description", F.coalesce("Description", F.lit(NOT_READ + EMPTY)))
+    return files.withColumn("key", plain("path")).join(keyed, "key", "inner").drop("key", "path")
 
 
 def register_views(frames: Mapping[str, DataFrame]) -> None:
