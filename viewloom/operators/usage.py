@@ -1,8 +1,7 @@
-"""Column usage of SQL statements (T14): tokens in scopes, resolved by joins.
+"""Column usage of SQL statements (T14): tokens in scopes.
 
 A statement becomes rows of tokens. Running sums over its parentheses give every token its select scope (subselect, CTE, branch of a
-union); running values inside a scope give the clause and the source a token belongs to. References are then joined with the
-sources of their own or an enclosing scope.
+union), a running value the clause it stands in. References are then matched with the sources of their own or an enclosing scope.
 """
 
 from __future__ import annotations
@@ -41,43 +40,59 @@ def _is(c: str, *values: str) -> Column:
     return F.col(c).isin(*values)
 
 
+def _name(c: str) -> Column:
+    return F.rlike(c, F.lit(r'^(?:"|/\w|[\p{L}_$#])')) & ~_is(c, *_WORDS)
+
+
+def _neighbours(tokens: Column) -> Column:
+    """Tokens that matter with their neighbours in the text; the marks of parentheses make these neighbours in their scope, too."""
+
+    def rows(found: Column) -> Column:
+        at = lambda i: F.get(found, i)
+        return F.transform(
+            found,
+            lambda token, i: F.struct(
+                i.alias("pos"), token.alias("token"), at(i - 1).alias("before"), at(i - 3).alias("before3"), at(i + 1).alias("after"), at(i + 2).alias("after2")
+            ),
+        )
+
+    # as a variable of a lambda the tokens are found once, not once for every neighbour
+    placed = F.flatten(F.transform(F.array(tokens), rows))
+    return F.filter(placed, lambda r: F.rlike(r["token"], F.lit(r'^["/\p{L}_$#]..*|^[\p{L}_]|^[()<},]')))
+
+
 def scoped_tokens(df: DataFrame, statement: str) -> DataFrame:
-    """(stmt, pos, token, scope, clause, before, before3, after) of all distinct statements.
+    """(stmt, pos, token, before, before3, after, after2, flat, frame, branch, clause) of all distinct statements: names, words, marks and commas.
 
-    ``scope`` numbers the select that a token belongs to by (position of its parenthesis, branch of a set operation); ``clause`` is the last word
-    that began one there, not counting words inside the parentheses of an expression.
+    ``frame`` is the position of the parenthesis of the select that a token belongs to (-1 outside all), ``branch`` its number in a set operation;
+    ``clause`` is the last word that began one there, not counting words inside the parentheses of an expression, ``flat`` whether the token is outside such.
     """
     text = F.col(statement)
-    distinct = df.select(text.alias("text")).where("text is not null").distinct()
-    key = F.concat_ws("-", F.hex(F.xxhash64("text")), F.hex(F.xxhash64(F.lit(1), "text")))
-    tokens = distinct.select(key.alias("stmt"), F.posexplode(_tokens(F.col("text"))).alias("pos", "token")).repartition("stmt")
+    key = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+    # statements are dealt out while they are short; their tokens stay where they are. A fixed number keeps small texts with many tokens apart
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = df.where(text.isNotNull()).select(key.alias("stmt"), text.alias("text")).repartition(parts, "stmt").dropDuplicates(["stmt"])
+    tokens = distinct.select("stmt", F.explode(_neighbours(_tokens(F.col("text")))).alias("t")).select("stmt", "t.*")
     whole = Window.partitionBy("stmt").orderBy("pos")
     upto = whole.rowsBetween(Window.unboundedPreceding, 0)
     opens, closes = _is("token", "("), _is("token", ")")
-    # an opening and its closing parenthesis lie at the depth they enclose
-    depth = F.sum(F.when(opens, 1).otherwise(0)).over(upto) - F.sum(F.when(F.col("last") == ")", 1).otherwise(0)).over(upto)
-    deep = tokens.withColumn("last", F.lag("token").over(whole)).withColumn("depth", depth)
-    query = F.when(opens, F.col("last") == _QUERY)
+    # an opening and its closing parenthesis lie at the depth they enclose; behind the closing one its mark follows
+    deep = tokens.withColumn("depth", F.sum(F.when(opens, 1).when(_is("token", _CLOSE), -1).otherwise(0)).over(upto))
+    query = F.when(opens, F.col("before") == _QUERY)
     pairs = Window.partitionBy("stmt", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     kind = deep.withColumn("query", F.last(query, True).over(pairs))
-    ends = F.lag(F.when(closes & F.col("query"), 1).otherwise(0), 1, 0).over(whole)
-    nested = kind.withColumn("ends", ends).withColumn("level", F.sum(F.when(opens & F.col("query"), 1).otherwise(0) - F.col("ends")).over(upto))
+    closed = F.lag(closes & F.col("query")).over(whole)
+    nested = kind.withColumn("closed", F.coalesce(closed, F.lit(False)))
+    nested = nested.withColumn("level", F.sum(F.when(opens & F.col("query"), 1).when(_is("token", _CLOSE) & F.col("closed"), -1).otherwise(0)).over(upto))
     levels = Window.partitionBy("stmt", "level").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     opener = F.when(opens & F.col("query"), F.struct("pos", "depth"))
-    framed = nested.withColumn("frame", F.coalesce(F.last(opener, True).over(levels), F.struct(F.lit(-1).alias("pos"), F.lit(0).cast("bigint").alias("depth"))))
-    inside = Window.partitionBy("stmt", "frame.pos").orderBy("pos")
-    so_far = inside.rowsBetween(Window.unboundedPreceding, 0)
-    flat = F.col("depth") == F.col("frame.depth")
-    branch = F.sum(F.when(flat & _is("token", *_SETS), 1).otherwise(0)).over(so_far)
-    scoped = framed.withColumn("flat", flat).withColumn("branch", branch)
-    select = Window.partitionBy("stmt", "frame.pos", "branch").orderBy("pos")
-    so_far = select.rowsBetween(Window.unboundedPreceding, 0)
+    framed = nested.withColumn("opener", F.last(opener, True).over(levels)).withColumn("frame", F.coalesce("opener.pos", F.lit(-1)))
+    framed = framed.withColumn("flat", F.col("depth") == F.coalesce("opener.depth", F.lit(0)))
+    inside = Window.partitionBy("stmt", "frame").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    scoped = framed.withColumn("branch", F.sum(F.when(F.col("flat") & _is("token", *_SETS), 1).otherwise(0)).over(inside))
     begins = _is("token", "join", "on") | (F.col("flat") & _is("token", *_CLAUSES))
-    return scoped.select(
-        "stmt", "pos", "token", "flat", F.col("frame.pos").alias("frame"), "branch",
-        F.last(F.when(begins, F.col("token")), True).over(so_far).alias("clause"),
-        F.lag("token").over(select).alias("before"), F.lag("token", 3).over(select).alias("before3"), F.lead("token").over(select).alias("after"),
-    )
+    so_far = Window.partitionBy("stmt", "frame", "branch").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    return scoped.withColumn("clause", F.last(F.when(begins, F.col("token")), True).over(so_far)).drop("depth", "query", "level", "opener")
 
 
 def column_usage(df: DataFrame, statement: str) -> DataFrame:
@@ -87,56 +102,57 @@ def column_usage(df: DataFrame, statement: str) -> DataFrame:
     one. Unqualified names count in the select list of a select with a single source, and in USING for each of its tables. Columns of
     subselects and CTEs belong to the tables read inside them. Aliases, functions, literals and numbers are no columns; with several
     sources an unqualified name has no known owner and is left out. Null statements and statements without a source give nothing.
+    Statements are dealt out once; what is resolved inside one stays in its row.
     """
     tokens = scoped_tokens(df, statement)
-    name = F.rlike("token", F.lit(r'^["/\p{L}_$#]')) & ~_is("token", *_WORDS)
-    sources_here = _is("clause", "from", "join")
+    no = F.lit(False)
+    name, call, flat = _name("token"), F.coalesce(_is("after", _OPEN), no), F.col("flat")
+    reading = F.coalesce(_is("clause", "from", "join"), no)
     lead = ["from", "join", "lateral", "only", ","]
-    starts = _is("before", *lead[:-1]) | (_is("before", ",") & F.col("flat")) | (_is("before", "(") & _is("before3", *lead, "("))
-    is_call = F.coalesce(_is("after", _OPEN), F.lit(False))
-    table = F.coalesce(sources_here & name & starts, F.lit(False))
-    sub = sources_here & _is("token", _QUERY)
-    scope = Window.partitionBy("stmt", "frame", "branch").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    starts = _is("before", *lead[:-1]) | (_is("before", ",") & flat) | (_is("before", "(") & _is("before3", *lead, "("))
+    table = F.coalesce(reading & name & starts, no)
+    sub = reading & _is("token", _CLOSE) & F.col("closed")
+    given = F.when(_is("after", "as"), F.col("after2")).when(_name("after") & ~F.contains("after", F.lit(".")), F.col("after"))
+    view = flat & _is("clause", "with") & _is("before", "with", "recursive", ",") & name
+    # what follows a name, a closing parenthesis or AS in a select list is its new name; in f(unit from x) the unit is no column
+    behind = _name("before") | F.rlike("before", F.lit(r"^\d")) | _is("before", ")", _CLOSE, "'", "end")
+    renamed = F.coalesce(_is("before", "as") | (_is("clause", "select") & flat & behind), no)
+    unit = F.coalesce(_is("after", "from") & ~flat, no)
+    dotted = F.contains("token", F.lit("."))
+    column = name & ~table & ~call & ~renamed & ~unit & (dotted | F.coalesce(_is("clause", "select", "using"), no))
     select = Window.partitionBy("stmt", "frame", "branch")
-    before_name = F.rlike("before", F.lit(r'^(?:"|/\w|[\w$#])')) & ~_is("before", *_WORDS)
-    # in f(unit from x) the unit is no column
-    unit = F.coalesce(_is("after", "from") & ~F.col("flat"), F.lit(False))
-    marked = tokens.select(
-        "*", before_name.alias("before_name"), unit.alias("unit"), name.alias("name"), table.alias("table"), is_call.alias("call"), F.sum(F.when(table | sub, 1).otherwise(0)).over(scope).alias("source"),
-        F.min("pos").over(select).alias("low"), F.max("pos").over(select).alias("high"),
-    )
-    marked = materialize(marked.where(F.col("name") | (sources_here & _is("token", _QUERY))), "names")
-
-    # an alias is the next name behind its source, with or without AS
-    follows = F.col("before_name") | _is("before", "as", _CLOSE)
-    alias = sources_here & F.col("name") & ~F.col("table") & (F.col("source") > 0) & follows & ~F.contains("token", F.lit("."))
-    read = marked.where(F.col("table") | sub | alias).groupBy("stmt", "frame", "branch", "source").agg(
-        F.first("low").alias("low"), F.first("high").alias("high"),
-        F.max(F.when(F.col("table") & ~F.col("call"), _plain("token"))).alias("table_name"), F.min(F.when(alias, F.struct("pos", "token")))["token"].alias("given"),
+    place = [F.col(c) for c in ("pos", "frame", "branch")]
+    entry = F.struct(*place, _plain("token").alias("token"), "clause", "kind", _plain(given).alias("given"), "low", "high", "sources")
+    kind = F.when(table & ~call, "table").when(sub | table, "sub").when(view, "view").when(column & dotted, "qualified").when(column, "bare")
+    marked = tokens.withColumn("kind", kind).where("kind is not null or clause is not null").select(
+        "*", F.min("pos").over(select).alias("low"), F.max("pos").over(select).alias("high"),
+        F.sum(F.when(_is("kind", "table", "sub"), 1).otherwise(0)).over(select).alias("sources"),
     )
-    views = marked.where(F.col("flat") & _is("clause", "with") & _is("before", "with", "recursive", ",")).select("stmt", _plain("token").alias("table_name"), F.lit(True).alias("view")).distinct()
-    sources = read.join(views, ["stmt", "table_name"], "left").withColumn("base", F.col("view").isNull() & F.col("table_name").isNotNull())
-    sources = sources.withColumn("sources", F.count(F.lit(1)).over(select))
-
-    new_name = _is("before", "as") | (_is("clause", "select") & F.col("flat") & (F.col("before_name") | _is("before", ")", _CLOSE, "'", "end")))
-    placed = F.col("table") | F.col("call") | F.col("unit") | F.coalesce(new_name, F.lit(False))
-    # a source's alias, with or without AS, is no reference; conditions of a join have a clause of their own
-    column = F.col("name") & ~placed & ~(F.col("clause").isin("from", "join") & ~F.contains("token", F.lit(".")))
-    refs = marked.where(column).select("stmt", "frame", "branch", "pos", "clause", "token")
-    qualified = refs.where(F.contains("token", F.lit("."))).select(
-        "stmt", "pos", _plain(F.regexp_replace("token", r"\.[^.]*$", "")).alias("owner"), _plain(F.regexp_extract("token", r"([^.]*)$", 1)).alias("column_name")
-    )
-    shown = F.when(F.col("given").isNotNull(), F.array(_plain("given"))).otherwise(F.array_distinct(F.array("table_name", F.regexp_extract("table_name", r"([^.]*)$", 1))))
-    named = sources.select("stmt", "low", "high", "base", "table_name", F.explode(shown).alias("owner"))
-    held = qualified.join(named, ["stmt", "owner"]).where("pos between low and high")
-    nearest = held.groupBy("stmt", "pos", "column_name").agg(F.max_by(F.struct("table_name", "base"), "low").alias("of"))
-    by_alias = nearest.where("of.base").select("of.table_name", "column_name")
-
-    bare = refs.where(~F.contains("token", F.lit(".")) & _is("clause", "select", "using"))
-    single = sources.where("base").select("stmt", "frame", "branch", "table_name", "sources")
-    by_list = bare.join(single, ["stmt", "frame", "branch"]).where("sources = 1 or clause = 'using'").select("table_name", _plain("token").alias("column_name"))
-    used = by_alias.unionByName(by_list).where("column_name <> '*'")
-    return group_members(used, "table_name", "column_name").withColumnRenamed("members", "columns")
+    texts = marked.where("kind is not null").groupBy("stmt").agg(F.collect_list(entry).alias("all"))
+    of = lambda *kinds: F.filter("all", lambda e: e["kind"].isin(*kinds))
+    split = texts.select(of("table", "sub").alias("sources"), F.transform(of("view"), lambda e: e["token"]).alias("views"), F.explode(of("qualified", "bare")).alias("ref"))
+
+    owner, wanted = F.regexp_replace("ref.token", r"\.[^.]*$", ""), F.regexp_extract("ref.token", r"([^.]*)$", 1)
+    bare = F.col("ref.kind") == "bare"
+
+    def holds(source: Column) -> Column:
+        called = F.coalesce(source["given"], F.when(source["kind"] == "table", source["token"]))
+        last = F.when(source["given"].isNull() & (source["kind"] == "table"), F.regexp_extract(source["token"], r"([^.]*)$", 1))
+        inside = F.col("ref.pos").between(source["low"], source["high"])
+        mine = (source["frame"] == F.col("ref.frame")) & (source["branch"] == F.col("ref.branch"))
+        alone = (F.col("ref.sources") == 1) | (F.col("ref.clause") == "using")
+        return F.when(bare, mine & alone).otherwise(inside & ((called == owner) | (last == owner)))
+
+    visible = F.filter("sources", holds)
+    nearest = F.array_max(F.transform(visible, lambda source: source["low"]))
+    # the nearest scope decides; there the first source of that name, or every table that USING joins
+    here = F.filter(visible, lambda source: source["low"] == nearest)
+    owners = F.when(bare, here).otherwise(F.slice(here, 1, 1))
+    used = split.select("views", F.explode(owners).alias("source"), wanted.alias("column_name"))
+    base = (F.col("source.kind") == "table") & ~F.array_contains("views", F.col("source.token"))
+    named = used.where(base & (F.col("column_name") != "*")).select(F.col("source.token").alias("table_name"), "column_name")
+    # written once: the range partitioning of the lists reads it twice
+    return group_members(materialize(named.distinct(), "usage"), "table_name", "column_name").withColumnRenamed("members", "columns")
 
 
 def _plain(c) -> Column:
