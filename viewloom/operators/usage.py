@@ -122,7 +122,8 @@ def column_usage(df: DataFrame, statement: str) -> DataFrame:
     column = name & ~table & ~call & ~renamed & ~unit & (dotted | F.coalesce(_is("clause", "select", "using"), no))
     select = Window.partitionBy("stmt", "frame", "branch")
     place = [F.col(c) for c in ("pos", "frame", "branch")]
-    entry = F.struct(*place, _plain("token").alias("token"), "clause", "kind", _plain(given).alias("given"), "low", "high", "sources")
+    owner, part = _plain(F.regexp_replace("token", r"\.[^.]*$", "")).alias("owner"), _plain(F.regexp_extract("token", r"([^.]*)$", 1)).alias("part")
+    entry = F.struct(*place, _plain("token").alias("token"), owner, part, "clause", "kind", _plain(given).alias("given"), "low", "high", "sources")
     kind = F.when(table & ~call, "table").when(sub | table, "sub").when(view, "view").when(column & dotted, "qualified").when(column, "bare")
     marked = tokens.withColumn("kind", kind).where("kind is not null or clause is not null").select(
         "*", F.min("pos").over(select).alias("low"), F.max("pos").over(select).alias("high"),
@@ -132,23 +133,22 @@ def column_usage(df: DataFrame, statement: str) -> DataFrame:
     of = lambda *kinds: F.filter("all", lambda e: e["kind"].isin(*kinds))
     split = texts.select(of("table", "sub").alias("sources"), F.transform(of("view"), lambda e: e["token"]).alias("views"), F.explode(of("qualified", "bare")).alias("ref"))
 
-    owner, wanted = F.regexp_replace("ref.token", r"\.[^.]*$", ""), F.regexp_extract("ref.token", r"([^.]*)$", 1)
     bare = F.col("ref.kind") == "bare"
 
     def holds(source: Column) -> Column:
         called = F.coalesce(source["given"], F.when(source["kind"] == "table", source["token"]))
-        last = F.when(source["given"].isNull() & (source["kind"] == "table"), F.regexp_extract(source["token"], r"([^.]*)$", 1))
+        last = F.when(source["given"].isNull() & (source["kind"] == "table"), source["part"])
         inside = F.col("ref.pos").between(source["low"], source["high"])
         mine = (source["frame"] == F.col("ref.frame")) & (source["branch"] == F.col("ref.branch"))
         alone = (F.col("ref.sources") == 1) | (F.col("ref.clause") == "using")
-        return F.when(bare, mine & alone).otherwise(inside & ((called == owner) | (last == owner)))
+        return F.when(bare, mine & alone).otherwise(inside & F.col("ref.owner").isin(called, last))
 
     visible = F.filter("sources", holds)
     nearest = F.array_max(F.transform(visible, lambda source: source["low"]))
     # the nearest scope decides; there the first source of that name, or every table that USING joins
     here = F.filter(visible, lambda source: source["low"] == nearest)
     owners = F.when(bare, here).otherwise(F.slice(here, 1, 1))
-    used = split.select("views", F.explode(owners).alias("source"), wanted.alias("column_name"))
+    used = split.select("views", F.explode(owners).alias("source"), F.col("ref.part").alias("column_name"))
     base = (F.col("source.kind") == "table") & ~F.array_contains("views", F.col("source.token"))
     named = used.where(base & (F.col("column_name") != "*")).select(F.col("source.token").alias("table_name"), "column_name")
     # written once: the range partitioning of the lists reads it twice
