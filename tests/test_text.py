@@ -41,10 +41,25 @@ def test_mapping_by_words_is_mapping_one_by_one(spark):
     for keys in (["a", "B", "ab", "T1", "é", "a.b"], ["a", "/a", "B", "-", "ab/", "T1"]):
         mapping = spark.createDataFrame([(k, make(rng.randint(1, 3)), i) for i, k in enumerate(keys)], "key string, value string, ordinal int")
         placed = mapping.select(F.col("ordinal").alias("__no") + 1, "key", "value").toDF("__no", "key", "value")
-        want = ops._apply_slices(scripts, "text", placed, True, 100)
+        want = ops._apply_slices(scripts, "text", placed, 100)
         assert rows(ops.apply_mapping(scripts, "text", mapping)) == rows(want)
 
 
+def test_plain_keys_are_applied_one_by_one(spark, monkeypatch):
+    rng = random.Random(5)
+    make = lambda n: "".join(rng.choice("ab.é𝒳") for _ in range(n))
+    scripts = spark.createDataFrame([(i, make(rng.randint(0, 30))) for i in range(150)] + [(200, None), (201, "")], "id int, text string")
+    for _ in range(3):
+        # short values join with what stands beside them, so later keys appear that no script had
+        entries = [(make(rng.randint(1, 5)), make(rng.randint(0, 3)), i) for i in range(25)]
+        mapping = spark.createDataFrame([*entries, ("", "x", 30), (None, "x", 31), ("a", None, 32)], "key string, value string, ordinal int")
+        got = dict(rows(ops.apply_mapping(scripts, "text", mapping, whole_words=False)))
+        for i, text in scripts.collect():
+            for key, value, _no in sorted(entries, key=lambda e: (e[2], e[0])):
+                text = text and text.replace(key, value)
+            assert got[i] == text
+
+
 def test_word_borders_know_accents(spark):
     scripts = spark.createDataFrame([("le leè élé É",)], "text string")
     mapping = spark.createDataFrame([("LE", "x", 1), ("é", "y", 2)], "key string, value string, ordinal int")
@@ -97,6 +112,36 @@ def test_column_usage_scopes(spark, statement, want):
     assert {r.table_name: r.columns for r in used.collect()} == want
 
 
+def _grid(*lines):
+    return f'<p><table class="a {tx.GRID_CLASS}"><tr><td>h</td><td>h</td><td>h</td></tr>' + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in line) + "</tr>" for line in lines) + "</table><table><tr><td>1</td><td>2</td><td>3</td></tr></table>"
+
+
+def test_table_rows(spark):
+    inner = "<TABLE><tr> <td>in</td>\n<td>a</td><td>cell</td></tr></TABLE>"
+    docs = [
+        (1, _grid(("", "a", "b"), ("K", "c", "d"), ("two", "cells"), (" ", f"e{inner}", "f"), ("L", "g", "h"))),
+        (2, _grid()), (3, "no table"), (4, None), (5, ""), (6, _grid(("K", "a", "b")).split("</table>")[0]),
+    ]
+    found = ops.table_rows(spark.createDataFrame(docs, "id int, html string"), "id", "html")
+    assert rows(found) == [
+        (1, 1, "", "a", "b"), (1, 2, "K", "c", "d"), (1, 3, "K", "e in a cell", "f"), (1, 4, "L", "g", "h"), (6, 1, "K", "a", "b"),
+    ]
+
+
+def test_table_rows_are_linear(spark):
+    import time
+
+    took = []
+    for n in (12_500, 100_000):
+        lines = [("K" + str(i) if i % 7 == 0 else "", f"n{i}", f"<b>t</b>{i}" if i % 50 else f"<table><tr><td>x</td></tr></table>{i}") for i in range(n)]
+        df = spark.createDataFrame([(1, _grid(*lines))], "id int, html string")
+        started = time.perf_counter()
+        last = ops.table_rows(df, "id", "html").where(f"row_no = {n}").first()
+        took.append(time.perf_counter() - started)
+        assert last.object_type == "K" + str((n - 1) // 7 * 7) and last.name == f"n{n - 1}"
+    assert took[1] < 30 * took[0] + 5
+
+
 def test_rule_table(spark):
     row = lambda *cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
     rule = lambda name, kind="Routine": row("", name, "d", "C", "1", kind, "t", "I", "", "", "")

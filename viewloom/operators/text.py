@@ -36,8 +36,11 @@ def apply_mapping(
 
     Whole words: a key can only apply where its first word is a word of the script, or of a value that an earlier entry may have put there. Such
     pairs are found by equality of words, and each script is worked on with its own few entries. Keys that begin or end with something other
-    than a word character may join their value to a neighbouring word; scripts they may apply to, and plain keys, are tested against all entries, which reach
+    than a word character may join their value to a neighbouring word; scripts they may apply to are tested against all entries, which reach
     them as scalar subqueries of at most ``slice_size`` entries, slice after slice.
+
+    Plain keys: a script meets the keys one of whose q-grams it has. What replacements put together is searched for further keys until there are none.
+    Entries with an empty key, or without key or value, change nothing.
     """
     placed = numbered(
         mapping.select(F.lit(1).alias("__all"), "ordinal", "key", "value"),
@@ -46,9 +49,9 @@ def apply_mapping(
     )
     placed = materialize(placed.drop("__all"), "mapping")
     if not whole_words:
-        return _apply_slices(scripts, text, placed, False, slice_size)
+        return _apply_plain(scripts, text, placed.where("key <> '' and value is not null"))
     reach = materialize(_word_reach(placed), "reach")
-    numbered_scripts = materialize(scripts.withColumn("__script", F.monotonically_increasing_id()), "scripts")
+    numbered_scripts = _with_number(scripts)
     # the empty word stands for keys without any: they may apply everywhere
     words = numbered_scripts.select("__script", F.explode(F.concat(_words(F.col(text)), F.array(F.lit("")))).alias("__word"))
     due = words.join(reach, "__word").groupBy("__script").agg(F.max("open").alias("__open"), F.collect_set("__no").alias("nos"))
@@ -61,7 +64,83 @@ def apply_mapping(
     folded = F.aggregate(F.coalesce("__entries", F.array().cast(entries.schema["__entries"].dataType)), F.col(text), _replace_word)
     plain = joined.filter("__open is null").withColumn(text, folded).select(*scripts.columns)
     whole = joined.filter("__open").select(*scripts.columns)
-    return plain.unionByName(_apply_slices(whole, text, placed, True, slice_size)) if not unready.isEmpty() else plain
+    return plain.unionByName(_apply_slices(whole, text, placed, slice_size)) if not unready.isEmpty() else plain
+
+
+def _with_number(scripts: DataFrame) -> DataFrame:
+    return materialize(scripts.withColumn("__script", F.monotonically_increasing_id()), "scripts")
+
+
+#: Lengths of the q-grams that stand for a plain key: the longest that fits.
+_GRAMS = (16, 8, 4, 2, 1)
+
+
+def _grams(c: Column, q: int) -> Column:
+    return F.array_distinct(F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{q}}}))"), 1))
+
+
+def _key_grams(placed: DataFrame) -> DataFrame:
+    """(__no, q, gram): of each key's grams the one that the fewest keys have."""
+    length = F.char_length("key")
+    q = F.coalesce(*[F.when(length >= n, n) for n in _GRAMS])
+    grams = F.coalesce(*[F.when(length >= n, _grams(F.col("key"), n)) for n in _GRAMS])
+    each = placed.select("__no", q.alias("q"), F.explode(grams).alias("gram"))
+    common = each.groupBy("gram").agg(F.count(F.lit(1)).alias("keys"))
+    return each.join(common, "gram").groupBy("__no", "q").agg(F.min_by("gram", F.struct("keys", "gram")).alias("gram"))
+
+
+def _apply_plain(scripts: DataFrame, text: str, placed: DataFrame) -> DataFrame:
+    """Replace plain keys in order, each script with the keys that can occur in it.
+
+    A key outside that list would have to appear in a text that the list's own replacements make: such texts are looked at as well, and a script for
+    which they bring further keys is worked on again with these. The rounds end when no text in between has a new key.
+    """
+    index = materialize(_key_grams(placed), "grams")
+    lengths = [r.q for r in index.select("q").distinct().collect()]
+    # a key comes up anew only with a character of some value in its q-gram, or where an empty value joins two ends
+    brought = placed.select(F.explode(F.split("value", "")).alias("c")).where("c <> ''").distinct()
+    letters = index.select("__no", F.explode(F.split("gram", "")).alias("c")).join(brought, "c").select("__no").distinct()
+    joins_ends = not placed.where("value = ''").isEmpty()
+    later = index if joins_ends else materialize(index.join(letters, "__no", "left_semi"), "later")
+    final = later.isEmpty()
+    stored = _with_number(scripts.withColumn("__text", F.col(text)))
+    if not lengths:
+        return scripts
+
+    def met(texts: DataFrame, keys: DataFrame) -> DataFrame:
+        grams = F.flatten(F.array(*[_grams(F.col("__text"), q) for q in lengths]))
+        return texts.select("__script", F.explode(grams).alias("gram")).join(keys, "gram").select("__script", "__no").distinct()
+
+    start = F.struct(F.col("__text").alias("text"), F.array().cast("array<string>").alias("made"))
+
+    def replace(state: Column, entry: Column) -> Column:
+        new = F.struct(F.replace(state["text"], entry["key"], entry["value"]).alias("text"), F.array_append(state["made"], state["text"]).alias("made"))
+        return F.when(F.contains(state["text"], entry["key"]), new).otherwise(state)
+
+    known = pairs = materialize(met(stored, index), "pairs")
+    results = []
+    while True:
+        entries = pairs.join(placed.select("__no", "key", "value"), "__no").groupBy("__script").agg(
+            F.array_sort(F.collect_list(F.struct("__no", "key", "value"))).alias("entries")
+        )
+        folded = F.aggregate("entries", start, replace)
+        done = materialize(stored.select("__script", "__text").join(entries, "__script").select("__script", folded.alias("done")), "folded")
+        if final:
+            results.append(done)
+            break
+        # the first text made is the script itself
+        made = F.filter(F.array_append("done.made", F.col("done.text")), lambda _, i: i > 0)
+        further = met(done.select("__script", F.explode(made).alias("__text")), later).join(known, ["__script", "__no"], "left_anti")
+        further = materialize(further, "pairs")
+        again = further.select("__script").distinct()
+        results.append(done.join(again, "__script", "left_anti"))
+        if further.isEmpty():
+            break
+        known = known.union(further)
+        pairs = materialize(known.join(again, "__script", "left_semi"), "pairs")
+    changed = reduce(DataFrame.unionByName, results).select("__script", F.col("done.text").alias("__new"), F.lit(True).alias("__done"))
+    replaced = F.when(F.col("__done"), F.col("__new")).otherwise(F.col(text))
+    return stored.join(changed, "__script", "left").withColumn(text, replaced).select(*scripts.columns)
 
 
 def _words(c: Column) -> Column:
@@ -96,17 +175,12 @@ def _replace_word(text_so_far: Column, entry: Column) -> Column:
     return F.when(occurs, F.regexp_replace(text_so_far, word, literal)).otherwise(text_so_far)
 
 
-def _replace_plain(text_so_far: Column, entry: Column) -> Column:
-    return F.replace(text_so_far, entry["key"], entry["value"])
-
-
-def _apply_slices(scripts: DataFrame, text: str, placed: DataFrame, whole_words: bool, slice_size: int) -> DataFrame:
-    replaced = _replace_word if whole_words else _replace_plain
+def _apply_slices(scripts: DataFrame, text: str, placed: DataFrame, slice_size: int) -> DataFrame:
     for number in range(math.ceil(placed.count() / slice_size)):
         inside = (F.col("__no") > number * slice_size) & (F.col("__no") <= (number + 1) * slice_size)
         entries = placed.filter(inside).agg(F.array_sort(F.collect_list(F.struct("__no", "key", "value"))))
         with_entries = scripts.withColumn("__entries", entries.scalar())
-        scripts = with_entries.withColumn(text, F.aggregate("__entries", F.col(text), replaced)).drop("__entries")
+        scripts = with_entries.withColumn(text, F.aggregate("__entries", F.col(text), _replace_word)).drop("__entries")
         if number % 20 == 19:
             scripts = materialize(scripts, "scripts")  # keeps the plan short for very long mappings
     return scripts
@@ -154,48 +228,71 @@ def classify_statements(df: DataFrame, statement: str) -> DataFrame:
 
 
 def _closed_table(rest: Column) -> Column:
-    """The text behind an opened table up to the end tag that closes it; tables inside stay whole."""
-    pieces = F.split(rest, "(?i)</table>")
-    # depth after each piece: tables opened so far less tables closed
-    opened = F.transform(pieces, lambda p: F.size(F.split(p, "(?i)<table")) - 2)
-    depths = F.transform(pieces, lambda _, i: F.aggregate(F.slice(opened, F.lit(1), i + 1), F.lit(1), lambda a, b: a + b))
-    closing = F.coalesce(F.array_position(F.transform(depths, lambda d: d <= 0), F.lit(True)), F.lit(0)).cast("int")
-    last = F.when(closing > 0, closing).otherwise(F.size(pieces))
-    return F.array_join(F.slice(pieces, F.lit(1), last), "</table>")
+    """The text behind an opened table up to the end tag that closes it; tables inside stay whole.
+
+    One pass over the end tags, with the tables open so far as state.
+    """
+
+    def close(pieces: Column) -> Column:
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("last"))
+
+        def step(state: Column, piece: Column) -> Column:
+            # tables opened in the piece, less the one that is closed behind it
+            depth = state["depth"] + F.size(F.split(piece, "(?i)<table")) - 2
+            at = state["at"] + 1
+            last = F.when((state["last"] == 0) & (depth <= 0), at).otherwise(state["last"])
+            return F.struct(depth.alias("depth"), at.alias("at"), last.alias("last"))
+
+        last = F.aggregate(pieces, start, step, lambda state: F.when(state["last"] > 0, state["last"]).otherwise(state["at"]))
+        return F.array_join(F.slice(pieces, F.lit(1), last), "</table>")
+
+    return F.get(F.transform(F.array(F.split(rest, "(?i)</table>")), close), F.lit(0))
 
 
 def table_rows(df: DataFrame, doc: str, html: str) -> DataFrame:
     """Three-cell rows of the grid table behind its header; a blank object type repeats the one above.
 
     The grid is the first table with the grid class among its classes, up to the end tag that closes it. Tables inside a cell are part of its text.
+    All work stays in the row of a document and grows with its length.
     """
     opening = rf"""(?is)<table[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?{tx.GRID_CLASS}(?:\s[^"']*)?["'][^>]*>"""
     inside = _closed_table(F.get(F.split(html, opening, 2), F.lit(1)))
     # tables inside cells give way to their text, so that their rows are not rows of the grid
-    grid = F.regexp_replace(inside, r"(?is)<table[^>]*>((?:(?!</table>).)*)</table>", "\u0001$1\u0002")
+    grid = F.regexp_replace(inside, r"(?is)<table[^>]*>(.*?)</table>", "\u0001$1\u0002")
     grid = F.transform(F.split(grid, "\u0001"), lambda p, i: F.when(i == 0, p).otherwise(_flat_before(p)))
     rows = F.regexp_extract_all(F.array_join(grid, ""), F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
-    body = F.slice(rows, F.lit(2), F.greatest(F.size(rows) - 1, F.lit(0)))
     cells = F.transform(
-        body,
+        F.filter(rows, lambda _, i: i > 0),
         lambda row: F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1), tx.plain_text),
     )
-    complete = df.select(F.col(doc), F.filter(cells, lambda c: F.size(c) == 3).alias("rows"))
-    # the place of the latest row with an object type, for every row
-    kinds = F.transform("rows", lambda c, i: F.when(F.get(c, F.lit(0)) != "", i + 1).otherwise(0))
-    exploded = complete.withColumn("kinds", kinds).select(doc, "rows", F.posexplode("rows").alias("row_no", "c"), "kinds")
-    above = F.array_max(F.slice("kinds", F.lit(1), F.col("row_no") + 1))
-    kind = F.when(above > 0, F.get(F.get("rows", above - 1), F.lit(0))).otherwise(F.lit(""))
-    return exploded.select(
-        doc, (F.col("row_no") + 1).alias("row_no"), kind.alias("object_type"),
-        F.get("c", F.lit(1)).alias("name"), F.get("c", F.lit(2)).alias("technical_name"),
-    )
+
+    def filled(found: Column) -> Column:
+        """Rows cut into runs that begin with an object type; every run is a slice, so each row is copied once."""
+
+        def runs(starts: Column) -> Column:
+            def run(start: Column, i: Column) -> Column:
+                end = F.coalesce(F.get(starts, i + 1), F.size(found) + 1)
+                kind = F.get(F.get(found, start - 1), F.lit(0))
+                member = lambda c: F.struct(kind.alias("object_type"), F.get(c, F.lit(1)).alias("name"), F.get(c, F.lit(2)).alias("technical_name"))
+                return F.transform(F.slice(found, start, end - start), member)
+
+            return F.flatten(F.transform(starts, run))
+
+        begins = F.filter(F.transform(found, lambda c, i: F.when((i == 0) | (F.get(c, F.lit(0)) != ""), i + 1)), lambda i: i.isNotNull())
+        return F.get(F.transform(F.array(begins), runs), F.lit(0))
+
+    complete = F.filter(cells, lambda c: F.size(c) == 3)
+    placed = F.get(F.transform(F.array(complete), filled), F.lit(0))
+    exploded = df.select(F.col(doc), F.posexplode(placed).alias("row_no", "c"))
+    return exploded.select(doc, (F.col("row_no") + 1).alias("row_no"), "c.*")
 
 
 def _flat_before(piece: Column) -> Column:
     """Markup of an inner table, up to its end mark, as blanks."""
     ends = F.split(piece, "\u0002", 2)
-    return F.concat(F.regexp_replace(F.get(ends, F.lit(0)), r"(?s)(?:\s*<[^>]*>\s*)+", " "), F.coalesce(F.get(ends, F.lit(1)), F.lit("")))
+    marked = F.regexp_replace(F.get(ends, F.lit(0)), "<[^>]*>", "\u0003")
+    blank = F.regexp_replace(marked, r"(?<!\s)\s*+\x03[\s\x03]*+", " ")
+    return F.concat(blank, F.coalesce(F.get(ends, F.lit(1)), F.lit("")))
 
 
 def split_source(rows: DataFrame) -> DataFrame:
