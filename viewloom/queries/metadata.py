@@ -265,9 +265,29 @@ _WIDE = (
 )
 
 
-@query("L03_wide_paths", _WIDE)
+# One line per target over all its paths: small enough to be compared, and every path has a part in it.
+_PATH = "concat_ws('>', " + ", ".join(f"{c}{'' if i == 1 else i}" for i in range(1, 5) for c in _EDGE[2:4]) + ")"
+_DIGEST = f"target_table_name, target_column_name, count(*) as paths, count(target_table_name2) as longer, min({_PATH}) as least, max({_PATH}) as greatest"
+
+
+def _digest(wide):
+    return wide.selectExpr("*", f"{_PATH} as path").groupBy("target_table_name", "target_column_name").agg(
+        F.count(F.lit(1)).alias("paths"), F.count("target_table_name2").alias("longer"), F.min("path").alias("least"), F.max("path").alias("greatest")
+    )
+
+
+@query("L03_wide_paths", f"select {_DIGEST} from ({_WIDE}) group by 1, 2")
+def _(t: Tables):
+    return _digest(lineage.wide_form(t.edges, 4))
+
+
+@query(
+    "L03_path_counts",
+    f"""select target_table_name, target_column_name, 1 + (target_table_name2 is not null)::int + (target_table_name3 is not null)::int + (target_table_name4 is not null)::int as hops,
+        count(*) as paths from ({_WIDE}) group by 1, 2, 3""",
+)
 def _(t: Tables):
-    return lineage.wide_form(t.edges, 4)
+    return lineage.path_counts(t.edges)
 
 
 @query(
@@ -312,19 +332,16 @@ def _(t: Tables):
     return reconcile.type_reconciliation(t.source_meta, t.target_meta, t.objects)
 
 
-_WIDE_NAMES = [f"{c}{'' if i == 1 else i}" for i in range(1, 5) for c in _EDGE]
-
-
 @query(
     "Q04_full_lineage",
-    "select 'path' as part, concat_ws('|', " + ", ".join(f"coalesce({c}, '')" for c in _WIDE_NAMES) + ") as line from (" + _WIDE + ") union all "
+    f"select 'path' as part, concat_ws('|', target_table_name, target_column_name, paths, longer, least, greatest) as line from (select {_DIGEST} from ({_WIDE}) group by 1, 2) union all "
     "select 'pair', concat_ws('|', tt, tc, st, sc, depth) from (" + _REACH + " select tt, tc, st, sc, min(depth) as depth from r group by all) union all "
     "select 'root', concat_ws('|', tt, tc, st, sc) from (" + _REACH + " select distinct tt, tc, st, sc from r where (st, sc) not in (select (tt, tc) from e)) union all "
     "select 'graph', concat_ws('|', section, line) from (" + _DOT + ")",
 )
 def _(t: Tables):
     found = reconcile.full_lineage(t.edges, 4)
-    parts = {"path": found.wide, "pair": found.closure, "root": found.roots, "graph": found.dot}
+    parts = {"path": _digest(found.wide), "pair": found.closure, "root": found.roots, "graph": found.dot}
     lines = [
         df.select(F.lit(name).alias("part"), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]).alias("line"))
         for name, df in parts.items()
