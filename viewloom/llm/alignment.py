@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,8 @@ HELD = 1 << 20
 TABLE, PART = 1 << 23, 1 << 12
 #: Bits of a B id in a pair's key.
 SHIFT = 15
-#: Words whose B ids a worker remembers, and characters of the longest.
-WORDS, WORD_LENGTH = 1 << 18, 40
+#: Words whose B ids a worker remembers.
+WORDS = 1 << 18
 #: Spaces and what follows them up to the next space.
 _WORD = re.compile(" *[^ ]+| +")
 _NONE = np.uint32(0xFFFFFFFF)
@@ -64,27 +66,30 @@ class Coder:
         self.apart = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
         self.known: dict[str, bytes] = {}
 
-    def _b_ids(self, text: str) -> np.ndarray | None:
-        """B ids of a space and the text; None where their bytes differ from it."""
-        words = _WORD.findall(" " + text) if self.apart else [" " + text]
-        found = list(map(self.known.get, words))
-        if None in found:
-            found = [self._word(word) if ids is None else ids for word, ids in zip(words, found)]
-        ids = np.frombuffer(b"".join(found), np.uint32)
-        return None if (ids == _NONE).any() else ids
-
-    def _word(self, word: str) -> bytes:
-        if not self.apart or word.strip(" "):
-            ids = self.b.encode(word[1:])  # the tokenizer puts the first space back
-        else:
-            ids = self.b.encode("x" + word)[len(self.b.encode("x")) :]
-        right = b"".join(map(self.b_bytes.__getitem__, ids)) == word.encode()
-        packed = (np.array(ids, np.uint32) if right else np.array([_NONE])).tobytes()
-        if len(word) <= WORD_LENGTH:
-            if len(self.known) >= WORDS:
-                self.known.clear()
-            self.known[word] = packed
-        return packed
+    def _b_ids(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        """B ids of a space and each text; None where their bytes differ from it, or without text."""
+        words = [(_WORD.findall(" " + text) if self.apart else [" " + text]) if text else [] for text in texts]
+        new = set(chain.from_iterable(words)).difference(self.known)
+        self._learn(list(new))
+        found: list = []
+        for own in words:
+            ids = np.frombuffer(b"".join(map(self.known.__getitem__, own)), np.uint32)
+            found.append(None if not own or (ids == _NONE).any() else ids)
+        if len(self.known) > WORDS:
+            # the first words met are the frequent ones: these stay
+            for word in new:
+                del self.known[word]
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        # the tokenizer puts the first space back; before nothing but spaces it needs a letter to do so
+        blank = [w for w in words if self.apart and not w.strip(" ")]
+        plain = [w for w in words if not self.apart or w.strip(" ")]
+        letter = self.b.encode("x")
+        coded = self.b.encode([w[1:] for w in plain], num_threads=1) + [self.b.encode("x" + w)[len(letter) :] for w in blank]
+        for word, ids in zip(plain + blank, coded):
+            right = b"".join(map(self.b_bytes.__getitem__, ids)) == word.encode()
+            self.known[word] = array("I", ids).tobytes() if right else _NONE.tobytes()
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -103,8 +108,7 @@ class Coder:
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of every text in both vocabularies; none for a null or empty text, or where either side's bytes are not the space and the text."""
         found: tuple[list, list] = ([], [])
-        for text in texts:
-            b = self._b_ids(text) if text else None
+        for text, b in zip(texts, self._b_ids(texts)):
             a = self._a_ids(" " + text) if b is not None else None
             if a is None or b"".join(map(self.a_bytes.__getitem__, a.tolist())) != (" " + text).encode():
                 a = b = np.zeros(0, np.uint32)
