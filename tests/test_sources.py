@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from viewloom import session
-from viewloom.operators.upsert import replace_table, upsert
+from viewloom.operators.upsert import BUCKET, merge_table, replace_table, save_by_key, upsert
 from viewloom.plans.reconcile import registry_refresh
 from viewloom.sources import readers, writers
 
@@ -117,5 +117,37 @@ def test_replace_table_that_the_query_reads(spark):
     assert rows(spark.table("registry")) == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def _files(spark, name):
+    return {r[0] for r in spark.table(name).select("_metadata.file_path").distinct().collect()}
+
+
+def test_merge_leaves_other_buckets_alone(spark):
+    rows_of = [(i, f"v{i}", i % 3) for i in range(200)]
+    save_by_key(spark.createDataFrame(rows_of, "k int, v string, w int"), "merged", ["k"], buckets=16)
+    before = _files(spark, "merged")
+    changes = spark.createDataFrame([(5, "new"), (1000, "more"), (None, "x"), (None, "y")], "k int, v string")
+    hit = {r[0] for r in changes.selectExpr("cast(pmod(xxhash64(k), 16) as int)").collect()}
+    merge_table(changes, "merged")
+    after = _files(spark, "merged")
+    bucket = lambda path: int(path.split(f"{BUCKET}=")[1].split("/")[0])
+    assert {f for f in before if bucket(f) not in hit} == {f for f in after if bucket(f) not in hit}
+    assert not {f for f in before if bucket(f) in hit} & after
+    want = [(i, "new" if i == 5 else v, w) for i, v, w in rows_of] + [(1000, "more", None), (None, "x", None), (None, "y", None)]
+    assert rows(spark.table("merged").drop(BUCKET)) == sorted(want, key=lambda t: [(v is not None, str(v)) for v in t])
+
+
+def test_a_repeated_source_key_raises_and_changes_nothing(spark):
+    save_by_key(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), "repeated", ["k"], buckets=4)
+    twice = spark.createDataFrame([(2, "c"), (2, "d")], "k int, v string")
+    with pytest.raises(Exception, match="repeats the key"):
+        merge_table(twice, "repeated")
+    assert rows(spark.table("repeated").drop(BUCKET)) == [(1, "a"), (2, "b")]
+    with pytest.raises(Exception, match="repeats the key"):
+        upsert(spark.table("repeated").drop(BUCKET), twice, ["k"]).collect()
+    writers.save(twice, "plain")
+    with pytest.raises(ValueError, match="save_by_key"):
+        merge_table(twice, "plain")
+
+
 def test_checkpoint_folder_comes_from_the_session(spark):
     assert session.ensure_checkpoint_dir(spark).startswith(("file:" + spark.conf.get("spark.checkpoint.dir"), spark.conf.get("spark.checkpoint.dir")))

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from viewloom.functions import scalar as fn
 from viewloom.operators import nodes, relational as rel
-from viewloom.operators.upsert import upsert
+from viewloom.operators.upsert import BUCKET, merge_table, save_by_key, upsert
+from viewloom.session import materialize
 from viewloom.queries.base import Tables, query
 from viewloom.specs import NodeOptions, UnionInput
 
@@ -426,6 +427,22 @@ def _(t: Tables):
     return upsert(old, new, ["flow", "file"], update=["segment"], insert=["segment"])
 
 
+@query(
+    "M01_merge_table",
+    f"""select o.flow, o.file, o.segment, o.schema_name, o.group_id from {_OLD} o anti join {_NEW} n using (flow, file)
+        union all select o.flow, o.file, n.segment, o.schema_name, o.group_id from {_OLD} o join {_NEW} n using (flow, file)
+        union all select n.flow, n.file, n.segment, null, null from {_NEW} n anti join {_OLD} o using (flow, file)""",
+)
+def _(t: Tables):
+    old, new = _registry(t)
+    name = "viewloom_m01_registry"
+    save_by_key(old, name, ["flow", "file"], buckets=8)
+    merge_table(new, name, update=["segment"], insert=["segment"])
+    rows = materialize(t.spark.table(name).drop(BUCKET), name)
+    t.spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 @query(
     "M02_upsert_all",
     f"""select o.* from {_OLD} o where o.segment <> 'OLDHOUSEHOLD'
