@@ -99,5 +99,5 @@ def test_odd_rows(spark):
 def test_queries_are_registered():
     entry = importlib.import_module("__spark_entry__")
     named = [q for q in entry.queries() if q == "pipeline" or q.startswith("op")]
-    assert sorted(int(q[2:].split("_")[0]) for q in named if q != "pipeline") == list(range(1, 11)) and "pipeline" in named
+    assert sorted(int(q[2:].split("_")[0]) for q in named if q != "pipeline") == list(range(1, 14)) and "pipeline" in named
     assert set(queries.oracle_sql()) <= set(named)
