@@ -31,7 +31,7 @@ TABLE, PART = 1 << 23, 1 << 12
 #: Bits of a B id in a pair's key.
 SHIFT = 15
 #: Words whose B ids a worker remembers.
-WORDS = 1 << 19
+WORDS = 1 << 18
 #: Spaces and what follows them up to the next space.
 _WORD = re.compile(" *[^ ]+| +")
 _NONE = np.uint32(0xFFFFFFFF)
