@@ -9,24 +9,31 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewloom.llm.common import WORD, code_points, slices, with_columns
+from viewloom.llm.common import WORD, code_points, slices
 from viewloom.session import materialize
 
-#: The model looks at characters, this many at a time; a character takes so many bits of a packed n-gram.
-ORDER, BITS = 4, 12
-FIRST, LAST = 0xFFF, 0xFFE
+#: The model looks at characters, this many at a time. A character takes so many bits, so three fit a long: an n-gram of the highest
+#: order is its first character (head) and the other three (tail), a shorter one is a tail alone.
+ORDER, BITS = 4, 21
+FIRST, LAST = 0x1FFFFF, 0x1FFFFE
 #: The model is counted on documents of at least so many words with at most this share of symbols per word.
 FEWEST_WORDS, SYMBOL_SHARE = 10, 0.05
 #: A band reaches this many quartile distances, and at least so far, to both sides of the median log-perplexity of those documents.
 REACH, NARROWEST = 3.0, 0.15
 #: Joins the fold and the language in a model that is counted in two folds.
 FOLD = "\x00"
-#: Distinct n-grams that a task holds before it sends its counts.
+#: Characters, and distinct n-grams of the counts, that a task holds before it works them off.
 HELD = 1 << 21
+#: Bytes of text that are scored together: the n-grams of a block are looked up once.
+BLOCK = 1 << 23
+#: Bits of the n-grams in one range of hashes of the model.
+RANGE_BITS = 22
 
 _SYMBOL = re.compile(r"[#*$%&|<>]")
 _WINDOW = 5
@@ -64,139 +71,136 @@ def _reference(text: str | None) -> bool:
 # --- counting -----------------------------------------------------------------------------------------------------------
 
 
-def _codes(text: str) -> np.ndarray:
-    points = code_points(text).astype(np.int64)
-    return np.where(points < 0xF00, points, 0xF00 + (points * 0x9E3779B1 >> 16) % 0xE0)
-
-
-def _grams(text: str) -> Iterator[np.ndarray]:
-    """Packed n-grams of the highest order that end in each character and in the end mark, slice by slice."""
+def _symbols(text: str) -> Iterator[np.ndarray]:
+    """The characters of a text between its marks, in slices that share ORDER - 1 of them."""
     n = ORDER - 1
     pieces = list(slices(text, n))
     for k, piece in enumerate(pieces):
-        codes = _codes(piece)
-        head = [FIRST] * n if k == 0 else []
-        codes = np.concatenate((np.array(head, np.int64), codes, np.array([LAST] if k == len(pieces) - 1 else [], np.int64)))
-        packed = codes[: len(codes) - n]
-        for i in range(1, ORDER):
-            packed = packed << BITS | codes[i : len(codes) - n + i]
-        yield packed
+        first, last = [FIRST] * n if k == 0 else [], [LAST] if k == len(pieces) - 1 else []
+        yield np.concatenate((np.array(first, np.uint32), code_points(piece), np.array(last, np.uint32)))
+
+
+def _grams(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(head, tail) of the n-grams of the highest order of all slices, in their order: len - ORDER + 1 of each."""
+    joined = np.concatenate(pieces).astype(np.int64)
+    inside = np.ones(len(joined) - ORDER + 1, bool)
+    for end in np.cumsum([len(p) for p in pieces])[:-1].tolist():
+        inside[end - ORDER + 1 : end] = False
+    tail = joined[1:-2] << 2 * BITS | joined[2:-1] << BITS | joined[3:]
+    return joined[: 1 - ORDER][inside], tail[inside]
+
+
+def _mix(head: np.ndarray | int, tail: np.ndarray, order: int, salt: int) -> np.ndarray:
+    """A 64-bit hash of n-grams of one order and language."""
+    x = tail.astype(np.uint64) ^ np.uint64(salt)
+    x = (x + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(32)) ^ np.asarray(head).astype(np.uint64)) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _salt(language: str) -> int:
+    import hashlib
+
+    return int.from_bytes(hashlib.blake2b(language.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _runs(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order that sorts the hashes, and where in it each distinct one begins."""
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    return order, np.flatnonzero(np.concatenate((np.ones(min(1, len(ranked)), bool), ranked[1:] != ranked[:-1])))
 
 
 def count(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, gram, n) over all documents that pass the reference rule; a null language is the language ''."""
+    """(lang, head, tail, n) over all documents that pass the reference rule; a null language is the language ''."""
     rows = docs.select(F.coalesce(F.col(f"`{lang}`"), F.lit("")).alias("lang"), F.col(f"`{text}`").alias("text"))
-    names = ["lang", "gram", "n"]
+    names = ["lang", "head", "tail", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        held: dict[str, tuple[np.ndarray, ...]] = {}
         waiting: dict[str, list[np.ndarray]] = {}
         size = 0
 
         def merge(language: str) -> None:
-            grams, counts = np.unique(np.concatenate(waiting.pop(language)), return_counts=True)
+            head, tail = _grams(waiting.pop(language))
+            parts = (_mix(head, tail, ORDER, 0), head, tail, np.ones(len(head), np.int64))
             if language in held:
-                both = np.concatenate((held[language][0], grams))
-                order = np.argsort(both, kind="stable")
-                both, n = both[order], np.concatenate((held[language][1], counts))[order]
-                starts = np.flatnonzero(np.concatenate(([True], both[1:] != both[:-1])))
-                grams, counts = both[starts], np.add.reduceat(n, starts)
-            held[language] = grams, counts
+                parts = tuple(np.concatenate(x) for x in zip(held[language], parts))
+            order, starts = _runs(parts[0])
+            held[language] = (*(x[order[starts]] for x in parts[:3]), np.add.reduceat(parts[3][order], starts))
 
         def flush() -> Iterator[pa.RecordBatch]:
-            for language, (grams, counts) in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([language] * len(grams), pa.string()), pa.array(grams), pa.array(counts)], names=names)
+            for language, (_, head, tail, n) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([language] * len(head), pa.string()), pa.array(head), pa.array(tail), pa.array(n)], names=names)
             held.clear()
 
         for batch in batches:
             for language, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if not _reference(body):
                     continue
-                for grams in _grams(body):
-                    waiting.setdefault(language, []).append(grams)
-                    size += len(grams)
-                if size > HELD:
-                    for key in list(waiting):
-                        merge(key)
-                    size = 0
-                    if sum(len(g) for g, _ in held.values()) > HELD:
-                        yield from flush()
+                for piece in _symbols(body):
+                    waiting.setdefault(language, []).append(piece)
+                    size += len(piece)
+                    if size > HELD:
+                        for key in list(waiting):
+                            merge(key)
+                        size = 0
+                        if sum(len(x[0]) for x in held.values()) > HELD:
+                            yield from flush()
         for key in list(waiting):
             merge(key)
         yield from flush()
 
-    return rows.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return rows.mapInArrow(run, "lang string, head long, tail long, n long").groupBy("lang", "head", "tail").agg(F.sum("n").alias("n"))
 
 
 # --- model --------------------------------------------------------------------------------------------------------------
 
 
-def _mix(grams: np.ndarray, order: int, salt: int) -> np.ndarray:
-    """A 64-bit hash of n-grams of one order and language."""
-    x = grams.astype(np.uint64) ^ np.uint64(salt)
-    x = (x + np.uint64(order)) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
-
+@dataclass(frozen=True)
+class Model:
+    """``table`` (part, hash, log_p, log_w): by ranges of hashes, sorted, the n-grams of all orders and languages with the log-probability of each and its log-weight as a context.
 
-def _salt(language: str) -> int:
-    import hashlib
+    Order 0 of a language is the log-probability of a character that it does not know. Nothing of the table passes the driver.
+    """
 
-    return int.from_bytes(hashlib.blake2b(language.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    table: DataFrame
+    folded: bool = False
 
 
 @dataclass(frozen=True)
-class Model:
-    """Sorted hashes of the n-grams of all orders and languages, the log-probability of each and its log-weight as a context.
-
-    ``index`` has where the hashes with the same leading bits begin, so that a search is a step into the array and a short walk.
-    """
+class Entries:
+    """Sorted hashes of the entries of the model that a block asked for."""
 
     hashes: np.ndarray
     log_p: np.ndarray
     log_w: np.ndarray
-    index: np.ndarray
-    shift: int
-    floor: dict[str, float]
-    folded: bool = False
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of the hashes, -1 where missing."""
-        last = len(self.hashes) - 1
-        if last < 0:
+        if not len(self.hashes):
             return np.full(len(hashes), -1)
-        at = np.minimum(self.index[(hashes >> np.uint64(self.shift)).astype(np.int64)], last)
-        found = self.hashes[at]
-        behind = np.flatnonzero(found < hashes)
-        while len(behind):
-            at[behind] += 1
-            inside = at[behind] <= last
-            behind = behind[inside]
-            behind = behind[self.hashes[at[behind]] < hashes[behind]]
-        at = np.minimum(at, last)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return np.where(self.hashes[at] == hashes, at, -1)
 
-    def score(self, text: str | None, language: str) -> float | None:
-        """Natural log of the perplexity per character (end mark included) of a whole text; None without text or model."""
-        if not text or language not in self.floor:
-            return None
-        salt, total, n = _salt(language), 0.0, 0
-        for grams in _grams(text):
-            n += len(grams)
-            for order in range(ORDER, 0, -1):
-                part = grams & ((1 << BITS * order) - 1)
-                at = self.find(_mix(part, order, salt))
-                hit = at >= 0
-                total += float(self.log_p[at[hit]].sum(dtype=np.float64))
-                grams = part[~hit]
-                if not len(grams):
-                    break
-                if order > 1:
-                    context = self.find(_mix(grams >> BITS, order - 1, salt))
-                    total += float(self.log_w[context[context >= 0]].sum(dtype=np.float64))
-                else:
-                    total += len(grams) * self.floor[language]
-        return -total / n
+    def resolve(self, head: np.ndarray, tail: np.ndarray, salt: int) -> np.ndarray:
+        """Log-probability of the last character of each n-gram after the others."""
+        value, left = np.zeros(len(tail)), np.arange(len(tail))
+        for order in range(ORDER, 0, -1):
+            if order < ORDER:
+                head, tail = np.zeros(len(tail), np.int64), tail & ((1 << BITS * order) - 1)
+            at = self.find(_mix(head, tail, order, salt))
+            hit = at >= 0
+            value[left[hit]] += self.log_p[at[hit]]
+            left, head, tail = left[~hit], head[~hit], tail[~hit]
+            if order == 1:
+                value[left] += self.log_p[self.find(_mix(0, np.zeros(1, np.int64), 0, salt))]
+            else:
+                context = self.find(_mix(0, head << 2 * BITS | tail >> BITS, order - 1, salt))
+                known = context >= 0
+                value[left[known]] += self.log_w[context[known]]
+        return value
 
 
 def _discount(n: Column) -> Column:
@@ -216,36 +220,80 @@ def _discounts(grams: DataFrame) -> DataFrame:
     return guarded.select("l", *[d.alias(f"d{k}") for k, d in enumerate(fine, 1)])
 
 
-def fit(docs: DataFrame, text: str = "text", lang: str = "lang", share: float = 0.0) -> Model:
-    """Counts all reference documents in Spark and builds the model.
+def _context(order: int) -> Column:
+    return F.shiftright("tail", BITS) if order < ORDER else F.shiftleft("head", 2 * BITS).bitwiseOR(F.shiftright("tail", BITS))
+
+
+def _suffix(order: int) -> Column:
+    return F.col("tail").bitwiseAND((1 << BITS * (order - 1)) - 1)
+
+
+def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
+    """Counts all reference documents and builds the model, all of it on the executors.
 
     The counts of the highest order are exact; a lower order counts the different characters in front (how often, at the start of a
-    text). Discounts, context sums and context weights come from all counts. Every n-gram counted enters the model, which grows with the corpus and is put
-    together on the driver. A caller who sets ``share`` leaves out those with less than this share of all counts; their mass goes to the lower orders.
+    text). Discounts, context sums and context weights come from all counts. Every n-gram counted enters the model, which grows with the corpus.
+    Every character is one of its own. An empty table gives an empty model.
     """
-    top = materialize(count(docs, text, lang), "grams")
-    total = top.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(1.0, share * total)
-    grams = top.select("lang", "gram", F.col("n").alias("raw"), F.col("n").alias("adjusted"))
-    probability: dict[int, object] = {}
-    weight: dict[int, object] = {}
+    grams = materialize(count(docs, text, lang), "grams")
+    entries = grams.count()
+    grams = grams.select("lang", "head", "tail", F.col("n").alias("raw"), F.col("n").alias("adjusted"))
+    priced, sums = {}, {}
     for order in range(ORDER, 0, -1):
         # one row per language, of known size: joining it does not deal the n-grams out by language
         discounts = materialize(_discounts(grams), f"discounts{order}")
-        priced = grams.join(discounts, F.col("lang") == F.col("l")).withColumn("d", _discount(F.col("adjusted")))
-        context = F.shiftright("gram", BITS)
-        sums = priced.groupBy("lang", context.alias("context")).agg(F.sum("adjusted").alias("c"), F.sum("d").alias("mass"), F.sum("raw").alias("raw_c"))
-        sums = materialize(sums, f"contexts{order}")
-        kept = priced.where(F.col("raw") >= least).withColumn("context", context).join(sums, ["lang", "context"])
-        probability[order] = kept.select("lang", "gram", ((F.col("adjusted") - F.col("d")) / F.col("c")).alias("p")).toArrow().to_pandas()
-        weight[order] = sums.where(F.col("raw_c") >= least).select("lang", "context", (F.col("mass") / F.col("c")).alias("w")).toArrow().to_pandas()
+        own = grams.join(discounts, F.col("lang") == F.col("l")).withColumn("d", _discount(F.col("adjusted")))
+        priced[order] = own.select("lang", "head", "tail", (F.col("adjusted") - F.col("d")).alias("kept"), _context(order).alias("context"))
+        weights = own.groupBy("lang", _context(order).alias("context")).agg(F.sum("adjusted").alias("c"), F.sum("d").alias("mass"))
+        sums[order] = materialize(weights.select("lang", "context", "c", (F.col("mass") / F.col("c")).alias("w")), f"contexts{order}")
         if order > 1:
-            suffix = F.col("gram").bitwiseAND((1 << BITS * (order - 1)) - 1)
             start = F.shiftright(F.col("s"), BITS * (order - 2)) == FIRST
-            lower = grams.select("lang", suffix.alias("s"), "raw", "adjusted").groupBy("lang", "s").agg(F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("kinds"))
-            grams = lower.select("lang", F.col("s").alias("gram"), "raw", F.when(start, F.col("raw")).otherwise(F.col("kinds")).alias("adjusted"))
+            lower = grams.select("lang", _suffix(order).alias("s"), "raw", "adjusted").groupBy("lang", "s").agg(F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("kinds"))
+            grams = lower.select("lang", F.lit(0).cast("long").alias("head"), F.col("s").alias("tail"), "raw", F.when(start, F.col("raw")).otherwise(F.col("kinds")).alias("adjusted"))
             grams = materialize(grams, f"grams{order - 1}")
-    return _assemble(probability, weight)
+    # one row per language: what a character that was never seen gets
+    kinds = grams.groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("uniform"))
+    unknown = materialize(kinds.join(sums[1], "lang").select("lang", (F.col("w") * F.col("uniform")).alias("below")), "unknown")
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
+    parts = [unknown.select("lang", F.lit(0).alias("order"), zero.alias("head"), zero.alias("tail"), F.col("below").alias("p"), none.alias("w"))]
+    lower = unknown
+    for order in range(1, ORDER + 1):
+        own = priced[order].join(sums[order], ["lang", "context"])
+        if order == 1:
+            own = own.join(unknown, "lang").withColumn("p", F.col("kept") / F.col("c") + F.col("below"))
+        else:
+            below = lower.select("lang", F.col("tail").alias("suffix"), F.col("p").alias("below"))
+            own = own.withColumn("suffix", _suffix(order)).join(below, ["lang", "suffix"]).withColumn("p", F.col("kept") / F.col("c") + F.col("w") * F.col("below"))
+        lower = materialize(own.select("lang", "head", "tail", "p"), f"probabilities{order}")
+        part = lower.withColumn("w", none)
+        if order < ORDER:
+            # marks before the first character are contexts only
+            part = lower.join(sums[order + 1].select("lang", F.col("context").alias("tail"), "w"), ["lang", "tail"], "full")
+        parts.append(part.select("lang", F.lit(order).alias("order"), F.coalesce("head", zero).alias("head"), "tail", "p", "w"))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return Model(materialize(_sorted(rows, entries), "model"))
+
+
+def _sorted(rows: DataFrame, entries: int) -> DataFrame:
+    """(part, hash, log_p, log_w) in ranges of hashes, sorted by hash. The number of ranges grows with the model."""
+    shift = 64 - max(1, entries.bit_length() - RANGE_BITS + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs = batch.column(0).dictionary_encode()
+            salts = np.array([_salt(x) for x in langs.dictionary.to_pylist()], np.uint64)
+            order, head, tail = (batch.column(i).to_numpy() for i in range(1, 4))
+            hashes = np.zeros(len(tail), np.uint64)
+            for k in range(ORDER + 1):
+                at = np.flatnonzero(order == k)
+                hashes[at] = _mix(head[at], tail[at], k, salts[langs.indices.to_numpy()[at]])
+            logs = [np.log(np.maximum(np.where(np.isnan(x), 1.0, x), 1e-12)).astype(np.float32) for x in (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (4, 5))]
+            columns = [pa.array((hashes >> np.uint64(shift)).astype(np.int64)), pa.array(hashes.view(np.int64)), *map(pa.array, logs)]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "hash", "log_p", "log_w"])
+
+    return rows.mapInArrow(run, "part long, hash long, log_p float, log_w float").repartition("part").sortWithinPartitions("part", "hash")
 
 
 def _fold(text: str, lang: str, other: bool) -> Column:
@@ -260,46 +308,122 @@ def fit_folds(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return replace(fit(rows), folded=True)
 
 
-def _assemble(probability: dict, weight: dict) -> Model:
-    languages = sorted(set(probability[1]["lang"]))
-    floor, parts = {}, []
-    for language in languages:
-        salt = _salt(language)
-        lower: tuple[np.ndarray, np.ndarray] | None = None
-        weights = {}
-        for order in range(1, ORDER + 1):
-            own = weight[order][weight[order]["lang"] == language]
-            order_by = np.argsort(own["context"].to_numpy(np.int64))
-            weights[order] = own["context"].to_numpy(np.int64)[order_by], own["w"].to_numpy(float)[order_by]
-        for order in range(1, ORDER + 1):
-            own = probability[order][probability[order]["lang"] == language].sort_values("gram")
-            grams, p = own["gram"].to_numpy(np.int64), own["p"].to_numpy(float)
-            keys, w = weights[order]
-            at = np.searchsorted(keys, grams >> BITS)
-            if order == 1:
-                uniform = 1.0 / (len(grams) + 1)
-                left = float(w[0]) if len(w) else 1.0
-                floor[language] = float(np.log(max(left * uniform, 1e-12)))
-                p = p + left * uniform
-            else:
-                p = p + w[at] * lower[1][np.searchsorted(lower[0], grams & ((1 << BITS * (order - 1)) - 1))]
-            lower = grams, p
-            logs = np.zeros(len(grams))
-            if order < ORDER:
-                keys, w = weights[order + 1]
-                at = np.searchsorted(grams, keys)
-                known = grams[np.minimum(at, len(grams) - 1)] == keys
-                logs[at[known]] = np.log(np.maximum(w[known], 1e-12))
-                # marks before the first character are contexts only
-                starts = keys[~known]
-                parts.append((_mix(starts, order, salt), np.full(len(starts), floor[language], np.float32), np.log(np.maximum(w[~known], 1e-12)).astype(np.float32)))
-            parts.append((_mix(grams, order, salt), np.log(np.maximum(p, 1e-12)).astype(np.float32), logs.astype(np.float32)))
-    hashes, log_p, log_w = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32))
-    order = np.argsort(hashes)
-    hashes = hashes[order]
-    bits = max(1, int(len(hashes)).bit_length() + 1)
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
-    return Model(hashes, log_p[order], log_w[order], np.searchsorted(hashes, edges).astype(np.int64), 64 - bits, floor)
+# --- scores -------------------------------------------------------------------------------------------------------------
+
+
+def _blocks(rows: DataFrame) -> DataFrame:
+    """The rows with ``__block``, the number of a run of them of about BLOCK bytes of ``__text``; written, so that all readers see the same blocks."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("__block", T.LongType())])
+    place = rows.columns.index("__text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            own = []
+            for n in pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist():
+                if size and size + n > BLOCK:
+                    number, size = number + 1, 0
+                size += n + 64
+                own.append(number)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], names=[*batch.schema.names, "__block"])
+
+    return materialize(rows.mapInArrow(run, schema), "blocks")
+
+
+def _portions(texts: Iterator[tuple[int, str | None, str]]) -> Iterator[tuple[str, list[int], list[np.ndarray]]]:
+    """(language, place of the document of each slice, slices) of texts that are not empty, HELD characters at a time."""
+    waiting: dict[str, tuple[list[int], list[np.ndarray]]] = {}
+    size = 0
+    for place, text, language in texts:
+        for piece in _symbols(text) if text else ():
+            places, pieces = waiting.setdefault(language, ([], []))
+            places.append(place)
+            pieces.append(piece)
+            size += len(piece)
+            if size > HELD:
+                yield from ((key, *value) for key, value in waiting.items())
+                waiting, size = {}, 0
+    yield from ((key, *value) for key, value in waiting.items())
+
+
+def _wanted(pieces: list[np.ndarray], salt: int) -> np.ndarray:
+    """Hashes of all entries that the n-grams of the slices may need."""
+    head, tail = _grams(pieces)
+    top = _mix(head, tail, ORDER, salt)
+    order, starts = _runs(top)
+    first = order[starts]
+    head, tail = head[first], tail[first]
+    context = np.unique(head << 2 * BITS | tail >> BITS)
+    found = [top[first], _mix(0, np.zeros(1, np.int64), 0, salt)]
+    for k in range(ORDER - 1, 0, -1):
+        mask = (1 << BITS * k) - 1
+        found.append(_mix(0, np.unique(np.concatenate((tail & mask, context & mask))), k, salt))
+    return np.unique(np.concatenate(found))
+
+
+def _requests(blocked: DataFrame) -> DataFrame:
+    """(__block, hash): the entries of the model that a block needs, each once per task that reads rows of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held = None, []
+
+        def send() -> Iterator[pa.RecordBatch]:
+            if held:
+                hashes = np.unique(np.concatenate(held))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), current)), pa.array(hashes.view(np.int64))], names=["__block", "hash"])
+                held.clear()
+
+        for batch in batches:
+            blocks = batch.column(2).to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))).tolist() if len(blocks) else []
+            for start, end in zip(edges, [*edges[1:], len(blocks)]):
+                if blocks[start] != current:
+                    yield from send()
+                    current = blocks[start]
+                texts, langs = (batch.column(i).slice(start, end - start).to_pylist() for i in range(2))
+                for language, _, pieces in _portions(zip(range(end - start), texts, langs)):
+                    held.append(_wanted(pieces, _salt(language)))
+                if sum(map(len, held)) > HELD:
+                    held[:] = [np.unique(np.concatenate(held))]
+        yield from send()
+
+    return blocked.select("__text", "__lang", "__block").mapInArrow(run, "__block long, hash long")
+
+
+def scores(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` without its text, with the base features and ``log_perplexity``: the natural log of the perplexity per character, end mark included, of the whole text.
+
+    Documents go in blocks; the distinct n-grams of a block are joined with the model by hash and come back to the block as sorted arrays, so a
+    task holds one block and its entries, whatever the size of the model. Null without text, or where the model does not know the language.
+    """
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    fields = [T.StructField(n, T.LongType()) for n in names] + [T.StructField("log_perplexity", T.DoubleType())]
+    passed = [c for c in docs.columns if c not in {*names, "log_perplexity", text}]
+    language = _fold(text, lang, True) if model.folded else F.coalesce(F.col(f"`{lang}`"), F.lit(""))
+    blocked = _blocks(docs.select(*[F.col(f"`{c}`") for c in passed], F.col(f"`{text}`").alias("__text"), language.alias("__lang")))
+    answers = _requests(blocked).join(model.table.select("hash", "log_p", "log_w"), "hash")
+
+    def judge_block(left: pa.Table, right: pa.Table) -> pa.Table:
+        hashes, log_p, log_w = (right.column(c).to_numpy() for c in ("hash", "log_p", "log_w"))
+        order = np.argsort(hashes.view(np.uint64))
+        entries = Entries(hashes.view(np.uint64)[order], log_p[order].astype(float), log_w[order].astype(float))
+        texts, langs = left.column("__text").to_pylist(), left.column("__lang").to_pylist()
+        known = {x: entries.find(_mix(0, np.zeros(1, np.int64), 0, _salt(x)))[0] >= 0 for x in set(langs)}
+        total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+        for language, places, pieces in _portions((k, t, x) for k, (t, x) in enumerate(zip(texts, langs)) if known[x]):
+            head, tail = _grams(pieces)
+            order, starts = _runs(_mix(head, tail, ORDER, 0))
+            value = np.empty(len(head))
+            value[order] = np.repeat(entries.resolve(head[order[starts]], tail[order[starts]], _salt(language)), np.diff(np.append(starts, len(head))))
+            sizes = np.array([len(p) - ORDER + 1 for p in pieces])
+            np.add.at(total, places, np.add.reduceat(value, np.cumsum(sizes) - sizes))
+            np.add.at(n, places, sizes)
+        features = list(zip(*map(base_features, texts)))
+        made = [pa.array(x, pa.int64()) for x in features] + [pa.array(-total / np.maximum(n, 1), mask=n == 0)]
+        return pa.Table.from_arrays([*[left.column(i) for i in range(len(passed))], *made], names=[*passed, *(f.name for f in fields)])
+
+    schema = T.StructType([*blocked.schema.fields[: len(passed)], *fields])
+    return blocked.groupBy("__block").cogroup(answers.groupBy("__block")).applyInArrow(judge_block, schema)
 
 
 # --- rules --------------------------------------------------------------------------------------------------------------
@@ -313,18 +437,8 @@ def judge(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang")
     not kept. A model of ``fit_folds`` scores each document by the fold without it; a language with documents in one fold only has no score. A language without a scored document has no band and rejects nothing. Null text counts as empty, a null language is
     one of its own, rows with null or repeated keys are judged like others, columns with the names of new ones are replaced.
     """
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    fields = [T.StructField(n, T.LongType()) for n in names] + [T.StructField("log_perplexity", T.DoubleType())]
-
-    def compute(texts: list, langs: list) -> list[list]:
-        rows = [(*base_features(t), model.score(t, language or "")) for t, language in zip(texts, langs)]
-        return [list(c) for c in zip(*rows)] or [[] for _ in fields]
-
-    made = {*names, "log_perplexity", "base_failed", "lower", "upper", "kept"}
-    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made])
-    if model.folded:
-        rows = rows.withColumn("__fold", _fold(text, lang, True))
-    scored = with_columns(rows, [text, "__fold" if model.folded else lang], fields, compute).drop(text, "__fold")
+    made = {"base_failed", "lower", "upper", "kept"}
+    scored = scores(docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in made]), model, text, lang)
     failed = (F.col("n_words") < FEWEST_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     scored = materialize(scored.withColumn("base_failed", failed), "judged")
     clean = ~F.col("base_failed") & (F.col("n_symbols") <= SYMBOL_SHARE * F.col("n_words")) & F.col("log_perplexity").isNotNull()
