@@ -95,9 +95,9 @@ def slow_scores(rows):
     return found
 
 
-@pytest.mark.parametrize("block", [1 << 23, 500])
-def test_kept_agrees_with_a_slow_version(spark, monkeypatch, block):
-    monkeypatch.setattr(perplexity, "BLOCK", block)
+@pytest.mark.parametrize("common", [1 << 21, 900, 1])
+def test_kept_agrees_with_a_slow_version(spark, monkeypatch, common):
+    monkeypatch.setattr(perplexity, "COMMON", common)
     rng = random.Random(11)
     docs = [((sentences if i % 2 else han)(rng, rng.randint(9, 40)), ("zh", "en")[i % 2]) for i in range(60)]
     docs += [("", "en"), (None, "zh"), (docs[3][0], "en"), (docs[3][0], "en"), (" ".join(rng.choices("bcdfgjkqvxz", k=60)), "en"), ("only one of its language in this table, so no fold has it but its own", "fr")]

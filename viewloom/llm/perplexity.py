@@ -9,8 +9,6 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +28,8 @@ REACH, NARROWEST = 3.0, 0.15
 FOLD = "\x00"
 #: Characters, and distinct n-grams of the counts, that a task holds before it works them off.
 HELD = 1 << 21
-#: Bytes of text that are scored together: the n-grams of a block are looked up once.
-BLOCK = 1 << 23
+#: Entries of the model that every task holds (16 bytes each): the commonest ones. What they do not settle is joined with the model.
+COMMON = 1 << 21
 #: Bits of the n-grams in one range of hashes of the model.
 RANGE_BITS = 22
 
@@ -158,24 +156,14 @@ def count(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
 # --- model --------------------------------------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class Model:
-    """``table`` (part, hash, log_p, log_w): by ranges of hashes, sorted, the n-grams of all orders and languages with the log-probability of each and its log-weight as a context.
-
-    Order 0 of a language is the log-probability of a character that it does not know. Nothing of the table passes the driver.
-    """
-
-    table: DataFrame
-    folded: bool = False
-
-
 @dataclass(frozen=True)
 class Entries:
-    """Sorted hashes of the entries of the model that a block asked for."""
+    """Sorted hashes of entries of the model with their values; ``whole`` if the model has no others."""
 
     hashes: np.ndarray
     log_p: np.ndarray
     log_w: np.ndarray
+    whole: bool
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Places of the hashes, -1 where missing."""
@@ -185,8 +173,8 @@ class Entries:
         return np.where(self.hashes[at] == hashes, at, -1)
 
     def resolve(self, head: np.ndarray, tail: np.ndarray, salt: int) -> np.ndarray:
-        """Log-probability of the last character of each n-gram after the others."""
-        value, left = np.zeros(len(tail)), np.arange(len(tail))
+        """Log-probability of the last character of each n-gram after the others; NaN where entries that are not here may decide."""
+        value, left = np.full(len(tail), 0.0), np.arange(len(tail))
         for order in range(ORDER, 0, -1):
             if order < ORDER:
                 head, tail = np.zeros(len(tail), np.int64), tail & ((1 << BITS * order) - 1)
@@ -194,6 +182,9 @@ class Entries:
             hit = at >= 0
             value[left[hit]] += self.log_p[at[hit]]
             left, head, tail = left[~hit], head[~hit], tail[~hit]
+            if not self.whole:
+                value[left] = np.nan
+                break
             if order == 1:
                 value[left] += self.log_p[self.find(_mix(0, np.zeros(1, np.int64), 0, salt))]
             else:
@@ -203,6 +194,18 @@ class Entries:
         return value
 
 
+@dataclass(frozen=True)
+class Model:
+    """``table`` (part, hash, lang, order, head, tail, raw, log_p, log_w): by ranges of hashes, sorted, the n-grams of all orders and languages with the log-probability of each and its log-weight as a context.
+
+    Order 0 of a language is the log-probability of a character that it does not know. ``common`` are the COMMON commonest entries, all if there are no more.
+    """
+
+    table: DataFrame
+    common: Entries
+    folded: bool = False
+
+
 def _discount(n: Column) -> Column:
     return F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
 
@@ -229,11 +232,11 @@ def _suffix(order: int) -> Column:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Counts all reference documents and builds the model, all of it on the executors.
+    """Counts all reference documents and builds the model.
 
     The counts of the highest order are exact; a lower order counts the different characters in front (how often, at the start of a
-    text). Discounts, context sums and context weights come from all counts. Every n-gram counted enters the model, which grows with the corpus.
-    Every character is one of its own. An empty table gives an empty model.
+    text). Discounts, context sums and context weights come from all counts. Every n-gram counted enters the model, which grows with the corpus
+    and stays on the executors; the driver reads no more than COMMON entries. Every character is one of its own. An empty table gives an empty model.
     """
     grams = materialize(count(docs, text, lang), "grams")
     entries = grams.count()
@@ -243,7 +246,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         # one row per language, of known size: joining it does not deal the n-grams out by language
         discounts = materialize(_discounts(grams), f"discounts{order}")
         own = grams.join(discounts, F.col("lang") == F.col("l")).withColumn("d", _discount(F.col("adjusted")))
-        priced[order] = own.select("lang", "head", "tail", (F.col("adjusted") - F.col("d")).alias("kept"), _context(order).alias("context"))
+        priced[order] = own.select("lang", "head", "tail", "raw", (F.col("adjusted") - F.col("d")).alias("kept"), _context(order).alias("context"))
         weights = own.groupBy("lang", _context(order).alias("context")).agg(F.sum("adjusted").alias("c"), F.sum("d").alias("mass"))
         sums[order] = materialize(weights.select("lang", "context", "c", (F.col("mass") / F.col("c")).alias("w")), f"contexts{order}")
         if order > 1:
@@ -255,7 +258,8 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     kinds = grams.groupBy("lang").agg((1 / (F.count(F.lit(1)) + 1)).alias("uniform"))
     unknown = materialize(kinds.join(sums[1], "lang").select("lang", (F.col("w") * F.col("uniform")).alias("below")), "unknown")
     zero, none = F.lit(0).cast("long"), F.lit(None).cast("double")
-    parts = [unknown.select("lang", F.lit(0).alias("order"), zero.alias("head"), zero.alias("tail"), F.col("below").alias("p"), none.alias("w"))]
+    most = F.lit(2**63 - 1)
+    parts = [unknown.select("lang", F.lit(0).alias("order"), zero.alias("head"), zero.alias("tail"), most.alias("raw"), F.col("below").alias("p"), none.alias("w"))]
     lower = unknown
     for order in range(1, ORDER + 1):
         own = priced[order].join(sums[order], ["lang", "context"])
@@ -264,20 +268,26 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
         else:
             below = lower.select("lang", F.col("tail").alias("suffix"), F.col("p").alias("below"))
             own = own.withColumn("suffix", _suffix(order)).join(below, ["lang", "suffix"]).withColumn("p", F.col("kept") / F.col("c") + F.col("w") * F.col("below"))
-        lower = materialize(own.select("lang", "head", "tail", "p"), f"probabilities{order}")
+        lower = materialize(own.select("lang", "head", "tail", "raw", "p"), f"probabilities{order}")
         part = lower.withColumn("w", none)
         if order < ORDER:
             # marks before the first character are contexts only
             part = lower.join(sums[order + 1].select("lang", F.col("context").alias("tail"), "w"), ["lang", "tail"], "full")
-        parts.append(part.select("lang", F.lit(order).alias("order"), F.coalesce("head", zero).alias("head"), "tail", "p", "w"))
+        parts.append(part.select("lang", F.lit(order).alias("order"), F.coalesce("head", zero).alias("head"), "tail", F.coalesce("raw", most).alias("raw"), "p", "w"))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part)
-    return Model(materialize(_sorted(rows, entries), "model"))
+    table = materialize(_sorted(rows, entries), "model")
+    whole = table.count() <= COMMON
+    common = table if whole else table.orderBy(F.col("raw").desc(), "hash").limit(COMMON)
+    held = common.select("hash", "log_p", "log_w").toArrow()
+    hashes, log_p, log_w = (held.column(c).to_numpy() for c in ("hash", "log_p", "log_w"))
+    order = np.argsort(hashes.view(np.uint64))
+    return Model(table, Entries(hashes.view(np.uint64)[order], log_p[order], log_w[order], whole))
 
 
 def _sorted(rows: DataFrame, entries: int) -> DataFrame:
-    """(part, hash, log_p, log_w) in ranges of hashes, sorted by hash. The number of ranges grows with the model."""
+    """The entries with hash, log_p and log_w, in ranges of hashes, sorted by hash. The number of ranges grows with the model."""
     shift = 64 - max(1, entries.bit_length() - RANGE_BITS + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,11 +299,11 @@ def _sorted(rows: DataFrame, entries: int) -> DataFrame:
             for k in range(ORDER + 1):
                 at = np.flatnonzero(order == k)
                 hashes[at] = _mix(head[at], tail[at], k, salts[langs.indices.to_numpy()[at]])
-            logs = [np.log(np.maximum(np.where(np.isnan(x), 1.0, x), 1e-12)).astype(np.float32) for x in (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (4, 5))]
-            columns = [pa.array((hashes >> np.uint64(shift)).astype(np.int64)), pa.array(hashes.view(np.int64)), *map(pa.array, logs)]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "hash", "log_p", "log_w"])
+            logs = [np.log(np.maximum(np.where(np.isnan(x), 1.0, x), 1e-12)).astype(np.float32) for x in (batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i in (5, 6))]
+            columns = [pa.array((hashes >> np.uint64(shift)).astype(np.int64)), pa.array(hashes.view(np.int64)), *batch.columns[:5], *map(pa.array, logs)]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "hash", *batch.schema.names[:5], "log_p", "log_w"])
 
-    return rows.mapInArrow(run, "part long, hash long, log_p float, log_w float").repartition("part").sortWithinPartitions("part", "hash")
+    return rows.mapInArrow(run, "part long, hash long, lang string, order int, head long, tail long, raw long, log_p float, log_w float").repartition("part").sortWithinPartitions("part", "hash")
 
 
 def _fold(text: str, lang: str, other: bool) -> Column:
@@ -311,25 +321,6 @@ def fit_folds(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
 # --- scores -------------------------------------------------------------------------------------------------------------
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """The rows with ``__block``, the number of a run of them of about BLOCK bytes of ``__text``; written, so that all readers see the same blocks."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("__block", T.LongType())])
-    place = rows.columns.index("__text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            own = []
-            for n in pc.fill_null(pc.binary_length(batch.column(place)), 0).to_pylist():
-                if size and size + n > BLOCK:
-                    number, size = number + 1, 0
-                size += n + 64
-                own.append(number)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own, pa.int64())], names=[*batch.schema.names, "__block"])
-
-    return materialize(rows.mapInArrow(run, schema), "blocks")
-
-
 def _portions(texts: Iterator[tuple[int, str | None, str]]) -> Iterator[tuple[str, list[int], list[np.ndarray]]]:
     """(language, place of the document of each slice, slices) of texts that are not empty, HELD characters at a time."""
     waiting: dict[str, tuple[list[int], list[np.ndarray]]] = {}
@@ -346,84 +337,83 @@ def _portions(texts: Iterator[tuple[int, str | None, str]]) -> Iterator[tuple[st
     yield from ((key, *value) for key, value in waiting.items())
 
 
-def _wanted(pieces: list[np.ndarray], salt: int) -> np.ndarray:
-    """Hashes of all entries that the n-grams of the slices may need."""
-    head, tail = _grams(pieces)
-    top = _mix(head, tail, ORDER, salt)
-    order, starts = _runs(top)
-    first = order[starts]
-    head, tail = head[first], tail[first]
-    context = np.unique(head << 2 * BITS | tail >> BITS)
-    found = [top[first], _mix(0, np.zeros(1, np.int64), 0, salt)]
-    for k in range(ORDER - 1, 0, -1):
-        mask = (1 << BITS * k) - 1
-        found.append(_mix(0, np.unique(np.concatenate((tail & mask, context & mask))), k, salt))
-    return np.unique(np.concatenate(found))
-
-
-def _requests(blocked: DataFrame) -> DataFrame:
-    """(__block, hash): the entries of the model that a block needs, each once per task that reads rows of it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, held = None, []
-
-        def send() -> Iterator[pa.RecordBatch]:
-            if held:
-                hashes = np.unique(np.concatenate(held))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), current)), pa.array(hashes.view(np.int64))], names=["__block", "hash"])
-                held.clear()
-
-        for batch in batches:
-            blocks = batch.column(2).to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))).tolist() if len(blocks) else []
-            for start, end in zip(edges, [*edges[1:], len(blocks)]):
-                if blocks[start] != current:
-                    yield from send()
-                    current = blocks[start]
-                texts, langs = (batch.column(i).slice(start, end - start).to_pylist() for i in range(2))
-                for language, _, pieces in _portions(zip(range(end - start), texts, langs)):
-                    held.append(_wanted(pieces, _salt(language)))
-                if sum(map(len, held)) > HELD:
-                    held[:] = [np.unique(np.concatenate(held))]
-        yield from send()
-
-    return blocked.select("__text", "__lang", "__block").mapInArrow(run, "__block long, hash long")
+def _joined(grams: DataFrame, table: DataFrame) -> DataFrame:
+    """(lang, head, tail, value) of distinct n-grams: what ``Entries.resolve`` gives, by one join with all entries of the model."""
+    keys, p, w = [], [], []
+    for order in range(ORDER, -1, -1):
+        mask = F.lit((1 << BITS * order) - 1) if order < ORDER else None
+        tail = F.col("tail") if mask is None else F.col("tail").bitwiseAND(mask)
+        head = F.col("head") if mask is None else F.lit(0).cast("long")
+        keys.append(F.struct(F.lit(order).alias("order"), F.lit(False).alias("front"), head.alias("h"), tail.alias("t")))
+        if 0 < order < ORDER:
+            context = _context(ORDER).bitwiseAND(F.lit((1 << BITS * order) - 1))
+            keys.append(F.struct(F.lit(order).alias("order"), F.lit(True).alias("front"), F.lit(0).cast("long").alias("h"), context.alias("t")))
+    entries = table.select("lang", "order", F.col("head").alias("h"), F.col("tail").alias("t"), "log_p", "log_w")
+    asked = grams.select("lang", "head", "tail", F.inline(F.array(*keys)))
+    for order in range(ORDER + 1):
+        mine = F.col("order") == order
+        p.append(F.max(F.when(mine & ~F.col("front"), F.col("log_p").cast("double"))).alias(f"p{order}"))
+        w.append(F.max(F.when(mine & F.col("front"), F.col("log_w").cast("double"))).alias(f"w{order}"))
+    found = asked.join(entries, ["lang", "order", "h", "t"]).groupBy("lang", "head", "tail").agg(*p, *w)
+    value = F.col("p0")
+    for order in range(1, ORDER + 1):
+        value = F.coalesce(F.col(f"p{order}"), (F.coalesce(F.col(f"w{order - 1}"), F.lit(0.0)) if order > 1 else F.lit(0.0)) + value)
+    return found.select("lang", "head", "tail", value.alias("value"))
 
 
 def scores(docs: DataFrame, model: Model, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` without its text, with the base features and ``log_perplexity``: the natural log of the perplexity per character, end mark included, of the whole text.
 
-    Documents go in blocks; the distinct n-grams of a block are joined with the model by hash and come back to the block as sorted arrays, so a
-    task holds one block and its entries, whatever the size of the model. Null without text, or where the model does not know the language.
+    The common entries of the model lie in every task, of bounded size. N-grams that they do not settle leave the task as rows, each once a document
+    with its number, and are joined with the whole model; texts are not moved. Null without text, or where the model does not know the language.
     """
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-    fields = [T.StructField(n, T.LongType()) for n in names] + [T.StructField("log_perplexity", T.DoubleType())]
-    passed = [c for c in docs.columns if c not in {*names, "log_perplexity", text}]
+    made = [*names, "log_perplexity", "__row", "__lang", "__total", "__n", "__open"]
+    passed = [c for c in docs.columns if c not in {*made, text}]
     language = _fold(text, lang, True) if model.folded else F.coalesce(F.col(f"`{lang}`"), F.lit(""))
-    blocked = _blocks(docs.select(*[F.col(f"`{c}`") for c in passed], F.col(f"`{text}`").alias("__text"), language.alias("__lang")))
-    answers = _requests(blocked).join(model.table.select("hash", "log_p", "log_w"), "hash")
-
-    def judge_block(left: pa.Table, right: pa.Table) -> pa.Table:
-        hashes, log_p, log_w = (right.column(c).to_numpy() for c in ("hash", "log_p", "log_w"))
-        order = np.argsort(hashes.view(np.uint64))
-        entries = Entries(hashes.view(np.uint64)[order], log_p[order].astype(float), log_w[order].astype(float))
-        texts, langs = left.column("__text").to_pylist(), left.column("__lang").to_pylist()
-        known = {x: entries.find(_mix(0, np.zeros(1, np.int64), 0, _salt(x)))[0] >= 0 for x in set(langs)}
-        total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        for language, places, pieces in _portions((k, t, x) for k, (t, x) in enumerate(zip(texts, langs)) if known[x]):
-            head, tail = _grams(pieces)
-            order, starts = _runs(_mix(head, tail, ORDER, 0))
-            value = np.empty(len(head))
-            value[order] = np.repeat(entries.resolve(head[order[starts]], tail[order[starts]], _salt(language)), np.diff(np.append(starts, len(head))))
-            sizes = np.array([len(p) - ORDER + 1 for p in pieces])
-            np.add.at(total, places, np.add.reduceat(value, np.cumsum(sizes) - sizes))
-            np.add.at(n, places, sizes)
-        features = list(zip(*map(base_features, texts)))
-        made = [pa.array(x, pa.int64()) for x in features] + [pa.array(-total / np.maximum(n, 1), mask=n == 0)]
-        return pa.Table.from_arrays([*[left.column(i) for i in range(len(passed))], *made], names=[*passed, *(f.name for f in fields)])
-
-    schema = T.StructType([*blocked.schema.fields[: len(passed)], *fields])
-    return blocked.groupBy("__block").cogroup(answers.groupBy("__block")).applyInArrow(judge_block, schema)
+    rows = docs.select(*[F.col(f"`{c}`") for c in passed], F.col(f"`{text}`").alias("__text"), language.alias("__lang"))
+    common = model.common
+    gram = pa.struct([("head", pa.int64()), ("tail", pa.int64()), ("times", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, langs = batch.column(len(passed)).to_pylist(), batch.column(len(passed) + 1).to_pylist()
+            total, n = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+            left: list[list] = [[] for _ in texts]
+            known = {x: not common.whole or common.find(_mix(0, np.zeros(1, np.int64), 0, _salt(x)))[0] >= 0 for x in set(langs)}
+            for key, places, pieces in _portions((k, t, x) for k, (t, x) in enumerate(zip(texts, langs)) if known[x]):
+                head, tail = _grams(pieces)
+                order, starts = _runs(_mix(head, tail, ORDER, 0))
+                value = np.empty(len(head))
+                value[order] = np.repeat(common.resolve(head[order[starts]], tail[order[starts]], _salt(key)), np.diff(np.append(starts, len(head))))
+                sizes = np.array([len(p) - ORDER + 1 for p in pieces])
+                begin = np.cumsum(sizes) - sizes
+                unsettled = np.isnan(value)
+                np.add.at(total, places, np.add.reduceat(np.where(unsettled, 0.0, value), begin))
+                np.add.at(n, places, sizes)
+                if unsettled.any():
+                    for place, start, size in zip(places, begin.tolist(), sizes.tolist()):
+                        at = np.flatnonzero(unsettled[start : start + size]) + start
+                        pairs, times = np.unique(np.stack((head[at], tail[at])), axis=1, return_counts=True)
+                        left[place] += [{"head": h, "tail": t, "times": c} for h, t, c in zip(*pairs.tolist(), times.tolist())]
+            features = list(zip(*map(base_features, texts))) or [()] * len(names)
+            own = [pa.array(x, pa.int64()) for x in features] + [batch.column(len(passed) + 1), pa.array(total), pa.array(n), pa.array(left, pa.list_(gram))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(passed)], *own], names=[*passed, *names, "__lang", "__total", "__n", "__open"])
+
+    fields = [T.StructField(x, T.LongType()) for x in names] + [T.StructField("__lang", T.StringType()), T.StructField("__total", T.DoubleType()), T.StructField("__n", T.LongType())]
+    times = T.ArrayType(T.StructType([T.StructField(x, T.LongType()) for x in ("head", "tail", "times")]))
+    scored = rows.mapInArrow(run, T.StructType([*rows.schema.fields[: len(passed)], *fields, T.StructField("__open", times)]))
+    score = F.when(F.col("__n") > 0, -F.col("__total") / F.col("__n"))
+    kept = [F.col(f"`{c}`") for c in (*passed, *names)]
+    if common.whole:
+        return scored.select(*kept, score.alias("log_perplexity"))
+    scored = materialize(scored.withColumn("__row", F.monotonically_increasing_id()), "settled")
+    unsettled = scored.select("__row", F.col("__lang").alias("lang"), F.inline("__open"))
+    values = _joined(unsettled.select("lang", "head", "tail").distinct(), model.table)
+    rest = unsettled.join(values, ["lang", "head", "tail"], "left").groupBy("__row").agg(F.sum(F.col("value") * F.col("times")).alias("rest"), F.count("value").alias("found"), F.count(F.lit(1)).alias("all"))
+    both = scored.drop("__open").join(rest, "__row", "left").withColumn("__total", F.col("__total") + F.coalesce("rest", F.lit(0.0)))
+    whole = F.col("all").isNull() | (F.col("found") == F.col("all"))
+    return both.select(*kept, F.when(whole, score).alias("log_perplexity"))
 
 
 # --- rules --------------------------------------------------------------------------------------------------------------
