@@ -90,7 +90,7 @@ def match_columns(report: DataFrame, rule: str, keep_existing: bool = False) ->
     """Add ``MatchedColumnDbx``: a similar target column for source columns that found no equal one."""
     open_rows = report.filter(F.col("ColumnNameDbx").isNull()).select("ColumnNameSAP")
     found = match_names(open_rows, report.select("ColumnNameDbx"), rule)
-    named = report.join(found, report["ColumnNameSAP"] == found["name"], "left")
+    named = report.join(found.hint("merge"), report["ColumnNameSAP"] == found["name"], "left")
     existing = F.col("ColumnNameDbx") if keep_existing else F.lit(None)
     matched = F.when(F.col("ColumnNameDbx").isNull(), F.col("matched")).otherwise(existing)
     return named.select(*report.columns, matched.alias("MatchedColumnDbx"))

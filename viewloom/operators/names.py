@@ -54,11 +54,12 @@ def match_names(names: DataFrame, candidates: DataFrame, rule: str = "contains")
     inside = offered.withColumn("lengths", _lengths(wanted))
     inside = inside.select(F.explode(_windows(F.col("key"), F.col("lengths"))).alias("key"), "cand")
     inside = inside.groupBy("key").agg(F.min("cand").alias("cand"))
-    hits = wanted.join(inside, "key", "inner").select("name", "cand")
+    # both sides grow with the input, and files and text say little about their size in memory: never sent through the driver
+    hits = wanted.join(inside.hint("merge"), "key", "inner").select("name", "cand")
     if rule != "contains":
         whole = offered.groupBy("key").agg(F.min("cand").alias("cand"))
         parts = wanted.withColumn("lengths", _lengths(offered))
         parts = parts.select("name", F.explode(_windows(F.col("key"), F.col("lengths"))).alias("key"))
-        hits = hits.unionByName(parts.join(whole, "key", "inner").select("name", "cand"))
+        hits = hits.unionByName(parts.join(whole.hint("merge"), "key", "inner").select("name", "cand"))
     best = hits.groupBy("name").agg(F.min("cand").alias("matched"))
-    return wanted.select("name").join(best, "name", "left")
+    return wanted.select("name").join(best.hint("merge"), "name", "left")
