@@ -175,3 +175,13 @@ def test_scalar_edges(spark):
     assert one(spark, fn.age(F.lit(1990), F.lit("20000101"))) is None
     assert str(one(spark, fn.sap_timestamp(F.lit("202401151020301234")))) == "2024-01-15 10:20:30.123400"
     assert one(spark, fn.case_(F.lit(None).cast("int"), None, "none", default="x")) == "none"
+
+
+@pytest.mark.parametrize("name", ["T13_tidy_rules", "T16_view_inventory"])
+def test_long_texts_of_a_small_file_are_dealt_out(spark, tmp_path, name):
+    from viewloom.queries import queries
+
+    part = spark.createDataFrame([(k, f"name {k}", f"Brand#{k % 9}", "LARGE", k % 50) for k in range(200)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    part.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    made = queries()[name](spark, str(tmp_path))
+    assert made.select(F.spark_partition_id()).distinct().count() > 1

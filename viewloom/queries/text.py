@@ -225,7 +225,7 @@ _RULE_HTML = " || ".join(_rule_row(j) for j in range(1, 11))
         from l where note is null""",
 )
 def _(t: Tables):
-    docs = t.sql(f"select p_partkey, {_RULE_HTML} as html from {{part}}")
+    docs = t.sql(f"select p_partkey, {_RULE_HTML} as html from {{part}}", dealt=True)
     rules = ops.tidy_rules(ops.rule_cells(docs, "p_partkey", "html"), "p_partkey")
     return rules
 
@@ -326,7 +326,7 @@ _XML = """case when p_size % 2 = 0 then '<Calculation:scenario xmlns:xsi="i" xml
        union all select p_partkey, 3, 'U', 'Union', null, null, null, null from odd""",
 )
 def _(t: Tables):
-    return ops.view_items(t.sql(f"select p_partkey, {_XML} as xml from {{part}}"), "p_partkey", "xml")
+    return ops.view_items(t.sql(f"select p_partkey, {_XML} as xml from {{part}}", dealt=True), "p_partkey", "xml")
 
 
 @query(
