@@ -149,3 +149,16 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 70)] + [(200, 200), (None, 3), (5, 6), (300, 301)], "a long, b long")
     got = {r.node: r.component for r in connected_components(edges, "a", "b").collect()}
     assert got == {**{i: 1 for i in range(1, 71)}, 300: 300, 301: 300}
+
+
+def test_stars_take_no_round_and_rounds_write_few_files(spark, monkeypatch):
+    from viewloom.llm import components
+
+    rounds = []
+    monkeypatch.setattr(components, "_small_star", lambda links, parts, real=components._small_star: (rounds.append(links.rdd.getNumPartitions()), real(links, parts))[1])
+    stars = [(9, 1), (1, 8), (7, 2), (7, 2), (3, 3), (None, 4)]
+    found = connected_components(spark.createDataFrame(stars, "a long, b long"), "a", "b")
+    assert sorted(map(tuple, found.collect())) == [(1, 1), (2, 2), (7, 2), (8, 1), (9, 1)] and not rounds
+    joined = connected_components(spark.createDataFrame([*stars, (9, 7)], "a long, b long"), "a", "b")
+    assert {c for _, c in joined.collect()} == {1} and 1 <= len(rounds) <= 2
+    assert max(rounds) <= components.TASKS

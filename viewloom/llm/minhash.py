@@ -374,8 +374,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int = 4, percent: int = 80)
     live = classes.join(posts.select("class").distinct(), "class", "left_semi")
     sets = materialize(_sets(docs, live, size), "sets")
     tested = materialize(_first_pairs(posts, classes, percent), "tested")
-    found = materialize(_confirmed(tested, sets, percent), "confirmed")
-    labels = _labels(found)
+    labels = _labels(materialize(_confirmed(tested, sets, percent), "confirmed"))
     rows = materialize(_mixed(posts, classes, labels), "mixed")
     for turn, limit in enumerate(TURNS):
         members = rows.join(labels, "class", "left").withColumn("label", F.coalesce("label", "class")).join(classes.select("class", "n", "sketch"), "class")
@@ -385,8 +384,10 @@ def links(docs: DataFrame, classes: DataFrame, size: int = 4, percent: int = 80)
         proposed = materialize(proposed, "proposed")
         fresh = materialize(_ordered(proposed.where("a is not null")).join(tested, ["a", "b"], "left_anti"), "fresh")
         tested = tested.union(fresh)
-        found = found.union(materialize(_confirmed(fresh, sets, percent), "confirmed"))
-        labels = _labels(found)
+        found = materialize(_confirmed(fresh, sets, percent), "confirmed")
+        if not found.isEmpty():
+            # the components so far are stars: with the new links between them few rounds are left
+            labels = _labels(labels.toDF("a", "b").union(found))
         if proposed.where("a is null").isEmpty():
             break
     return labels
