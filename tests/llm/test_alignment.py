@@ -136,3 +136,15 @@ def test_perfect_hash(spark):
     assert hashed(np.zeros(0, np.int64)).tolist() == []
     empty = hashing.perfect_hash(spark.createDataFrame([], "key long"), 0)
     assert empty.n == 0 and empty(keys[:3]).tolist() == [0, 0, 0]
+
+
+def test_every_text_is_encoded_once(spark):
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+    count = F.udf(lambda t: (seen.add(1), t)[1], "string").asNondeterministic()
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string").repartition(2).select("doc_id", count("text").alias("text"))
+    found = alignment.align(docs, FILES, keep=False, table=16)
+    assert found.columns == ["doc_id", *(f.name for f in alignment.FIELDS)]
+    assert [tuple(r)[1:] for r in found.orderBy("doc_id").collect()] == slow(TEXTS)
+    assert seen.value == len(TEXTS)

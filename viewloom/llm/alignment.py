@@ -65,6 +65,8 @@ class Coder:
         # no piece goes on behind a space, so words with the spaces before them are encoded one by one, each once
         self.apart = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
         self.known: dict[str, bytes] = {}
+        # ids as they are written
+        self.kept = "<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4"
 
     def _b_ids(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """B ids of a space and each text; None where their bytes differ from it, or without text."""
@@ -127,8 +129,17 @@ class Aligned:
     """Texts cut into groups at the byte offsets where a token of both sides ends."""
 
     def __init__(self, texts: list[str | None], files: Files):
-        self.coder = coder(files)
-        a, b = self.coder.encode(texts)
+        self._align(coder(files), *coder(files).encode(texts))
+
+    @classmethod
+    def of(cls, a: list[bytes], b: list[bytes], files: Files) -> Aligned:
+        """From the ids that :func:`encoded` has written."""
+        made, own = cls.__new__(cls), coder(files)
+        made._align(own, *([np.frombuffer(x, own.kept) for x in side] for side in (a, b)))
+        return made
+
+    def _align(self, own: Coder, a: list[np.ndarray], b: list[np.ndarray]) -> None:
+        self.coder = own
         self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
         self.a, self.b = (np.concatenate([*side, np.zeros(0, np.uint32)]).astype(np.int64) for side in (a, b))
         end_a, end_b = np.cumsum(self.coder.a_length[self.a]), np.cumsum(self.coder.b_length[self.b])
@@ -139,10 +150,10 @@ class Aligned:
         # a token belongs to the group that the first shared end at or behind its own end closes
         self.group_a, self.group_b = number[end_a - 1], number[end_b - 1]
         self.groups = int(number[-1])
-        self.doc_a = np.repeat(np.arange(len(texts)), self.n_a)
+        self.doc_a = np.repeat(np.arange(len(a)), self.n_a)
         self.size_a, self.size_b = (np.bincount(g, minlength=self.groups) for g in (self.group_a, self.group_b))
         last_a = np.cumsum(self.size_a) - 1
-        self.n_groups = np.bincount(self.doc_a[last_a], minlength=len(texts)) if self.groups else np.zeros(len(texts), np.int64)
+        self.n_groups = np.bincount(self.doc_a[last_a], minlength=len(a)) if self.groups else np.zeros(len(a), np.int64)
 
     def links(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(text, pair key, occurrences) of the distinct linked pairs, a bounded number of links at a time."""
@@ -179,16 +190,22 @@ class Aligned:
         return found
 
 
-def _portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about BYTES characters."""
+def _portions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts whose sizes make about BYTES."""
     first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
+    for i, own in enumerate(sizes):
+        size += own
         if size >= BYTES:
             yield first, i + 1
             first, size = i + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
+def _aligned(a: list[bytes], b: list[bytes], files: Files) -> Iterator[Aligned]:
+    """The texts of a batch, a bounded number of bytes at a time: the ids of both sides take about as many as their text."""
+    for i, j in _portions([len(x) + len(y) for x, y in zip(a, b)]):
+        yield Aligned.of(a[i:j], b[i:j], files)
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -196,11 +213,29 @@ def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return found, np.bincount(at, np.concatenate(counts), minlength=len(found)).astype(np.int64)
 
 
+#: Columns of the ids of both sides.
+IDS = ["__ids_a", "__ids_b"]
+
+
+def encoded(docs: DataFrame, files: Files, text: str = "text") -> DataFrame:
+    """``docs`` with the ids of every text on both sides, little-endian, 16 bits each where the vocabularies allow it."""
+
+    def run(texts: list) -> list[list]:
+        found: list[list] = [[], []]
+        own = coder(files)
+        for i, j in _portions([len(x or "") for x in texts]):
+            for into, side in zip(found, own.encode(texts[i:j])):
+                into.extend(ids.astype(own.kept).tobytes() for ids in side)
+        return found
+
+    return with_columns(docs, [text], [T.StructField(c, T.BinaryType()) for c in IDS], run)
+
+
 PARTIAL = "keys binary, docs binary"
 
 
-def pair_counts(docs: DataFrame, files: Files, text: str = "text") -> DataFrame:
-    """First pass: what each task saw, as rows of sorted distinct pair keys and the number of its texts that hold each."""
+def pair_counts(ids: DataFrame, files: Files) -> DataFrame:
+    """First pass over the ids: what each task saw, as rows of sorted distinct pair keys and the number of its texts that hold each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list = []
@@ -213,10 +248,9 @@ def pair_counts(docs: DataFrame, files: Files, text: str = "text") -> DataFrame:
 
         held = 0
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for i, j in _portions(texts):
+            for aligned in _aligned(batch.column(0).to_pylist(), batch.column(1).to_pylist(), files):
                 # a pair counts once for a text, even where the text's links come in several turns
-                seen = [doc << 32 | key for doc, key, _ in Aligned(texts[i:j], files).links()]
+                seen = [doc << 32 | key for doc, key, _ in aligned.links()]
                 if seen:
                     found, counts = np.unique((np.unique(np.concatenate(seen)) if len(seen) > 1 else seen[0]) & 0xFFFFFFFF, return_counts=True)
                     keys.append(found)
@@ -228,7 +262,7 @@ def pair_counts(docs: DataFrame, files: Files, text: str = "text") -> DataFrame:
         if keys:
             yield flush()
 
-    return docs.select(F.col(f"`{text}`")).mapInArrow(run, PARTIAL)
+    return ids.select(*IDS).mapInArrow(run, PARTIAL)
 
 
 def _longs(column: pa.Array) -> list[np.ndarray]:
@@ -311,10 +345,11 @@ def count_table(partial: DataFrame, table: int = TABLE) -> tuple[PerfectHash, Da
 FIELDS = [T.StructField(name, T.LongType()) for name in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")] + [T.StructField("groups_sha256", T.StringType())]
 
 
-def align(docs: DataFrame, files: Files, text: str = "text", table: int = TABLE) -> DataFrame:
+def align(docs: DataFrame, files: Files, text: str = "text", table: int = TABLE, keep: bool = True) -> DataFrame:
     """``docs`` with the alignment of every text: n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256.
 
-    Two passes over the texts. The first counts, in how many texts each A-B id pair is linked: the distinct pairs get a minimal perfect hash, and
+    The texts are encoded once, and their ids written; ``keep=False`` leaves the texts out of the files and of the result. Two passes over
+    the ids follow. The first counts, in how many texts each A-B id pair is linked: the distinct pairs get a minimal perfect hash, and
     count vectors indexed by it are summed as a tree. The second aligns every text again and looks its links up; the key kept for a slot is
     compared. The count table is cut into ranges of ``table`` slots, which are worked off one after the other: a task never holds more
     than one range, whatever the number of pairs.
@@ -322,7 +357,9 @@ def align(docs: DataFrame, files: Files, text: str = "text", table: int = TABLE)
     A null or empty text, or one that either tokenizer does not give back byte for byte, has no tokens: zeros and an empty digest. Rows that repeat
     count each; an empty table gives an empty result. Other columns pass through; one that has the name of a result is replaced.
     """
-    partial = materialize(pair_counts(docs, files, text), "partial")
+    coded = encoded(docs, files, text)
+    coded = materialize(coded if keep else coded.drop(text), "ids")
+    partial = materialize(pair_counts(coded, files), "partial")
     hashed, rows = count_table(partial, table)
     context = docs.sparkSession.sparkContext
     done = None
@@ -333,11 +370,11 @@ def align(docs: DataFrame, files: Files, text: str = "text", table: int = TABLE)
         keys[slot], docs_of[slot], best[slot] = got["key"].to_numpy(), got["docs"].to_numpy(), got["best"].to_numpy()
         shared = context.broadcast((hashed, low, keys.astype(np.uint32), docs_of, best))
         if done is None:
-            done = with_columns(docs, [text], FIELDS, _looked_up(shared, files))
+            done = with_columns(coded, IDS, FIELDS, _looked_up(shared, files))
         else:
-            done = with_columns(materialize(done, "ranges"), [text, "n_best", "count_sum"], FIELDS[4:6], _added(shared, files))
+            done = with_columns(materialize(done, "ranges"), [*IDS, "n_best", "count_sum"], FIELDS[4:6], _added(shared, files))
     names = [f.name for f in FIELDS]
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *names)
+    return done.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names and (keep or c != text)], *names)
 
 
 def _sums(aligned: Aligned, shared) -> tuple[np.ndarray, np.ndarray]:
@@ -354,10 +391,9 @@ def _sums(aligned: Aligned, shared) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _looked_up(shared, files: Files):
-    def run(texts: list) -> list[list]:
+    def run(a: list, b: list) -> list[list]:
         found: list[list] = [[] for _ in FIELDS]
-        for i, j in _portions(texts):
-            aligned = Aligned(texts[i:j], files)
+        for aligned in _aligned(a, b, files):
             columns = [aligned.n_a, aligned.n_b, aligned.n_groups, aligned.n_links(), *_sums(aligned, shared)]
             for into, made in zip(found, [*(c.tolist() for c in columns), aligned.digests()]):
                 into.extend(made)
@@ -367,11 +403,11 @@ def _looked_up(shared, files: Files):
 
 
 def _added(shared, files: Files):
-    def run(texts: list, n_best: list, count_sum: list) -> list[list]:
+    def run(a: list, b: list, n_best: list, count_sum: list) -> list[list]:
         more: list[list] = [[], []]
-        for i, j in _portions(texts):
-            for into, made in zip(more, _sums(Aligned(texts[i:j], files), shared)):
+        for aligned in _aligned(a, b, files):
+            for into, made in zip(more, _sums(aligned, shared)):
                 into.extend(made.tolist())
-        return [[x + y for x, y in zip(a, b)] for a, b in zip((n_best, count_sum), more)]
+        return [[x + y for x, y in zip(old, new)] for old, new in zip((n_best, count_sum), more)]
 
     return run

@@ -90,7 +90,7 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
     files = alignment.Files(public.path("byte_bpe_50k.tiktoken"), public.path("byte_bpe_50k.json"), public.PATTERN, public.path("piece_bpe_32k.model"))
-    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), files).drop("text")
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), files, keep=False)
 
 
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
