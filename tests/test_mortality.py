@@ -95,3 +95,13 @@ def test_latest_person_needs_some_data(spark):
     base = mo.base_mutations(log(spark, START, changed, blank), mo.SnapshotParams("20031231", 2003))
     got = mo.latest_person(mo.person_feed(base))
     assert rows(got, "role", "purpose", "gender", "birth") == [("First", "GBB", "V", "19500101")]
+
+
+def test_latest_person_of_repeated_rows(spark):
+    params = mo.SnapshotParams("20031231", 2003)
+    twice = log(spark, START, DEATH).union(log(spark, START, DEATH))
+    left = mo.base_mutations(twice, params, repeats=True)
+    assert (left.count(), mo.base_mutations(twice, params).count()) == (4, 2)
+    names = ["policy", "role", "purpose", "birth", "gender", "bsn", "death", "event"]
+    got, want = (rows(mo.latest_person(mo.person_feed(base)), *names) for base in (left, mo.base_mutations(log(spark, START, DEATH), params)))
+    assert got == want and len(got) == 2

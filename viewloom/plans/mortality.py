@@ -117,8 +117,11 @@ def log_order(*keys: str, last: Sequence[str] = ("mutation_id",), descending: bo
     return Ordering(keys, (*SORT, *last), descending, chunk)
 
 
-def base_mutations(log: DataFrame, p: SnapshotParams) -> DataFrame:
-    """Mutations up to the parameters, with the year they first count on 1 January and the correction flag."""
+def base_mutations(log: DataFrame, p: SnapshotParams, repeats: bool = False) -> DataFrame:
+    """Mutations up to the parameters, with the year they first count on 1 January and the correction flag.
+
+    ``repeats`` leaves repeated rows in, for steps that take the latest or greatest: all columns of the log need not be shuffled for these.
+    """
     plain = log.toDF(*[c.removeprefix("_BIC_") for c in log.columns])
     rows = plain.select(*[F.col(source).alias(name) for source, name in LOG_FIELDS.items()])
     rows = rows.filter((F.col("processed_on") <= p.processed_until) & (F.col("mutation_year") <= p.year_until))
@@ -132,7 +135,8 @@ def base_mutations(log: DataFrame, p: SnapshotParams) -> DataFrame:
             "correction": F.when(F.col("previous_mutation") != "", "X").otherwise(""),
         }
     )
-    return derived.drop("previous_mutation").distinct()
+    derived = derived.drop("previous_mutation")
+    return derived if repeats else derived.distinct()
 
 
 def segment_reuse(mutations: DataFrame) -> DataFrame:

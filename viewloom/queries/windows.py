@@ -147,7 +147,7 @@ PARAMS = mortality.SnapshotParams("99991231", 2001)
 
 @query("W10_latest_person", "with src as (select * from {mutations} m), feed as (" + _FEED + ")" + _LATEST)
 def _(t: Tables):
-    return mortality.latest_person(mortality.person_feed(mortality.base_mutations(t.mutations, PARAMS)))
+    return mortality.latest_person(mortality.person_feed(mortality.base_mutations(t.mutations, PARAMS, repeats=True)))
 
 
 @query(
