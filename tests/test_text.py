@@ -112,6 +112,21 @@ def test_column_usage_scopes(spark, statement, want):
     assert {r.table_name: r.columns for r in used.collect()} == want
 
 
+def test_column_usage_carries_marks_not_neighbours(spark, monkeypatch):
+    planned = []
+    monkeypatch.setattr(usage, "materialize", lambda df, name: planned.append(df) or df)
+    usage.column_usage(spark.createDataFrame([("select a from t",)], "s string"), "s")
+    plan = planned[0]._jdf.queryExecution().optimizedPlan().toString()
+    # plans are written from the top: neighbours occur below the windows only
+    assert plan.index("Window [") < plan.rindex("Window [") < min(plan.index(c) for c in ("before3", "after2"))
+
+
+def test_column_usage_before_the_first_clause(spark):
+    statements = [("create view v as ( select a.c1, (select max(b.c2) from u b where b.c3 = a.c4) m from t a )",), ("refresh x ( t.y )",)]
+    used = usage.column_usage(spark.createDataFrame(statements, "s string"), "s")
+    assert sorted((r.table_name, *r.columns) for r in used.collect()) == [("t", "c1", "c4"), ("u", "c2", "c3")]
+
+
 def _grid(*lines):
     return f'<p><table class="a {tx.GRID_CLASS}"><tr><td>h</td><td>h</td><td>h</td></tr>' + "".join("<tr>" + "".join(f"<td>{c}</td>" for c in line) + "</tr>" for line in lines) + "</table><table><tr><td>1</td><td>2</td><td>3</td></tr></table>"
 

@@ -61,8 +61,30 @@ def _neighbours(tokens: Column) -> Column:
     return F.filter(placed, lambda r: F.rlike(r["token"], F.lit(r'^["/\p{L}_$#]..*|^[\p{L}_]|^[()<},]')))
 
 
+def _marks() -> dict[str, Column]:
+    """What a token and its neighbours tell without the scope. Found once, before the running values: these carry marks instead of texts,
+    and conditions on the scope stay small enough for compiled code.
+    """
+    no = F.lit(False)
+    lead = ["from", "join", "lateral", "only", ","]
+    behind = _name("before") | F.rlike("before", F.lit(r"^\d")) | _is("before", ")", _CLOSE, "'", "end")
+    marks = {
+        "name": _name("token"),
+        "dotted": F.contains("token", F.lit(".")),
+        "call": _is("after", _OPEN),
+        "unit": _is("after", "from"),
+        "leads": _is("before", *lead[:-1]) | (_is("before", "(") & _is("before3", *lead, "(")),
+        "comma": _is("before", ","),
+        "listed": _is("before", "with", "recursive", ","),
+        "named_as": _is("before", "as"),
+        "behind": behind,
+    }
+    given = F.when(_is("after", "as"), F.col("after2")).when(_name("after") & ~F.contains("after", F.lit(".")), F.col("after"))
+    return {name: F.coalesce(mark, no) for name, mark in marks.items()} | {"asks": F.col("before") == _QUERY, "given": _plain(given)}
+
+
 def scoped_tokens(df: DataFrame, statement: str) -> DataFrame:
-    """(stmt, pos, token, before, before3, after, after2, flat, frame, branch, clause) of all distinct statements: names, words, marks and commas.
+    """(stmt, pos, token, before, before3, after, after2, flat, frame, branch, clause) and ``_marks`` of all distinct statements: names, words, marks and commas.
 
     ``frame`` is the position of the parenthesis of the select that a token belongs to (-1 outside all), ``branch`` its number in a set operation;
     ``clause`` is the last word that began one there, not counting words inside the parentheses of an expression, ``flat`` whether the token is outside such.
@@ -73,12 +95,13 @@ def scoped_tokens(df: DataFrame, statement: str) -> DataFrame:
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     distinct = df.where(text.isNotNull()).select(key.alias("stmt"), text.alias("text")).repartition(parts, "stmt").dropDuplicates(["stmt"])
     tokens = distinct.select("stmt", F.explode(_neighbours(_tokens(F.col("text")))).alias("t")).select("stmt", "t.*")
+    tokens = tokens.withColumns(_marks())
     whole = Window.partitionBy("stmt").orderBy("pos")
     upto = whole.rowsBetween(Window.unboundedPreceding, 0)
     opens, closes = _is("token", "("), _is("token", ")")
     # an opening and its closing parenthesis lie at the depth they enclose; behind the closing one its mark follows
     deep = tokens.withColumn("depth", F.sum(F.when(opens, 1).when(_is("token", _CLOSE), -1).otherwise(0)).over(upto))
-    query = F.when(opens, F.col("before") == _QUERY)
+    query = F.when(opens, F.col("asks"))
     pairs = Window.partitionBy("stmt", "depth").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     kind = deep.withColumn("query", F.last(query, True).over(pairs))
     closed = F.lag(closes & F.col("query")).over(whole)
@@ -106,27 +129,25 @@ def column_usage(df: DataFrame, statement: str) -> DataFrame:
     """
     tokens = scoped_tokens(df, statement)
     no = F.lit(False)
-    name, call, flat = _name("token"), F.coalesce(_is("after", _OPEN), no), F.col("flat")
+    name, dotted, flat = F.col("name"), F.col("dotted"), F.col("flat")
     reading = F.coalesce(_is("clause", "from", "join"), no)
-    lead = ["from", "join", "lateral", "only", ","]
-    starts = _is("before", *lead[:-1]) | (_is("before", ",") & flat) | (_is("before", "(") & _is("before3", *lead, "("))
-    table = F.coalesce(reading & name & starts, no)
+    table = reading & name & (F.col("leads") | (F.col("comma") & flat))
     sub = reading & _is("token", _CLOSE) & F.col("closed")
-    given = F.when(_is("after", "as"), F.col("after2")).when(_name("after") & ~F.contains("after", F.lit(".")), F.col("after"))
-    view = flat & _is("clause", "with") & _is("before", "with", "recursive", ",") & name
+    view = flat & _is("clause", "with") & F.col("listed") & name
     # what follows a name, a closing parenthesis or AS in a select list is its new name; in f(unit from x) the unit is no column
-    behind = _name("before") | F.rlike("before", F.lit(r"^\d")) | _is("before", ")", _CLOSE, "'", "end")
-    renamed = F.coalesce(_is("before", "as") | (_is("clause", "select") & flat & behind), no)
-    unit = F.coalesce(_is("after", "from") & ~flat, no)
-    dotted = F.contains("token", F.lit("."))
-    column = name & ~table & ~call & ~renamed & ~unit & (dotted | F.coalesce(_is("clause", "select", "using"), no))
+    renamed = F.coalesce(F.col("named_as") | (_is("clause", "select") & flat & F.col("behind")), no)
+    unit = F.col("unit") & ~flat
+    column = name & ~F.col("table") & ~F.col("call") & ~renamed & ~unit & (dotted | F.coalesce(_is("clause", "select", "using"), no))
     select = Window.partitionBy("stmt", "frame", "branch")
     place = [F.col(c) for c in ("pos", "frame", "branch")]
     owner, part = _plain(F.regexp_replace("token", r"\.[^.]*$", "")).alias("owner"), _plain(F.regexp_extract("token", r"([^.]*)$", 1)).alias("part")
-    entry = F.struct(*place, _plain("token").alias("token"), owner, part, "clause", "kind", _plain(given).alias("given"), "low", "high", "sources")
-    kind = F.when(table & ~call, "table").when(sub | table, "sub").when(view, "view").when(column & dotted, "qualified").when(column, "bare")
-    marked = tokens.withColumn("kind", kind).where("kind is not null or clause is not null").select(
-        "*", F.min("pos").over(select).alias("low"), F.max("pos").over(select).alias("high"),
+    entry = F.struct(*place, _plain("token").alias("token"), owner, part, "clause", "kind", "given", "low", "high", "sources")
+    kind = F.when(F.col("table") & ~F.col("call"), "table").when(sub | F.col("table"), "sub").when(view, "view")
+    kind = kind.when(column & dotted, "qualified").when(column, "bare")
+    # tokens of no kind before the first clause do not stretch a select; they drop out behind the window, or their kind were found twice
+    inside = F.when(F.col("kind").isNotNull() | F.col("clause").isNotNull(), F.col("pos"))
+    marked = tokens.withColumn("table", table).withColumn("kind", kind).select(
+        "*", F.min(inside).over(select).alias("low"), F.max(inside).over(select).alias("high"),
         F.sum(F.when(_is("kind", "table", "sub"), 1).otherwise(0)).over(select).alias("sources"),
     )
     texts = marked.where("kind is not null").groupBy("stmt").agg(F.collect_list(entry).alias("all"))
