@@ -105,3 +105,31 @@ def test_latest_person_of_repeated_rows(spark):
     names = ["policy", "role", "purpose", "birth", "gender", "bsn", "death", "event"]
     got, want = (rows(mo.latest_person(mo.person_feed(base)), *names) for base in (left, mo.base_mutations(log(spark, START, DEATH), params)))
     assert got == want and len(got) == 2
+
+
+def test_whole_mutations_cross_one_shuffle(spark):
+    plan = mo.with_new_ids(mo.base_mutations(log(spark, START), mo.SnapshotParams("20031231", 2003), repeats=True))._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.split("\n") if "hashpartitioning(" in line]
+    # distinct rows and sums need no shuffle by their columns
+    assert shuffles and not [line for line in shuffles if "employer" in line]
+
+
+def test_slices_repeats_and_a_policy_named_like_a_segment(spark):
+    params = mo.SnapshotParams("20031231", 2003)
+    end, again = ("20010101", {"ZTYPE": "508_ONLY"}), ("20010601", {"ZGEBDAT": "19700101", "ZMUTID": "S"})
+    slices = [("20010601", again[1] | {"MWYZVLGNR": 2, "ZPENREGID": no, "ZVERBDR": amount}) for no, amount in (("1", 5.0), ("2", 7.0), (None, 1.0))]
+    namesake = ("20010601", slices[0][1] | {"ZPDEELID": "P_1", "ZVERBDR": 11.0})
+    odd = ("20010601", {"ZPDEELID": None, "ZVERBDR": 3.0, "MWYZVLGNR": None})
+    once = [START, (end[0], end[1] | {"MWYZVLGNR": 1}), *slices, namesake, odd]
+    for mutations in (once, once + once):
+        # rows are numbered by their place: the ids are given here
+        mutations = [(date, {"ZMUTID": f"N{date}{fields.get('ZPDEELID')}", "MWYZVLGNR": 0} | fields) for date, fields in mutations]
+        got = mo.with_new_ids(mo.base_mutations(log(spark, *mutations), params, repeats=True))
+        assert rows(got, "policy", "processed_on", "insured") == [(None, "20010601", 3.0), ("P", "20000615", 5.0), ("P", "20010101", 5.0), ("P_1", "20010601", 24.0)]
+
+
+def test_repeated_predecessors_do_not_repeat_a_mutation(spark):
+    states = spark.createDataFrame([("A", "B", "C", p, *["1"] * len(mo.BEFORE)) for p in ("P", "Q")] + [("B", None, "C", "P", *["2"] * len(mo.BEFORE))],
+                                   ["mutation_id", "next_mutation", "coverage", "policy", *mo.BEFORE])
+    mutations = spark.createDataFrame([("B", "C"), ("X", "C")], ["mutation_id", "coverage"])
+    assert rows(mo.attach_previous(mutations, states), "mutation_id", "prev_insured") == [("B", "1"), ("X", None)]

@@ -90,6 +90,8 @@ BEFORE = {
     "vta_claim_status": "prev_vta_claim_status",
     "insured": "prev_insured",
 }
+# what the report takes from the persons, or not at all
+PERSONAL = ("participant_id", "mutation_code", "bsn_1", "gender_1", "birth_1", "death_1", "bsn_2", "gender_2", "birth_2", "death_2")
 
 
 @dataclass(frozen=True)
@@ -156,12 +158,26 @@ def segment_reuse(mutations: DataFrame) -> DataFrame:
     return reused.select("policy", *SORT, F.concat("policy", F.lit("_"), F.col("segment").cast("string")).alias("reused_id"))
 
 
-def with_new_ids(mutations: DataFrame) -> DataFrame:
-    """Give reused policies their segment id, then sum the insured amount over pension slices."""
-    joined = mutations.join(segment_reuse(mutations), ["policy", *SORT], "left")
-    renamed = joined.withColumn("policy", F.coalesce("reused_id", "policy")).drop("reused_id", "pension_slice")
-    keys = [c for c in renamed.columns if c != "insured"]
-    return renamed.groupBy(*keys).agg(F.sum("insured").alias("insured"))
+def policy_root(policy: str = "policy") -> Column:
+    """What a policy and its segments have in common: the id without trailing segment numbers."""
+    return F.regexp_replace(policy, r"(_[0-9]+)+\z", "")
+
+
+def with_new_ids(rows: DataFrame) -> DataFrame:
+    """Give reused policies their segment id, then sum the insured amount over pension slices; repeated rows count once.
+
+    All columns cross one shuffle, by the root of the policy and the moment: repeated rows, slices and segment ids meet there. Segments share
+    the root of their policy, so the sum under the new id needs no other shuffle; the ids of a root and moment come as a list, as policy and
+    segment of one root may both exist.
+    """
+    spot = ["root", *SORT]
+    reused = segment_reuse(rows).withColumn("root", policy_root())
+    ids = reused.groupBy(*spot).agg(F.collect_list(F.struct("policy", "reused_id")).alias("reused"))
+    log = rows.withColumn("root", policy_root()).repartition(*spot).distinct()
+    own = F.filter("reused", lambda entry: entry["policy"] == F.col("policy"))
+    renamed = log.join(ids, spot, "left").withColumn("policy", F.coalesce(F.get(own, F.lit(0))["reused_id"], "policy"))
+    keys = [c for c in rows.columns if c not in ("insured", "pension_slice")]
+    return renamed.groupBy("root", *keys).agg(F.sum("insured").alias("insured")).drop("root")
 
 
 _STATE = [
@@ -178,9 +194,10 @@ def coverage_states(mutations: DataFrame) -> DataFrame:
 
 def attach_previous(mutations: DataFrame, states: DataFrame) -> DataFrame:
     """Add what the predecessor of each mutation said."""
-    before = states.select(
+    before = states.filter(F.col("next_mutation").isNotNull()).select(
         F.col("next_mutation").alias("mutation_id"), "coverage", *[F.col(c).alias(n) for c, n in BEFORE.items()]
     )
+    before = before.distinct()  # narrow here, where repeated predecessors would repeat whole mutations
     return mutations.join(before, ["mutation_id", "coverage"], "left")
 
 
@@ -285,7 +302,10 @@ def personal_info(transactions: DataFrame, persons: DataFrame, deaths: Deaths) -
 
 
 def relevant_transactions(transactions: DataFrame, deaths: Deaths) -> DataFrame:
-    """Drop corrections, except those that report a counted death; cut coverages after such a death."""
+    """Drop corrections, except those that report a counted death; cut coverages after such a death.
+
+    The three parts differ in correction or event: distinct rows stay so.
+    """
     ended = transactions.filter((F.col("correction") == "X") & (F.col("kind") == END))
 
     def reporting(event: str, death: str, known: DataFrame) -> DataFrame:
@@ -296,7 +316,7 @@ def relevant_transactions(transactions: DataFrame, deaths: Deaths) -> DataFrame:
     kept = kept.unionByName(reporting("B001", "death_1", deaths.first))
     kept = kept.unionByName(reporting("B002", "death_2", deaths.second))
     closing = kept.filter(F.col("event").isin("B001", "B002") & (F.col("kind") == END))
-    return cut_after_event(kept.distinct(), closing, ["policy", "coverage"], "processed_on")
+    return cut_after_event(kept, closing, ["policy", "coverage"], "processed_on")
 
 
 def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
@@ -556,14 +576,13 @@ def report(
 
 def mortality_snapshot(log: DataFrame, addresses: DataFrame, income: DataFrame, p: SnapshotParams) -> DataFrame:
     """The whole report. Frames that feed several branches are written once."""
-    base = materialize(base_mutations(log, p), "base")
-    mutations = materialize(with_new_ids(base), "mutations")
+    mutations = materialize(with_new_ids(base_mutations(log, p, repeats=True)), "mutations")
     states = materialize(coverage_states(mutations), "states")
-    transactions = materialize(attach_previous(mutations, states), "transactions")
-    persons = materialize(latest_person(person_feed(transactions)), "persons")
+    persons = materialize(latest_person(person_feed(mutations)), "persons")
     deaths = find_deaths(states, persons, p)
-    info = personal_info(transactions, persons, deaths)
-    relevant = materialize(relevant_transactions(transactions, deaths), "relevant")
+    info = personal_info(mutations, persons, deaths)
+    relevant = relevant_transactions(mutations, deaths).drop(*PERSONAL)
+    relevant = materialize(attach_previous(relevant, states), "relevant")
     shown = materialize(valid_years(yearly_states(relevant, p), deaths.first), "years")
     history = addresses_of(persons, addresses, income)
     return report(shown, relevant, deaths, info, fill_salaries(relevant), history, p)
