@@ -133,3 +133,21 @@ def test_repeated_predecessors_do_not_repeat_a_mutation(spark):
                                    ["mutation_id", "next_mutation", "coverage", "policy", *mo.BEFORE])
     mutations = spark.createDataFrame([("B", "C"), ("X", "C")], ["mutation_id", "coverage"])
     assert rows(mo.attach_previous(mutations, states), "mutation_id", "prev_insured") == [("B", "1"), ("X", None)]
+
+
+def test_whole_policies_give_the_rows_of_chunks(spark, monkeypatch):
+    reversal, end = ("20020401", {"ZTYPE": "BOTH", "ZEVENTID": "R001"}), ("20010101", {"ZTYPE": "508_ONLY", "ZLTSAL": 7.0})
+    again = ("20010601", {"ZGEBDAT": "19700101", "ZMUTJAAR": 2000})
+    mutations = [START, end, again, ("20010601", {"ZPENREGID": "2"}), ("20020101", {"ZVVAANTP": None}), CORRECTION, DEATH, reversal]
+    mutations += [(date, fields | {"ZPDEELID": None}) for date, fields in mutations[:3]] + [(date, fields | {"ZPDEELID": "Q"}) for date, fields in mutations[:3]]
+    base = mo.base_mutations(log(spark, *mutations), mo.SnapshotParams("20031231", 2003), repeats=True)
+    assert not mo.crowded(base)
+    whole = rows(report(spark, mutations))
+    monkeypatch.setattr(mo, "CROWDED", 1)
+    assert mo.crowded(base)
+    assert rows(report(spark, mutations)) == whole and len(whole) > 10
+
+
+def test_small_policies_are_shuffled_once_for_their_order(spark):
+    states = mo.coverage_states(mo.base_mutations(log(spark, START), mo.SnapshotParams("20031231", 2003), repeats=True), whole=True)
+    assert states._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(") == 1

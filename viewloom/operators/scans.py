@@ -15,6 +15,8 @@ next, when one value of it holds very many rows. Where the only sort column is t
 ``rank``, running counts and default-frame windows: there is no window over the rows at all. A chunk must be a function of the sort columns: rows that
 tie then stay together, which keeps ``rank`` and default-frame windows exact.
 
+Where every key is known to fit one task (``Ordering.whole``), the windows run over the whole key: one shuffle by the keys, no carries.
+
 The input is read twice; write an expensive one first (``session.materialize``).
 """
 
@@ -30,12 +32,13 @@ _SLOT, _CHUNK = "__slot", "__chunk"
 
 @dataclass(frozen=True)
 class Ordering:
-    """How a log is keyed and sorted. ``descending`` turns all sort columns around."""
+    """How a log is keyed and sorted. ``descending`` turns all sort columns around; ``whole`` says that no key needs cutting into chunks."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
     descending: bool = False
     chunk: Column | None = None
+    whole: bool = False
 
     def sorting(self) -> list[Column]:
         return [F.col(c).desc() if self.descending else F.col(c).asc() for c in self.order]
@@ -48,17 +51,17 @@ class Ordering:
 
     def tied(self) -> bool:
         """The chunk is the whole order: all rows of a chunk tie, and what the chunks before it hand over decides."""
-        return self.chunk is None and len(self.order) == 1
+        return self.chunk is None and len(self.order) == 1 and not self.whole
 
     def slot(self, chunk: Column) -> Column:
         # One struct column to join on: unlike plain equality it also joins NULL keys to themselves.
         return F.struct(F.struct(*[F.col(k) for k in self.keys]).alias("key"), chunk.alias("chunk"))
 
     def slotted(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(_SLOT, self.slot(self.chunk_column()))
+        return df if self.whole else df.withColumn(_SLOT, self.slot(self.chunk_column()))
 
     def inside(self):
-        return Window.partitionBy(_SLOT).orderBy(*self.sorting())
+        return Window.partitionBy(*(self.keys if self.whole else [_SLOT])).orderBy(*self.sorting())
 
     def between(self):
         chunk = F.col(_CHUNK)
@@ -77,6 +80,8 @@ class Ordering:
 
 def _with_carry(slotted: DataFrame, o: Ordering, partials: dict[str, Column], carries: dict[str, Column]) -> DataFrame:
     """Join each row to the carry of its chunk. ``carries`` are already windowed over the chunk rows."""
+    if o.whole:
+        return slotted.withColumns({name: F.lit(None) for name in carries})
     chunks = slotted.groupBy(*o.keys, F.col(f"{_SLOT}.chunk").alias(_CHUNK)).agg(
         *[agg.alias(name) for name, agg in partials.items()]
     )

@@ -6,7 +6,7 @@ number and mutation date. Frames that several branches read are written once whi
 (``session.materialize``); the report itself is lazy, and the caller runs the last action.
 
 Scale: a policy may hold a large share of the log. Ordered steps use the two-level scans of
-``viewloom.operators.scans``; "latest" steps are aggregations; conditions on other rows of a policy are
+``viewloom.operators.scans``, or windows over whole policies where none holds more than ``CROWDED`` rows; "latest" steps are aggregations; conditions on other rows of a policy are
 reduced to one bound per key before the join. Each join has at most a handful of rows per key on one side.
 """
 
@@ -90,6 +90,8 @@ BEFORE = {
     "vta_claim_status": "prev_vta_claim_status",
     "insured": "prev_insured",
 }
+# rows of a policy from which on its ordered steps go by chunks
+CROWDED = 100_000
 # what the report takes from the persons, or not at all
 PERSONAL = ("participant_id", "mutation_code", "bsn_1", "gender_1", "birth_1", "death_1", "bsn_2", "gender_2", "birth_2", "death_2")
 
@@ -110,13 +112,23 @@ class SnapshotParams:
 # --- the log ----------------------------------------------------------------------------------
 
 
-def log_order(*keys: str, last: Sequence[str] = ("mutation_id",), descending: bool = False) -> Ordering:
+def distinct_rows(rows: DataFrame, o: Ordering) -> DataFrame:
+    """Distinct rows; where keys stay whole, these meet by the keys already, and the scan behind needs no other shuffle."""
+    return (rows.repartition(*o.keys) if o.whole else rows).distinct()
+
+
+def crowded(rows: DataFrame) -> bool:
+    """Does a policy, its segments included, hold more rows than one task should sort?"""
+    return not rows.groupBy(policy_root().alias("root")).count().filter(F.col("count") > CROWDED).isEmpty()
+
+
+def log_order(*keys: str, last: Sequence[str] = ("mutation_id",), descending: bool = False, whole: bool = False) -> Ordering:
     """The order of the log within ``keys``; ``last`` decides between mutations of the same moment.
 
     A chunk is a processing date, and for dates with very many changes (an initial load) a range of them.
     """
     chunk = F.struct(F.col("processed_on"), F.floor(F.col("change_no") / 100_000))
-    return Ordering(keys, (*SORT, *last), descending, chunk)
+    return Ordering(keys, (*SORT, *last), descending, chunk, whole)
 
 
 def base_mutations(log: DataFrame, p: SnapshotParams, repeats: bool = False) -> DataFrame:
@@ -141,7 +153,7 @@ def base_mutations(log: DataFrame, p: SnapshotParams, repeats: bool = False) ->
     return derived if repeats else derived.distinct()
 
 
-def segment_reuse(mutations: DataFrame) -> DataFrame:
+def segment_reuse(mutations: DataFrame, whole: bool = False) -> DataFrame:
     """Policies that were closed and started again for somebody else, with the id of each later segment.
 
     Our definition: per policy and moment the highest kind tells whether everything ended; a segment opens
@@ -149,7 +161,7 @@ def segment_reuse(mutations: DataFrame) -> DataFrame:
     """
     normal = mutations.filter(F.col("correction") == "")
     moments = normal.groupBy("policy", *SORT).agg(F.max("kind").alias("state"), F.max("birth_1").alias("birth"))
-    order = log_order("policy", last=())
+    order = log_order("policy", last=(), whole=whole)
     stepped = previous_values(moments, order, {"__state": F.col("state"), "__birth": F.col("birth")})
     opens = (F.col("__state") == END) & (F.col("state") != END) & (F.col("birth") != F.col("__birth"))
     flagged = stepped.select("policy", *SORT, F.when(opens, 1).alias("__opens"))
@@ -163,7 +175,7 @@ def policy_root(policy: str = "policy") -> Column:
     return F.regexp_replace(policy, r"(_[0-9]+)+\z", "")
 
 
-def with_new_ids(rows: DataFrame) -> DataFrame:
+def with_new_ids(rows: DataFrame, whole: bool = False) -> DataFrame:
     """Give reused policies their segment id, then sum the insured amount over pension slices; repeated rows count once.
 
     All columns cross one shuffle, by the root of the policy and the moment: repeated rows, slices and segment ids meet there. Segments share
@@ -171,7 +183,7 @@ def with_new_ids(rows: DataFrame) -> DataFrame:
     segment of one root may both exist.
     """
     spot = ["root", *SORT]
-    reused = segment_reuse(rows).withColumn("root", policy_root())
+    reused = segment_reuse(rows, whole).withColumn("root", policy_root())
     ids = reused.groupBy(*spot).agg(F.collect_list(F.struct("policy", "reused_id")).alias("reused"))
     log = rows.withColumn("root", policy_root()).repartition(*spot).distinct()
     own = F.filter("reused", lambda entry: entry["policy"] == F.col("policy"))
@@ -186,10 +198,10 @@ _STATE = [
 ]
 
 
-def coverage_states(mutations: DataFrame) -> DataFrame:
+def coverage_states(mutations: DataFrame, whole: bool = False) -> DataFrame:
     """Mutations on coverage level, each pointing to its successor; corrections form their own chain."""
-    states = mutations.select(*_STATE).distinct()
-    return next_value(states, log_order("policy", "coverage", "correction"), "mutation_id", "next_mutation")
+    order = log_order("policy", "coverage", "correction", whole=whole)
+    return next_value(distinct_rows(mutations.select(*_STATE), order), order, "mutation_id", "next_mutation")
 
 
 def attach_previous(mutations: DataFrame, states: DataFrame) -> DataFrame:
@@ -319,7 +331,7 @@ def relevant_transactions(transactions: DataFrame, deaths: Deaths) -> DataFrame:
     return cut_after_event(kept, closing, ["policy", "coverage"], "processed_on")
 
 
-def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
+def yearly_states(relevant: DataFrame, p: SnapshotParams, whole: bool = False) -> DataFrame:
     """Coverage, report year and snapshot kind with the mutation that counts for it.
 
     A mutation counts for its year unless a mutation processed later belongs to an earlier year: the running
@@ -330,7 +342,7 @@ def yearly_states(relevant: DataFrame, p: SnapshotParams) -> DataFrame:
     years = years.select("*", F.explode(F.array(F.lit(EOY), F.lit(BOY))).alias("snapshot"))
 
     columns = ["policy", "coverage", *SORT, "mutation_id", "kind", "event", "mutation_year", "begin_year"]
-    backwards = log_order("policy", "coverage", descending=True)
+    backwards = log_order("policy", "coverage", descending=True, whole=whole)
     settled = running(
         relevant.select(*columns),
         backwards,
@@ -385,14 +397,15 @@ def valid_years(states: DataFrame, first_deaths: DataFrame) -> DataFrame:
     return joined.filter(shown).drop("__death", "__source")
 
 
-def fill_salaries(relevant: DataFrame) -> DataFrame:
+def fill_salaries(relevant: DataFrame, whole: bool = False) -> DataFrame:
     """Salary, its date and base of every mutation; where the salary is missing, the last known ones.
 
     Our definition: a salary is missing when it is NULL or zero; the three fields are taken together.
     """
-    rows = relevant.select("mutation_id", "policy", *SORT, "salary", "salary_date", "salary_base").distinct()
+    order = log_order("policy", whole=whole)
+    rows = distinct_rows(relevant.select("mutation_id", "policy", *SORT, "salary", "salary_date", "salary_base"), order)
     triple = {c: F.col(c) for c in ("salary", "salary_date", "salary_base")}
-    return last_known(rows, log_order("policy"), triple, known=F.col("salary").isNotNull() & (F.col("salary") != 0))
+    return last_known(rows, order, triple, known=F.col("salary").isNotNull() & (F.col("salary") != 0))
 
 
 def addresses_of(persons: DataFrame, addresses: DataFrame, income: DataFrame) -> DataFrame:
@@ -576,13 +589,15 @@ def report(
 
 def mortality_snapshot(log: DataFrame, addresses: DataFrame, income: DataFrame, p: SnapshotParams) -> DataFrame:
     """The whole report. Frames that feed several branches are written once."""
-    mutations = materialize(with_new_ids(base_mutations(log, p, repeats=True)), "mutations")
-    states = materialize(coverage_states(mutations), "states")
+    rows = base_mutations(log, p, repeats=True)
+    whole = not crowded(rows)
+    mutations = materialize(with_new_ids(rows, whole), "mutations")
+    states = materialize(coverage_states(mutations, whole), "states")
     persons = materialize(latest_person(person_feed(mutations)), "persons")
     deaths = find_deaths(states, persons, p)
     info = personal_info(mutations, persons, deaths)
     relevant = relevant_transactions(mutations, deaths).drop(*PERSONAL)
     relevant = materialize(attach_previous(relevant, states), "relevant")
-    shown = materialize(valid_years(yearly_states(relevant, p), deaths.first), "years")
+    shown = materialize(valid_years(yearly_states(relevant, p, whole), deaths.first), "years")
     history = addresses_of(persons, addresses, income)
-    return report(shown, relevant, deaths, info, fill_salaries(relevant), history, p)
+    return report(shown, relevant, deaths, info, fill_salaries(relevant, whole), history, p)
