@@ -151,3 +151,17 @@ def test_whole_policies_give_the_rows_of_chunks(spark, monkeypatch):
 def test_small_policies_are_shuffled_once_for_their_order(spark):
     states = mo.coverage_states(mo.base_mutations(log(spark, START), mo.SnapshotParams("20031231", 2003), repeats=True), whole=True)
     assert states._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(") == 1
+
+
+def test_years_are_filled_in_the_row_of_their_coverage(spark):
+    params = mo.SnapshotParams("20031231", 2003)
+    late, other = ("20021231", {"ZMUTJAAR": 2002, "ZTYPE": "BOTH"}), ("20010101", {"ZAANSTYP": "008"})
+    relevant = mo.base_mutations(log(spark, START, other, late), params)
+    states = mo.yearly_states(relevant, params, whole=True)
+    # the window of the running minimum alone: years are not sorted
+    assert states._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+    got = rows(states.filter(F.col("snapshot") == mo.EOY), "claim_type", "report_year", "kind", "link_mutated_on")
+    assert got == [
+        ("007", 2000, mo.START, "20000615"), ("007", 2001, mo.START, "20010101"), ("007", 2002, mo.CHANGE, "20021231"), ("007", 2003, mo.CHANGE, "20021231"),
+        ("008", 2001, mo.START, "20010101"), ("008", 2002, mo.CHANGE, "20021231"), ("008", 2003, mo.CHANGE, "20021231"),
+    ]

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from viewloom.functions import scalar as fn
 from viewloom.operators.scans import (
@@ -338,9 +338,6 @@ def yearly_states(relevant: DataFrame, p: SnapshotParams, whole: bool = False) -
     minimum from the latest processing backwards finds that. Years without mutation take the last known one.
     """
     starts = relevant.groupBy(*COVERAGE).agg(F.min("mutation_year").alias("start"))
-    years = year_spine(starts, "start", p.year_until, "report_year")
-    years = years.select("*", F.explode(F.array(F.lit(EOY), F.lit(BOY))).alias("snapshot"))
-
     columns = ["policy", "coverage", *SORT, "mutation_id", "kind", "event", "mutation_year", "begin_year"]
     backwards = log_order("policy", "coverage", descending=True, whole=whole)
     settled = running(
@@ -363,14 +360,19 @@ def yearly_states(relevant: DataFrame, p: SnapshotParams, whole: bool = False) -
     keys = ["policy", "coverage", "snapshot", "report_year"]
     last = latest_values(counting, keys, (*SORT, "mutation_id"), ["kind", "event", *SORT])
     link = {c: f"link_{c}" for c in SORT}
-    last = last.select(*keys, "kind", "event", *[F.col(c).alias(n) for c, n in link.items()])
+    hit = F.struct("report_year", "snapshot", "kind", "event", *[F.col(c).alias(n) for c, n in link.items()])
+    # at most two hits a year: the years of a coverage are filled in its row, and only the filled ones become rows
+    hits = last.filter(F.col("mutated_on").isNotNull()).groupBy("policy", "coverage").agg(F.collect_list(hit).alias("hits"))
+    found = starts.withColumn("first", F.col("start")).join(hits, ["policy", "coverage"])
+    years = year_spine(found, "start", p.year_until, "report_year")
+    years = years.select("*", F.explode(F.array(F.lit(EOY), F.lit(BOY))).alias("snapshot"))
+
+    def so_far(h: Column) -> Column:
+        return (h["snapshot"] == F.col("snapshot")) & h["report_year"].between(F.col("first"), F.col("report_year"))
 
-    # a coverage and snapshot has one row per year, so this window cannot grow with the log
-    so_far = Window.partitionBy(*COVERAGE, "snapshot").orderBy("report_year")
-    latest = F.last(F.when(F.col("link_mutated_on").isNotNull(), F.struct("kind", "event", *link.values())), True)
-    filled = years.join(last, keys, "left").withColumn("__latest", latest.over(so_far))
-    carried = filled.select(*COVERAGE, "snapshot", "report_year", "__latest.*")
-    return carried.filter(F.col("kind").isNotNull())
+    filled = years.withColumn("latest", F.array_max(F.filter("hits", so_far)))
+    latest = [F.col(f"latest.{c}").alias(c) for c in ("kind", "event", *link.values())]
+    return filled.select(*COVERAGE, "snapshot", "report_year", *latest).filter(F.col("kind").isNotNull())
 
 
 def valid_years(states: DataFrame, first_deaths: DataFrame) -> DataFrame:
@@ -424,7 +426,7 @@ def addresses_of(persons: DataFrame, addresses: DataFrame, income: DataFrame) ->
 def _report_columns() -> dict[str, Column]:
     """Output columns in report order.
 
-    Aliases: a = year state, b = its mutation, d = persons, c1/c2 = states before a corrected death.
+    Aliases: a = year state, b = its mutation, d = persons, with c1/c2 = states before a corrected death.
     """
     c = F.col
     year, snapshot, kind = c("a.report_year"), c("a.snapshot"), c("a.kind")
@@ -559,6 +561,9 @@ def report(
 ) -> DataFrame:
     """Join each reported year to its mutation, persons, salary and addresses."""
     # persons with the addresses of each report year and snapshot: small next to the mutations
+    # what belongs to a policy comes with its persons: the mutations need not be shuffled for it
+    for name, before in (("c1", deaths.before_first), ("c2", deaths.before_second)):
+        info = info.join(before.select("policy", F.struct(*BEFORE.values()).alias(name)), "policy", "left")
     spots = states.select("policy", "report_year", "snapshot").distinct().join(info, "policy", "left")
     persons = spots
     for no in (1, 2):
@@ -569,7 +574,6 @@ def report(
             [f"postcode_{no}", f"abroad_{no}", f"income_class_{no}"],
         )
     a, b, s, d = states.alias("a"), relevant.alias("b"), salaries.alias("s"), persons.alias("d")
-    c1, c2 = deaths.before_first.alias("c1"), deaths.before_second.alias("c2")
 
     def moment(side: str) -> list[Column]:
         return [F.col(f"a.link_{c}") == F.col(f"{side}.{c}") for c in SORT]
@@ -581,8 +585,6 @@ def report(
         a.join(b, equal("b", "policy", "coverage") + moment("b"), "left")
         .join(s, equal("s", "policy") + moment("s"), "left")
         .join(d, equal("d", "policy", "report_year", "snapshot"), "left")
-        .join(c1, equal("c1", "policy"), "left")
-        .join(c2, equal("c2", "policy"), "left")
         .select(*[column.alias(name) for name, column in _report_columns().items()])
     )
 
